@@ -12,6 +12,7 @@ MESSAGE_SCHEMA = """
     product_ref string, quantity variant, unit_price_eur string,
     amount_eur string, order_timestamp string, _corrupt string
 """
+PARSER_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 NUMBER_TYPE = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
@@ -28,28 +29,29 @@ def parse_events(events: DataFrame) -> DataFrame:
     Columns ending in ``_text`` hold what the message said, the others the
     typed value or NULL when it does not convert.
     """
+    # Generated rows are computed once. A plain projection would be copied into
+    # every later filter and expression, and with it the JSON parser.
     message = events.select(
         "topic",
         "arrival",
         F.col("value").alias("payload"),
-        F.from_json("value", MESSAGE_SCHEMA,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("m"),
+        F.inline(F.array(F.from_json("value", MESSAGE_SCHEMA, PARSER_OPTIONS))),
     )
     fields = message.select(
         "topic",
         "arrival",
         "payload",
-        (F.col("m").isNull() | F.col("m._corrupt").isNotNull()).alias("bad_json"),
-        "m.order_id",
-        "m.customer_email",
-        "m.channel",
-        "m.store_code",
-        "m.product_ref",
-        F.col("m.quantity").cast("string").alias("quantity_text"),
-        F.schema_of_variant("m.quantity").rlike(NUMBER_TYPE).alias("quantity_is_number"),
-        F.col("m.unit_price_eur").alias("unit_price_text"),
-        F.col("m.amount_eur").alias("amount_text"),
-        F.col("m.order_timestamp").alias("timestamp_text"),
+        (F.col("payload").isNull() | (F.trim("payload") == "") | F.col("_corrupt").isNotNull()).alias("bad_json"),
+        "order_id",
+        "customer_email",
+        "channel",
+        "store_code",
+        "product_ref",
+        F.col("quantity").cast("string").alias("quantity_text"),
+        F.schema_of_variant("quantity").rlike(NUMBER_TYPE).alias("quantity_is_number"),
+        F.col("unit_price_eur").alias("unit_price_text"),
+        F.col("amount_eur").alias("amount_text"),
+        F.col("order_timestamp").alias("timestamp_text"),
     )
     return fields.select(
         "*",

@@ -12,10 +12,6 @@ from ordermill.functions.text import normalise
 from ordermill.operators.lookup import lookup
 from ordermill.schemas import FACT_COLUMNS, STAGED_COLUMNS
 
-# Below this many rows a calendar is broadcast; it spans more than 500 years.
-CALENDAR_ROWS = 200_000
-
-
 @dataclass(frozen=True)
 class Star:
     """The five dimensions, as stored tables."""
@@ -93,19 +89,18 @@ def missing_member() -> Column:
     return F.coalesce(*[F.when(F.col(column).isNull(), F.lit(name)) for name, column in MISSING_MEMBER])
 
 
-def complete(resolved: DataFrame) -> DataFrame:
-    """Fact rows: resolved orders with every key."""
+def complete(resolved: DataFrame, *more: str) -> DataFrame:
+    """Fact rows: resolved orders with every key, plus any ``more`` columns."""
     kept = resolved
     for _, column in MISSING_MEMBER:
         kept = kept.filter(F.col(column).isNotNull())
-    return kept.select(*FACT_COLUMNS)
+    return kept.select(*FACT_COLUMNS, *more)
 
 
 def incomplete(resolved: DataFrame) -> DataFrame:
     """Orders that stay pending, each with the first missing dimension."""
-    return resolved.withColumn("missing", missing_member()).filter(F.col("missing").isNotNull()).select(
-        *STAGED_COLUMNS, "missing"
-    )
+    keys = [c for _, c in MISSING_MEMBER] + ["store_known", "_email"]
+    return resolved.withColumn("missing", missing_member()).filter(F.col("missing").isNotNull()).drop(*keys)
 
 
 def build_fact(landed: DataFrame, star: Star, fact: DataFrame | None = None, **limits: int) -> DataFrame:

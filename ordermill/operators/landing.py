@@ -83,7 +83,7 @@ def dead_letters(failed: DataFrame) -> DataFrame:
     """Envelope ``{"original": .., "error": ..}`` for the dead-letter topic.
 
     The original is embedded as the JSON it was; text that is no JSON is
-    embedded as a string.
+    embedded as ``{"text": ..}``.
     """
     return failed.select(
         F.to_json(F.struct(

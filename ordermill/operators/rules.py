@@ -103,9 +103,14 @@ def order_rules(exact: bool = False, max_lengths: tuple = MAX_LENGTHS) -> list[R
 
 
 def judge(parsed: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """Add ``error_code``: NULL for a valid event, else the first failing rule."""
+    """Add ``error_code``: NULL for a valid event, else the first failing rule.
+
+    The code is generated as a one-element list, which computes it once per
+    row; as a projection the whole chain would be copied into every filter.
+    """
     rules = order_rules() if rules is None else rules
-    return parsed.withColumn("error_code", F.coalesce(*[F.when(r.fails, F.lit(r.code)) for r in rules]))
+    code = F.coalesce(*[F.when(r.fails, F.lit(r.code)) for r in rules])
+    return parsed.select("*", F.explode(F.array(code)).alias("error_code"))
 
 
 def error_message(rules: list[Rule] | None = None) -> Column:

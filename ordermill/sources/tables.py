@@ -59,6 +59,9 @@ class Warehouse:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(path)
 
+    def read_version(self, layer: str, table: str, version: int) -> DataFrame:
+        return self.spark.read.parquet(self._snapshot(layer, table, version))
+
     def commit(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = (),
                version: int | None = None) -> DataFrame:
         """Write the next snapshot and return it."""
