@@ -86,11 +86,13 @@ def dim_channel(spark: SparkSession, existing: DataFrame | None = None) -> DataF
 
 
 def dim_store(stores: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Stores by code with updated attributes, and the ONLINE member."""
-    spark = stores.sparkSession
-    loaded = load_members(existing, stores, "store_code", "store_key", STORE_ATTRIBUTES)
-    online = spark.createDataFrame([ONLINE_STORE], "store_code string, store_name string, city string, region string")
-    return load_members(loaded, online, "store_code", "store_key", STORE_ATTRIBUTES, update=False)
+    """Stores by code with updated attributes, and the ONLINE member unless it is there."""
+    columns = ["store_code", *STORE_ATTRIBUTES]
+    online = missing_members(stores.sparkSession.createDataFrame([ONLINE_STORE], columns), stores, "store_code")
+    if existing is not None:
+        online = missing_members(online, existing, "store_code")
+    members = stores.select(*columns).unionByName(online.select(*columns))
+    return load_members(existing, members, "store_code", "store_key", STORE_ATTRIBUTES)
 
 
 def dim_customer(golden: DataFrame, existing: DataFrame | None = None, loaded_at: Column | None = None) -> DataFrame:

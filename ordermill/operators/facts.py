@@ -52,23 +52,22 @@ def resolve(orders: DataFrame, star: Star, **limits: int) -> DataFrame:
     The customer dimension is matched by normalised address. A missing or
     unknown store stands for ONLINE.
     """
-    keyed = orders.withColumns({
+    counted = orders.withColumns({
         "date_key": date_key(F.col("order_timestamp")),
         "_email": normalise(F.col("customer_email")),
     })
-    calendar = star.date.select("date_key", F.lit(True).alias("_in_calendar"))
-    customers = star.customer.filter(F.col("valid_to").isNull()).select(
-        normalise(F.col("email")).alias("_email"), "customer_key")
-    products = star.product.select("product_ref", "product_key")
-    stores = star.store.select("store_code", "store_key")
-    channels = star.channel.select(F.col("channel_code").alias("channel"), "channel_key")
+    members = {
+        "date_key": star.date.select("date_key", F.lit(True).alias("_in_calendar")),
+        "channel": star.channel.select(F.col("channel_code").alias("channel"), "channel_key"),
+        "store_code": star.store.select("store_code", "store_key"),
+        "product_ref": star.product.select("product_ref", "product_key"),
+        "_email": star.customer.filter(F.col("valid_to").isNull()).select(
+            normalise(F.col("email")).alias("_email"), "customer_key"),
+    }
+    keyed = counted
+    for key, dimension in members.items():
+        keyed = lookup(keyed, dimension, key, "order_id", counted, **limits)
     online = star.store.filter(F.col("store_code") == "ONLINE").agg(F.max("store_key")).scalar()
-
-    keyed = lookup(keyed, calendar, "date_key", "order_id", **limits)
-    keyed = lookup(keyed, channels, "channel", "order_id", **limits)
-    keyed = lookup(keyed, stores, "store_code", "order_id", **limits)
-    keyed = lookup(keyed, products, "product_ref", "order_id", **limits)
-    keyed = lookup(keyed, customers, "_email", "order_id", **limits)
     return keyed.withColumns({
         "store_known": F.col("store_key").isNotNull(),
         "store_key": F.coalesce("store_key", online),

@@ -28,10 +28,14 @@ def hot_keys(rows: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT,
     )
 
 
-def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: str,
+def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: str, counted: DataFrame,
            broadcast_rows: int = BROADCAST_ROWS, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
     """Left join of ``members`` on ``key``, whatever their size and the key's spread.
 
+    ``counted`` is a cheap frame with the same keys as ``rows``, such as the
+    stored table they come from; keys are counted there and not behind the
+    lookups ``rows`` went through already.
+
     ``members`` is counted first (a footer read for a stored table). Few enough
     are broadcast. Otherwise the join shuffles, with every hot key cut into
     parts: rows take a part by the hash of ``spread_on``, members of a hot key
@@ -41,7 +45,7 @@ def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: str,
     if members.count() <= broadcast_rows:
         return rows.join(F.broadcast(members), key, "left")
 
-    hot = F.broadcast(hot_keys(rows, key, rows_per_salt))
+    hot = F.broadcast(hot_keys(counted, key, rows_per_salt))
     spread = F.xxhash64(spread_on)
     part = F.when(F.col(key).isNull(), F.pmod(spread, F.lit(1 << 20))).otherwise(
         F.pmod(spread, F.coalesce(F.col("_parts"), F.lit(1)))

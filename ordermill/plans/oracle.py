@@ -129,11 +129,12 @@ stores AS (
          r_name AS region, s_acctbal
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
   WHERE s_suppkey % 9 <> 0),
+store_members AS (
+  SELECT store_code, store_name, city, region, s_acctbal FROM stores
+  UNION ALL SELECT 'ONLINE', 'En ligne', 'Paris', 'National', 1.0),
 dim_store AS (
   SELECT row_number() OVER (ORDER BY md5(store_code), store_code) AS store_key, store_code, store_name, city, region
-  FROM stores
-  UNION ALL
-  SELECT (SELECT count(*) FROM stores) + 1, 'ONLINE', 'En ligne', 'Paris', 'National'),
+  FROM store_members),
 dim_channel AS (
   SELECT row_number() OVER (ORDER BY md5(channel_code)) AS channel_key, * FROM (VALUES
     ('web', 'Site e-commerce'), ('app', 'Application mobile'), ('store', 'Boutique physique')) AS t(channel_code, channel_name)),
@@ -298,14 +299,9 @@ ORACLE: dict[str, str] = {
         SELECT channel_key, channel_code, channel_name, orders FROM dim_channel LEFT JOIN
           (SELECT channel AS channel_code, count(*) AS orders FROM landed GROUP BY 1) USING (channel_code)"""),
     "dim_store_upsert": sql("""
-        SELECT store_key, store_code, coalesce(store_name, 'En ligne') AS store_name, coalesce(city, 'Paris') AS city,
-               coalesce(region, 'National') AS region
-        FROM (
-          SELECT row_number() OVER (ORDER BY md5(store_code)) AS store_key, store_code FROM stores WHERE s_acctbal > 0
-          UNION ALL SELECT (SELECT count(*) FROM stores WHERE s_acctbal > 0) + 1, 'ONLINE'
-          UNION ALL SELECT (SELECT count(*) FROM stores WHERE s_acctbal > 0) + 1 + row_number() OVER (ORDER BY md5(store_code)),
-                           store_code FROM stores WHERE NOT s_acctbal > 0)
-        LEFT JOIN stores USING (store_code)"""),
+        SELECT CASE WHEN s_acctbal > 0 THEN 0 ELSE (SELECT count(*) FROM store_members WHERE s_acctbal > 0) END
+                 + row_number() OVER (PARTITION BY s_acctbal > 0 ORDER BY md5(store_code)) AS store_key,
+               store_code, store_name, city, region FROM store_members"""),
     "dim_customer": sql("""
         SELECT customer_key, golden_id, email_normalized, email, first_name, last_name, phone, consent_marketing,
                CAST(consent_date AS VARCHAR) AS consent_date, CAST(CAST(last_activity AS DATE) AS VARCHAR) AS last_activity,

@@ -18,7 +18,7 @@ from ordermill.functions.text import normalise
 from ordermill.operators import conform, dims, facts, landing, monitor, privacy, quality, rules
 from ordermill.operators.facts import Star
 from ordermill.plans import batch
-from ordermill.session import materialise, shared_folder
+from ordermill.session import materialise, shared_folder, together
 from ordermill.sources.retail import Retail
 from ordermill.sources.streams import captured_orders
 from ordermill.sources.tables import Warehouse
@@ -65,7 +65,8 @@ def landed(r: Retail, events: DataFrame | None = None) -> DataFrame:
 
 
 def stored_landed(r: Retail) -> DataFrame:
-    return materialise(landed(r), "landed")
+    """Landed orders as a table; the message text is left out, as no reader needs it."""
+    return materialise(landed(r).drop("payload"), "landed")
 
 
 def golden(r: Retail) -> DataFrame:
@@ -77,22 +78,32 @@ def golden_products(r: Retail) -> DataFrame:
 
 
 def customers(r: Retail) -> DataFrame:
-    return dims.dim_customer(golden(r), loaded_at=r.as_of().cast("timestamp"))
+    return dims.dim_customer(materialise(golden(r), "golden"), loaded_at=r.as_of().cast("timestamp"))
+
+
+def products(r: Retail) -> DataFrame:
+    return dims.dim_product(materialise(golden_products(r), "golden-products"))
 
 
 def stored_star(r: Retail) -> Star:
-    return Star(
-        date=materialise(dims.calendar(r.day_span()), "dim-date"),
-        channel=materialise(dims.dim_channel(r.spark), "dim-channel"),
-        store=materialise(dims.dim_store(r.stores()), "dim-store"),
-        customer=materialise(customers(r), "dim-customer"),
-        product=materialise(dims.dim_product(golden_products(r)), "dim-product"),
-    )
+    return Star(*together(
+        lambda: materialise(dims.calendar(r.day_span()), "dim-date"),
+        lambda: materialise(dims.dim_channel(r.spark), "dim-channel"),
+        lambda: materialise(dims.dim_store(r.stores()), "dim-store"),
+        lambda: materialise(customers(r), "dim-customer"),
+        lambda: materialise(products(r), "dim-product"),
+    ))
+
+
+def stored_orders(r: Retail) -> tuple[DataFrame, Star]:
+    """Landed orders and dimensions, each stored once."""
+    orders, star = together(lambda: stored_landed(r), lambda: stored_star(r))
+    return orders, star
 
 
 def stored_sales(r: Retail) -> tuple[DataFrame, Star, DataFrame]:
     """Landed orders, dimensions and the full fact, each stored once."""
-    orders, star = stored_landed(r), stored_star(r)
+    orders, star = stored_orders(r)
     return orders, star, materialise(facts.build_fact(orders, star), "fact")
 
 
@@ -258,7 +269,7 @@ def dim_customer(r: Retail) -> DataFrame:
 
 @query
 def dim_product(r: Retail) -> DataFrame:
-    return in_cents(dims.dim_product(golden_products(r)), "price_eur")
+    return in_cents(products(r), "price_eur")
 
 
 @query
@@ -301,7 +312,7 @@ def price_variance(r: Retail) -> DataFrame:
 @query
 def stg_orders_pending(r: Retail) -> DataFrame:
     """Orders left after everything up to two years before the end was loaded."""
-    orders, star = stored_landed(r), stored_star(r)
+    orders, star = stored_orders(r)
     loaded = facts.build_fact(before(orders, r), star)
     return fact_view(facts.pending(orders, loaded))
 
@@ -317,13 +328,13 @@ def stg_customers(r: Retail) -> DataFrame:
 
 @query
 def fact_sales_full(r: Retail) -> DataFrame:
-    return fact_view(facts.build_fact(stored_landed(r), stored_star(r)))
+    return fact_view(facts.build_fact(*stored_orders(r)))
 
 
 @query
 def fact_sales_incremental(r: Retail) -> DataFrame:
     """New fact rows when everything up to two years before the end is loaded already."""
-    orders, star = stored_landed(r), stored_star(r)
+    orders, star = stored_orders(r)
     loaded = facts.build_fact(before(orders, r), star)
     return fact_view(facts.build_fact(orders, star, loaded))
 
@@ -344,7 +355,7 @@ def processed_backlog(r: Retail) -> DataFrame:
 
 @query
 def unresolved_orders(r: Retail) -> DataFrame:
-    waiting = facts.unresolved_orders(stored_landed(r), stored_star(r))
+    waiting = facts.unresolved_orders(*stored_orders(r))
     return waiting.select("order_id", "customer_email", "product_ref", "missing")
 
 
@@ -613,13 +624,13 @@ def gauge_bands(r: Retail) -> DataFrame:
 
 @query
 def revenue_by_channel(r: Retail) -> DataFrame:
-    orders, star = stored_landed(r), stored_star(r)
+    orders, star = stored_orders(r)
     return in_cents(monitor.revenue_by_channel(facts.build_fact(orders, star), star.channel), "revenue_eur")
 
 
 @query
 def revenue_rollup(r: Retail) -> DataFrame:
-    orders, star = stored_landed(r), stored_star(r)
+    orders, star = stored_orders(r)
     return in_cents(monitor.revenue_rollup(facts.build_fact(orders, star), star), "revenue_eur").withColumn(
         "level", F.col("level").cast("int"))
 

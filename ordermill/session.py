@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -47,6 +51,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def together(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark jobs side by side and return their results in order."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
