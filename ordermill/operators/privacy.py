@@ -79,6 +79,7 @@ REFERENCE_SCOPE = (
 )
 FULL_SCOPE = REFERENCE_SCOPE[:2] + (
     Scope("failed_events", "get_json_object(payload, '$.customer_email')"),
+    Scope("dead_letters", "get_json_object(value, '$.original.customer_email')"),
     Scope("customers_unified", "email"),
     Scope("customers_crm", "email"),
     Scope("customers_web", "email"),

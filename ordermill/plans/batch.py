@@ -13,10 +13,10 @@ from ordermill import schemas
 from ordermill.functions.dates import month_of_key
 from ordermill.operators import conform, dims, facts, monitor, privacy, quality
 from ordermill.operators.facts import Star
-from ordermill.session import materialise, prepare
+from ordermill.session import discard, materialise, prepare
 from ordermill.sources.csvfiles import read_seed
 from ordermill.sources.tables import Warehouse
-from ordermill.streaming.ingest import BATCH, failed_events, ingest_batch, landed_orders
+from ordermill.streaming.ingest import BATCH, dead_letters, failed_events, ingest_batch, landed_orders
 
 LOAD = "load_id"
 MONTH = "sales_month"
@@ -100,6 +100,8 @@ def finish_load(house: Warehouse, resolved: DataFrame, load_id: int) -> None:
     house.commit(facts.incomplete(resolved).select("order_id", BATCH, "missing"), "staging", "orders_backlog")
     row = (load_id, house.versions("staging", "orders_backlog")[-1])
     house.commit(house.spark.createDataFrame([row], PROGRESS), "staging", "load_progress")
+    house.prune("staging", "orders_backlog", keep=2)
+    house.prune("staging", "load_progress", keep=2)
 
 
 def load_facts(house: Warehouse, load_id: int) -> tuple[int, int]:
@@ -121,11 +123,13 @@ def load_facts(house: Warehouse, load_id: int) -> tuple[int, int]:
         waiting = house.read_version("staging", "orders_backlog", backlog_version).select(BATCH, "order_id")
         candidates = candidates.unionByName(
             landed.filter(F.col(BATCH) <= last).select(*columns).join(waiting, [BATCH, "order_id"], "left_semi"))
-    resolved = materialise(facts.resolve(materialise(candidates, "candidates"), star(house)), "resolved")
+    candidates = materialise(candidates, "candidates")
+    resolved = materialise(facts.resolve(candidates, star(house)), "resolved")
     rows = facts.complete(resolved).withColumn(MONTH, month_of_key(F.col("date_key")))
     house.write_slice(rows, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,))
     finish_load(house, resolved, load_id)
     counted = resolved.agg(F.count("*").alias("all"), F.count(facts.missing_member()).alias("waiting")).first()
+    discard(candidates, resolved)
     return counted["all"] - counted["waiting"], counted["waiting"]
 
 
@@ -144,6 +148,7 @@ def rebuild_facts(house: Warehouse) -> DataFrame:
     # Ranges end inside a folder when it is large, and small folders get one file.
     ranged = rows.repartitionByRange(LOAD, MONTH, "order_id")
     house.commit(ranged, "dwh", "fact_sales", partition_by=(LOAD, MONTH))
+    discard(resolved)
     return sales(house)
 
 
@@ -231,6 +236,7 @@ PERSONAL_TABLES = {
     "fact_sales": ("dwh", (LOAD, MONTH)),
     "streaming_orders": ("raw", (BATCH,)),
     "failed_events": ("raw", (BATCH,)),
+    "dead_letters": ("raw", (BATCH,)),
     "customers_unified": ("staging", ()),
     "customers_golden": ("staging", ()),
     "dim_customer": ("dwh", ()),
@@ -238,7 +244,8 @@ PERSONAL_TABLES = {
     "customers_web": ("raw", ()),
     "customers_pos": ("raw", ()),
 }
-CUT_TABLES = {"fact_sales": sales, "streaming_orders": landed_orders, "failed_events": failed_events}
+CUT_TABLES = {"fact_sales": sales, "streaming_orders": landed_orders, "failed_events": failed_events,
+              "dead_letters": dead_letters}
 
 
 def personal_tables(house: Warehouse) -> dict[str, DataFrame]:
@@ -255,8 +262,9 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
 
     One pass per table serves all requests. The audit row ``processing`` is
     written first and ``completed`` last; a run that stops between is repeated.
-    ``full`` covers every table with personal data and keeps only a digest of
-    the address in the audit.
+    Replaced snapshots and scratch copies are deleted, as they hold the erased
+    rows. ``full`` covers every table with personal data and keeps only a
+    digest of the address, in the audit and in the result.
     """
     prepare(house.spark)
     requests = materialise(requests.select("customer_email"), "requests")
@@ -268,19 +276,24 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     now = F.current_timestamp()
     processing = materialise(privacy.audit_requests(
         requests, "erasure", "processing", now, last_request(house), F.lit(privacy.ERASURE_NOTE)), "audit")
-    append_audit(house, hide_address(processing) if full else processing)
+    append_audit(house, hide_address(processing, "customer_email") if full else processing)
 
-    for name, kept in privacy.erase(tables, found, scopes).items():
+    kept = privacy.erase(tables, found, scopes)
+    for name, rows in kept.items():
         layer, partition_by = PERSONAL_TABLES[name]
-        house.commit(kept, layer, name, partition_by)
+        house.commit(rows, layer, name, partition_by)
+    for name in kept:
+        house.prune(PERSONAL_TABLES[name][0], name)
 
     completed = privacy.complete_erasure(processing, counts, now)
-    append_audit(house, hide_address(completed) if full else completed)
-    return counts
+    append_audit(house, hide_address(completed, "customer_email") if full else completed)
+    result = materialise(hide_address(counts, "email_normalized") if full else counts, "erased")
+    discard(requests, counts, processing, found.addresses, found.keys)
+    return result
 
 
-def hide_address(audit: DataFrame) -> DataFrame:
-    return audit.withColumn("customer_email", F.sha2(F.lower(F.trim("customer_email")), 256))
+def hide_address(rows: DataFrame, column: str) -> DataFrame:
+    return rows.withColumn(column, F.sha2(F.lower(F.trim(column)), 256))
 
 
 def last_request(house: Warehouse) -> int:

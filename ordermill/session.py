@@ -68,3 +68,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/ordermill/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the stored copies ``materialise`` made of these frames."""
+    for df in frames:
+        spark = df.sparkSession
+        scratch = f"{shared_folder(spark)}/ordermill/"
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            if scratch in folder:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -82,6 +82,12 @@ class Warehouse:
         if not fs.exists(done):
             fs.create(done).close()
 
+    def prune(self, layer: str, table: str, keep: int = 1) -> None:
+        """Delete all finished snapshots but the last ``keep``."""
+        for version in self.versions(layer, table)[:-keep]:
+            fs, folder = self._folder(self._snapshot(layer, table, version))
+            fs.delete(folder, True)
+
     def view(self, layer: str, table: str, schema: str | None = None) -> str:
         """Register the current snapshot as a temporary view and return its name."""
         name = f"{layer}_{table}"

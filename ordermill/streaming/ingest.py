@@ -44,8 +44,7 @@ def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse) -> Counters
         house.write_slice(new, "raw", "streaming_orders", BATCH, batch_id)
         failed = landing.failed_events(judged)
         house.write_slice(failed, "raw", "failed_events", BATCH, batch_id)
-        letters = f"{house.path('raw', 'dead_letters')}/{BATCH}={batch_id}"
-        landing.dead_letters(failed).write.mode("overwrite").text(letters)
+        house.write_slice(landing.dead_letters(failed), "raw", "dead_letters", BATCH, batch_id)
     finally:
         judged.unpersist()
     consumed = house.read("raw", "streaming_orders").filter(F.col(BATCH) == batch_id).count()
@@ -79,6 +78,10 @@ def failed_events(house: Warehouse) -> DataFrame:
     return house.read("raw", "failed_events", FAILED_EVENTS + f", {BATCH} int")
 
 
+def dead_letters(house: Warehouse) -> DataFrame:
+    return house.read("raw", "dead_letters", f"value string, {BATCH} int")
+
+
 def accepted_stream(events: DataFrame, late: str = "1 day") -> DataFrame:
     """Accepted orders of a stream, one per id within the lateness bound.
 
