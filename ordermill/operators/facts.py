@@ -66,7 +66,7 @@ def resolve(orders: DataFrame, star: Star, **limits: int) -> DataFrame:
     }
     keyed = counted
     for key, dimension in members.items():
-        keyed = lookup(keyed, dimension, key, "order_id", counted, **limits)
+        keyed = lookup(keyed, dimension, key, F.col("order_id"), counted, **limits)
     online = star.store.filter(F.col("store_code") == "ONLINE").agg(F.max("store_key")).scalar()
     return keyed.withColumns({
         "store_known": F.col("store_key").isNotNull(),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A lookup side carries a natural key of at most 255 characters and a long.
@@ -28,9 +28,9 @@ def hot_keys(rows: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT,
     )
 
 
-def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: str, counted: DataFrame,
+def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: Column, counted: DataFrame,
            broadcast_rows: int = BROADCAST_ROWS, rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
-    """Left join of ``members`` on ``key``, whatever their size and the key's spread.
+    """Left join of ``members``, unique by ``key``, whatever their size and the key's spread.
 
     ``counted`` is a cheap frame with the same keys as ``rows``, such as the
     stored table they come from; keys are counted there and not behind the
@@ -38,8 +38,8 @@ def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: str, counte
 
     ``members`` is counted first (a footer read for a stored table). Few enough
     are broadcast. Otherwise the join shuffles, with every hot key cut into
-    parts: rows take a part by the hash of ``spread_on``, members of a hot key
-    are repeated once per part. Rows without key match nothing and are spread
+    parts: rows take a part by the hash of ``spread_on``, a column that differs
+    from row to row, and members of a hot key are repeated once per part. Rows without key match nothing and are spread
     over all tasks. No row is dropped on either path.
     """
     if members.count() <= broadcast_rows:
@@ -57,3 +57,9 @@ def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: str, counte
         .drop("_parts")
     )
     return left.join(right, [key, "_part"], "left").drop("_part")
+
+
+def split(rows: DataFrame, members: DataFrame, key: str, found: bool, **limits: int) -> DataFrame:
+    """Rows whose key is (or is not) among ``members``: a semi or anti-join that stays balanced."""
+    marked = lookup(rows, members.select(key, F.lit(True).alias("_found")), key, F.struct("*"), rows, **limits)
+    return marked.filter(F.col("_found").isNotNull() if found else F.col("_found").isNull()).drop("_found")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ordermill.functions.keys import assign_keys
 from ordermill.functions.text import mask_email, mask_name, normalise
 from ordermill.operators.facts import Star
+from ordermill.operators.lookup import lookup, split
 from ordermill.session import materialise
 
 # Notes written to the audit table.
@@ -30,23 +31,23 @@ def masked_customers(dim_customer: DataFrame) -> DataFrame:
     }).select(*MASKED_COLUMNS)
 
 
-def sales_analytics(fact: DataFrame, star: Star) -> DataFrame:
-    """Sales with readable dimensions and masked customers.
-
-    No hints: the stored dimensions have true sizes, so Spark broadcasts the
-    small ones and shuffles the customer side when it has grown.
-    """
-    return (
-        fact.join(star.date.select("date_key", "full_date", "month_name", "year_num"), "date_key")
-        .join(masked_customers(star.customer).select("customer_key", "email_masked", "is_active_12m",
-                                                     "consent_marketing"), "customer_key")
-        .join(star.product.select("product_key", "product_ref", "product_name", "category"), "product_key")
-        .join(star.store.select("store_key", "store_name"), "store_key")
-        .join(star.channel.select("channel_key", "channel_name"), "channel_key")
-        .select("order_id", "full_date", "month_name", "year_num", "email_masked", "is_active_12m",
-                "consent_marketing", "product_ref", "product_name", "category", "store_name", "channel_name",
-                "quantity", "amount_eur")
-    )
+def sales_analytics(fact: DataFrame, star: Star, **limits: int) -> DataFrame:
+    """Sales with readable dimensions and masked customers; facts without a member are left out."""
+    members = {
+        "date_key": star.date.select("date_key", "full_date", "month_name", "year_num"),
+        "customer_key": masked_customers(star.customer).select(
+            "customer_key", "email_masked", "is_active_12m", "consent_marketing"),
+        "product_key": star.product.select("product_key", "product_ref", "product_name", "category"),
+        "store_key": star.store.select("store_key", "store_name"),
+        "channel_key": star.channel.select("channel_key", "channel_name"),
+    }
+    named = fact.select("order_id", *members, "quantity", "amount_eur")
+    for key, dimension in members.items():
+        marked = dimension.withColumn("_found", F.lit(True))
+        named = lookup(named, marked, key, F.col("order_id"), fact, **limits).filter("_found").drop("_found")
+    return named.select("order_id", "full_date", "month_name", "year_num", "email_masked", "is_active_12m",
+                        "consent_marketing", "product_ref", "product_name", "category", "store_name", "channel_name",
+                        "quantity", "amount_eur")
 
 
 def subjects(requests: DataFrame) -> DataFrame:
@@ -58,7 +59,7 @@ def subjects(requests: DataFrame) -> DataFrame:
 def export_subjects(unified: DataFrame, requests: DataFrame) -> DataFrame:
     """All source rows of the subjects."""
     rows = unified.withColumn("_subject", normalise(F.col("email")))
-    return rows.join(subjects(requests), "_subject", "left_semi").select(*EXPORT_COLUMNS)
+    return split(rows, materialise(subjects(requests), "subjects"), "_subject", True).select(*EXPORT_COLUMNS)
 
 
 @dataclass(frozen=True)
@@ -98,29 +99,31 @@ class Subjects:
 def find_subjects(dim_customer: DataFrame, requests: DataFrame) -> Subjects:
     """Look the subjects up once and store them.
 
-    Stored, they have a true size: a usual batch of requests is broadcast
-    against each table, a very large one is shuffled.
+    Stored, they can be counted: a usual batch of requests is broadcast against
+    each table, a very large one is shuffled with busy subjects split up.
     """
     addresses = materialise(subjects(requests), "subjects")
     owners = dim_customer.select("customer_key", normalise(F.col("email")).alias("_subject"))
     return Subjects(addresses, materialise(owners.join(addresses, "_subject", "left_semi"), "subject-keys"))
 
 
-def rows_of_subjects(tables: dict[str, DataFrame], scope: Scope, found: Subjects) -> DataFrame:
+def rows_of_subjects(tables: dict[str, DataFrame], scope: Scope, found: Subjects, **limits: int) -> DataFrame:
     """Rows of a table that belong to a subject, with ``_subject``."""
     rows = tables[scope.table]
     if scope.address is None:
-        return rows.join(found.keys, "customer_key")
-    return rows.withColumn("_subject", normalise(F.expr(scope.address))).join(found.addresses, "_subject", "left_semi")
+        owned = lookup(rows, found.keys, "customer_key", F.struct(*rows.columns), rows, **limits)
+        return owned.filter(F.col("_subject").isNotNull())
+    return split(rows.withColumn("_subject", normalise(F.expr(scope.address))), found.addresses, "_subject", True, **limits)
 
 
-def without_subjects(tables: dict[str, DataFrame], scope: Scope, found: Subjects) -> DataFrame:
+def without_subjects(tables: dict[str, DataFrame], scope: Scope, found: Subjects, **limits: int) -> DataFrame:
     """The table without the rows of the subjects."""
     rows = tables[scope.table]
     if scope.address is None:
-        kept = rows.join(found.keys.select("customer_key"), "customer_key", "left_anti")
+        kept = split(rows, found.keys, "customer_key", False, **limits)
     else:
-        kept = rows.withColumn("_subject", normalise(F.expr(scope.address))).join(found.addresses, "_subject", "left_anti")
+        addressed = rows.withColumn("_subject", normalise(F.expr(scope.address)))
+        kept = split(addressed, found.addresses, "_subject", False, **limits)
     return kept.select(*rows.columns)
 
 

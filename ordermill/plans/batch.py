@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ordermill import schemas
 from ordermill.functions.dates import month_of_key
 from ordermill.operators import conform, dims, facts, monitor, privacy, quality
 from ordermill.operators.facts import Star
-from ordermill.session import discard, materialise, prepare
+from ordermill.session import discard, materialise, prepare, together
 from ordermill.sources.csvfiles import read_seed
 from ordermill.sources.tables import Warehouse
-from ordermill.streaming.ingest import BATCH, dead_letters, failed_events, ingest_batch, landed_orders
+from ordermill.streaming.ingest import BATCH, CADENCE, dead_letters, failed_events, ingest_batch, landed_orders
 
 LOAD = "load_id"
 MONTH = "sales_month"
@@ -40,21 +42,29 @@ def load_reference(house: Warehouse, customers: dict[str, DataFrame], erp: DataF
     """Sources to unified tables, golden records and dimensions; repeatable, keys are kept."""
     spark = prepare(house.spark)
     today = F.current_date() if as_of is None else as_of
-    for system, rows in customers.items():
-        house.commit(rows, "raw", f"customers_{system}")
-    unified = house.commit(conform.unify_customers(customers), "staging", "customers_unified")
-    products = house.commit(conform.unify_products(erp, web), "staging", "products_unified")
-    golden = house.commit(conform.golden_customers(unified, today), "staging", "customers_golden")
-    golden_products = house.commit(conform.golden_products(products), "staging", "products_golden")
+
+    def store(rows: DataFrame, layer: str, table: str) -> Callable[[], DataFrame]:
+        return lambda: house.commit(rows, layer, table)
 
     def existing(name: str) -> DataFrame | None:
         return house.read("dwh", f"dim_{name}") if house.exists("dwh", f"dim_{name}") else None
 
-    house.commit(dims.dim_channel(spark, existing("channel")), "dwh", "dim_channel")
-    house.commit(dims.dim_store(stores, existing("store")), "dwh", "dim_store")
-    house.commit(dims.dim_customer(golden, existing("customer")), "dwh", "dim_customer")
-    house.commit(dims.dim_product(golden_products, existing("product")), "dwh", "dim_product")
-    extend_calendar(house, dims.calendar_around(spark, today) if calendar is None else calendar)
+    unified, products, *_ = together(
+        store(conform.unify_customers(customers), "staging", "customers_unified"),
+        store(conform.unify_products(erp, web), "staging", "products_unified"),
+        store(dims.dim_channel(spark, existing("channel")), "dwh", "dim_channel"),
+        store(dims.dim_store(stores, existing("store")), "dwh", "dim_store"),
+        *[store(rows, "raw", f"customers_{system}") for system, rows in customers.items()],
+        lambda: extend_calendar(house, dims.calendar_around(spark, today) if calendar is None else calendar),
+    )
+    golden, golden_products = together(
+        store(conform.golden_customers(unified, today), "staging", "customers_golden"),
+        store(conform.golden_products(products), "staging", "products_golden"),
+    )
+    together(
+        store(dims.dim_customer(golden, existing("customer")), "dwh", "dim_customer"),
+        store(dims.dim_product(golden_products, existing("product")), "dwh", "dim_product"),
+    )
     return star(house)
 
 
@@ -123,13 +133,14 @@ def load_facts(house: Warehouse, load_id: int) -> tuple[int, int]:
         waiting = house.read_version("staging", "orders_backlog", backlog_version).select(BATCH, "order_id")
         candidates = candidates.unionByName(
             landed.filter(F.col(BATCH) <= last).select(*columns).join(waiting, [BATCH, "order_id"], "left_semi"))
-    candidates = materialise(candidates, "candidates")
     resolved = materialise(facts.resolve(candidates, star(house)), "resolved")
     rows = facts.complete(resolved).withColumn(MONTH, month_of_key(F.col("date_key")))
-    house.write_slice(rows, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,))
+    # Ranges end inside a month when it is large, and small months share a task.
+    ranged = rows.repartitionByRange(MONTH, "order_id")
+    house.write_slice(ranged, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,))
     finish_load(house, resolved, load_id)
     counted = resolved.agg(F.count("*").alias("all"), F.count(facts.missing_member()).alias("waiting")).first()
-    discard(candidates, resolved)
+    discard(resolved)
     return counted["all"] - counted["waiting"], counted["waiting"]
 
 
@@ -145,7 +156,6 @@ def rebuild_facts(house: Warehouse) -> DataFrame:
     finish_load(house, resolved, last)
     rows = facts.complete(resolved, BATCH).withColumnRenamed(BATCH, LOAD).withColumn(
         MONTH, month_of_key(F.col("date_key")))
-    # Ranges end inside a folder when it is large, and small folders get one file.
     ranged = rows.repartitionByRange(LOAD, MONTH, "order_id")
     house.commit(ranged, "dwh", "fact_sales", partition_by=(LOAD, MONTH))
     discard(resolved)
@@ -211,6 +221,37 @@ def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column
     return result
 
 
+def start_pipeline(house: Warehouse, events: DataFrame, checkpoint: str, continuous: bool = False,
+                   cadence: str = CADENCE, **options) -> StreamingQuery:
+    """Run a full cycle on every micro-batch of a streaming frame of messages."""
+    def cycle(rows: DataFrame, batch_id: int) -> None:
+        run_batch(house, rows, batch_id, **options)
+
+    trigger = {"processingTime": cadence} if continuous else {"availableNow": True}
+    return events.writeStream.foreachBatch(cycle).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def register_views(house: Warehouse) -> list[str]:
+    """Temporary views for SQL: staging models, masked customers, sales and the monitoring tables."""
+    landed, fact, at_hand = landed_orders(house), sales(house).drop(LOAD, MONTH), star(house)
+    views = {
+        "streaming_orders": facts.with_processed(landed.drop(BATCH), fact),
+        "failed_events": failed_events(house),
+        "stg_orders": facts.pending(landed, fact),
+        "stg_customers": conform.customers_in_stream(landed),
+        "fact_sales": fact,
+        **{f"dim_{name}": getattr(at_hand, name) for name in DIMENSIONS},
+        "dim_customer_anonymized": privacy.masked_customers(at_hand.customer),
+        "v_sales_analytics": privacy.sales_analytics(fact, at_hand),
+        "quality_metrics": house.read("staging", "quality_metrics", f"{schemas.QUALITY_METRICS}, {BATCH} int"),
+        "pipeline_runs": house.read("monitoring", "pipeline_runs", schemas.PIPELINE_RUNS),
+        "gdpr_requests": house.read("audit", "gdpr_requests", schemas.GDPR_REQUESTS),
+    }
+    for name, rows in views.items():
+        rows.createOrReplaceTempView(name)
+    return list(views)
+
+
 def log_run(house: Warehouse, run_id: int, started: datetime, result: RunResult, checks_status: str | None,
             detail: str | None, dag_id: str) -> None:
     finished = datetime.now(timezone.utc).replace(tzinfo=None)

@@ -483,7 +483,7 @@ ORACLE: dict[str, str] = {
                CASE WHEN v >= 6000 THEN 'red' WHEN v >= 2000 THEN 'yellow' ELSE 'green' END AS band
         FROM (SELECT user_id, CAST(round(value * 100) AS BIGINT) AS v,
                      row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS nth
-              FROM events WHERE event_id % 3 <> 0 AND value IS NOT NULL) WHERE nth = 1""",
+              FROM events WHERE event_type <> 'error' AND value IS NOT NULL) WHERE nth = 1""",
     "revenue_by_channel": sql("""
         SELECT channel_code, channel_name, count(*) AS orders, CAST(sum(quantity) AS BIGINT) AS units,
                CAST(sum(amount_cents) AS BIGINT) AS revenue_cents
@@ -501,6 +501,20 @@ ORACLE: dict[str, str] = {
         GROUP BY w, channel"""),
 }
 
+ORACLE["fact_from_history"] = sql(f"""
+    SELECT o.order_id, d.date_key, c.customer_key, p.product_key, coalesce(s.store_key, online.store_key) AS store_key,
+           h.channel_key, o.quantity, o.unit_price_cents, o.amount_cents,
+           CAST(o.order_timestamp AS VARCHAR) AS order_timestamp
+    FROM (SELECT * REPLACE (CASE WHEN topic = 'orders.pos' THEN 'store' ELSE channel END AS channel,
+                            CASE WHEN topic = 'orders.pos' THEN store_code END AS store_code),
+                 row_number() OVER (PARTITION BY order_id ORDER BY {ARRIVAL}) AS nth FROM sent) o
+    JOIN dim_date d ON d.full_date = CAST(o.order_timestamp AS DATE)
+    JOIN dim_customer c ON lower(trim(o.customer_email)) = lower(trim(c.email))
+    JOIN dim_product p ON p.product_ref = o.product_ref
+    LEFT JOIN dim_store s ON s.store_code = o.store_code
+    JOIN dim_store online ON online.store_code = 'ONLINE'
+    JOIN dim_channel h ON h.channel_code = o.channel
+    WHERE nth = 1""")
 ORACLE["stream_landed"] = ORACLE["landed_orders"]
 ORACLE["pipeline_run"] = ORACLE["fact_sales_full"]
 

@@ -365,6 +365,14 @@ def orders_unified(r: Retail) -> DataFrame:
                    "order_date")
 
 
+@query
+def fact_from_history(r: Retail) -> DataFrame:
+    """The fact built from the historical orders of both kinds."""
+    history = conform.unify_orders(*r.historical_orders()).withColumnRenamed("order_date", "order_timestamp")
+    orders, star = together(lambda: materialise(history, "history"), lambda: stored_star(r))
+    return fact_view(facts.build_fact(orders, star))
+
+
 @query
 def pipeline_run(r: Retail) -> DataFrame:
     """The whole cycle on stored tables: reference load, ingest, fact, tests, checks, log."""
@@ -615,7 +623,8 @@ def counter_rate_5m(r: Retail) -> DataFrame:
 
 @query
 def gauge_bands(r: Retail) -> DataFrame:
-    readings = r.table("events").withColumn("reading", F.when(F.col("event_id") % 3 != 0, cents("value")))
+    """Last reading of each user; an error event carries none."""
+    readings = r.table("events").withColumn("reading", F.when(F.col("event_type") != "error", cents("value")))
     return monitor.last_gauge(readings, "ts", "user_id", "reading", "event_id", GAUGE_LEVELS)
 
 

@@ -87,9 +87,3 @@ class Warehouse:
         for version in self.versions(layer, table)[:-keep]:
             fs, folder = self._folder(self._snapshot(layer, table, version))
             fs.delete(folder, True)
-
-    def view(self, layer: str, table: str, schema: str | None = None) -> str:
-        """Register the current snapshot as a temporary view and return its name."""
-        name = f"{layer}_{table}"
-        self.read(layer, table, schema).createOrReplaceTempView(name)
-        return name

@@ -15,6 +15,9 @@ from ordermill.sources.tables import Warehouse
 
 BATCH = "batch_id"
 CADENCE = "2 minutes"
+# What landing and rejects read of a judged message.
+KEPT_COLUMNS = ("topic", "arrival", "payload", "error_code", "order_id", "customer_email", "channel", "store_code",
+                "product_ref", "quantity_number", "unit_price", "amount", "order_timestamp")
 
 
 @dataclass(frozen=True)
@@ -32,7 +35,7 @@ def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse) -> Counters
     same batch do not count as landed before. A batch that is delivered again
     therefore writes the same rows to the same place.
     """
-    judged = rules.judge(parse_events(events)).persist()
+    judged = rules.judge(parse_events(events)).select(*KEPT_COLUMNS).persist()
     try:
         counts = judged.agg(
             F.count("*").alias("read"), F.count("error_code").alias("failed")

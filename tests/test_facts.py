@@ -108,7 +108,7 @@ def test_salted_lookup_spreads_the_hot_key(spark, star):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookup.lookup(landed, members, "customer_email", "order_id", landed, broadcast_rows=0, rows_per_salt=20)
+        joined = lookup.lookup(landed, members, "customer_email", F.col("order_id"), landed, broadcast_rows=0, rows_per_salt=20)
         sizes = [r["count"] for r in joined.filter("customer_key = 1").groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")

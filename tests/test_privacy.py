@@ -1,0 +1,74 @@
+from pyspark.sql import functions as F
+
+from ordermill.operators import privacy
+
+
+def test_masking(spark):
+    rows = spark.sql("""select 1 customer_key, 'g' golden_id, e email, f first_name, f last_name, true consent_marketing,
+        cast(null as date) consent_date, cast(null as date) last_activity, true is_active_12m, true email_valid
+        from values ('ann@x.com', 'Ann'), ('no at', ''), (null, null) as t(e, f)""")
+    found = {(r["email_masked"], r["first_name_masked"]) for r in privacy.masked_customers(rows).collect()}
+    assert found == {("***@x.com", "A***"), ("***@", "***"), (None, None)}
+    assert "email" not in privacy.masked_customers(rows).columns and "phone" not in privacy.masked_customers(rows).columns
+
+
+def tables(spark):
+    return {
+        "dim_customer": spark.sql("select * from values (1, 'Ann@x.com'), (2, 'bob@x.com'), (3, null) t(customer_key, email)"),
+        "customers_golden": spark.sql("select * from values ('ann@x.com'), ('bob@x.com') t(email_normalized)"),
+        "streaming_orders": spark.range(900).select(
+            F.concat(F.lit("o"), "id").alias("order_id"),
+            F.when(F.col("id") % 3 == 0, " ANN@x.com").when(F.col("id") % 3 == 1, F.concat(F.lit("c"), "id"))
+            .alias("customer_email")),
+        "fact_sales": spark.range(900).select(
+            F.concat(F.lit("o"), "id").alias("order_id"), (F.col("id") % 3 + 1).cast("int").alias("customer_key")),
+    }
+
+
+def asked(spark, *addresses):
+    return spark.createDataFrame([(a,) for a in addresses], "customer_email string")
+
+
+def test_counts_and_erasure_are_the_same_broadcast_or_salted(spark):
+    held = tables(spark)
+    found = privacy.find_subjects(held["dim_customer"], asked(spark, "ANN@X.com ", "ann@x.com", "eve@x.com", None))
+    counts = {r["email_normalized"]: r["fact_sales"] for r in privacy.erasure_counts(held, found).collect()}
+    assert counts == {"ann@x.com": 300, "eve@x.com": 0}
+    for scope in privacy.REFERENCE_SCOPE:
+        plain = privacy.without_subjects(held, scope, found)
+        salted = privacy.without_subjects(held, scope, found, broadcast_rows=0, rows_per_salt=10)
+        assert plain.count() == salted.count() and plain.exceptAll(salted).count() == 0
+        assert plain.columns == held[scope.table].columns
+        hit = privacy.rows_of_subjects(held, scope, found, broadcast_rows=0, rows_per_salt=10).count()
+        assert hit + plain.count() == held[scope.table].count()
+    left = privacy.erase(held, found)
+    assert list(left) == ["fact_sales", "streaming_orders", "customers_golden", "dim_customer"]
+    assert left["streaming_orders"].count() == 600  # rows without address stay
+    assert left["dim_customer"].count() == 2
+
+
+def test_before_after(spark):
+    held = tables(spark)
+    found = privacy.find_subjects(held["dim_customer"], asked(spark, "ann@x.com"))
+    report = {r["table"]: (r["rows_before"], r["rows_after"], r["rows_deleted"])
+              for r in privacy.before_after(held, privacy.erase(held, found)).collect()}
+    assert report["fact_sales"] == (900, 600, 300) and report["dim_customer"] == (3, 2, 1)
+
+
+def test_audit_states(spark):
+    at = F.to_timestamp(F.lit("2026-06-20"))
+    people = asked(spark, "a@x.com", "b@x.com")
+    processing = privacy.audit_requests(people, "erasure", "processing", at, after=5)
+    counts = spark.sql("""select 'a@x.com' email_normalized, 1 customers_golden, 2 dim_customer, 3 streaming_orders, 4 fact_sales""")
+    done = privacy.complete_erasure(processing.filter("customer_email = 'a@x.com'"), counts, at)
+    states = {r["customer_email"]: r for r in privacy.current_requests(processing.unionByName(done)).collect()}
+    assert sorted(r["request_id"] for r in states.values()) == [6, 7]
+    assert states["a@x.com"]["status"] == "completed" and states["b@x.com"]["status"] == "processing"
+    assert states["a@x.com"]["notes"] == "Supprime staging=1, dwh=2, raw=3, fact_sales=4"
+
+
+def test_export(spark):
+    unified = spark.sql("""select 'crm' source_system, ' Ann@x.com' email, 'A' first_name, 'B' last_name,
+        true consent_marketing, cast(null as date) last_activity union all
+        select 'web', 'bob@x.com', 'B', 'C', true, null""")
+    assert [r["source_system"] for r in privacy.export_subjects(unified, asked(spark, "ann@X.com")).collect()] == ["crm"]
