@@ -23,10 +23,9 @@ def first_per_order(events: DataFrame) -> DataFrame:
     return events.withColumn("_nth", F.row_number().over(first)).filter("_nth = 1").drop("_nth")
 
 
-def landed_columns(judged: DataFrame, consumed_at: Column | None = None) -> DataFrame:
-    """Shape of ``raw.streaming_orders`` plus ``arrival``, for accepted events."""
+def accepted_orders(judged: DataFrame) -> DataFrame:
+    """Typed columns of accepted events, with ``arrival``."""
     return accepted(judged).select(
-        digest(F.col("order_id")).alias("event_id"),
         "order_id",
         F.col("topic").alias("source_topic"),
         "channel",
@@ -38,18 +37,25 @@ def landed_columns(judged: DataFrame, consumed_at: Column | None = None) -> Data
         F.round("amount", 2).cast(MONEY).alias("amount_eur"),
         "order_timestamp",
         "payload",
-        (F.current_timestamp() if consumed_at is None else consumed_at).alias("consumed_at"),
         "arrival",
     )
 
 
+def stamped(orders: DataFrame, consumed_at: Column | None = None) -> DataFrame:
+    """Shape of ``raw.streaming_orders``: event id and time of consumption added."""
+    return orders.withColumns({
+        "event_id": digest(F.col("order_id")),
+        "consumed_at": F.current_timestamp() if consumed_at is None else consumed_at,
+    }).select(*LANDED_COLUMNS)
+
+
 def land(judged: DataFrame, consumed_at: Column | None = None) -> DataFrame:
     """Accepted events, one row per order.
 
     Duplicates are judged after validation: a rejected event never stands in
     the way of a later valid one with the same id.
     """
-    return first_per_order(landed_columns(judged, consumed_at)).select(*LANDED_COLUMNS)
+    return stamped(first_per_order(accepted_orders(judged)), consumed_at)
 
 
 def not_yet_landed(batch: DataFrame, landed_ids: DataFrame, batch_rows: int | None = None,

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ordermill import schemas
 from ordermill.functions.dates import month_of_key
-from ordermill.operators import conform, dims, facts, monitor, privacy, quality
+from ordermill.operators import conform, dims, facts, landing, monitor, privacy, quality
 from ordermill.operators.facts import Star
 from ordermill.session import discard, materialise, prepare, together
 from ordermill.sources.csvfiles import read_seed
@@ -22,7 +22,6 @@ from ordermill.streaming.ingest import BATCH, CADENCE, dead_letters, failed_even
 
 LOAD = "load_id"
 MONTH = "sales_month"
-DIMENSIONS = ("date", "channel", "store", "customer", "product")
 
 
 class ColumnTestsFailed(RuntimeError):
@@ -84,7 +83,7 @@ def extend_calendar(house: Warehouse, days: DataFrame) -> None:
 
 
 def star(house: Warehouse) -> Star:
-    return Star(**{name: house.read("dwh", f"dim_{name}") for name in DIMENSIONS})
+    return Star(**{name: house.read("dwh", f"dim_{name}", schema) for name, schema in schemas.DIMENSIONS.items()})
 
 
 def sales(house: Warehouse) -> DataFrame:
@@ -176,14 +175,30 @@ def tested_tables(house: Warehouse, load_id: int | None = None) -> dict[str, Dat
     }
 
 
+def checks(house: Warehouse, as_of: Column, load_id: int | None = None, landed_rows: int | None = None) -> DataFrame:
+    """The quality metrics over whole tables, or as far as one load can have changed them.
+
+    For a load, its orders are held against all earlier order ids in one
+    column scan, and only its facts are matched with the products.
+    """
+    landed, failed, fact = landed_orders(house), failed_events(house), sales(house)
+    products = star(house).product
+    if load_id is None:
+        return quality.run_checks(landed, failed, fact, products, as_of)
+    here = landed.filter(F.col(BATCH) == load_id)
+    first_seen = landing.not_yet_landed(here, landed.filter(F.col(BATCH) < load_id), landed_rows)
+    duplicates = quality.duplicate_rate(here, first_seen)
+    return quality.run_checks(landed, failed, fact.filter(F.col(LOAD) == load_id), products, as_of, duplicates)
+
+
 def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column | None = None,
               calendar: DataFrame | None = None, whole_tables: bool = False,
               dag_id: str = monitor.PIPELINE_ID) -> RunResult:
     """One full cycle over a bounded frame of messages; also fit for ``foreachBatch``.
 
     An alert marks the run and never fails it; a failing column test does. The
-    run is logged in every case. ``whole_tables`` tests all history instead of
-    this load.
+    run is logged in every case. Tests and checks cover this load; with
+    ``whole_tables`` they read all history again.
     """
     spark = prepare(house.spark)
     started = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -200,14 +215,14 @@ def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column
         result.newly_processed, unresolved = load_facts(house, batch_id)
         result.counters["orders_unresolved"] = unresolved
 
-        tested = quality.run_tests(tested_tables(house, None if whole_tables else batch_id))
+        scope = None if whole_tables else batch_id
+        tested = quality.run_tests(tested_tables(house, scope))
         broken = [r.asDict() for r in tested.filter("status = 'FAIL'").collect()]
         if broken:
             detail = json.dumps(broken)
             raise ColumnTestsFailed(detail)
 
-        metrics = quality.run_checks(landed_orders(house), failed_events(house), sales(house),
-                                     house.read("dwh", "dim_product"), today)
+        metrics = checks(house, today, scope, counters.events_consumed)
         house.write_slice(metrics.withColumn("measured_at", F.current_timestamp()), "staging", "quality_metrics",
                           BATCH, batch_id)
         measured = house.read("staging", "quality_metrics").filter(F.col(BATCH) == batch_id).collect()
@@ -240,7 +255,7 @@ def register_views(house: Warehouse) -> list[str]:
         "stg_orders": facts.pending(landed, fact),
         "stg_customers": conform.customers_in_stream(landed),
         "fact_sales": fact,
-        **{f"dim_{name}": getattr(at_hand, name) for name in DIMENSIONS},
+        **{f"dim_{name}": getattr(at_hand, name) for name in schemas.DIMENSIONS},
         "dim_customer_anonymized": privacy.masked_customers(at_hand.customer),
         "v_sales_analytics": privacy.sales_analytics(fact, at_hand),
         "quality_metrics": house.read("staging", "quality_metrics", f"{schemas.QUALITY_METRICS}, {BATCH} int"),

@@ -6,7 +6,6 @@ cents and dates as text, so that results compare exactly with other engines.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,7 +17,7 @@ from ordermill.functions.text import normalise
 from ordermill.operators import conform, dims, facts, landing, monitor, privacy, quality, rules
 from ordermill.operators.facts import Star
 from ordermill.plans import batch
-from ordermill.session import materialise, shared_folder, together
+from ordermill.session import materialise, scratch_folder, together
 from ordermill.sources.retail import Retail
 from ordermill.sources.streams import captured_orders
 from ordermill.sources.tables import Warehouse
@@ -198,7 +197,7 @@ def stream_landed(r: Retail) -> DataFrame:
 
     The earlier half of the days is dropped and ingested first, then the rest.
     """
-    folder = f"{shared_folder(r.spark)}/ordermill/stream-{uuid.uuid4().hex}"
+    folder = scratch_folder(r.spark, "stream")
     house = Warehouse(r.spark, f"{folder}/tables")
     span = r.day_span().select(F.date_add("start", F.expr("cast(datediff(end, start) / 2 as int)"))).scalar()
     messages = materialise(r.order_messages(), "messages")
@@ -376,7 +375,7 @@ def fact_from_history(r: Retail) -> DataFrame:
 @query
 def pipeline_run(r: Retail) -> DataFrame:
     """The whole cycle on stored tables: reference load, ingest, fact, tests, checks, log."""
-    house = Warehouse(r.spark, f"{shared_folder(r.spark)}/ordermill/run-{uuid.uuid4().hex}")
+    house = Warehouse(r.spark, scratch_folder(r.spark, "run"))
     calendar = dims.calendar(r.day_span())
     batch.load_reference(house, r.customer_sources(), r.products_erp(), r.products_web(), r.stores(),
                          r.as_of(), calendar)

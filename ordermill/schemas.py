@@ -46,6 +46,9 @@ DIM_CUSTOMER = """customer_key long, golden_id string, email_normalized string,
 DIM_PRODUCT = """product_key long, product_ref string, product_name string, category string,
     price_eur decimal(10,2), stock_qty int, image_object_key string, image_url string"""
 
+DIMENSIONS = {"date": DIM_DATE, "channel": DIM_CHANNEL, "store": DIM_STORE, "customer": DIM_CUSTOMER,
+              "product": DIM_PRODUCT}
+
 FACT_COLUMNS = (
     "order_id", "date_key", "customer_key", "product_key", "store_key", "channel_key",
     "quantity", "unit_price_eur", "amount_eur", "order_timestamp",

@@ -57,17 +57,30 @@ def together(*jobs: Callable[[], T]) -> list[T]:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder below the shared one, deleted when the driver ends."""
+    folder = f"{shared_folder(spark)}/ordermill/{label}-{uuid.uuid4().hex}"
+    fs, path = _hadoop(spark, folder)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return folder
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors. Parquet rather than
     ``checkpoint()`` because the copy keeps column pruning, filter pushdown and
-    true file sizes, from which Spark picks broadcast or shuffle joins.
+    a row count in its footers, by which joins choose to broadcast or shuffle.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/ordermill/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{scratch_folder(df.sparkSession, label)}/rows"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def discard(*frames: DataFrame) -> None:
@@ -77,5 +90,5 @@ def discard(*frames: DataFrame) -> None:
         scratch = f"{shared_folder(spark)}/ordermill/"
         for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
             if scratch in folder:
-                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+                fs, path = _hadoop(spark, folder)
+                fs.delete(path, True)

@@ -22,9 +22,12 @@ class Retail:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = prepare(spark)
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def as_of(self) -> Column:
         """The latest order date stands for today."""
@@ -32,7 +35,7 @@ class Retail:
 
     def order_lines(self) -> DataFrame:
         """One row per order line with the typed fields of its message."""
-        line, order, part = spread(self.table("lineitem"), "l_orderkey"), self.table("orders"), self.table("part")
+        line, order, part = spread(self.table("lineitem")), self.table("orders"), self.table("part")
         rows = line.join(order.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(
             part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")
         )
@@ -163,10 +166,13 @@ class Retail:
         )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share a table of very few files among all cores; larger tables are left as they lie."""
+def spread(df: DataFrame) -> DataFrame:
+    """Share a table of very few files among all cores; larger tables are left as they lie.
+
+    Rows go by the hash of the whole row, so no key can crowd one task.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) * 4 < cores else df
+    return df.repartition(cores, *df.columns) if len(df.inputFiles()) * 4 < cores else df
 
 
 def store_code(key: str) -> Column:

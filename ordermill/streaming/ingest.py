@@ -92,7 +92,7 @@ def accepted_stream(events: DataFrame, late: str = "1 day") -> DataFrame:
     Exact landing is ``start_ingest``.
     """
     judged = rules.judge(parse_events(events))
-    orders = landing.landed_columns(judged).drop("arrival")
+    orders = landing.stamped(landing.accepted_orders(judged))
     return orders.withWatermark("order_timestamp", late).dropDuplicatesWithinWatermark(["order_id"])
 
 

@@ -134,6 +134,19 @@ def test_interrupted_load_is_completed(house, monkeypatch):
     assert ids(house.read("staging", "orders_backlog")) == ["B"]
 
 
+def test_checks_of_a_load_see_repeats_of_earlier_loads(house):
+    run(house, [message()], 0)
+    repeat = ingest.landed_orders(house).drop("batch_id")
+    house.write_slice(repeat, "raw", "streaming_orders", "batch_id", 1)
+    now = F.to_timestamp(F.lit(NOW))
+    for metrics in (batch.checks(house, now, 1, 1), batch.checks(house, now, 1), batch.checks(house, now)):
+        rates = {r["metric_name"]: (r["metric_value"], r["status"]) for r in metrics.collect()}
+        rate, status = rates["streaming_duplicate_order_rate_pct"]
+        assert rate > 0 and status == "ALERT"
+    with pytest.raises(batch.ColumnTestsFailed):  # the doubled order is found by its test first
+        run(house, [message(order_id="Z")], 2, whole_tables=True)
+
+
 def test_failing_column_test_fails_the_run(house, monkeypatch):
     tests = quality.DECLARED_TESTS + (quality.ColumnTest("stg_orders", "store_code", "not_null"),)
     monkeypatch.setattr(quality.run_tests, "__defaults__", (tests,))
