@@ -72,20 +72,20 @@ class Scope:
 
 # Facts first and the dimension last: facts are found through the dimension,
 # so a run that stops half way can be repeated.
-REFERENCE_SCOPE = (
+CORE_SCOPE = (
     Scope("fact_sales"),
     Scope("streaming_orders", "customer_email"),
     Scope("customers_golden", "email_normalized"),
     Scope("dim_customer", "email"),
 )
-FULL_SCOPE = REFERENCE_SCOPE[:2] + (
+FULL_SCOPE = CORE_SCOPE[:2] + (
     Scope("failed_events", "get_json_object(payload, '$.customer_email')"),
     Scope("dead_letters", "get_json_object(value, '$.original.customer_email')"),
     Scope("customers_unified", "email"),
     Scope("customers_crm", "email"),
     Scope("customers_web", "email"),
     Scope("customers_pos", "email"),
-) + REFERENCE_SCOPE[2:]
+) + CORE_SCOPE[2:]
 
 
 @dataclass(frozen=True)
@@ -128,7 +128,7 @@ def without_subjects(tables: dict[str, DataFrame], scope: Scope, found: Subjects
 
 
 def erasure_counts(tables: dict[str, DataFrame], found: Subjects,
-                   scopes: tuple[Scope, ...] = REFERENCE_SCOPE) -> DataFrame:
+                   scopes: tuple[Scope, ...] = CORE_SCOPE) -> DataFrame:
     """Rows to delete per subject and table; every requested subject is listed."""
     present = [s for s in scopes if s.table in tables]
     counted = reduce(DataFrame.unionByName, [
@@ -146,7 +146,7 @@ def erasure_counts(tables: dict[str, DataFrame], found: Subjects,
 
 
 def erase(tables: dict[str, DataFrame], found: Subjects,
-          scopes: tuple[Scope, ...] = REFERENCE_SCOPE) -> dict[str, DataFrame]:
+          scopes: tuple[Scope, ...] = CORE_SCOPE) -> dict[str, DataFrame]:
     """Every table in scope without the subjects, in the order to commit them."""
     return {s.table: without_subjects(tables, s, found) for s in scopes if s.table in tables}
 

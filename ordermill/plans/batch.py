@@ -325,7 +325,7 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     prepare(house.spark)
     requests = materialise(requests.select("customer_email"), "requests")
     tables = personal_tables(house)
-    scopes = privacy.FULL_SCOPE if full else privacy.REFERENCE_SCOPE
+    scopes = privacy.FULL_SCOPE if full else privacy.CORE_SCOPE
     found = privacy.find_subjects(tables["dim_customer"], requests)
     counts = materialise(privacy.erasure_counts(tables, found, scopes), "erasure-counts")
 

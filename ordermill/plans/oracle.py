@@ -515,6 +515,7 @@ ORACLE["fact_from_history"] = sql(f"""
     JOIN dim_store online ON online.store_code = 'ONLINE'
     JOIN dim_channel h ON h.channel_code = o.channel
     WHERE nth = 1""")
+ORACLE["stream_deduplicated"] = sql("SELECT order_id FROM landed")
 ORACLE["stream_landed"] = ORACLE["landed_orders"]
 ORACLE["pipeline_run"] = ORACLE["fact_sales_full"]
 

@@ -41,14 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of its own.
     """
-    configured = spark.conf.get(CHECKPOINT_SETTING, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="ordermill-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="ordermill-"))
+    return context.getCheckpointDir()
 
 
 def together(*jobs: Callable[[], T]) -> list[T]:

@@ -179,7 +179,7 @@ def requests(spark, *addresses):
     return spark.createDataFrame([(a,) for a in addresses], "customer_email string")
 
 
-def test_erasure_reference_scope(house):
+def test_erasure_core_scope(house):
     run(house, [message(), message(order_id="B", customer_email="bob@shop.com"), message(order_id="C", channel="phone")], 0)
     counts = {r["email_normalized"]: r for r in
               batch.erase_subjects(house, requests(house.spark, " ANN@shop.com", "nobody@shop.com")).collect()}

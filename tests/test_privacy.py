@@ -34,7 +34,7 @@ def test_counts_and_erasure_are_the_same_broadcast_or_salted(spark):
     found = privacy.find_subjects(held["dim_customer"], asked(spark, "ANN@X.com ", "ann@x.com", "eve@x.com", None))
     counts = {r["email_normalized"]: r["fact_sales"] for r in privacy.erasure_counts(held, found).collect()}
     assert counts == {"ann@x.com": 300, "eve@x.com": 0}
-    for scope in privacy.REFERENCE_SCOPE:
+    for scope in privacy.CORE_SCOPE:
         plain = privacy.without_subjects(held, scope, found)
         salted = privacy.without_subjects(held, scope, found, broadcast_rows=0, rows_per_salt=10)
         assert plain.count() == salted.count() and plain.exceptAll(salted).count() == 0
