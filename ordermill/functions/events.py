@@ -41,7 +41,8 @@ def parse_events(events: DataFrame) -> DataFrame:
         "topic",
         "arrival",
         "payload",
-        (F.col("payload").isNull() | (F.trim("payload") == "") | F.col("_corrupt").isNotNull()).alias("bad_json"),
+        (F.col("_corrupt").isNotNull() | F.col("payload").isNull()
+         | (F.col("order_id").isNull() & (F.trim("payload") == ""))).alias("bad_json"),
         "order_id",
         "customer_email",
         "channel",

@@ -96,11 +96,14 @@ def dim_store(stores: DataFrame, existing: DataFrame | None = None) -> DataFrame
 
 
 def dim_customer(golden: DataFrame, existing: DataFrame | None = None, loaded_at: Column | None = None) -> DataFrame:
+    """Current customers; one loaded before keeps its key and the time it was first loaded."""
+    now = F.current_timestamp() if loaded_at is None else loaded_at
     loaded = load_members(existing, golden, "email_normalized", "customer_key", CUSTOMER_ATTRIBUTES)
-    return loaded.withColumns({
-        "valid_from": F.current_timestamp() if loaded_at is None else loaded_at,
-        "valid_to": F.lit(None).cast("timestamp"),
-    })
+    since = now
+    if existing is not None:
+        loaded = loaded.join(existing.select("customer_key", F.col("valid_from").alias("_since")), "customer_key", "left")
+        since = F.coalesce(F.col("_since"), now)
+    return loaded.withColumns({"valid_from": since, "valid_to": F.lit(None).cast("timestamp")}).drop("_since")
 
 
 def dim_product(golden: DataFrame, existing: DataFrame | None = None, image_base_url: str = IMAGE_BASE_URL) -> DataFrame:

@@ -72,8 +72,14 @@ def test_reference_load(house):
 
 
 def test_reference_reload_keeps_keys(house, seed):
-    before = {r["email_normalized"]: r["customer_key"] for r in batch.star(house).customer.collect()}
-    after = {r["email_normalized"]: r["customer_key"] for r in batch.load_seed(house, seed, ("web", "pos")).customer.collect()}
+    def members(star):
+        return {r["email_normalized"]: (r["customer_key"], r["valid_from"]) for r in star.customer.collect()}
+
+    before = members(batch.star(house))
+    web = pathlib.Path(seed) / "customers_web.csv"
+    web.write_text(WEB + "W3,new@shop.com,New,Kid,,True,2025-09-13,2026-02-26\n")
+    after = members(batch.load_seed(house, seed, ("web", "pos")))
+    assert after.pop("new@shop.com")[0] == 3
     assert before == after
 
 
