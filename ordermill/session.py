@@ -45,7 +45,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="ordermill-"))
     return context.getCheckpointDir()
