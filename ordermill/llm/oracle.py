@@ -8,7 +8,7 @@ ORACLE["op5_quality_cascade"] = r"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 worded AS (
   SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
   FROM texts
 ),
 runs AS (
@@ -22,7 +22,7 @@ covered AS (
 ),
 counts AS (
   SELECT doc_id, len(w)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
@@ -37,3 +37,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 2 * n_upper > n_letters) AS kept
 FROM judged
 """
+
+ORACLE["op4_seekable_archive"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+),
+grouped AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS keeper FROM payloads)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (('0x' || substr(digest, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM grouped
+"""
+
+ORACLE["op10_snapshot_collapse"] = """
+WITH turns AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS position,
+         count(*) OVER (PARTITION BY conv_id) AS n_turns
+  FROM conversations
+),
+rolled AS (
+  SELECT conv_id, position, n_turns,
+         string_agg(sha256(concat_ws('-', role IS NULL, coalesce(role, ''), text IS NULL, coalesce(text, ''))), '')
+           OVER (PARTITION BY conv_id ORDER BY position) AS prefix
+  FROM turns
+),
+proper AS (SELECT DISTINCT sha256(prefix) AS p FROM rolled WHERE position < n_turns),
+whole AS (SELECT sha256(prefix) AS p, min(conv_id) AS conv_id, count(*) AS n_copies FROM rolled WHERE position = n_turns GROUP BY 1),
+kept AS (SELECT conv_id, n_copies FROM whole WHERE p NOT IN (SELECT p FROM proper))
+SELECT conv_id, ((position - 1) // 256)::INTEGER AS part, max(n_turns)::BIGINT AS n_turns, max(n_copies)::BIGINT AS n_copies,
+       string_agg('<|' || replace(coalesce(role, 'unknown'), '<|', '< |') || '|>' || chr(10) || replace(coalesce(text, ''), '<|', '< |')
+         || chr(10) || '<|end|>' || chr(10), '' ORDER BY position) AS rendered
+FROM turns JOIN kept USING (conv_id) GROUP BY conv_id, part
+"""

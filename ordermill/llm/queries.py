@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import rules, sharding
+from ordermill.llm import archive, chat, rules, sharding
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,17 @@ def op5_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.cascade(docs, measures=True)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select("doc_id", *rules.MEASURES, base_failed.alias("base_failed"), (~base_failed & F.col("kept")).alias("kept"))
+
+
+@query
+def op4_seekable_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to an archive and read back."""
+    folder = archive.archive_folder(spark)
+    index = archive.write(archive.with_roles(table(spark, sf_dir, "pages")), folder)
+    return archive.read(index, folder)
+
+
+@query
+def op10_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every maximal conversation, rendered."""
+    return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
