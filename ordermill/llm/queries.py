@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import archive, chat, rules, sharding
+from ordermill.llm import archive, chat, decontaminate, kneser_ney, mixing, rules, sharding
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,22 @@ def op4_seekable_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every maximal conversation, rendered."""
     return chat.collapse_and_render(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to 95 % of the largest source entropy, at most four times each, as many tokens as there are."""
+    return mixing.schedule(table(spark, sf_dir, "documents"), mixing.Target(entropy_share=0.95, max_repeats=4.0))
+
+
+@query
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they hold a passage of."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document."""
+    model = kneser_ney.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return kneser_ney.judged(model.scores, model.limits)
