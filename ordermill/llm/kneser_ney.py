@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.llm.common import quoted, without
+from ordermill.llm.common import packed, quoted, without
 from ordermill.llm.words import batches as text_batches
 from ordermill.session import materialise, scratch_folder
 
@@ -61,22 +61,6 @@ def sequences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return g[at], first
 
 
-def _pack(docs: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
-    """(id, lang, packed text), a third of the text's size for the way to its label."""
-    rows = docs.select(quoted(doc_id).alias("id"), language(quoted(lang)).alias("lang"), quoted(text).cast("string").alias("text"))
-    kind = dict(rows.dtypes)["id"]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for lo, hi in text_batches(batch.column(2), 8 << 20):
-                part = batch.slice(lo, hi - lo)
-                packed = [press.compress(t.encode("utf-8")) if t else b"" for t in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], names=["id", "lang", "packed"])
-
-    return rows.mapInArrow(run, f"id {kind}, lang string, packed binary")
-
-
 def language(column: Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(NO_LANGUAGE))
 
@@ -88,7 +72,7 @@ def _held_out(doc_id: Column) -> Column:
 def count(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     """(lang, gram, n): every distinct sequence of the corpus, with its count in the trusted text that is not held out."""
     marked = trusted.select(quoted(doc_id).alias("id")).distinct().withColumn("in_training", ~_held_out(F.col("id")))
-    rows = _pack(docs, doc_id, text, lang).join(marked, "id", "left").select("lang", "packed", F.coalesce("in_training", F.lit(False)).alias("in_training"))
+    rows = packed(docs, doc_id, text, language(quoted(lang)).alias("lang")).join(marked, "id", "left").select("lang", "packed", F.coalesce("in_training", F.lit(False)).alias("in_training"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -109,8 +93,8 @@ def count(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str
             for lo, hi in text_batches(batch.column(1), 1 << 20):
                 part = batch.slice(lo, hi - lo).to_pydict()
                 groups: dict[tuple[str, bool], list[bytes]] = {}
-                for name, packed, training in zip(part["lang"], part["packed"], part["in_training"], strict=True):
-                    groups.setdefault((name, training), []).append(packed)
+                for name, text_bytes, training in zip(part["lang"], part["packed"], part["in_training"], strict=True):
+                    groups.setdefault((name, training), []).append(text_bytes)
                 for (name, training), texts in groups.items():
                     add(name, training, texts)
                 while sum(len(k) for k, _ in held.values()) > SHARD_ROWS:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import archive, chat, decontaminate, kneser_ney, mixing, rules, sharding
+from ordermill.llm import archive, chat, decontaminate, kneser_ney, minhash, mixing, rules, sharding
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +69,9 @@ def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perplexity and verdict of every document."""
     model = kneser_ney.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return kneser_ney.judged(model.scores, model.limits)
+
+
+@query
+def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near-duplicates: three-word shingles, similarity of 0.85 or more."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(shingle=3, share=85))
