@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import archive, chat, decontaminate, kneser_ney, minhash, mixing, rules, sharding
+from ordermill.llm import archive, chat, decontaminate, kneser_ney, minhash, mixing, phrases, rules, sharding
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,10 @@ def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near-duplicates: three-word shingles, similarity of 0.85 or more."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(shingle=3, share=85))
+
+
+@query
+def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows of 20 that start earlier in the corpus."""
+    kept = phrases.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
