@@ -71,3 +71,32 @@ SELECT conv_id, ((position - 1) // 256)::INTEGER AS part, max(n_turns)::BIGINT A
          || chr(10) || '<|end|>' || chr(10), '' ORDER BY position) AS rendered
 FROM turns JOIN kept USING (conv_id) GROUP BY conv_id, part
 """
+
+ORACLE["op6_line_runs"] = r"""
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS said FROM documents),
+every AS (SELECT doc_id, unnest(range(1, len(said) + 1)) AS line, unnest(said) AS said FROM texts),
+worded AS (
+  SELECT doc_id, line, said, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS nr
+  FROM every WHERE regexp_matches(said, '[^\x20\x09-\x0D]')
+),
+windows AS (
+  SELECT doc_id, nr, said AS a, lead(said, 1) OVER w AS b, lead(said, 2) OVER w AS c
+  FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY nr)
+),
+later AS (
+  SELECT doc_id, nr FROM (
+    SELECT doc_id, nr, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, nr) AS nth FROM windows WHERE c IS NOT NULL)
+  WHERE nth > 1
+),
+gone AS (
+  SELECT DISTINCT w.doc_id, w.line FROM worded w
+  JOIN (SELECT doc_id, unnest([nr, nr + 1, nr + 2]) AS nr FROM later) USING (doc_id, nr)
+),
+kept AS (
+  SELECT e.doc_id, count(g.line) AS n_removed,
+         coalesce(string_agg(e.said, chr(10) ORDER BY e.line) FILTER (g.line IS NULL), '') AS text
+  FROM every e LEFT JOIN gone g USING (doc_id, line) GROUP BY e.doc_id
+)
+SELECT doc_id, count(nr)::BIGINT AS n_lines, any_value(n_removed)::BIGINT AS n_removed, sha256(any_value(kept.text)) AS kept_sha256
+FROM kept LEFT JOIN worded USING (doc_id) GROUP BY doc_id
+"""

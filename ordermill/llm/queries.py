@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import archive, chat, decontaminate, kneser_ney, minhash, mixing, phrases, rules, sharding
+from ordermill.llm import archive, chat, decontaminate, kneser_ney, lines, minhash, mixing, phrases, rules, sharding
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,10 @@ def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of windows of 20 that start earlier in the corpus."""
     kept = phrases.without_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of three lines or more that occur earlier in the corpus."""
+    kept = lines.without_repeated_runs(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
