@@ -41,6 +41,7 @@ PRIOR_CHARS = 200  # evidence a document is held to have before its first charac
 QUANTILE = 0.99
 SLACK = 2.5  # the threshold lies so many times as far from the median as the quantile
 SHARD_ROWS = 4_000_000
+HELD_ROWS = 1_500_000  # sequences that a task holds while it counts
 NO_LANGUAGE = "\0none"
 TRUST = "quality = 1 AND toxic = 0"
 
@@ -76,29 +77,32 @@ def count(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
-        def out(name: str) -> pa.RecordBatch:
-            keys, n = held.pop(name)
-            return pa.RecordBatch.from_arrays([pa.array([name] * len(keys)), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
+        def merged(name: str) -> tuple[np.ndarray, np.ndarray]:
+            grams, n = (np.concatenate(x) for x in zip(*held[name], strict=True))
+            keys, inverse = np.unique(grams, return_inverse=True)
+            return keys, np.bincount(inverse, n, minlength=len(keys)).astype(np.int64)
 
-        def add(name: str, training: bool, texts: list[bytes]) -> None:
-            grams, times = np.unique(sequences([unpack.decompress(t).decode() if t else "" for t in texts])[0], return_counts=True)
-            old, n = held.get(name, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-            keys, inverse = np.unique(np.concatenate((old, grams)), return_inverse=True)
-            total = np.bincount(inverse, np.concatenate((n, times * training)), minlength=len(keys)).astype(np.int64)
-            held[name] = (keys, total)
+        def out(name: str) -> pa.RecordBatch:
+            keys, n = merged(name)
+            del held[name]
+            return pa.RecordBatch.from_arrays([pa.array([name]).take(pa.array(np.zeros(len(keys), np.int32))), pa.array(keys), pa.array(n)], names=["lang", "gram", "n"])
 
         for batch in batches:
-            for lo, hi in text_batches(batch.column(1), 1 << 20):
+            for lo, hi in text_batches(batch.column(1), 1 << 18):
                 part = batch.slice(lo, hi - lo).to_pydict()
                 groups: dict[tuple[str, bool], list[bytes]] = {}
-                for name, text_bytes, training in zip(part["lang"], part["packed"], part["in_training"], strict=True):
-                    groups.setdefault((name, training), []).append(text_bytes)
+                for name, data, training in zip(part["lang"], part["packed"], part["in_training"], strict=True):
+                    groups.setdefault((name, training), []).append(data)
                 for (name, training), texts in groups.items():
-                    add(name, training, texts)
-                while sum(len(k) for k, _ in held.values()) > SHARD_ROWS:
-                    yield out(max(held, key=lambda x: len(held[x][0])))
+                    grams, n = np.unique(sequences([unpack.decompress(t).decode() if t else "" for t in texts])[0], return_counts=True)
+                    held.setdefault(name, []).append((grams, n * training))
+                if sum(len(k) for parts in held.values() for k, _ in parts) > HELD_ROWS:
+                    for name in held:
+                        held[name] = [merged(name)]
+                    while sum(len(parts[0][0]) for parts in held.values()) > HELD_ROWS // 2:
+                        yield out(max(held, key=lambda x: len(held[x][0][0])))
         while held:
             yield out(next(iter(held)))
 
@@ -169,22 +173,28 @@ def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str) -> Da
 
     def load(shard: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         store, path = fs.FileSystem.from_uri(f"{folder}/shard={shard}")
-        if store.get_file_info(path).type == fs.FileType.NotFound:
-            return {}
-        rows = pq.read_table(path, filesystem=store, columns=["lang", "gram", "logp"], partitioning=None)
-        names = rows["lang"].combine_chunks().dictionary_encode()
-        codes, gram, logp = names.indices.to_numpy(), rows["gram"].to_numpy(), rows["logp"].to_numpy()
+        parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for file in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+            if not file.path.endswith(".parquet"):
+                continue
+            with store.open_input_file(file.path) as source:
+                for batch in pq.ParquetFile(source).iter_batches(1 << 16, columns=["lang", "gram", "logp"], use_threads=False):
+                    names = batch.column(0).dictionary_encode()
+                    codes, gram, logp = names.indices.to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+                    for k, name in enumerate(names.dictionary.to_pylist()):
+                        own = codes == k
+                        parts.setdefault(name, []).append((gram[own], logp[own].astype(np.float32)))
         out = {}
-        for k, name in enumerate(names.dictionary.to_pylist()):
-            own = codes == k
-            order = np.argsort(gram[own])
-            out[name] = (gram[own][order], logp[own][order])
+        for name in list(parts):
+            gram, logp = (np.concatenate(x) for x in zip(*parts.pop(name), strict=True))
+            order = np.argsort(gram)
+            out[name] = (gram[order], logp[order])
         return out
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = load(0) if shards == 1 else None
         for batch in batches:
-            for lo, hi in text_batches(batch.column(at), 2 << 20):
+            for lo, hi in text_batches(batch.column(at), 1 << 20):
                 part = batch.slice(lo, hi - lo)
                 texts, langs = part.column(at).to_pylist(), np.array(part.column(lang_at).to_pylist(), dtype=object)
                 nll, chars = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
@@ -200,7 +210,7 @@ def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str) -> Da
                         keys, logp = model.get(name, (np.zeros(0, np.int64), np.zeros(0)))
                         if len(keys) and len(grams):
                             slot = np.searchsorted(keys, grams).clip(max=len(keys) - 1)
-                            value = np.where(keys[slot] == grams, -logp[slot], 0.0)[inverse]
+                            value = np.where(keys[slot] == grams, -logp[slot].astype(np.float64), 0.0)[inverse]
                             nll[own] += np.diff(np.concatenate(([0.0], np.cumsum(value)))[first])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nll), pa.array(chars)], names=[*columns, "_nll", "_chars"])
 
