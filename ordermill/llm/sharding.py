@@ -76,9 +76,11 @@ def splitters(rows: DataFrame, parts: int, tolerance: float) -> tuple[list[tuple
         F.count("*").alias("n"), F.sum("_size").alias("bytes"), F.min("_key").alias("least"), F.max("_key").alias("most"))
     bins = sorted((r.bin, r.n, r.bytes, r.least, r.most) for r in first.collect())
     total_rows, total = sum(b[1] for b in bins), sum(b[2] for b in bins)
-    targets = {total * k // parts: None for k in range(1, parts)}
+    if not bins:
+        return [], 0, 0
+    targets = {total * k // parts for k in range(1, parts)}
     allowed = tolerance * total / max(parts, 1)
-    level = [(bins, 0, 0, list(targets))]
+    level = [(bins, 0, 0, sorted(targets))]
     found: dict[int, tuple[str, int, int]] = {}
     while level:
         narrower: list[tuple[str, int, int, list[int], str]] = []
@@ -108,7 +110,7 @@ def splitters(rows: DataFrame, parts: int, tolerance: float) -> tuple[list[tuple
             break
         counted = _below(rows, [(p, len(p) + DIGITS) for p, *_ in narrower])
         level = [([b for b in counted if b[0].startswith(p)], n, at, ts) for p, n, at, ts, _ in narrower]
-    return [found[t] for t in sorted(found)], total_rows, total
+    return [found[total * k // parts] for k in range(1, parts)], total_rows, total
 
 
 def shard(docs: DataFrame, shards: int = 16, text: str = "text", doc_id: str = "doc_id", tolerance: float = 0.001,
