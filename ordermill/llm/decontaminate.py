@@ -145,6 +145,8 @@ def search(texts: list[str | None], index: Index) -> tuple[np.ndarray, ...]:
     text = np.searchsorted(offsets, at, "right") - 1
     whole = at + Q <= offsets[text + 1]  # not across two texts
     at, slot, text = at[whole], slot[whole], text[whole]
+    if not len(at):
+        return none
     times = index.first[slot + 1] - index.first[slot]
     posting = np.repeat(index.first[slot], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     window = index.window[posting]
