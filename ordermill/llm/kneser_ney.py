@@ -4,7 +4,7 @@ One model per language is trained on the trusted text: five-character sequences
 task, the counts summed over all tasks, and lower orders follow as continuation counts, all as
 distributed tables. The corpus's own distinct sequences are then joined with these counts, order by order, which
 gives each its probability. The table is dealt into shards by hash; tasks read the shards from the
-shared folder and sum the log probabilities of each whole document. A fifth of the trusted documents is held
+shared folder and sum the log probabilities of each whole document. A third of the trusted documents is held
 out of the counts; its quantiles by language set the threshold.
 
 Characters are code points up to U+0FFF, those beyond share codes, and white space counts as one
@@ -36,10 +36,11 @@ from ordermill.session import materialise, scratch_folder
 
 ORDER = 5
 BITS = 12
-HOLD_OUT = 5  # one of so many trusted documents
+HOLD_OUT = 3  # one of so many trusted documents
+LEAST_HELD_OUT = 100
 PRIOR_CHARS = 200  # evidence a document is held to have before its first character, at its language's mean
 QUANTILE = 0.99
-SLACK = 2.5  # the threshold lies so many times as far from the median as the quantile
+SLACK = 3.0  # the threshold lies so many times as far from the median as the quantile
 SHARD_ROWS = 4_000_000
 HELD_ROWS = 1_500_000  # sequences that a task holds while it counts
 NO_LANGUAGE = "\0none"
@@ -120,7 +121,7 @@ def _discounts(level: DataFrame) -> DataFrame:
         raw = k - (k + 1) * y * F.col(f"n{k + 1}") / F.nullif(F.col(f"n{k}"), F.lit(0.0))
         return F.least(F.greatest(F.coalesce(raw, F.lit(k / 2)), F.lit(0.05)), F.lit(float(k)))
 
-    return of.select("lang", *[d(k).alias(f"d{k}") for k in (1, 2, 3)])
+    return materialise(of.select("lang", *[d(k).alias(f"d{k}") for k in (1, 2, 3)]), "kn-discounts")
 
 
 def probabilities(counts: DataFrame) -> DataFrame:
@@ -217,14 +218,21 @@ def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str) -> Da
     return base.mapInArrow(run, schema)
 
 
-def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
-    """(lang, mean, threshold) from the held-out trusted documents of each language."""
+def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: float = QUANTILE, slack: float = SLACK, least: int = LEAST_HELD_OUT) -> DataFrame:
+    """(lang, mean, threshold) from the held-out trusted documents of each language.
+
+    A language with fewer than ``least`` of them takes the quantiles over all languages, relative to its own mean.
+    """
     own = trusted.select(quoted(doc_id).alias("id")).distinct().filter(_held_out(F.col("id")))
     rows = scored.filter("_chars > 0").join(own, quoted(doc_id) == F.col("id")).select(F.col("_lang").alias("lang"), "_nll", "_chars")
-    mean = rows.groupBy("lang").agg((F.sum("_nll") / F.sum("_chars")).alias("mean"))
-    rated = rows.join(mean, "lang").withColumn("rate", shrunk(F.col("mean")))
-    q = rated.groupBy("lang").agg(F.first("mean").alias("mean"), F.percentile_approx("rate", F.lit([0.5, quantile]), 10_000).alias("q"))
-    return q.select("lang", "mean", (F.col("q")[0] + slack * (F.col("q")[1] - F.col("q")[0])).alias("threshold"))
+    rows = materialise(rows, "kn-held-out")
+    mean = materialise(rows.groupBy("lang").agg((F.sum("_nll") / F.sum("_chars")).alias("mean")), "kn-means")
+    rated = rows.join(mean, "lang").withColumn("rate", shrunk(F.col("mean")) / F.col("mean"))
+    of = F.percentile_approx("rate", F.lit([0.5, quantile]), 10_000)
+    pooled = rated.agg(of).first()[0] or [1.0, 1.0]
+    q = rated.groupBy("lang").agg(F.first("mean").alias("mean"), of.alias("own"), F.count("*").alias("n"))
+    q = q.withColumn("q", F.when(F.col("n") >= least, F.col("own")).otherwise(F.lit(list(map(float, pooled)))))
+    return q.select("lang", "mean", (F.col("mean") * (F.col("q")[0] + slack * (F.col("q")[1] - F.col("q")[0]))).alias("threshold"))
 
 
 def shrunk(mean: Column) -> Column:
