@@ -22,6 +22,17 @@ def parse_timestamp(text: Column) -> Column:
     return F.when(text.rlike(ISO_DATE), text.try_cast("timestamp"))
 
 
+def one_value(text: Column) -> Column:
+    """Whether a text is one whole JSON value and nothing behind it.
+
+    The parser stops at the end of the first value. Put into a list, text that is
+    cut off, goes on or holds a second value gives no list or one of another length.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    first_of_two = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
+    return F.coalesce(alone & first_of_two, F.lit(False))
+
+
 def parse_events(events: DataFrame) -> DataFrame:
     """``(topic, arrival, value)`` to one row per message with typed columns.
 
@@ -41,8 +52,7 @@ def parse_events(events: DataFrame) -> DataFrame:
         "topic",
         "arrival",
         "payload",
-        (F.col("_corrupt").isNotNull() | F.col("payload").isNull()
-         | (F.col("order_id").isNull() & (F.trim("payload") == ""))).alias("bad_json"),
+        (F.col("_corrupt").isNotNull() | ~one_value(F.col("payload"))).alias("bad_json"),
         "order_id",
         "customer_email",
         "channel",

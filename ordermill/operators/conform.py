@@ -87,9 +87,9 @@ def golden_customers(unified: DataFrame, as_of: Column) -> DataFrame:
 
 
 def golden_products(unified: DataFrame) -> DataFrame:
-    """ERP before web, per product reference."""
+    """ERP before web, per product reference; of rows a source repeats, the one that sorts first."""
     kept = unified.filter(F.col("product_ref").isNotNull())
-    order = [F.col("source_priority"), F.col("source_ref")]
+    order = [F.col(c) for c in ("source_priority", "source_ref", "product_name", "category", "price_eur", "stock_qty")]
     columns = [c for c in PRODUCTS_UNIFIED_COLUMNS if c != "product_ref"]
     return _best_row(kept, "product_ref", order, columns).select(
         "product_ref",
@@ -127,17 +127,19 @@ def enrich_golden(golden: DataFrame, landed: DataFrame) -> DataFrame:
 def reconcile_products(erp: DataFrame, web: DataFrame) -> DataFrame:
     """Every reference of either catalogue: where it is listed and how prices differ.
 
-    The web catalogue may list a reference more than once; its range is compared.
+    A catalogue may list a reference more than once; the range on the web is held
+    against the lowest and the highest price of the ERP.
     """
     shop = web.groupBy("product_ref").agg(
         F.count("*").alias("web_rows"), F.min("price_eur").alias("web_min"), F.max("price_eur").alias("web_max")
     )
-    master = erp.select("product_ref", F.col("price_eur").alias("erp_price"), F.lit(True).alias("_in_erp"))
+    master = erp.groupBy("product_ref").agg(
+        F.min("price_eur").alias("erp_price"), F.max("price_eur").alias("_erp_max"), F.lit(True).alias("_in_erp"))
     joined = master.join(shop, "product_ref", "full")
     return joined.select(
         "product_ref",
         F.when(F.col("_in_erp").isNull(), "web_only").when(F.col("web_rows").isNull(), "erp_only")
-        .when((F.col("web_min") != F.col("erp_price")) | (F.col("web_max") != F.col("erp_price")), "price_differs")
+        .when((F.col("web_min") != F.col("erp_price")) | (F.col("web_max") != F.col("_erp_max")), "price_differs")
         .otherwise("same").alias("finding"),
         "erp_price",
         "web_min",

@@ -55,13 +55,22 @@ def missing_members(incoming: DataFrame, existing: DataFrame, key: str) -> DataF
     return incoming.join(existing.select(key), key, "left_anti")
 
 
+def one_per_key(incoming: DataFrame, natural_key: str, attributes: tuple[str, ...]) -> DataFrame:
+    """Of rows that share a natural key, the one whose attributes sort first; rows without key are left out."""
+    kept = incoming.filter(F.col(natural_key).isNotNull()).groupBy(natural_key)
+    return kept.agg(F.min(F.struct(*attributes)).alias("_best")).select(natural_key, "_best.*")
+
+
 def load_members(existing: DataFrame | None, incoming: DataFrame, natural_key: str, key_name: str,
-                 attributes: tuple[str, ...], update: bool = True) -> DataFrame:
+                 attributes: tuple[str, ...], update: bool = True, repeated: bool = True) -> DataFrame:
     """Upsert by natural key; members already there keep their surrogate key.
 
     With ``update`` false, a member already there keeps its attributes too.
+    ``repeated`` false tells that ``incoming`` holds each natural key once.
     """
     columns = [key_name, natural_key, *attributes]
+    if repeated:
+        incoming = one_per_key(incoming, natural_key, attributes)
     if existing is None:
         return assign_keys(incoming.select(natural_key, *attributes), natural_key, key_name).select(*columns)
     kept = existing.select(*columns)
@@ -98,7 +107,8 @@ def dim_store(stores: DataFrame, existing: DataFrame | None = None) -> DataFrame
 def dim_customer(golden: DataFrame, existing: DataFrame | None = None, loaded_at: Column | None = None) -> DataFrame:
     """Current customers; one loaded before keeps its key and the time it was first loaded."""
     now = F.current_timestamp() if loaded_at is None else loaded_at
-    loaded = load_members(existing, golden, "email_normalized", "customer_key", CUSTOMER_ATTRIBUTES)
+    loaded = load_members(existing, golden, "email_normalized", "customer_key", CUSTOMER_ATTRIBUTES,
+                          repeated=False)
     since = now
     if existing is not None:
         loaded = loaded.join(existing.select("customer_key", F.col("valid_from").alias("_since")), "customer_key", "left")
@@ -108,7 +118,7 @@ def dim_customer(golden: DataFrame, existing: DataFrame | None = None, loaded_at
 
 def dim_product(golden: DataFrame, existing: DataFrame | None = None, image_base_url: str = IMAGE_BASE_URL) -> DataFrame:
     with_url = golden.withColumn("image_url", F.concat(F.lit(image_base_url), "image_object_key"))
-    return load_members(existing, with_url, "product_ref", "product_key", PRODUCT_ATTRIBUTES)
+    return load_members(existing, with_url, "product_ref", "product_key", PRODUCT_ATTRIBUTES, repeated=False)
 
 
 def _row_hash(attributes: tuple[str, ...]) -> Column:

@@ -5,25 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordermill.session import materialise
+
 # A lookup side carries a natural key of at most 255 characters and a long.
 BROADCAST_ROWS = 200_000
 ROWS_PER_SALT = 1_000_000
-MAX_HOT_KEYS = 1_000
 
 
-def hot_keys(rows: DataFrame, key: str, rows_per_salt: int = ROWS_PER_SALT,
-             max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys with more rows than one task should get, and how many parts to cut them into.
+def hot_keys(rows: DataFrame, key: str, rows_per_salt: float = ROWS_PER_SALT) -> DataFrame:
+    """All keys with more rows than one task should get, and how many parts to cut them into.
 
-    At most ``max_keys`` rows; keys beyond that are still joined, in one part.
+    There are at most as many as ``rows`` divided by ``rows_per_salt``.
     """
     return (
         rows.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > rows_per_salt)
-        .orderBy(F.desc("_rows"), key)
-        .limit(max_keys)
         .select(key, F.ceil(F.col("_rows") / rows_per_salt).cast("int").alias("_parts"))
     )
 
@@ -37,7 +35,7 @@ def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: Column, cou
     lookups ``rows`` went through already.
 
     ``members`` is counted first (a footer read for a stored table). Few enough
-    are broadcast. Otherwise the join shuffles, with every hot key cut into
+    are broadcast, which ``broadcast_rows`` bounds and 0 rules out. Otherwise the join shuffles, with every hot key cut into
     parts: rows take a part by the hash of ``spread_on``, a column that differs
     from row to row, and members of a hot key are repeated once per part. Rows without key match nothing and are spread
     over all tasks. No row is dropped on either path.
@@ -45,7 +43,9 @@ def lookup(rows: DataFrame, members: DataFrame, key: str, spread_on: Column, cou
     if members.count() <= broadcast_rows:
         return rows.join(F.broadcast(members), key, "left")
 
-    hot = F.broadcast(hot_keys(counted, key, rows_per_salt))
+    hot = materialise(hot_keys(counted, key, rows_per_salt), "hot-keys")
+    if hot.count() <= BROADCAST_ROWS:
+        hot = F.broadcast(hot)
     spread = F.xxhash64(spread_on)
     part = F.when(F.col(key).isNull(), F.pmod(spread, F.lit(1 << 20))).otherwise(
         F.pmod(spread, F.coalesce(F.col("_parts"), F.lit(1)))

@@ -54,7 +54,7 @@ def duplicate_rate(landed: DataFrame, first_seen: DataFrame | None = None) -> Da
 def orphan_rate(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Fact rows without product, summed up per product key before the join."""
     sold = fact.groupBy("product_key").agg(F.count("*").alias("_rows"))
-    known = dim_product.select("product_key", F.lit(True).alias("_known"))
+    known = dim_product.select("product_key").distinct().withColumn("_known", F.lit(True))
     orphans = F.sum(F.when(F.col("_known").isNull(), F.col("_rows")).otherwise(0))
     return _metric(sold.join(known, "product_key", "left"), "fact_sales_orphan_product_rate_pct",
                    percent(orphans, F.sum("_rows")))

@@ -15,12 +15,13 @@ sent AS (
   SELECT {ARRIVAL},
     CASE WHEN kind = 2 THEN 'orders.pos' ELSE 'orders.web' END AS topic,
     CASE WHEN kind = 2 THEN 'POS-' ELSE 'WEB-' END || l_orderkey || '-' || l_linenumber AS order_id,
-    CASE WHEN l_partkey % 53 = 0 THEN 'not-an-email' WHEN l_partkey % 59 = 0 THEN NULL
+    CASE WHEN l_partkey % 53 = 0 THEN 'not-an-email' WHEN l_partkey % 83 = 0 THEN 'Stranger@Email.com'
+         WHEN l_partkey % 59 = 0 THEN NULL
          ELSE 'Customer' || o_custkey || '@Email.com' END AS customer_email,
     CASE WHEN l_partkey % 61 = 0 THEN 'phone' WHEN kind = 0 THEN 'web' WHEN kind = 1 THEN 'app'
          ELSE 'store' END AS channel,
-    CASE WHEN kind = 2 AND l_suppkey % 47 <> 0 THEN 'S' || lpad(CAST(l_suppkey AS VARCHAR), 4, '0') END AS store_code,
-    CASE WHEN l_partkey % 67 = 0 THEN 'WEB-' || l_partkey
+    CASE WHEN kind = 2 AND l_suppkey % 47 <> 0 THEN 'S' || lpad(CAST(l_suppkey AS VARCHAR), greatest(4, length(CAST(l_suppkey AS VARCHAR)))::INTEGER, '0') END AS store_code,
+    CASE WHEN l_partkey % 67 = 0 THEN 'WEB-' || l_partkey WHEN l_partkey % 79 = 0 THEN 'UC-ZZ-999'
          ELSE 'UC-' || upper(left(p_type, 2)) || '-' || lpad(CAST(l_partkey % 1000 AS VARCHAR), 3, '0') END AS product_ref,
     CAST(CASE WHEN l_partkey % 71 = 0 THEN 0 ELSE units END AS INTEGER) AS quantity,
     line_cents // units AS unit_price_cents,
@@ -65,14 +66,14 @@ people AS (
     FROM orders GROUP BY o_custkey) ON c_custkey = o_custkey),
 known AS (
   SELECT c_custkey AS k, c_name AS first_name, c_mktsegment AS last_name,
-         '+33' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') AS phone, c_acctbal > 0 AS consent_marketing,
+         '+33' || lpad(CAST(c_custkey AS VARCHAR), greatest(9, length(CAST(c_custkey AS VARCHAR)))::INTEGER, '0') AS phone, c_acctbal > 0 AS consent_marketing,
          first_order AS consent_date, last_order FROM people),
 unified AS (
   SELECT 'CRM-' || k AS source_id, 'crm' AS source_system, 'customer' || k || '@email.com' AS email,
          first_name, last_name, phone, consent_marketing, consent_date,
          CASE WHEN k % 11 <> 0 THEN last_order - CAST(k % 7 AS INTEGER) END AS last_activity,
          CAST(NULL AS VARCHAR) AS store_code, 1 AS source_priority
-  FROM known WHERE k % 2 = 0
+  FROM known WHERE k % 2 = 0 OR (k % 3 <> 0 AND k % 5 > 1)
   UNION ALL
   SELECT 'WEB-' || k, 'web',
          CASE WHEN k % 10 = 9 THEN ' Customer' || k || '@EMAIL.com ' ELSE 'Customer' || k || '@EMAIL.com' END,
@@ -102,14 +103,13 @@ refs AS (
 erp AS (
   SELECT ref AS product_ref, p_name AS product_name, p_brand AS category,
          CAST(round(p_retailprice * 100) AS BIGINT) AS price_cents, p_size AS stock_qty
-  FROM (SELECT *, row_number() OVER (PARTITION BY ref ORDER BY p_partkey) AS nth FROM refs WHERE p_partkey % 4 <> 0)
-  WHERE nth = 1),
+  FROM refs WHERE p_partkey % 4 <> 0),
 shop AS (
   SELECT 'SKU-' || p_partkey AS web_sku,
          CASE WHEN p_partkey % 21 = 0 THEN 'WEB-' || p_partkey ELSE ref END AS product_ref,
          p_name || ' (web)' AS product_name, p_brand AS category,
          CAST(round(p_retailprice * 1.05::DOUBLE * 100) AS BIGINT) AS price_cents
-  FROM refs WHERE p_partkey % 3 = 0),
+  FROM refs WHERE p_partkey % 3 = 0 OR p_partkey % 4 = 0),
 products AS (
   SELECT product_ref AS source_ref, 'erp' AS source_system, product_ref, product_name, category, price_cents,
          stock_qty, 1 AS source_priority FROM erp
@@ -118,17 +118,17 @@ products AS (
 golden_products AS (
   SELECT product_ref, product_name, category, price_cents, stock_qty, product_ref || '.jpg' AS image_object_key,
          source_system
-  FROM (SELECT *, row_number() OVER (PARTITION BY product_ref ORDER BY source_priority, source_ref) AS nth FROM products
+  FROM (SELECT *, row_number() OVER (PARTITION BY product_ref ORDER BY source_priority, source_ref, product_name, category,
+                                                       price_cents, stock_qty) AS nth FROM products
         WHERE product_ref IS NOT NULL)
   WHERE nth = 1),
 dim_product AS (
   SELECT row_number() OVER (ORDER BY md5(product_ref), product_ref) AS product_key, golden_products.*
   FROM golden_products),
 stores AS (
-  SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), 4, '0') AS store_code, s_name AS store_name, n_name AS city,
+  SELECT 'S' || lpad(CAST(s_suppkey AS VARCHAR), greatest(4, length(CAST(s_suppkey AS VARCHAR)))::INTEGER, '0') AS store_code, s_name AS store_name, n_name AS city,
          r_name AS region, s_acctbal
-  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
-  WHERE s_suppkey % 9 <> 0),
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey),
 store_members AS (
   SELECT store_code, store_name, city, region, s_acctbal FROM stores
   UNION ALL SELECT 'ONLINE', 'En ligne', 'Paris', 'National', 1.0),
@@ -234,7 +234,8 @@ faulty AS (
     || ',"order_timestamp":' || CASE WHEN event_type = 'signup' AND event_id % 2 = 0 THEN '"not a date"'
          WHEN event_type = 'signup' AND event_id % 3 = 0 THEN '"2024-13-45T00:00:00Z"'
          ELSE '"2024-01-31T10:00:00+02:00"' END
-    || ',"props":' || props || CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN '' ELSE '}' END AS payload
+    || ',"props":' || props || CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN '' ELSE '}' END
+    || CASE event_id % 11 WHEN 3 THEN ' trailing' WHEN 4 THEN '{"order_id":"second"}' ELSE '' END AS payload
   FROM raw_events),
 fields AS (
   SELECT event_id, payload, json_valid(payload) AS good,
@@ -301,7 +302,8 @@ ORACLE: dict[str, str] = {
     "dim_store_upsert": sql("""
         SELECT CASE WHEN s_acctbal > 0 THEN 0 ELSE (SELECT count(*) FROM store_members WHERE s_acctbal > 0) END
                  + row_number() OVER (PARTITION BY s_acctbal > 0 ORDER BY md5(store_code)) AS store_key,
-               store_code, store_name, city, region FROM store_members"""),
+               store_code, CASE WHEN s_acctbal > 5000 THEN 'Copy of ' ELSE '' END || store_name AS store_name, city, region
+        FROM store_members"""),
     "dim_customer": sql("""
         SELECT customer_key, golden_id, email_normalized, email, first_name, last_name, phone, consent_marketing,
                CAST(consent_date AS VARCHAR) AS consent_date, CAST(CAST(last_activity AS DATE) AS VARCHAR) AS last_activity,
@@ -319,10 +321,11 @@ ORACLE: dict[str, str] = {
                  count(*) AS order_count FROM landed GROUP BY 1) USING (email_normalized)"""),
     "price_reconcile": sql("""
         SELECT product_ref, CASE WHEN e.price_cents IS NULL THEN 'web_only' WHEN web_rows IS NULL THEN 'erp_only'
-                 WHEN web_min_cents <> e.price_cents OR web_max_cents <> e.price_cents THEN 'price_differs'
+                 WHEN web_min_cents <> e.price_cents OR web_max_cents <> erp_max THEN 'price_differs'
                  ELSE 'same' END AS finding,
                e.price_cents AS erp_price_cents, web_min_cents, web_max_cents, coalesce(web_rows, 0) AS web_rows
-        FROM erp e FULL JOIN (SELECT product_ref, count(*) AS web_rows, min(price_cents) AS web_min_cents,
+        FROM (SELECT product_ref, min(price_cents) AS price_cents, max(price_cents) AS erp_max FROM erp GROUP BY 1) e
+             FULL JOIN (SELECT product_ref, count(*) AS web_rows, min(price_cents) AS web_min_cents,
                                      max(price_cents) AS web_max_cents FROM shop GROUP BY 1) USING (product_ref)"""),
     "price_variance": sql("""
         SELECT product_ref, p.price_cents, count(*) AS orders,
@@ -386,7 +389,7 @@ ORACLE: dict[str, str] = {
           UNION ALL
           SELECT 'fact_sales_orphan_product_rate_pct',
                  {rounded_percent("count(*) FILTER (WHERE e.product_ref IS NULL)", "count(*)")}, 0.0
-          FROM fact LEFT JOIN erp e ON e.product_ref = fact.product_ref)"""),
+          FROM fact LEFT JOIN (SELECT DISTINCT product_ref FROM erp) e ON e.product_ref = fact.product_ref)"""),
     "dq_status": sql("""
         SELECT CASE WHEN count(*) > 5 THEN 'ALERT' ELSE 'OK' END AS dq_status,
                CASE WHEN count(*) > 5 THEN 'ALERT' ELSE 'OK' END AS run_status
@@ -518,6 +521,7 @@ ORACLE["fact_from_history"] = sql(f"""
 ORACLE["stream_deduplicated"] = sql("SELECT order_id FROM landed")
 ORACLE["stream_landed"] = ORACLE["landed_orders"]
 ORACLE["pipeline_run"] = ORACLE["fact_sales_full"]
+ORACLE["fact_sales_skewed"] = ORACLE["fact_sales_full"]
 
 ERASED = """
 erased_rows AS (

@@ -155,6 +155,7 @@ def faulty_messages(r: Retail) -> DataFrame:
         F.lit(',"unit_price_eur":'), money("cents"), F.lit(',"amount_eur":'), amount,
         F.lit(',"order_timestamp":'), when, F.lit(',"props":'), F.col("props"),
         F.when((kind == "error") & (n % 2 == 0), "").otherwise("}"),
+        F.when(n % 11 == 3, " trailing").when(n % 11 == 4, '{"order_id":"second"}').otherwise(""),
     )
     return e.select(F.lit("orders.web").alias("topic"), F.struct("ts", "event_id").alias("arrival"),
                     text.alias("value"))
@@ -268,10 +269,11 @@ def dim_channel(r: Retail) -> DataFrame:
 
 @query
 def dim_store_upsert(r: Retail) -> DataFrame:
-    """Stores in credit were loaded before under an older name; now all are loaded."""
-    older = r.stores("s_suppkey % 9 <> 0 and s_acctbal > 0").withColumn(
-        "store_name", F.concat(F.lit("Old "), "store_name"))
-    return dims.dim_store(r.stores(), materialise(dims.dim_store(older), "dim-store"))
+    """Stores in credit were loaded before under an older name; now all are loaded, some codes twice."""
+    older = r.stores("s_acctbal > 0").withColumn("store_name", F.concat(F.lit("Old "), "store_name"))
+    copies = r.stores("s_acctbal > 5000").withColumn("store_name", F.concat(F.lit("Copy of "), "store_name"))
+    now = r.stores().unionByName(copies)
+    return dims.dim_store(now, materialise(dims.dim_store(older.unionByName(older)), "dim-store"))
 
 
 @query
@@ -343,6 +345,13 @@ def fact_sales_full(r: Retail) -> DataFrame:
     return fact_view(facts.build_fact(*stored_orders(r)))
 
 
+@query
+def fact_sales_skewed(r: Retail) -> DataFrame:
+    """The full fact with no dimension broadcast, and every busy key cut into parts."""
+    orders, star = stored_orders(r)
+    return fact_view(facts.build_fact(orders, star, broadcast_rows=0, rows_per_salt=50))
+
+
 @query
 def fact_sales_incremental(r: Retail) -> DataFrame:
     """New fact rows when everything up to two years before the end is loaded already."""

@@ -35,7 +35,7 @@ class Retail:
 
     def order_lines(self) -> DataFrame:
         """One row per order line with the typed fields of its message."""
-        line, order, part = spread(self.table("lineitem")), self.table("orders"), self.table("part")
+        line, order, part = self.table("lineitem"), self.table("orders"), self.table("part")
         rows = line.join(order.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(
             part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey")
         )
@@ -53,13 +53,13 @@ class Retail:
             F.struct(*LINE_COLUMNS).alias("arrival"),
             F.concat(F.when(F.col("kind") == 2, "POS-").otherwise("WEB-"), F.col("l_orderkey"), F.lit("-"),
                      F.col("l_linenumber")).alias("order_id"),
-            F.when(every(53), "not-an-email")
+            F.when(every(53), "not-an-email").when(every(83), "Stranger@Email.com")
             .when(~every(59), F.concat(F.lit("Customer"), F.col("o_custkey"), F.lit("@Email.com")))
             .alias("customer_email"),
             F.when(every(61), "phone").when(F.col("kind") == 0, "web").when(F.col("kind") == 1, "app")
             .otherwise("store").alias("channel"),
             F.when((F.col("kind") == 2) & ~every(47, "l_suppkey"), store_code("l_suppkey")).alias("store_code"),
-            F.when(every(67), F.concat(F.lit("WEB-"), F.col("l_partkey")))
+            F.when(every(67), F.concat(F.lit("WEB-"), F.col("l_partkey"))).when(every(79), "UC-ZZ-999")
             .otherwise(product_ref("l_partkey")).alias("product_ref"),
             F.when(every(71), 0).otherwise(F.col("units")).cast("int").alias("quantity"),
             (F.col("unit_cents") / 100).alias("unit_price_eur"),
@@ -82,7 +82,7 @@ class Retail:
         return self.table("customer").join(seen, "c_custkey", "left")
 
     def customer_sources(self) -> dict[str, DataFrame]:
-        """CRM, web and pos customers, overlapping by key."""
+        """CRM, web and pos customers, overlapping by key; every customer is in one at least."""
         people, key = self.customer_activity(), F.col("c_custkey")
 
         def source(tag: str, kept: str, email: Column, last_activity: Column, **more: Column) -> DataFrame:
@@ -91,7 +91,7 @@ class Retail:
                 email.alias("email"),
                 F.col("c_name").alias("first_name"),
                 F.col("c_mktsegment").alias("last_name"),
-                F.concat(F.lit("+33"), F.lpad(key.cast("string"), 9, "0")).alias("phone"),
+                F.concat(F.lit("+33"), padded("c_custkey", 9)).alias("phone"),
                 (F.col("c_acctbal") > 0).alias("consent_marketing"),
                 F.col("first_order").alias("consent_date"),
                 last_activity.alias("last_activity"),
@@ -101,7 +101,7 @@ class Retail:
         days = F.col("last_order")
         web_email = F.concat(F.lit("Customer"), key, F.lit("@EMAIL.com"))
         return {
-            "crm": source("CRM", "c_custkey % 2 = 0", F.concat(F.lit("customer"), key, F.lit("@email.com")),
+            "crm": source("CRM", "c_custkey % 2 = 0 or (c_custkey % 3 <> 0 and c_custkey % 5 > 1)", F.concat(F.lit("customer"), key, F.lit("@email.com")),
                           F.when(F.expr("c_custkey % 11 <> 0"), F.date_sub(days, F.expr("cast(c_custkey % 7 as int)")))),
             "web": source("WEB", "c_custkey % 3 = 0",
                           F.when(F.expr("c_custkey % 10 = 9"), F.concat(F.lit(" "), web_email, F.lit(" ")))
@@ -110,25 +110,22 @@ class Retail:
             "pos": source("POS", "c_custkey % 5 <= 1",
                           F.when(F.expr("c_custkey % 97 = 0"), F.lit(None)).when(F.expr("c_custkey % 89 = 0"), F.lit(""))
                           .otherwise(F.concat(F.lit("CUSTOMER"), key, F.lit("@email.com"))),
-                          days, store_code=F.concat(F.lit("S"), F.lpad(F.expr("cast(c_custkey % 10 as string)"), 4, "0"))),
+                          days, store_code=F.concat(F.lit("S"), padded("c_custkey % 10", 4))),
         }
 
     def products_erp(self) -> DataFrame:
-        """One row per reference: the part with the lowest key."""
-        parts = self.table("part").filter("p_partkey % 4 <> 0").withColumn("product_ref", product_ref("p_partkey"))
-        lowest = parts.groupBy("product_ref").agg(
-            F.min_by(F.struct("p_name", "p_brand", "p_retailprice", "p_size"), "p_partkey").alias("p")
-        )
-        return lowest.select(
-            "product_ref",
-            F.col("p.p_name").alias("product_name"),
-            F.col("p.p_brand").alias("category"),
-            price(F.col("p.p_retailprice")).alias("price_eur"),
-            F.col("p.p_size").alias("stock_qty"),
+        """Three of four parts. Parts that share a reference are rows of their own; golden records choose."""
+        return self.table("part").filter("p_partkey % 4 <> 0").select(
+            product_ref("p_partkey").alias("product_ref"),
+            F.col("p_name").alias("product_name"),
+            F.col("p_brand").alias("category"),
+            price(F.col("p_retailprice")).alias("price_eur"),
+            F.col("p_size").alias("stock_qty"),
         )
 
     def products_web(self) -> DataFrame:
-        return self.table("part").filter("p_partkey % 3 = 0").select(
+        """Every third part, and those that are not in the ERP."""
+        return self.table("part").filter("p_partkey % 3 = 0 or p_partkey % 4 = 0").select(
             F.concat(F.lit("SKU-"), "p_partkey").alias("web_sku"),
             F.when(F.expr("p_partkey % 21 = 0"), F.concat(F.lit("WEB-"), "p_partkey"))
             .otherwise(product_ref("p_partkey")).alias("product_ref"),
@@ -137,7 +134,7 @@ class Retail:
             price(F.col("p_retailprice") * 1.05).alias("price_eur"),
         )
 
-    def stores(self, kept: str = "s_suppkey % 9 <> 0") -> DataFrame:
+    def stores(self, kept: str = "true") -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
         place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
         return self.table("supplier").filter(kept).join(
@@ -166,20 +163,17 @@ class Retail:
         )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share a table of very few files among all cores; larger tables are left as they lie.
-
-    Rows go by the hash of the whole row, so no key can crowd one task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if len(df.inputFiles()) * 4 < cores else df
+def padded(key: str, width: int) -> Column:
+    """A number with leading zeros up to ``width`` digits; longer ones stay whole."""
+    return F.expr(f"lpad(string({key}), greatest({width}, length(string({key}))), '0')")
 
 
 def store_code(key: str) -> Column:
-    return F.concat(F.lit("S"), F.lpad(F.col(key).cast("string"), 4, "0"))
+    return F.concat(F.lit("S"), padded(key, 4))
 
 
 def product_ref(key: str) -> Column:
+    """The rules ask for two letters and three digits, so references are few by design and parts share them."""
     return F.concat(F.lit("UC-"), F.upper(F.left("p_type", F.lit(2))), F.lit("-"),
                     F.lpad(F.expr(f"cast({key} % 1000 as string)"), 3, "0"))
 
