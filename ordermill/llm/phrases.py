@@ -25,6 +25,7 @@ nobody's words a repeat; an empty table gives an empty result; extra columns are
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from ordermill.llm.common import packed, quoted
 from ordermill.llm.minhash import whole_groups
 from ordermill.llm.words import batches as text_batches
-from ordermill.llm.words import mixed, runs, split
+from ordermill.llm.words import BLANK, Words, mixed, runs, split
 from ordermill.session import materialise
 
 SPAN = 20
@@ -106,43 +107,56 @@ def stretches(docs: DataFrame, doc_id: str, text: str, known, hot, span: int, an
                 w, h, doc, own, n = anchors(batch.column(1).slice(lo, hi - lo), span, anchor)
                 keep = _set(known.value, h)
                 h, doc, own, n = h[keep], doc[keep], own[keep], n[keep]
-                common = _set(hot.value, h)  # their windows go one by one
-                times = np.where(common, n, 1)
-                step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                h, doc, own, n, one = (np.repeat(x, times) for x in (h, doc, own, n, common))
-                own, n = own + step, np.where(one, 1, n)
-                ids = batch.column(0).slice(lo, hi - lo).to_pylist()
-                begin = w.first[doc] + own
-                from_byte, to_byte = w.start[begin], w.end[begin + n + span - 2]
-                first: dict[bytes, int] = {}
-                key, covers, raw = h.copy(), [], [b""] * len(h)
-                for k, (x, y) in enumerate(zip(from_byte.tolist(), to_byte.tolist(), strict=True)):
-                    said = b" ".join(w.data[x:y].tobytes().split())
-                    raw[k] = said
-                    old = first.setdefault(said, k)
-                    if old != k:
-                        now, then = (ids[doc[k]], own[k]), (ids[doc[old]], own[old])
-                        if now < then:
-                            first[said] = k
-                            covers.append(old)
-                        else:
-                            covers.append(k)
-                # Two texts of one id may hold the same window at the same place: neither is later.
-                late = np.array([k for k in covers if (ids[doc[k]], own[k]) != (ids[doc[first[raw[k]]]], own[first[raw[k]]])], np.int64)
-                sent = np.array(sorted(first.values()), np.int64)
-                spread = mixed(key + (own.astype(np.uint64) * np.uint64(3)))
-                for k in np.flatnonzero(one[sent]):
-                    key[sent[k]] = np.uint64(hash_words(raw[sent[k]]))
-                rows_out = np.concatenate((sent, late))
+                ids = batch.column(0).slice(lo, hi - lo)
+                names = ids.to_pylist()
+                said = _stretch_texts(w, w.first[doc] + own, n + span - 1)
+                first, late = _firsts(said, [(names[d], k) for d, k in zip(doc.tolist(), own.tolist(), strict=True)])
+                common = _set(hot.value, h)
+                plain = [k for k in first if not common[k]]
+                out = [(h[plain], doc[plain], own[plain], n[plain], [said[k] for k in plain])]
+                out.append((mixed(h[late] + own[late].astype(np.uint64)), doc[late], own[late], n[late] + span - 1, [None] * len(late)))
+                split_up = [k for k in first if common[k]]
+                if split_up:  # windows of common anchors go one by one
+                    times = n[split_up]
+                    d, k0 = np.repeat(doc[split_up], times), np.repeat(own[split_up], times)
+                    k0 = k0 + np.arange(len(k0)) - np.repeat(np.cumsum(times) - times, times)
+                    said = _stretch_texts(w, w.first[d] + k0, np.full(len(d), span))
+                    first, late = _firsts(said, [(names[x], k) for x, k in zip(d.tolist(), k0.tolist(), strict=True)])
+                    key = np.array([hash_words(said[k]) for k in first], np.uint64)
+                    out.append((key, d[first], k0[first], np.ones(len(first), np.int64), [said[k] for k in first]))
+                    out.append((mixed(k0[late].astype(np.uint64)), d[late], k0[late], np.full(len(late), span), [None] * len(late)))
+                key, d, k0, times = (np.concatenate(x) for x in list(zip(*out, strict=True))[:4])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate((key[sent], spread[late])).view(np.int64)),
-                    batch.column(0).slice(lo, hi - lo).take(pa.array(doc[rows_out])), pa.array(own[rows_out], pa.int32()),
-                    pa.array(np.concatenate((n[sent], n[late] + span - 1)), pa.int32()),
-                    pa.array([raw[k] for k in sent] + [None] * len(late), pa.binary())], names=["key", "id", "start", "n", "words"])
+                    pa.array(key.view(np.int64)), ids.take(pa.array(d)), pa.array(k0, pa.int32()), pa.array(times, pa.int32()),
+                    pa.array([x for part in out for x in part[4]], pa.binary())], names=["key", "id", "start", "n", "words"])
 
     return rows.mapInArrow(run, f"key long, id {kind}, start int, n int, words binary")
 
 
+def _stretch_texts(w: Words, begin: np.ndarray, length: np.ndarray) -> list[bytes]:
+    """The words from each index on, joined by one space."""
+    data = np.where(BLANK[w.data], np.uint8(0x20), w.data).tobytes()
+    wide = np.concatenate(([0], np.cumsum(w.start[1:] - w.end[:-1] > 1)))  # gaps of more than one blank ahead of each word
+    last = begin + length - 1
+    ragged = (wide[last] > wide[begin]).tolist()
+    out = [data[x:y] for x, y in zip(w.start[begin].tolist(), w.end[last].tolist(), strict=True)]
+    for k in [k for k, r in enumerate(ragged) if r]:
+        out[k] = b" ".join(out[k].split())
+    return out
+
+
+def _firsts(said: list, places: list[tuple]) -> tuple[list[int], list[int]]:
+    """(for each distinct text the position with the least place, all others that lie behind theirs)."""
+    first: dict = {}
+    for k, text in enumerate(said):
+        old = first.setdefault(text, k)
+        if places[k] < places[old]:
+            first[text] = k
+    # Two texts of one id may hold the same words at the same place: neither is later.
+    late = [k for k, text in enumerate(said) if places[k] > places[first[text]]]
+    return list(first.values()), late
+
+
 def hash_words(said: bytes) -> int:
     w = split(pa.array([said], pa.binary()))
     return int(runs(w, w.hashes(), len(w.start))[0][0])
@@ -190,14 +204,16 @@ def locate(sent: DataFrame, span: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 1, 1 << 12):
             out, rows = [], []
-            key = table.column(0).to_pylist()
-            data = list(zip(key, *(table.column(k).to_pylist() for k in range(1, 5)), strict=True))
-            for k, row in enumerate(data):
-                if row[4] is None:
-                    out.append(row[1:4])
-                    continue
-                alone = not ((k and key[k - 1] == row[0]) or (k + 1 < len(key) and key[k + 1] == row[0]))
-                if alone:  # no other stretch has this anchor
+            data = list(zip(*(c.to_pylist() for c in table.columns), strict=True))
+            out += [row[1:4] for row in data if row[4] is None]
+            sent = [row for row in data if row[4] is not None]
+            # Equal stretches of a shard differ in their place only: the first stands for them.
+            first, late = _firsts([(row[0], row[4]) for row in sent], [row[1:3] for row in sent])
+            out += [(sent[k][1], sent[k][2], sent[k][3] + span - 1) for k in late]
+            distinct = [sent[k] for k in first]
+            shared = Counter(row[0] for row in distinct)
+            for row in distinct:
+                if shared[row[0]] == 1:  # no other words have this anchor
                     continue
                 if len(rows) >= AUTOMATON_STRETCHES and rows[-1][0] != row[0]:
                     out += compiled(rows)
