@@ -27,7 +27,10 @@ def one_value(text: Column) -> Column:
 
     The parser stops at the end of the first value. Put into a list, text that is
     cut off, goes on or holds a second value gives no list or one of another length.
+    Numbers that are none (NaN, Infinity) are left to the rules, so zeros stand for them here.
     """
+    odd = text.contains("NaN") | text.contains("Infinity")
+    text = F.when(odd, F.regexp_replace(text, r"([:\[,]\s*)(?:NaN|-?Infinity)(?=\s*[,}\]])", "$10")).otherwise(text)
     alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
     first_of_two = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]"))) == 2
     return F.coalesce(alone & first_of_two, F.lit(False))

@@ -9,10 +9,6 @@ from ordermill.functions.text import digest
 from ordermill.operators.rules import MONEY, accepted, error_message, rejected
 from ordermill.schemas import LANDED_COLUMNS
 
-# Order ids are at most 50 characters, so this many of them stay below 16 MB.
-BROADCAST_IDS = 200_000
-
-
 def first_per_order(events: DataFrame) -> DataFrame:
     """The earliest arrival of each order.
 
@@ -58,19 +54,13 @@ def land(judged: DataFrame, consumed_at: Column | None = None) -> DataFrame:
     return stamped(first_per_order(accepted_orders(judged)), consumed_at)
 
 
-def not_yet_landed(batch: DataFrame, landed_ids: DataFrame, batch_rows: int | None = None,
-                   broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+def not_yet_landed(batch: DataFrame, landed_ids: DataFrame) -> DataFrame:
     """Rows of the batch whose order has not landed before.
 
-    A micro-batch of known, small size is broadcast against the scan of landed
-    ids, so the history is read in one column and never shuffled. A larger or
-    uncounted batch takes the plain anti-join.
+    Landed ids lie in buckets by order id, so the batch alone is shuffled and
+    meets the history bucket by bucket, whatever the size of either.
     """
-    ids = landed_ids.select("order_id")
-    if batch_rows is not None and batch_rows <= broadcast_ids:
-        seen = ids.join(F.broadcast(batch.select("order_id")), "order_id", "left_semi")
-        return batch.join(F.broadcast(seen.distinct()), "order_id", "left_anti")
-    return batch.join(ids, "order_id", "left_anti")
+    return batch.join(landed_ids.select("order_id"), "order_id", "left_anti")
 
 
 def failed_events(judged: DataFrame, failed_at: Column | None = None) -> DataFrame:

@@ -119,24 +119,24 @@ def event_rate(events: DataFrame, ts: str, series: str, span: int = RATE_SECONDS
 
 def counter_rate(samples: DataFrame, ts: str, series: str, value: str, order: str, span: int = RATE_SECONDS,
                  scrape: int = SCRAPE_SECONDS) -> DataFrame:
-    """Increase per second of a counter in each ``span``; a drop is a restart from zero.
+    """Increase per second of a counter over the last ``span`` seconds, at every scrape; a drop is a restart from zero.
 
-    The last reading of every scrape interval is the sample, so a series has at
-    most ``span / scrape`` samples per window however many readings arrive.
+    The last reading of every scrape interval is the sample, taken at its end,
+    so a series has at most ``span / scrape`` samples per window however many
+    readings arrive. The rise between two samples counts in every window that
+    holds both; only samples and rises are repeated, never the readings.
     """
     when = F.col(ts).cast("timestamp")
     scraped = samples.filter(F.col(value).isNotNull()).groupBy(series, _slot(when, scrape).alias("_slot")).agg(
         F.max_by(value, F.struct(ts, order)).alias("_value"))
-    binned = scraped.withColumn("window_start", F.col("_slot") - F.pmod("_slot", F.lit(span)))
-    before = F.lag("_value").over(Window.partitionBy(series, "window_start").orderBy("_slot"))
-    stepped = binned.withColumn("_before", before).withColumn(
-        "_rise",
-        F.when(F.col("_before").isNull(), F.lit(0))
-        .when(F.col("_value") >= F.col("_before"), F.col("_value") - F.col("_before"))
-        .otherwise(F.col("_value")),
-    )
-    return stepped.groupBy(series, "window_start").agg(
-        F.count("*").alias("samples"), F.sum("_rise").alias("increase")
+    own = Window.partitionBy(series).orderBy("_slot")
+    stepped = scraped.withColumns({"_before": F.lag("_value").over(own), "_since": F.lag("_slot").over(own)})
+    rise = F.when(F.col("_value") >= F.col("_before"), F.col("_value") - F.col("_before")).otherwise(F.col("_value"))
+    windows = stepped.withColumn(
+        "window_end", F.explode(F.sequence(F.col("_slot") + scrape, F.col("_slot") + span, F.lit(scrape))))
+    both = F.col("window_end") <= F.col("_since") + span
+    return windows.groupBy(series, "window_end").agg(
+        F.count("*").alias("samples"), F.sum(F.when(both, rise).otherwise(F.lit(0))).alias("increase")
     ).withColumn("per_second", F.col("increase") / F.lit(float(span)))
 
 

@@ -37,18 +37,10 @@ def null_rate(landed: DataFrame, as_of: Column) -> DataFrame:
     return _metric(recent, "streaming_null_order_rate_pct", percent(F.count_if(blank), F.count("*")))
 
 
-def duplicate_rate(landed: DataFrame, first_seen: DataFrame | None = None) -> DataFrame:
-    """Share of landed rows that repeat an order.
-
-    Ids are counted once per task before the shuffle. ``first_seen`` narrows
-    the distinct orders to those that are new against earlier loads.
-    """
-    name = "streaming_duplicate_order_rate_pct"
-    if first_seen is None:
-        return _metric(landed, name, percent(F.count("*") - F.count_distinct("order_id"), F.count("*")))
-    sizes = landed.agg(F.count("*").alias("_rows"))
-    new = first_seen.agg(F.count_distinct("order_id")).scalar()
-    return _metric(sizes, name, percent(F.max("_rows") - F.max(new), F.max("_rows")))
+def duplicate_rate(landed: DataFrame) -> DataFrame:
+    """Share of landed rows that repeat an order. Ids are counted once per task before the shuffle."""
+    return _metric(landed, "streaming_duplicate_order_rate_pct",
+                   percent(F.count("*") - F.count_distinct("order_id"), F.count("*")))
 
 
 def orphan_rate(fact: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -84,11 +76,11 @@ def judge_metrics(metrics: DataFrame, targets: dict[str, tuple[str, str]] = TARG
 
 
 def run_checks(landed: DataFrame, failed: DataFrame, fact: DataFrame, dim_product: DataFrame,
-               as_of: Column, duplicates: DataFrame | None = None) -> DataFrame:
+               as_of: Column) -> DataFrame:
     """One row per metric with value, target and status."""
     return judge_metrics(reduce(DataFrame.unionByName, [
         null_rate(landed, as_of),
-        duplicate_rate(landed) if duplicates is None else duplicates,
+        duplicate_rate(landed),
         orphan_rate(fact, dim_product),
         failed_count(failed, as_of),
     ]))

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ordermill import schemas
 from ordermill.functions.dates import month_of_key
-from ordermill.operators import conform, dims, facts, landing, monitor, privacy, quality
+from ordermill.operators import conform, dims, facts, monitor, privacy, quality
 from ordermill.operators.facts import Star
 from ordermill.session import discard, materialise, prepare, together
 from ordermill.sources.csvfiles import read_seed
@@ -43,7 +43,12 @@ def load_reference(house: Warehouse, customers: dict[str, DataFrame], erp: DataF
     today = F.current_date() if as_of is None else as_of
 
     def store(rows: DataFrame, layer: str, table: str) -> Callable[[], DataFrame]:
-        return lambda: house.commit(rows, layer, table)
+        def write() -> DataFrame:
+            stored = house.commit(rows, layer, table)
+            house.prune(layer, table, keep=2)  # a reader of the one before may still be at work
+            return stored
+
+        return write
 
     def existing(name: str) -> DataFrame | None:
         return house.read("dwh", f"dim_{name}") if house.exists("dwh", f"dim_{name}") else None
@@ -75,56 +80,66 @@ def load_seed(house: Warehouse, folder: str, systems: tuple[str, ...] = ("crm",
 
 
 def extend_calendar(house: Warehouse, days: DataFrame) -> None:
-    """Add the days that are missing."""
+    """Add the days that are missing; without any, nothing is written."""
     if house.exists("dwh", "dim_date"):
         known = house.read("dwh", "dim_date")
-        days = known.unionByName(dims.missing_members(days, known, "full_date"))
+        missing = dims.missing_members(days, known, "full_date")
+        if missing.isEmpty():
+            return
+        days = known.unionByName(missing)
     house.commit(days, "dwh", "dim_date")
+    house.prune("dwh", "dim_date", keep=2)
 
 
 def star(house: Warehouse) -> Star:
     return Star(**{name: house.read("dwh", f"dim_{name}", schema) for name, schema in schemas.DIMENSIONS.items()})
 
 
-def sales(house: Warehouse) -> DataFrame:
-    """The fact with its storage columns ``load_id`` and ``sales_month``."""
-    return house.read("dwh", "fact_sales", f"{schemas.FACT_SALES}, {LOAD} int, {MONTH} int")
+PROGRESS = "load_id int, backlog_version int, fact_version int"
+FACT_STORAGE = f"{schemas.FACT_SALES}, {LOAD} int, {MONTH} int"
 
 
-PROGRESS = "load_id int, backlog_version int"
+def progress(house: Warehouse) -> tuple[int, int, int]:
+    """Last finished load, the backlog snapshot it left and the fact snapshot in force; -1 before the first."""
+    row = house.read("staging", "load_progress", PROGRESS).first()
+    return tuple(row) if row else (-1, -1, -1)
 
 
-def progress(house: Warehouse) -> tuple[int, int]:
-    """Last finished load and the backlog snapshot it left; -1 before the first."""
-    row = house.read("staging", "load_progress", PROGRESS).first()
-    return (row["load_id"], row["backlog_version"]) if row else (-1, -1)
+def sales(house: Warehouse) -> DataFrame:
+    """The fact with its storage columns ``load_id`` and ``sales_month``: finished loads of the snapshot in force."""
+    last, _, version = progress(house)
+    if version < 0:
+        return house.spark.createDataFrame([], FACT_STORAGE)
+    return house.read_version("dwh", "fact_sales", version, FACT_STORAGE).filter(F.col(LOAD) <= last)
+
 
+def move_progress(house: Warehouse, load_id: int, backlog_version: int, fact_version: int) -> None:
+    """Put a load, its backlog and a fact snapshot in force, all in one step."""
+    house.commit(house.spark.createDataFrame([(load_id, backlog_version, fact_version)], PROGRESS), "staging", "load_progress")
+    house.prune("staging", "load_progress", keep=2)
 
-def finish_load(house: Warehouse, resolved: DataFrame, load_id: int) -> None:
-    """Store which orders still wait, then move the progress in one step.
+
+def finish_load(house: Warehouse, resolved: DataFrame, load_id: int, fact_version: int) -> None:
+    """Store which orders still wait, then move the progress.
 
     The backlog names orders and the batch they came with; it holds nothing
     about the customer.
     """
     house.commit(facts.incomplete(resolved).select("order_id", BATCH, "missing"), "staging", "orders_backlog")
-    row = (load_id, house.versions("staging", "orders_backlog")[-1])
-    house.commit(house.spark.createDataFrame([row], PROGRESS), "staging", "load_progress")
+    move_progress(house, load_id, house.version("staging", "orders_backlog"), fact_version)
     house.prune("staging", "orders_backlog", keep=2)
-    house.prune("staging", "load_progress", keep=2)
 
 
-def load_facts(house: Warehouse, load_id: int) -> tuple[int, int]:
-    """Append the facts of everything landed since the last finished load.
+def resolve_load(house: Warehouse, load_id: int) -> DataFrame | None:
+    """Everything landed since the last finished load, resolved and stored; None when that load is done.
 
     Candidates are the batches landed since then plus the backlog, so a load
     reads what is new and not the history: batches are pruned by folder, and
-    waiting orders are fetched from the folders the backlog names. A load that
-    stopped half way is run again and replaces what it had written.
-    Returns the numbers of loaded and of still waiting orders.
+    waiting orders are fetched from the folders the backlog names.
     """
-    last, backlog_version = progress(house)
+    last, backlog_version, _ = progress(house)
     if last >= load_id:
-        return 0, 0
+        return None
     landed = landed_orders(house)
     columns = [*schemas.STAGED_COLUMNS, BATCH]
     candidates = landed.filter((F.col(BATCH) > last) & (F.col(BATCH) <= load_id)).select(*columns)
@@ -132,73 +147,78 @@ def load_facts(house: Warehouse, load_id: int) -> tuple[int, int]:
         waiting = house.read_version("staging", "orders_backlog", backlog_version).select(BATCH, "order_id")
         candidates = candidates.unionByName(
             landed.filter(F.col(BATCH) <= last).select(*columns).join(waiting, [BATCH, "order_id"], "left_semi"))
-    resolved = materialise(facts.resolve(candidates, star(house)), "resolved")
+    return materialise(facts.resolve(candidates, star(house)), "resolved")
+
+
+def publish_load(house: Warehouse, resolved: DataFrame, load_id: int) -> tuple[int, int]:
+    """Append the facts of a resolved load and move the progress.
+
+    A load that stopped half way is run again and replaces what it had written;
+    until the progress moves, no reader sees its rows. Returns the numbers of
+    loaded and of still waiting orders.
+    """
+    version = max(progress(house)[2], 0)
     rows = facts.complete(resolved).withColumn(MONTH, month_of_key(F.col("date_key")))
     # Ranges end inside a month when it is large, and small months share a task.
     ranged = rows.repartitionByRange(MONTH, "order_id")
-    house.write_slice(ranged, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,))
-    finish_load(house, resolved, load_id)
+    house.write_slice(ranged, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,), version=version)
+    finish_load(house, resolved, load_id, version)
     counted = resolved.agg(F.count("*").alias("all"), F.count(facts.missing_member()).alias("waiting")).first()
     discard(resolved)
     return counted["all"] - counted["waiting"], counted["waiting"]
 
 
+def load_facts(house: Warehouse, load_id: int) -> tuple[int, int]:
+    """Resolve and publish a load without tests; numbers of loaded and of waiting orders."""
+    resolved = resolve_load(house, load_id)
+    return (0, 0) if resolved is None else publish_load(house, resolved, load_id)
+
+
 def rebuild_facts(house: Warehouse) -> DataFrame:
     """Full refresh: the fact of everything ever landed, as one new snapshot.
 
-    The progress moves before the fact does: a refresh that stops between the
-    two leaves the old fact and never a doubled order, and is simply repeated.
+    The new snapshot, its backlog and the progress come into force in one step;
+    a refresh that stops before it leaves the old ones and is simply repeated.
     """
     landed = landed_orders(house)
     resolved = materialise(facts.resolve(landed.select(*schemas.STAGED_COLUMNS, BATCH), star(house)), "resolved")
     last = landed.agg(F.coalesce(F.max(BATCH), F.lit(-1))).first()[0]
-    finish_load(house, resolved, last)
     rows = facts.complete(resolved, BATCH).withColumnRenamed(BATCH, LOAD).withColumn(
         MONTH, month_of_key(F.col("date_key")))
     ranged = rows.repartitionByRange(LOAD, MONTH, "order_id")
-    house.commit(ranged, "dwh", "fact_sales", partition_by=(LOAD, MONTH))
+    version = max(progress(house)[2], house.version("dwh", "fact_sales")) + 1
+    house.commit(ranged, "dwh", "fact_sales", partition_by=(LOAD, MONTH), version=version)
+    finish_load(house, resolved, last, version)
+    house.prune("dwh", "fact_sales")
     discard(resolved)
     return sales(house)
 
 
-def tested_tables(house: Warehouse, load_id: int | None = None) -> dict[str, DataFrame]:
-    """Tables the column tests read: all rows, or those of one load."""
-    landed, fact = landed_orders(house), sales(house)
-    if load_id is not None:
-        landed, fact = landed.filter(F.col(BATCH) == load_id), fact.filter(F.col(LOAD) == load_id)
-    at_hand = star(house)
+def tested_tables(house: Warehouse, resolved: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Tables the column tests read, whole; with the facts of a resolved load that is not published yet."""
+    fact, at_hand = sales(house).select(*schemas.FACT_COLUMNS), star(house)
     return {
-        "stg_orders": facts.staged_orders(landed),
-        "fact_sales": fact,
+        "stg_orders": facts.staged_orders(landed_orders(house)),
+        "fact_sales": fact if resolved is None else fact.unionByName(facts.complete(resolved)),
         "dim_product": at_hand.product,
         "dim_customer": at_hand.customer,
     }
 
 
-def checks(house: Warehouse, as_of: Column, load_id: int | None = None, landed_rows: int | None = None) -> DataFrame:
-    """The quality metrics over whole tables, or as far as one load can have changed them.
-
-    For a load, its orders are held against all earlier order ids in one
-    column scan, and only its facts are matched with the products.
-    """
-    landed, failed, fact = landed_orders(house), failed_events(house), sales(house)
-    products = star(house).product
-    if load_id is None:
-        return quality.run_checks(landed, failed, fact, products, as_of)
-    here = landed.filter(F.col(BATCH) == load_id)
-    first_seen = landing.not_yet_landed(here, landed.filter(F.col(BATCH) < load_id), landed_rows)
-    duplicates = quality.duplicate_rate(here, first_seen)
-    return quality.run_checks(landed, failed, fact.filter(F.col(LOAD) == load_id), products, as_of, duplicates)
+def checks(house: Warehouse, as_of: Column) -> DataFrame:
+    """The quality metrics over whole tables."""
+    return quality.run_checks(landed_orders(house), failed_events(house), sales(house), star(house).product, as_of)
 
 
 def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column | None = None,
-              calendar: DataFrame | None = None, whole_tables: bool = False,
-              dag_id: str = monitor.PIPELINE_ID) -> RunResult:
+              calendar: DataFrame | None = None, dag_id: str = monitor.PIPELINE_ID,
+              dead_letter_sink: Callable[[DataFrame], None] | None = None) -> RunResult:
     """One full cycle over a bounded frame of messages; also fit for ``foreachBatch``.
 
-    An alert marks the run and never fails it; a failing column test does. The
-    run is logged in every case. Tests and checks cover this load; with
-    ``whole_tables`` they read all history again.
+    The column tests see the load before anyone else does: when one fails, the
+    run fails, nothing of the load is published and its orders stay pending.
+    An alert of a metric marks the run and never fails it. Tests and metrics
+    read the whole tables. The run is logged in every case.
     """
     spark = prepare(house.spark)
     started = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -206,23 +226,27 @@ def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column
     result = RunResult("ERROR")
     checks_status, detail = None, None
     try:
-        counters = ingest_batch(events, batch_id, house)
+        counters = ingest_batch(events, batch_id, house, dead_letter_sink)
         result.counters = counters.__dict__.copy()
         days = calendar
         if days is None:
             days = dims.calendar_around(spark, F.to_date(today), dims.CALENDAR_EXTENSION_DAYS)
         extend_calendar(house, days)
-        result.newly_processed, unresolved = load_facts(house, batch_id)
-        result.counters["orders_unresolved"] = unresolved
-
-        scope = None if whole_tables else batch_id
-        tested = quality.run_tests(tested_tables(house, scope))
-        broken = [r.asDict() for r in tested.filter("status = 'FAIL'").collect()]
+        resolved = resolve_load(house, batch_id)
+        tested = quality.run_tests(tested_tables(house, resolved))
+        house.write_slice(tested, "staging", "column_tests", BATCH, batch_id)
+        broken = [r.asDict() for r in column_test_results(house).filter((F.col(BATCH) == batch_id) & (F.col("status") == "FAIL")).drop(BATCH).collect()]
         if broken:
+            if resolved is not None:
+                discard(resolved)
             detail = json.dumps(broken)
             raise ColumnTestsFailed(detail)
+        unresolved = 0
+        if resolved is not None:
+            result.newly_processed, unresolved = publish_load(house, resolved, batch_id)
+        result.counters["orders_unresolved"] = unresolved
 
-        metrics = checks(house, today, scope, counters.events_consumed)
+        metrics = checks(house, today)
         house.write_slice(metrics.withColumn("measured_at", F.current_timestamp()), "staging", "quality_metrics",
                           BATCH, batch_id)
         measured = house.read("staging", "quality_metrics").filter(F.col(BATCH) == batch_id).collect()
@@ -236,6 +260,10 @@ def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column
     return result
 
 
+def column_test_results(house: Warehouse) -> DataFrame:
+    return house.read("staging", "column_tests", f"test string, `table` string, `column` string, failures long, status string, {BATCH} int")
+
+
 def start_pipeline(house: Warehouse, events: DataFrame, checkpoint: str, continuous: bool = False,
                    cadence: str = CADENCE, **options) -> StreamingQuery:
     """Run a full cycle on every micro-batch of a streaming frame of messages."""
@@ -338,6 +366,9 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     for name, rows in kept.items():
         layer, partition_by = PERSONAL_TABLES[name]
         house.commit(rows, layer, name, partition_by)
+        if name == "fact_sales":
+            last, backlog_version, _ = progress(house)
+            move_progress(house, last, backlog_version, house.version(layer, name))
     for name in kept:
         house.prune(PERSONAL_TABLES[name][0], name)
 

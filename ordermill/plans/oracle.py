@@ -470,17 +470,21 @@ ORACLE: dict[str, str] = {
         GROUP BY 1, 2""",
     "counter_rate_5m": """
         WITH readings AS (
-          SELECT event_type, ts, event_id, epoch_us(ts) // 1000000 // 60 * 60 AS slot,
+          SELECT event_type, ts, event_id, epoch_us(ts) // 1000000 // 15 * 15 AS slot,
                  CAST(round(value * 100) AS BIGINT) AS v FROM events WHERE value IS NOT NULL),
         scraped AS (
-          SELECT event_type, slot, v, slot // 3600 * 3600 AS window_start FROM (
+          SELECT event_type, slot, v FROM (
             SELECT *, row_number() OVER (PARTITION BY event_type, slot ORDER BY ts DESC, event_id DESC) AS nth
             FROM readings) WHERE nth = 1),
-        steps AS (SELECT *, lag(v) OVER (PARTITION BY event_type, window_start ORDER BY slot) AS b FROM scraped)
-        SELECT event_type, CAST(window_start AS BIGINT) AS window_start, count(*) AS samples,
-               CAST(sum(CASE WHEN b IS NULL THEN 0 WHEN v >= b THEN v - b ELSE v END) AS BIGINT) AS increase,
-               CAST(sum(CASE WHEN b IS NULL THEN 0 WHEN v >= b THEN v - b ELSE v END) AS BIGINT) / 3600.0::DOUBLE AS per_second
-        FROM steps GROUP BY 1, 2""",
+        steps AS (SELECT *, lag(v) OVER w AS b, lag(slot) OVER w AS since
+                  FROM scraped WINDOW w AS (PARTITION BY event_type ORDER BY slot)),
+        windows AS (
+          SELECT event_type, CAST(slot + step AS BIGINT) AS window_end,
+                 CASE WHEN slot + step <= since + 300 THEN CASE WHEN v >= b THEN v - b ELSE v END ELSE 0 END AS rise
+          FROM steps, (SELECT unnest(generate_series(15, 300, 15)) AS step))
+        SELECT event_type, window_end, count(*) AS samples, CAST(sum(rise) AS BIGINT) AS increase,
+               CAST(sum(rise) AS BIGINT) / 300.0::DOUBLE AS per_second
+        FROM windows GROUP BY 1, 2""",
     "gauge_bands": """
         SELECT user_id, v AS last_value,
                CASE WHEN v >= 6000 THEN 'red' WHEN v >= 2000 THEN 'yellow' ELSE 'green' END AS band
@@ -519,7 +523,43 @@ ORACLE["fact_from_history"] = sql(f"""
     JOIN dim_channel h ON h.channel_code = o.channel
     WHERE nth = 1""")
 ORACLE["stream_deduplicated"] = sql("SELECT order_id FROM landed")
-ORACLE["stream_landed"] = ORACLE["landed_orders"]
+ORACLE["stream_landed"] = sql("""
+    SELECT md5(order_id) AS event_id, order_id, topic AS source_topic, channel, store_code, customer_email, product_ref,
+           quantity, unit_price_cents, amount_cents, CAST(order_timestamp AS VARCHAR) AS order_timestamp,
+           order_id AS sent_order_id, CAST(quantity AS VARCHAR) AS sent_quantity FROM landed""")
+ORACLE["stream_failed"] = sql("SELECT topic AS source_topic, order_id, error_code, error_reason FROM rejects")
+ORACLE["seed_customers"] = sql("""
+    SELECT source_id, nullif(email, '') AS email, first_name, last_name, phone, consent_marketing,
+           CAST(consent_date AS VARCHAR) AS consent_date, CAST(CAST(last_activity AS DATE) AS VARCHAR) AS last_activity,
+           store_code, source_system FROM unified WHERE source_system = 'pos'""")
+
+CYCLES = """
+cycles AS (
+  SELECT 0 AS batch_id, count(*) AS sent, count(error_code) AS failed FROM checked
+  UNION ALL SELECT 1, count(*), count(error_code) FROM checked WHERE l_partkey % 10 = 0),
+cycle_failures AS (SELECT batch_id, sent, failed, sum(failed) OVER (ORDER BY batch_id) AS so_far FROM cycles)"""
+ORACLE["pipeline_metrics"] = sql(f"""
+    SELECT batch_id, metric_name, CAST(metric_value AS DOUBLE) AS metric_value, target_value,
+           CASE WHEN metric_value <= target_value THEN 'OK' ELSE 'ALERT' END AS status
+    FROM (
+      SELECT batch_id, 'streaming_null_order_rate_pct' AS metric_name, (SELECT
+             {rounded_percent("count(*) FILTER (WHERE order_id IS NULL OR amount_cents IS NULL)", "count(*)")} FROM landed)
+               AS metric_value, 0.0::DOUBLE AS target_value FROM cycles
+      UNION ALL SELECT batch_id, 'streaming_duplicate_order_rate_pct', (SELECT
+             {rounded_percent("count(*) - count(DISTINCT order_id)", "count(*)")} FROM landed), 0.0 FROM cycles
+      UNION ALL SELECT batch_id, 'fact_sales_orphan_product_rate_pct', (SELECT
+             {rounded_percent("count(*) FILTER (WHERE p.product_key IS NULL)", "count(*)")}
+             FROM fact LEFT JOIN dim_product p ON p.product_key = fact.product_key), 0.0 FROM cycles
+      UNION ALL SELECT batch_id, 'failed_events_count_24h', so_far, 5.0 FROM cycle_failures)""", CYCLES)
+ORACLE["pipeline_tests"] = (
+    f"WITH found AS ({ORACLE['column_tests']}) SELECT found.*, batch_id FROM found, (VALUES (0), (1)) AS t(batch_id)")
+ORACLE["pipeline_log"] = sql("""
+    SELECT batch_id AS run_id, 'order_pipeline' AS dag_id, sent AS events_produced,
+           CASE batch_id WHEN 0 THEN (SELECT count(*) FROM landed) ELSE 0 END AS events_consumed, failed AS events_failed,
+           sent - failed - CASE batch_id WHEN 0 THEN (SELECT count(*) FROM landed) ELSE 0 END AS events_duplicate,
+           CASE WHEN so_far > 5 THEN 'ALERT' ELSE 'OK' END AS dq_status
+    FROM cycle_failures""", CYCLES)
+ORACLE["fact_rebuilt"] = ORACLE["fact_sales_full"]
 ORACLE["pipeline_run"] = ORACLE["fact_sales_full"]
 ORACLE["fact_sales_skewed"] = ORACLE["fact_sales_full"]
 

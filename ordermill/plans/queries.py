@@ -18,6 +18,7 @@ from ordermill.operators import conform, dims, facts, landing, monitor, privacy,
 from ordermill.operators.facts import Star
 from ordermill.plans import batch
 from ordermill.session import materialise, scratch_folder, together
+from ordermill.sources.csvfiles import read_seed
 from ordermill.sources.retail import Retail
 from ordermill.sources.streams import captured_orders
 from ordermill.sources.tables import Warehouse
@@ -63,9 +64,14 @@ def landed(r: Retail, events: DataFrame | None = None) -> DataFrame:
     return landing.land(judged(r) if events is None else events, F.col("order_timestamp"))
 
 
-def stored_landed(r: Retail) -> DataFrame:
+def stored_landed(r: Retail, events: DataFrame | None = None) -> DataFrame:
     """Landed orders as a table; the message text is left out, as no reader needs it."""
-    return materialise(landed(r).drop("payload"), "landed")
+    return materialise(landed(r, events).drop("payload"), "landed")
+
+
+def judged_once(r: Retail) -> DataFrame:
+    """Judged messages as a table, for queries that read accepted and rejected ones."""
+    return materialise(judged(r).select(*ingest.KEPT_COLUMNS), "judged")
 
 
 def golden(r: Retail) -> DataFrame:
@@ -94,15 +100,15 @@ def stored_star(r: Retail) -> Star:
     ))
 
 
-def stored_orders(r: Retail) -> tuple[DataFrame, Star]:
+def stored_orders(r: Retail, events: DataFrame | None = None) -> tuple[DataFrame, Star]:
     """Landed orders and dimensions, each stored once."""
-    orders, star = together(lambda: stored_landed(r), lambda: stored_star(r))
+    orders, star = together(lambda: stored_landed(r, events), lambda: stored_star(r))
     return orders, star
 
 
-def stored_sales(r: Retail) -> tuple[DataFrame, Star, DataFrame]:
+def stored_sales(r: Retail, events: DataFrame | None = None) -> tuple[DataFrame, Star, DataFrame]:
     """Landed orders, dimensions and the full fact, each stored once."""
-    orders, star = stored_orders(r)
+    orders, star = stored_orders(r, events)
     return orders, star, materialise(facts.build_fact(orders, star), "fact")
 
 
@@ -194,30 +200,44 @@ def failed_events(r: Retail) -> DataFrame:
 
 @query
 def stream_landed(r: Retail) -> DataFrame:
-    """The messages as a stream in two drops with one checkpoint, landed exactly once.
+    """The messages as a stream in three drops with one checkpoint, landed exactly once; with fields of the kept text."""
+    landed_rows = ingest.landed_orders(streamed(r)).withColumns({
+        "sent_order_id": F.get_json_object("payload", "$.order_id"),
+        "sent_quantity": F.get_json_object("payload", "$.quantity")})
+    return as_text(in_cents(landed_rows.drop("payload", "consumed_at", ingest.BATCH), "unit_price_eur", "amount_eur"),
+                   "order_timestamp")
+
 
-    The earlier half of the days is dropped and ingested first, then the rest.
-    """
+@query
+def stream_failed(r: Retail) -> DataFrame:
+    """The rejects of the same stream."""
+    failed = ingest.failed_events(streamed(r))
+    return failed.select("source_topic", F.get_json_object("payload", "$.order_id").alias("order_id"), "error_code", "error_reason")
+
+
+def streamed(r: Retail) -> Warehouse:
+    """Tables after a stream of all messages, dropped and ingested by thirds of the days, earliest first."""
     folder = scratch_folder(r.spark, "stream")
     house = Warehouse(r.spark, f"{folder}/tables")
-    span = r.day_span().select(F.date_add("start", F.expr("cast(datediff(end, start) / 2 as int)"))).scalar()
-    messages = materialise(r.order_messages(), "messages")
-    early = F.col("arrival.l_shipdate") < span
-    for drop in (early, ~early):
+    third = r.day_span().select(
+        *[F.date_add("start", F.expr(f"cast(datediff(end, start) * {k} / 3 as int)")) for k in (1, 2)]).first()
+    day = F.col("arrival.l_shipdate")
+    messages = r.order_messages()
+    for drop in (day < F.lit(third[0]), (day >= F.lit(third[0])) & (day < F.lit(third[1])), day >= F.lit(third[1])):
         messages.filter(drop).write.mode("append").parquet(f"{folder}/inbox")
         stream = captured_orders(r.spark, f"{folder}/inbox", messages.schema)
         ingest.start_ingest(stream, house, f"{folder}/offsets").awaitTermination()
-    return as_text(in_cents(ingest.landed_orders(house).drop("payload", "consumed_at", ingest.BATCH),
-                            "unit_price_eur", "amount_eur"), "order_timestamp")
+    return house
 
 
 @query
 def stream_deduplicated(r: Retail) -> DataFrame:
-    """Ids let through by the bounded-state variant, with a bound beyond the span of the data."""
+    """Ids let through by the bounded-state variant in several batches; its bound is far shorter than the span of the data."""
     folder = scratch_folder(r.spark, "stream")
     messages = r.order_messages()
-    messages.write.parquet(f"{folder}/inbox")
-    orders = ingest.accepted_stream(captured_orders(r.spark, f"{folder}/inbox", messages.schema), late="36500 days")
+    messages.repartition(6).write.parquet(f"{folder}/inbox")
+    stream = captured_orders(r.spark, f"{folder}/inbox", messages.schema, files_per_batch=2)
+    orders = ingest.accepted_stream(stream, late="1 day")
     sink = orders.select("order_id").writeStream.format("parquet").option("path", f"{folder}/kept").option(
         "checkpointLocation", f"{folder}/offsets")
     sink.trigger(availableNow=True).start().awaitTermination()
@@ -327,7 +347,7 @@ def price_variance(r: Retail) -> DataFrame:
 def stg_orders_pending(r: Retail) -> DataFrame:
     """Orders left after everything up to two years before the end was loaded."""
     orders, star = stored_orders(r)
-    loaded = facts.build_fact(before(orders, r), star)
+    loaded = materialise(facts.build_fact(before(orders, r), star).select("order_id"), "loaded")
     return fact_view(facts.pending(orders, loaded))
 
 
@@ -356,7 +376,7 @@ def fact_sales_skewed(r: Retail) -> DataFrame:
 def fact_sales_incremental(r: Retail) -> DataFrame:
     """New fact rows when everything up to two years before the end is loaded already."""
     orders, star = stored_orders(r)
-    loaded = facts.build_fact(before(orders, r), star)
+    loaded = materialise(facts.build_fact(before(orders, r), star).select("order_id"), "loaded")
     return fact_view(facts.build_fact(orders, star, loaded))
 
 
@@ -364,7 +384,7 @@ def fact_sales_incremental(r: Retail) -> DataFrame:
 def mark_processed(r: Retail) -> DataFrame:
     """Orders that turn processed with the load after that."""
     orders, star, fact = stored_sales(r)
-    loaded = facts.build_fact(before(orders, r), star)
+    loaded = materialise(facts.build_fact(before(orders, r), star).select("order_id"), "loaded")
     return facts.newly_processed(orders, loaded, fact).agg(F.count("*").alias("newly_processed"))
 
 
@@ -405,13 +425,61 @@ def pipeline_run(r: Retail) -> DataFrame:
     return fact_view(batch.sales(house).drop(batch.LOAD, batch.MONTH))
 
 
+def two_cycles(r: Retail) -> Warehouse:
+    """Tables after two full cycles: all messages, then a tenth of the parts' messages once more."""
+    house = Warehouse(r.spark, scratch_folder(r.spark, "run"))
+    calendar = dims.calendar(r.day_span())
+    batch.load_reference(house, r.customer_sources(), r.products_erp(), r.products_web(), r.stores(),
+                         r.as_of(), calendar)
+    again = r.order_messages().filter(F.col("arrival.l_partkey") % 10 == 0)
+    for number, messages in enumerate((r.order_messages(), again)):
+        batch.run_batch(house, messages, number, calendar=calendar)
+    return house
+
+
+@query
+def pipeline_metrics(r: Retail) -> DataFrame:
+    """The metrics that both cycles stored."""
+    stored = two_cycles(r).read("staging", "quality_metrics")
+    return stored.select(ingest.BATCH, "metric_name", F.col("metric_value").cast("double"),
+                         F.col("target_value").cast("double"), "status")
+
+
+@query
+def pipeline_tests(r: Retail) -> DataFrame:
+    """The column tests that both cycles stored."""
+    return batch.column_test_results(two_cycles(r))
+
+
+@query
+def pipeline_log(r: Retail) -> DataFrame:
+    """The run log of both cycles, as the dashboards read it."""
+    runs = two_cycles(r).read("monitoring", "pipeline_runs")
+    return monitor.latest_runs(runs).drop("duration_sec", "started_at").join(runs.select("run_id", "events_duplicate"), "run_id")
+
+
+@query
+def fact_rebuilt(r: Retail) -> DataFrame:
+    """The fact after two cycles and a full refresh."""
+    return fact_view(batch.rebuild_facts(two_cycles(r)).drop(batch.LOAD, batch.MONTH))
+
+
+@query
+def seed_customers(r: Retail) -> DataFrame:
+    """Customers of the shops, written as CSV files and read as seed."""
+    folder = scratch_folder(r.spark, "seed")
+    r.customer_sources()["pos"].write.option("header", True).csv(f"{folder}/customers_pos.csv")
+    return as_text(read_seed(r.spark, folder, "customers_pos").drop("loaded_at"), "consent_date", "last_activity")
+
+
 # Quality.
 
 
 @query
 def dq_metrics(r: Retail) -> DataFrame:
-    orders, star, fact = stored_sales(r)
-    failed = landing.failed_events(judged(r), F.col("order_timestamp"))
+    events = judged_once(r)
+    orders, star, fact = stored_sales(r, events)
+    failed = landing.failed_events(events, F.col("order_timestamp"))
     as_of = orders.agg(F.max("consumed_at")).scalar()
     checks = quality.run_checks(orders, failed, fact, star.product, as_of)
     return checks.select("metric_name", F.col("metric_value").cast("double"), F.col("target_value").cast("double"),
@@ -421,8 +489,9 @@ def dq_metrics(r: Retail) -> DataFrame:
 @query
 def dq_metrics_raw_events(r: Retail) -> DataFrame:
     """The same checks on what was sent: repeats count, and facts face the ERP catalogue only."""
-    _, star, fact = stored_sales(r)
-    sent = judged(r).select("order_id", F.col("amount").alias("amount_eur"), F.col("order_timestamp").alias("consumed_at"))
+    events = judged_once(r)
+    _, star, fact = stored_sales(r, events)
+    sent = events.select("order_id", F.col("amount").alias("amount_eur"), F.col("order_timestamp").alias("consumed_at"))
     sold = fact.join(star.product.select("product_key", "product_ref"), "product_key").drop("product_key")
     listed = r.products_erp().select(F.col("product_ref").alias("product_key"))
     as_of = sent.agg(F.max("consumed_at")).scalar()
@@ -435,8 +504,9 @@ def dq_metrics_raw_events(r: Retail) -> DataFrame:
 
 @query
 def dq_status(r: Retail) -> DataFrame:
-    orders, star, fact = stored_sales(r)
-    failed = landing.failed_events(judged(r), F.col("order_timestamp"))
+    events = judged_once(r)
+    orders, star, fact = stored_sales(r, events)
+    failed = landing.failed_events(events, F.col("order_timestamp"))
     checks = quality.run_checks(orders, failed, fact, star.product, orders.agg(F.max("consumed_at")).scalar())
     status = quality.overall_status(checks)
     return status.select("dq_status", monitor.run_status(F.col("dq_status")).alias("run_status"))
@@ -625,9 +695,10 @@ def latest_sales(r: Retail) -> DataFrame:
 
 @query
 def table_counts(r: Retail) -> DataFrame:
-    orders, star, fact = stored_sales(r)
+    events = judged_once(r)
+    orders, star, fact = stored_sales(r, events)
     return monitor.table_counts({"streaming_orders": orders, "fact_sales": fact, "dim_customer": star.customer,
-                                 "failed_events": rules.rejected(judged(r))})
+                                 "failed_events": rules.rejected(events)})
 
 
 @query
@@ -639,7 +710,7 @@ def event_rate_5m(r: Retail) -> DataFrame:
 def counter_rate_5m(r: Retail) -> DataFrame:
     """The readings of each kind of event as a counter that restarts whenever it drops."""
     readings = r.table("events").withColumn("reading", cents("value"))
-    return monitor.counter_rate(readings, "ts", "event_type", "reading", "event_id", span=3600, scrape=60)
+    return monitor.counter_rate(readings, "ts", "event_type", "reading", "event_id")
 
 
 @query
@@ -667,5 +738,18 @@ def revenue_rollup(r: Retail) -> DataFrame:
 
 @query
 def revenue_window(r: Retail) -> DataFrame:
-    weekly = ingest.revenue_stream(landed(r), window="7 days")
-    return as_text(in_cents(weekly, "revenue_eur"), "window_start", "window_end")
+    """Weekly revenue of a stream of landed orders, in batches that are in no order of time."""
+    folder = scratch_folder(r.spark, "stream")
+    orders = landed(r).select("order_id", "order_timestamp", "channel", "amount_eur")
+    orders.repartition(4, "order_id").write.parquet(f"{folder}/inbox")
+    stream = r.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/inbox")
+    weekly = ingest.revenue_stream(stream, window="7 days")
+
+    def keep(sums: DataFrame, batch_id: int) -> None:
+        sums.write.mode("overwrite").parquet(f"{folder}/sums/{batch_id:05d}")
+
+    writer = weekly.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{folder}/offsets")
+    ended = writer.trigger(availableNow=True).start()
+    ended.awaitTermination()
+    sums = r.spark.read.schema(weekly.schema).parquet(f"{folder}/sums/{ended.lastProgress['batchId']:05d}")
+    return as_text(in_cents(sums, "revenue_eur"), "window_start", "window_end")

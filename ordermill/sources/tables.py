@@ -11,6 +11,8 @@ slice again replaces it, so a repeated load adds nothing.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,21 +33,32 @@ class Warehouse:
         fs, folder = self._folder(path)
         return fs.exists(folder)
 
-    def versions(self, layer: str, table: str) -> list[int]:
-        """Finished snapshots, oldest first."""
+    def _numbers(self, layer: str, table: str) -> list[int]:
+        """Numbers of all snapshots, also of those a writer left unfinished, oldest first."""
         fs, folder = self._folder(self.path(layer, table))
         if not fs.exists(folder):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
-        found = sorted(int(n[1:]) for n in names if n.startswith("v"))
-        return [v for v in found if self._exists(f"{self._snapshot(layer, table, v)}/_SUCCESS")]
+        return sorted(int(n[1:]) for n in names if n.startswith("v"))
+
+    def _finished(self, layer: str, table: str, version: int) -> bool:
+        return self._exists(f"{self._snapshot(layer, table, version)}/_SUCCESS")
+
+    def version(self, layer: str, table: str) -> int:
+        """Newest finished snapshot, looked for from the top; -1 without one."""
+        found = (v for v in reversed(self._numbers(layer, table)) if self._finished(layer, table, v))
+        return next(found, -1)
+
+    def versions(self, layer: str, table: str) -> list[int]:
+        """Finished snapshots, oldest first."""
+        return [v for v in self._numbers(layer, table) if self._finished(layer, table, v)]
 
     def _snapshot(self, layer: str, table: str, version: int) -> str:
         return f"{self.path(layer, table)}/v{version:09d}"
 
     def current(self, layer: str, table: str) -> str | None:
-        found = self.versions(layer, table)
-        return self._snapshot(layer, table, found[-1]) if found else None
+        newest = self.version(layer, table)
+        return self._snapshot(layer, table, newest) if newest >= 0 else None
 
     def exists(self, layer: str, table: str) -> bool:
         return self.current(layer, table) is not None
@@ -59,29 +72,42 @@ class Warehouse:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(path)
 
-    def read_version(self, layer: str, table: str, version: int) -> DataFrame:
-        return self.spark.read.parquet(self._snapshot(layer, table, version))
+    def read_version(self, layer: str, table: str, version: int, schema: str | None = None) -> DataFrame:
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self._snapshot(layer, table, version))
 
     def commit(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...] = (),
                version: int | None = None) -> DataFrame:
         """Write the next snapshot and return it."""
-        found = self.versions(layer, table)
-        number = version if version is not None else (found[-1] + 1 if found else 0)
+        number = version if version is not None else self.version(layer, table) + 1
         path = self._snapshot(layer, table, number)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write_slice(self, df: DataFrame, layer: str, table: str, column: str, value: int,
-                    partition_by: tuple[str, ...] = ()) -> None:
-        """Write or replace the slice ``column=value`` of the current snapshot."""
-        path = self.current(layer, table)
-        if path is None:
-            path = self._snapshot(layer, table, 0)
+                    partition_by: tuple[str, ...] = (), version: int | None = None) -> None:
+        """Write or replace the slice ``column=value`` of a snapshot, the current one unless told."""
+        path = self._snapshot(layer, table, max(self.version(layer, table), 0) if version is None else version)
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{column}={value}")
         fs, done = self._folder(f"{path}/_SUCCESS")
         if not fs.exists(done):
             fs.create(done).close()
 
+    def buckets(self, layer: str, table: str, schema: str, column: str, count: int) -> str:
+        """Name of a table whose rows lie in ``count`` buckets by a column; rows are only ever added.
+
+        Joins on that column read it without a shuffle. The files alone count: any
+        session that names the table finds what others have added.
+        """
+        path = self.path(layer, table)
+        name = f"{table}_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+        fs, folder = self._folder(path)
+        fs.mkdirs(folder)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet "
+                       f"CLUSTERED BY ({column}) SORTED BY ({column}) INTO {count} BUCKETS LOCATION '{path}'")
+        self.spark.catalog.refreshTable(name)
+        return name
+
     def prune(self, layer: str, table: str, keep: int = 1) -> None:
         """Delete all finished snapshots but the last ``keep``."""
         for version in self.versions(layer, table)[:-keep]:

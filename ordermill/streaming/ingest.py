@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -28,34 +29,53 @@ class Counters:
     events_duplicate: int
 
 
-def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse) -> Counters:
+ID_BUCKETS = 16
+
+
+def landed_ids(house: Warehouse, buckets: int = ID_BUCKETS) -> str:
+    """Name of the table of all order ids ever landed, in buckets by id, with the batch they came with.
+
+    It holds no personal data and outlives an erasure: an erased order does not land again.
+    """
+    return house.buckets("raw", "landed_ids", f"order_id STRING, {BATCH} INT", "order_id", buckets)
+
+
+def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse,
+                 dead_letter_sink: Callable[[DataFrame], None] | None = None) -> Counters:
     """Write one batch of messages to landing, rejects and dead letters.
 
     Each output is a slice named after the batch, and orders landed by the
     same batch do not count as landed before. A batch that is delivered again
-    therefore writes the same rows to the same place.
+    therefore writes the same rows to the same place. ``dead_letter_sink`` gets
+    the stored dead letters ``(value)``, such as ``publish_dead_letters``; a
+    batch delivered again hands them on again.
     """
     judged = rules.judge(parse_events(events)).select(*KEPT_COLUMNS).persist()
     try:
         counts = judged.agg(
             F.count("*").alias("read"), F.count("error_code").alias("failed")
         ).first()
-        landed_before = house.read("raw", "streaming_orders", STREAMING_ORDERS + f", {BATCH} int").filter(
-            F.col(BATCH) != batch_id)
+        ids = landed_ids(house)
+        landed_before = house.spark.table(ids).filter(F.col(BATCH) != batch_id)
         accepted = counts["read"] - counts["failed"]
-        new = landing.not_yet_landed(landing.land(judged), landed_before, batch_rows=accepted)
+        new = landing.not_yet_landed(landing.land(judged), landed_before)
         house.write_slice(new, "raw", "streaming_orders", BATCH, batch_id)
+        here = landed_orders(house).filter(F.col(BATCH) == batch_id)
+        here.select("order_id", F.lit(batch_id).alias(BATCH)).repartition(ID_BUCKETS, "order_id").write.insertInto(ids)
         failed = landing.failed_events(judged)
         house.write_slice(failed, "raw", "failed_events", BATCH, batch_id)
         house.write_slice(landing.dead_letters(failed), "raw", "dead_letters", BATCH, batch_id)
+        if dead_letter_sink is not None:
+            dead_letter_sink(dead_letters(house).filter(F.col(BATCH) == batch_id).select("value"))
     finally:
         judged.unpersist()
-    consumed = house.read("raw", "streaming_orders").filter(F.col(BATCH) == batch_id).count()
+    consumed = landed_orders(house).filter(F.col(BATCH) == batch_id).count()
     return Counters(counts["read"], counts["failed"], consumed, accepted - consumed)
 
 
 def start_ingest(events: DataFrame, house: Warehouse, checkpoint: str, continuous: bool = False,
-                 cadence: str = CADENCE, after_batch=None) -> StreamingQuery:
+                 cadence: str = CADENCE, after_batch=None,
+                 dead_letter_sink: Callable[[DataFrame], None] | None = None) -> StreamingQuery:
     """Start ingestion of a streaming frame ``(topic, arrival, value)``.
 
     Offsets live in the checkpoint. ``continuous`` runs at the given cadence;
@@ -64,7 +84,7 @@ def start_ingest(events: DataFrame, house: Warehouse, checkpoint: str, continuou
     runs after each batch.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        counters = ingest_batch(batch, batch_id, house)
+        counters = ingest_batch(batch, batch_id, house, dead_letter_sink)
         if after_batch is not None:
             after_batch(counters, batch_id)
 
@@ -88,19 +108,25 @@ def dead_letters(house: Warehouse) -> DataFrame:
 def accepted_stream(events: DataFrame, late: str = "1 day") -> DataFrame:
     """Accepted orders of a stream, one per id within the lateness bound.
 
-    State is bounded: an id seen again later than ``late`` passes once more.
-    Exact landing is ``start_ingest``.
+    State is bounded by the time of arrival, not of the event: an order dated
+    years back passes as any other, and an id that arrives again later than
+    ``late`` after its first arrival passes once more. Exact landing is ``start_ingest``.
     """
     judged = rules.judge(parse_events(events))
     orders = landing.stamped(landing.accepted_orders(judged))
-    return orders.withWatermark("order_timestamp", late).dropDuplicatesWithinWatermark(["order_id"])
+    return orders.withWatermark("consumed_at", late).dropDuplicatesWithinWatermark(["order_id"])
 
 
-def revenue_stream(orders: DataFrame, window: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
-    """Revenue per channel and event-time window of a stream of accepted orders."""
+def revenue_stream(orders: DataFrame, window: str = "5 minutes", late: str | None = None) -> DataFrame:
+    """Revenue per channel and event-time window of a stream of accepted orders.
+
+    Every order counts however late it is; state is one row per window and
+    channel, so it is bounded by the calendar. ``late`` closes windows and drops
+    what comes after, for sinks that only take final rows.
+    """
+    bounded = orders if late is None else orders.withWatermark("order_timestamp", late)
     return (
-        orders.withWatermark("order_timestamp", late)
-        .groupBy(F.window("order_timestamp", window), "channel")
+        bounded.groupBy(F.window("order_timestamp", window), "channel")
         .agg(F.count("*").alias("orders"), F.sum("amount_eur").alias("revenue_eur"))
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "channel",
                 "orders", "revenue_eur")

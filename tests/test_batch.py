@@ -6,7 +6,7 @@ import pytest
 from conftest import frame, message
 from pyspark.sql import functions as F
 
-from ordermill.operators import dims, quality
+from ordermill.operators import dims, landing, quality
 from ordermill.plans import batch
 from ordermill.sources.csvfiles import read_csv, read_seed
 from ordermill.sources.tables import Warehouse
@@ -140,17 +140,75 @@ def test_interrupted_load_is_completed(house, monkeypatch):
     assert ids(house.read("staging", "orders_backlog")) == ["B"]
 
 
-def test_checks_of_a_load_see_repeats_of_earlier_loads(house):
+def test_checks_see_repeats_of_earlier_loads(house):
     run(house, [message()], 0)
     repeat = ingest.landed_orders(house).drop("batch_id")
     house.write_slice(repeat, "raw", "streaming_orders", "batch_id", 1)
-    now = F.to_timestamp(F.lit(NOW))
-    for metrics in (batch.checks(house, now, 1, 1), batch.checks(house, now, 1), batch.checks(house, now)):
-        rates = {r["metric_name"]: (r["metric_value"], r["status"]) for r in metrics.collect()}
-        rate, status = rates["streaming_duplicate_order_rate_pct"]
-        assert rate > 0 and status == "ALERT"
+    rates = {r["metric_name"]: (r["metric_value"], r["status"]) for r in batch.checks(house, F.to_timestamp(F.lit(NOW))).collect()}
+    rate, status = rates["streaming_duplicate_order_rate_pct"]
+    assert rate > 0 and status == "ALERT"
     with pytest.raises(batch.ColumnTestsFailed):  # the doubled order is found by its test first
-        run(house, [message(order_id="Z")], 2, whole_tables=True)
+        run(house, [message(order_id="Z")], 2)
+
+
+def test_a_load_of_repeats_only_is_fine(house):
+    run(house, [message(), message(order_id="B")], 0)
+    again = run(house, [message(), message(order_id="B")], 1)
+    assert again.status == "OK" and again.newly_processed == 0 and again.counters["events_duplicate"] == 2
+    stored = house.read("staging", "quality_metrics").filter("batch_id = 1").collect()
+    assert {r["status"] for r in stored} == {"OK"} and all(r["metric_value"] is not None for r in stored)
+
+
+def test_storage_does_not_grow_with_runs(house):
+    def folders():
+        tables = [("dwh", "dim_date"), ("dwh", "fact_sales"), ("staging", "load_progress"), ("staging", "orders_backlog"), ("raw", "streaming_orders")]
+        return {t: len(house.versions(*t)) for t in tables}
+
+    for n in range(3):
+        run(house, [message(order_id=f"S{n}")], n)
+    before = folders()
+    for n in range(3, 6):
+        run(house, [message(order_id=f"S{n}")], n)
+    assert folders() == before and max(before.values()) <= 2
+
+
+def test_history_of_ids_is_not_shuffled(house):
+    run(house, [message(order_id=f"H{i}") for i in range(5)], 0)
+    spark, limit = house.spark, house.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = spark.createDataFrame([("H1",), ("H9",)], "order_id string")
+        left = landing.not_yet_landed(rows, spark.table(ingest.landed_ids(house)))
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning(order_id") == 1
+        assert ids(left) == ["H9"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_stopped_rebuild_changes_nothing(house, monkeypatch):
+    run(house, [message(), message(order_id="B", product_ref="UC-TS-999")], 0)
+    product = house.read("staging", "products_golden").limit(1).withColumn("product_ref", F.lit("UC-TS-999"))
+    golden = house.read("staging", "products_golden").unionByName(product)
+    house.commit(dims.dim_product(golden, house.read("dwh", "dim_product")), "dwh", "dim_product")
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(batch, "move_progress", stop)
+    with pytest.raises(RuntimeError):
+        batch.rebuild_facts(house)
+    monkeypatch.undo()
+    assert ids(batch.sales(house)) == ["WEB-1"]
+    assert run(house, [message(order_id="E")], 1).newly_processed == 2
+    assert ids(batch.sales(house)) == ["B", "E", "WEB-1"]
+    assert ids(batch.rebuild_facts(house)) == ["B", "E", "WEB-1"]
+
+
+def test_dead_letters_are_handed_on(house):
+    sent = []
+    run(house, [message(), message(order_id="C", channel="phone")], 0, dead_letter_sink=lambda letters: sent.extend(letters.collect()))
+    assert [json.loads(r["value"])["original"]["order_id"] for r in sent] == ["C"]
 
 
 def test_failing_column_test_fails_the_run(house, monkeypatch):
@@ -160,6 +218,9 @@ def test_failing_column_test_fails_the_run(house, monkeypatch):
         run(house, [message()], 0)
     row = house.read("monitoring", "pipeline_runs").first()
     assert row["dq_status"] == "ERROR" and "store_code" in row["notes"]
+    assert batch.sales(house).count() == 0 and batch.progress(house)[0] == -1
+    monkeypatch.undo()
+    assert run(house, [message()], 0).newly_processed == 1  # the order was still pending
 
 
 def test_alert_marks_the_run_but_does_not_fail_it(house):

@@ -28,13 +28,6 @@ def test_duplicate_rate(spark):
     assert value(quality.duplicate_rate(landed(spark, ("a", 1, 0), ("a", 1, 0), ("b", 1, 0)))) == 33.33
 
 
-def test_duplicate_rate_against_earlier_loads(spark):
-    here = landed(spark, ("a", 1, 0), ("b", 1, 0), ("b", 1, 0), ("c", 1, 0))
-    new = here.filter("order_id <> 'a'")
-    assert value(quality.duplicate_rate(here, new)) == 50.0
-    assert value(quality.duplicate_rate(here.limit(0), new.limit(0))) is None
-
-
 def test_orphan_rate(spark):
     fact = spark.createDataFrame([(1,), (1,), (2,), (None,)], "product_key int")
     dim = spark.createDataFrame([(1,)], "product_key int")
