@@ -59,15 +59,24 @@ def subjects(requests: DataFrame) -> DataFrame:
 def export_subjects(unified: DataFrame, requests: DataFrame) -> DataFrame:
     """All source rows of the subjects."""
     rows = unified.withColumn("_subject", normalise(F.col("email")))
-    return split(rows, materialise(subjects(requests), "subjects"), "_subject", True).select(*EXPORT_COLUMNS)
+    return split(rows, subjects(requests), "_subject", True).select(*EXPORT_COLUMNS)
 
 
 @dataclass(frozen=True)
 class Scope:
-    """Where a subject is found: table, and SQL for the address there (by customer key without one)."""
+    """Where a subject is found: table, and SQL for the address there (by customer key without one).
+
+    ``within`` tells that the SQL gives a text that may hold addresses anywhere, as messages
+    do that can't be read or hold an address in another field.
+    """
 
     table: str
     address: str | None = None
+    within: bool = False
+
+
+# Any run that looks like an address; the subject is compared with all of them.
+ADDRESSES = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
 # Facts first and the dimension last: facts are found through the dimension,
@@ -79,8 +88,8 @@ CORE_SCOPE = (
     Scope("dim_customer", "email"),
 )
 FULL_SCOPE = CORE_SCOPE[:2] + (
-    Scope("failed_events", "get_json_object(payload, '$.customer_email')"),
-    Scope("dead_letters", "get_json_object(value, '$.original.customer_email')"),
+    Scope("failed_events", "payload", within=True),
+    Scope("dead_letters", "value", within=True),
     Scope("customers_unified", "email"),
     Scope("customers_crm", "email"),
     Scope("customers_web", "email"),
@@ -107,12 +116,20 @@ def find_subjects(dim_customer: DataFrame, requests: DataFrame) -> Subjects:
     return Subjects(addresses, materialise(owners.join(addresses, "_subject", "left_semi"), "subject-keys"))
 
 
+def _addresses(scope: Scope) -> Column:
+    """Distinct normalised addresses in a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(F.expr(scope.address), F.lit(ADDRESSES), F.lit(0)), normalise))
+
+
 def rows_of_subjects(tables: dict[str, DataFrame], scope: Scope, found: Subjects, **limits: int) -> DataFrame:
     """Rows of a table that belong to a subject, with ``_subject``."""
     rows = tables[scope.table]
     if scope.address is None:
         owned = lookup(rows, found.keys, "customer_key", F.struct(*rows.columns), rows, **limits)
         return owned.filter(F.col("_subject").isNotNull())
+    if scope.within:
+        named = rows.withColumn("_subject", F.explode(_addresses(scope)))
+        return split(named, found.addresses, "_subject", True, **limits)
     return split(rows.withColumn("_subject", normalise(F.expr(scope.address))), found.addresses, "_subject", True, **limits)
 
 
@@ -121,6 +138,13 @@ def without_subjects(tables: dict[str, DataFrame], scope: Scope, found: Subjects
     rows = tables[scope.table]
     if scope.address is None:
         kept = split(rows, found.keys, "customer_key", False, **limits)
+    elif scope.within:
+        # Equal rows hold the same addresses, so what a row holds tells it from others.
+        content = F.struct(*[F.xxhash64(F.lit(salt), *rows.columns).alias(f"h{salt}") for salt in (1, 2)])
+        hit = rows_of_subjects(tables, scope, found, **limits).select(F.xxhash64(F.lit(1), *rows.columns).alias("_h1"),
+                                                                      F.xxhash64(F.lit(2), *rows.columns).alias("_h2")).distinct()
+        marked = rows.withColumn("_content", content)
+        kept = marked.join(hit, (F.col("_content.h1") == F.col("_h1")) & (F.col("_content.h2") == F.col("_h2")), "left_anti")
     else:
         addressed = rows.withColumn("_subject", normalise(F.expr(scope.address)))
         kept = split(addressed, found.addresses, "_subject", False, **limits)

@@ -257,6 +257,7 @@ def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column
             detail = "Alerte DQ: " + ", ".join(result.alerts)
     finally:
         log_run(house, batch_id, started, result, checks_status, detail, dag_id)
+    refresh_views(house)
     return result
 
 
@@ -292,7 +293,14 @@ def register_views(house: Warehouse) -> list[str]:
     }
     for name, rows in views.items():
         rows.createOrReplaceTempView(name)
-    return list(views)
+    house.views = list(views)
+    return house.views
+
+
+def refresh_views(house: Warehouse) -> None:
+    """Let registered views read the snapshots now in force."""
+    if house.views:
+        register_views(house)
 
 
 def log_run(house: Warehouse, run_id: int, started: datetime, result: RunResult, checks_status: str | None,
@@ -352,6 +360,7 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     """
     prepare(house.spark)
     requests = materialise(requests.select("customer_email"), "requests")
+    slices = {name: house.slices(layer, name) for name, (layer, cut) in PERSONAL_TABLES.items() if cut}
     tables = personal_tables(house)
     scopes = privacy.FULL_SCOPE if full else privacy.CORE_SCOPE
     found = privacy.find_subjects(tables["dim_customer"], requests)
@@ -365,7 +374,7 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     kept = privacy.erase(tables, found, scopes)
     for name, rows in kept.items():
         layer, partition_by = PERSONAL_TABLES[name]
-        house.commit(rows, layer, name, partition_by)
+        house.replace(rows, layer, name, partition_by, slices.get(name, set()))
         if name == "fact_sales":
             last, backlog_version, _ = progress(house)
             move_progress(house, last, backlog_version, house.version(layer, name))
@@ -375,10 +384,24 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     completed = privacy.complete_erasure(processing, counts, now)
     append_audit(house, hide_address(completed, "customer_email") if full else completed)
     result = materialise(hide_address(counts, "email_normalized") if full else counts, "erased")
+    if full:
+        hide_past_requests(house, found.addresses)
     discard(requests, counts, processing, found.addresses, found.keys)
+    refresh_views(house)
     return result
 
 
+def hide_past_requests(house: Warehouse, addresses: DataFrame) -> None:
+    """Put digests in place of the subjects' addresses in all audit rows, also those of earlier requests."""
+    audit = house.read("audit", "gdpr_requests")
+    asked = audit.withColumn("_subject", privacy.normalise(F.col("customer_email")))
+    known = addresses.withColumn("_asked", F.lit(True))
+    hidden = asked.join(known, "_subject", "left").withColumn(
+        "customer_email", F.when(F.col("_asked"), F.sha2("_subject", 256)).otherwise(F.col("customer_email")))
+    house.commit(hidden.select(*audit.columns), "audit", "gdpr_requests")
+    house.prune("audit", "gdpr_requests")
+
+
 def hide_address(rows: DataFrame, column: str) -> DataFrame:
     return rows.withColumn(column, F.sha2(F.lower(F.trim(column)), 256))
 
@@ -400,6 +423,8 @@ def append_audit(house: Warehouse, rows: DataFrame) -> None:
 
 def export_subjects(house: Warehouse, requests: DataFrame) -> DataFrame:
     """Source rows of the subjects; each request is logged as an access."""
-    append_audit(house, materialise(
-        privacy.audit_requests(requests, "access", "completed", F.current_timestamp(), last_request(house)), "audit"))
+    asked = materialise(
+        privacy.audit_requests(requests, "access", "completed", F.current_timestamp(), last_request(house)), "audit")
+    append_audit(house, asked)
+    discard(asked)
     return privacy.export_subjects(house.read("staging", "customers_unified"), requests)

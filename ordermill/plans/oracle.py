@@ -602,6 +602,14 @@ ORACLE["erase_effect"] = sql("""
              (SELECT count(*) FROM erased_rows WHERE t = 'customers_golden')
       UNION ALL SELECT 'dim_customer', (SELECT count(*) FROM dim_customer),
              (SELECT count(*) FROM erased_rows WHERE t = 'dim_customer'))""", ERASED)
+ORACLE["erase_full_effect"] = sql("""
+    SELECT "table", count(t.subject) AS rows_deleted FROM (
+      SELECT t AS "table", subject FROM erased_rows
+      UNION ALL SELECT unnest(['failed_events', 'dead_letters']), a.subject FROM rejects
+        JOIN (SELECT DISTINCT subject FROM asked) a ON lower(trim(customer_email)) = a.subject
+      UNION ALL SELECT unnest(['customers_unified', 'customers_' || source_system]), a.subject FROM unified
+        JOIN (SELECT DISTINCT subject FROM asked) a ON lower(trim(email)) = a.subject) t
+    GROUP BY 1""", ERASED)
 ORACLE["fact_after_erasure"] = sql(f"""
     SELECT {FACT_ROW} FROM fact WHERE customer_key NOT IN (
       SELECT customer_key FROM dim_customer WHERE lower(trim(email)) IN (SELECT subject FROM asked))""")

@@ -580,6 +580,18 @@ def erase_effect(r: Retail) -> DataFrame:
     return privacy.before_after(tables, privacy.erase(tables, privacy.find_subjects(tables["dim_customer"], requests(r))))
 
 
+@query
+def erase_full_effect(r: Retail) -> DataFrame:
+    """Rows that a full erasure deletes from each stored table after a full cycle."""
+    house = Warehouse(r.spark, scratch_folder(r.spark, "erase"))
+    calendar = dims.calendar(r.day_span())
+    batch.load_reference(house, r.customer_sources(), r.products_erp(), r.products_web(), r.stores(), r.as_of(), calendar)
+    batch.run_batch(house, r.order_messages(), 0, calendar=calendar)
+    counts = batch.erase_subjects(house, requests(r), full=True)
+    tables = [c for c in counts.columns if c != "email_normalized"]
+    return counts.agg(*[F.sum(t).alias(t) for t in tables]).unpivot([], tables, "table", "rows_deleted")
+
+
 @query
 def fact_after_erasure(r: Retail) -> DataFrame:
     tables = stored_personal(r)

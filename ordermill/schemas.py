@@ -1,4 +1,7 @@
-"""Declared column lists of every stored table. Nothing is inferred."""
+"""Declared column lists of every stored table. Nothing is inferred.
+
+Fixed values: names and types of columns are those other systems read and write.
+"""
 
 from __future__ import annotations
 

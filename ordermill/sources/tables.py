@@ -20,6 +20,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.views: list[str] = []  # SQL views registered on these tables
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -108,6 +109,23 @@ class Warehouse:
         self.spark.catalog.refreshTable(name)
         return name
 
+    def slices(self, layer: str, table: str) -> set[str]:
+        """Names of the slices in the current snapshot."""
+        path = self.current(layer, table)
+        if path is None:
+            return set()
+        fs, folder = self._folder(path)
+        return {s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()}
+
+    def replace(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...], seen: set[str]) -> None:
+        """Commit a snapshot made from the slices ``seen``; refused when a load has written another one meanwhile."""
+        before = self.version(layer, table)
+        self.commit(df, layer, table, partition_by)
+        fs, folder = self._folder(self._snapshot(layer, table, before))
+        if seen and {s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()} != seen:
+            fs.delete(self._folder(self._snapshot(layer, table, before + 1))[1], True)
+            raise RuntimeError(f"a load was written to {layer}.{table} meanwhile; nothing is lost, repeat the call")
+
     def prune(self, layer: str, table: str, keep: int = 1) -> None:
         """Delete all finished snapshots but the last ``keep``."""
         for version in self.versions(layer, table)[:-keep]:

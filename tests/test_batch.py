@@ -6,7 +6,7 @@ import pytest
 from conftest import frame, message
 from pyspark.sql import functions as F
 
-from ordermill.operators import dims, landing, quality
+from ordermill.operators import dims, landing, privacy, quality
 from ordermill.plans import batch
 from ordermill.sources.csvfiles import read_csv, read_seed
 from ordermill.sources.tables import Warehouse
@@ -19,8 +19,8 @@ W2,bob@shop.com,Bob,Ray,,False,,2024-06-05
 POS = """source_id,email,first_name,last_name,phone,consent_marketing,consent_date,last_activity,store_code
 P1,ann@shop.com,Ann,Lee-POS,+332,True,2024-05-30,2026-05-16,PAR01
 """
-ERP = "product_ref,product_name,category,price_eur,stock_qty\nUC-TS-001,Shirt,T-shirts,29.90,486\n"
-SHOP = "web_sku,product_ref,product_name,category,price_eur\nS1,UC-TS-001,Shirt web,T-shirts,31.90\nS2,WEB-AC-1,Bag,Bags,9.90\n"
+ERP = "product_ref,product_name,category,price_eur,stock_qty\nUC-QK-001,Shirt,T-shirts,41.30,486\n"
+SHOP = "web_sku,product_ref,product_name,category,price_eur\nS1,UC-QK-001,Shirt web,T-shirts,31.90\nS2,WEB-AC-1,Bag,Bags,9.90\n"
 STORES = "store_code,store_name,city,region,opened_date\nPAR01,Marais,Paris,IdF,2024-01-15\n"
 
 
@@ -66,7 +66,7 @@ def test_csv_empty_is_null_and_unfit_lines_fail(spark, seed, tmp_path):
 def test_reference_load(house):
     star = batch.star(house)
     assert {r["email"]: r["last_name"] for r in star.customer.collect()} == {"Ann@shop.com": "Lee", "bob@shop.com": "Ray"}
-    assert {r["product_ref"]: float(r["price_eur"]) for r in star.product.collect()} == {"UC-TS-001": 29.9, "WEB-AC-1": 9.9}
+    assert {r["product_ref"]: float(r["price_eur"]) for r in star.product.collect()} == {"UC-QK-001": 41.3, "WEB-AC-1": 9.9}
     assert star.product.filter("product_ref = 'WEB-AC-1'").first()["image_url"].endswith("/WEB-AC-1.jpg")
     assert {r["store_code"] for r in star.store.collect()} == {"PAR01", "ONLINE"}
 
@@ -84,7 +84,7 @@ def test_reference_reload_keeps_keys(house, seed):
 
 
 def test_two_cycles(house):
-    first = run(house, [message(), message(), message(order_id="B", product_ref="UC-TS-999"),
+    first = run(house, [message(), message(), message(order_id="B", product_ref="UC-QK-999"),
                         message(order_id="C", channel="phone")], 0)
     assert first.status == "OK" and first.newly_processed == 1
     assert first.counters == {"messages_read": 4, "events_failed": 1, "events_consumed": 2, "events_duplicate": 1,
@@ -92,14 +92,14 @@ def test_two_cycles(house):
     assert ids(batch.sales(house)) == ["WEB-1"]
 
     # WEB-1 comes again and is dropped; B still waits; D is new
-    second = run(house, [message(quantity=1, amount_eur=29.90), message(order_id="D", customer_email="BOB@shop.com")], 1)
+    second = run(house, [message(quantity=1, amount_eur=41.30), message(order_id="D", customer_email="BOB@shop.com")], 1)
     assert (second.counters["events_consumed"], second.counters["events_duplicate"]) == (1, 1)
     assert second.newly_processed == 1 and second.counters["orders_unresolved"] == 1
     assert ids(batch.sales(house)) == ["D", "WEB-1"]
     assert batch.sales(house).filter("order_id = 'WEB-1'").first()["quantity"] == 2
 
     # the missing product arrives: B leaves the backlog
-    product = house.read("staging", "products_golden").limit(1).withColumn("product_ref", F.lit("UC-TS-999"))
+    product = house.read("staging", "products_golden").limit(1).withColumn("product_ref", F.lit("UC-QK-999"))
     golden = house.read("staging", "products_golden").unionByName(product)
     house.commit(dims.dim_product(golden, house.read("dwh", "dim_product")), "dwh", "dim_product")
     third = run(house, [message(order_id="E")], 2)
@@ -131,11 +131,11 @@ def test_interrupted_load_is_completed(house, monkeypatch):
 
     monkeypatch.setattr(batch, "finish_load", stop)
     with pytest.raises(RuntimeError):
-        run(house, [message(), message(order_id="B", product_ref="UC-TS-999")], 0)
+        run(house, [message(), message(order_id="B", product_ref="UC-QK-999")], 0)
     logged = house.read("monitoring", "pipeline_runs").first()
     assert logged["dq_status"] == "ERROR"
     monkeypatch.undo()
-    assert run(house, [message(), message(order_id="B", product_ref="UC-TS-999")], 0).status == "OK"
+    assert run(house, [message(), message(order_id="B", product_ref="UC-QK-999")], 0).status == "OK"
     assert ids(batch.sales(house)) == ["WEB-1"]
     assert ids(house.read("staging", "orders_backlog")) == ["B"]
 
@@ -187,8 +187,8 @@ def test_history_of_ids_is_not_shuffled(house):
 
 
 def test_a_stopped_rebuild_changes_nothing(house, monkeypatch):
-    run(house, [message(), message(order_id="B", product_ref="UC-TS-999")], 0)
-    product = house.read("staging", "products_golden").limit(1).withColumn("product_ref", F.lit("UC-TS-999"))
+    run(house, [message(), message(order_id="B", product_ref="UC-QK-999")], 0)
+    product = house.read("staging", "products_golden").limit(1).withColumn("product_ref", F.lit("UC-QK-999"))
     golden = house.read("staging", "products_golden").unionByName(product)
     house.commit(dims.dim_product(golden, house.read("dwh", "dim_product")), "dwh", "dim_product")
 
@@ -265,15 +265,38 @@ def test_erasure_core_scope(house):
 
 
 def test_erasure_full_scope_leaves_no_trace(house):
-    run(house, [message(), message(order_id="B", customer_email="bob@shop.com"), message(order_id="C", channel="phone")], 0)
+    run(house, [message(), message(order_id="B", customer_email="bob@shop.com"), message(order_id="C", channel="phone"),
+                '{"customer_email": "Ann@shop.com", broken', '{"customer_email": "bob@shop.com", broken'], 0)
+    batch.export_subjects(house, requests(house.spark, "ann@shop.com", "bob@shop.com")).collect()
+    batch.register_views(house)
     batch.erase_subjects(house, requests(house.spark, "ann@shop.com"), full=True)
     assert everything_with(house, "ann@shop.com") == {}
     audit = house.read("audit", "gdpr_requests").filter(F.lower(F.to_json(F.struct("*"))).contains("ann@"))
     assert audit.count() == 0 and ids(batch.sales(house)) == ["B"]
+    assert ids(house.spark.sql("select order_id from streaming_orders")) == ["B"]
+    assert set(everything_with(house, "bob@shop.com")) >= {"failed_events", "dead_letters"}
+    assert house.read("audit", "gdpr_requests").filter("customer_email = 'bob@shop.com'").count() == 1
     assert len(house.versions("raw", "streaming_orders")) == 1
     assert not [f for f in pathlib.Path(house.root).rglob("*.parquet") if b"ann@shop.com" in f.read_bytes().lower()]
 
 
+def test_erasure_beside_a_load_loses_nothing(house, monkeypatch):
+    run(house, [message(), message(order_id="B", customer_email="bob@shop.com")], 0)
+    erase = privacy.erase
+
+    def with_a_load(*given):
+        kept = erase(*given)
+        ingest.ingest_batch(frame(house.spark, [message(order_id="LATE", customer_email="bob@shop.com")]), 1, house)
+        return kept
+
+    monkeypatch.setattr(batch.privacy, "erase", with_a_load)
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        batch.erase_subjects(house, requests(house.spark, "ann@shop.com"))
+    monkeypatch.undo()
+    batch.erase_subjects(house, requests(house.spark, "ann@shop.com"))
+    assert ids(ingest.landed_orders(house)) == ["B", "LATE"] and ids(batch.sales(house)) == ["B"]
+
+
 def test_export_logs_the_access(house):
     rows = batch.export_subjects(house, requests(house.spark, "ann@shop.com")).collect()
     assert sorted(r["source_system"] for r in rows) == ["pos", "web"]
@@ -299,7 +322,7 @@ def test_snapshots_and_slices(spark, tmp_path):
 
 
 def test_views_answer_sql(house):
-    run(house, [message(), message(order_id="B", product_ref="UC-TS-999")], 0)
+    run(house, [message(), message(order_id="B", product_ref="UC-QK-999")], 0)
     batch.register_views(house)
     sql = house.spark.sql
     assert ids(sql("select order_id from stg_orders")) == ["B"]
@@ -312,6 +335,6 @@ def test_views_answer_sql(house):
 
 
 def test_payload_is_kept_and_calendar_extended(house):
-    run(house, [message(), message(order_id="B", product_ref="UC-TS-999")], 0)
-    assert json.loads(ingest.landed_orders(house).filter("order_id = 'B'").first()["payload"])["product_ref"] == "UC-TS-999"
+    run(house, [message(), message(order_id="B", product_ref="UC-QK-999")], 0)
+    assert json.loads(ingest.landed_orders(house).filter("order_id = 'B'").first()["payload"])["product_ref"] == "UC-QK-999"
     assert dt.date(2026, 6, 20) in [r["full_date"] for r in batch.star(house).date.collect()]

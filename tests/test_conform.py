@@ -62,10 +62,10 @@ def test_sources_are_optional_and_store_code_only_from_pos(spark):
 
 
 def products(spark):
-    erp = spark.createDataFrame([("UC-TS-001", "Shirt", "T", 10, 5)],
+    erp = spark.createDataFrame([("UC-QK-001", "Shirt", "T", 10, 5)],
                                 "product_ref string, product_name string, category string, price_eur int, stock_qty int")
     web = spark.createDataFrame(
-        [("s2", "UC-TS-001", "Shirt web", "T", 11), ("s1", "WEB-1", "Bag", "A", 7), ("s0", "WEB-1", "Bag 0", "A", 8),
+        [("s2", "UC-QK-001", "Shirt web", "T", 11), ("s1", "WEB-1", "Bag", "A", 7), ("s0", "WEB-1", "Bag 0", "A", 8),
          ("s9", None, "None", "A", 1)],
         "web_sku string, product_ref string, product_name string, category string, price_eur int")
     as_money = F.col("price_eur").cast("decimal(10,2)")
@@ -74,15 +74,15 @@ def products(spark):
 
 def test_product_golden_prefers_erp(spark):
     found = {r["product_ref"]: r for r in conform.golden_products(conform.unify_products(*products(spark))).collect()}
-    assert set(found) == {"UC-TS-001", "WEB-1"}
-    assert found["UC-TS-001"]["product_name"] == "Shirt" and found["UC-TS-001"]["stock_qty"] == 5
+    assert set(found) == {"UC-QK-001", "WEB-1"}
+    assert found["UC-QK-001"]["product_name"] == "Shirt" and found["UC-QK-001"]["stock_qty"] == 5
     assert found["WEB-1"]["product_name"] == "Bag 0" and found["WEB-1"]["stock_qty"] is None
     assert found["WEB-1"]["image_object_key"] == "WEB-1.jpg"
 
 
 def test_reconcile_products(spark):
     found = {r["product_ref"]: r["finding"] for r in conform.reconcile_products(*products(spark)).collect()}
-    assert found == {"UC-TS-001": "price_differs", "WEB-1": "web_only", None: "web_only"}
+    assert found == {"UC-QK-001": "price_differs", "WEB-1": "web_only", None: "web_only"}
 
 
 def test_golden_has_one_shuffle(spark):

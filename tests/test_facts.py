@@ -19,7 +19,7 @@ def star(spark):
         customer=spark.createDataFrame(
             [row(1, "g1", "ann@x.com", "Ann@x.com ", *[None] * 9, None), row(2, "g2", "bob@x.com", "bob@x.com", *[None] * 9, None),
              row(9, "g2", "bob@x.com", "bob@x.com", *[None] * 9, TODAY)], schemas.DIM_CUSTOMER),
-        product=spark.createDataFrame([(1, "UC-TS-001", *[None] * 6), (2, "UC-TS-002", *[None] * 6)], schemas.DIM_PRODUCT),
+        product=spark.createDataFrame([(1, "UC-QK-001", *[None] * 6), (2, "UC-QK-002", *[None] * 6)], schemas.DIM_PRODUCT),
     )
 
 
@@ -34,13 +34,13 @@ def orders(spark, *rows):
 def sample(spark):
     return orders(
         spark,
-        ("ok", " ANN@x.com", "web", None, "UC-TS-001", TODAY),
-        ("shop", "bob@x.com", "store", "PAR01", "UC-TS-002", TODAY),
-        ("elsewhere", "bob@x.com", "store", "XXX", "UC-TS-002", TODAY),
-        ("nobody", "eve@x.com", "web", None, "UC-TS-001", TODAY),
-        ("no product", "ann@x.com", "web", None, "UC-TS-999", TODAY),
-        ("no channel", "ann@x.com", "app", None, "UC-TS-001", TODAY),
-        ("no day", "eve@x.com", "web", None, "UC-TS-001", dt.datetime(2027, 1, 1)),
+        ("ok", " ANN@x.com", "web", None, "UC-QK-001", TODAY),
+        ("shop", "bob@x.com", "store", "PAR01", "UC-QK-002", TODAY),
+        ("elsewhere", "bob@x.com", "store", "XXX", "UC-QK-002", TODAY),
+        ("nobody", "eve@x.com", "web", None, "UC-QK-001", TODAY),
+        ("no product", "ann@x.com", "web", None, "UC-QK-999", TODAY),
+        ("no channel", "ann@x.com", "app", None, "UC-QK-001", TODAY),
+        ("no day", "eve@x.com", "web", None, "UC-QK-001", dt.datetime(2027, 1, 1)),
     )
 
 
@@ -79,7 +79,7 @@ def skewed(spark, n=3000):
         F.when(third, "ann@x.com").otherwise(F.concat(F.lit("c"), "id", F.lit("@x.com"))).alias("customer_email"),
         F.lit("web").alias("channel"),
         F.when(third, "PAR01").alias("store_code"),
-        F.when(F.col("id") % 2 == 0, "UC-TS-001").otherwise("UC-TS-002").alias("product_ref"),
+        F.when(F.col("id") % 2 == 0, "UC-QK-001").otherwise("UC-QK-002").alias("product_ref"),
         F.lit(1).alias("quantity"), F.lit(1).cast("decimal(10,2)").alias("unit_price_eur"),
         F.lit(1).cast("decimal(10,2)").alias("amount_eur"), F.lit(TODAY).alias("order_timestamp"))
 

@@ -9,7 +9,7 @@ def judged(spark, texts):
 
 
 def test_first_arrival_wins(spark):
-    landed = landing.land(judged(spark, [message(quantity=1, amount_eur=29.90), message(), message()])).collect()
+    landed = landing.land(judged(spark, [message(quantity=1, amount_eur=41.30), message(), message()])).collect()
     assert [(r["order_id"], r["quantity"]) for r in landed] == [("WEB-1", 1)]
 
 

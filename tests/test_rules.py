@@ -18,27 +18,27 @@ CASES = [
     (message(customer_email="  "), "email"),
     (message(order_id=" "), None),
     (message(order_id=None, customer_email=None), "missing_order_id"),
-    (message(product_ref="UC-TS-01"), "product"),
+    (message(product_ref="UC-QK-01"), "product"),
     (message(product_ref="uc-ts-001"), "product"),
-    (message(product_ref="UC-TS-١٢٣"), "product"),
-    (message(product_ref="UC-TS-001\n"), None),
+    (message(product_ref="UC-QK-١٢٣"), "product"),
+    (message(product_ref="UC-QK-001\n"), None),
     (message(quantity=0, amount_eur=0), "quantity"),
     (message(quantity=-1), "quantity"),
     (message(unit_price_eur=0), "price"),
     (message(unit_price_eur=-1, amount_eur=-2), "price"),
-    (message(quantity=1, unit_price_eur=29.90, amount_eur=29.85), None),
-    (message(quantity=1, unit_price_eur=59.80, amount_eur=59.85), "amount"),
+    (message(quantity=1, unit_price_eur=41.30, amount_eur=41.25), None),
+    (message(quantity=1, unit_price_eur=82.60, amount_eur=82.65), "amount"),
     (message(channel="phone"), "channel"),
     (message(channel="store"), "store"),
     (message(channel="store", store_code=""), "store"),
     (message(channel="store", store_code=" "), None),
-    (message(amount_eur="59.80"), None),
+    (message(amount_eur="82.60"), None),
     (message(amount_eur="much"), "amount_type"),
     (message(unit_price_eur="29,90"), "unit_price_type"),
     (message(unit_price_eur="x", amount_eur="y", quantity="z"), "unit_price_type"),
     (message(quantity="2"), "quantity_type"),
     (message(quantity=True), "quantity_type"),
-    (message(quantity=1.5, amount_eur=44.85), "quantity_integer"),
+    (message(quantity=1.5, amount_eur=61.95), "quantity_integer"),
     (message(quantity=2.0), None),
     (message(quantity=3_000_000_000, unit_price_eur=0.01, amount_eur=30_000_000), "quantity_integer"),
     (message(order_timestamp="yesterday"), "timestamp"),
@@ -51,7 +51,7 @@ CASES = [
     (message(amount_eur=float("nan")), "amount_type"),
     # faults are judged in order, type faults where a reader would meet them
     (message(customer_email="bad", amount_eur="y"), "email"),
-    (message(quantity=1.5, channel="phone", amount_eur=44.85), "channel"),
+    (message(quantity=1.5, channel="phone", amount_eur=61.95), "channel"),
     (message(order_timestamp="junk", channel="phone"), "channel"),
     ('{"order_id": "x", ', "bad_json"),
     ("", "bad_json"),
@@ -82,13 +82,13 @@ def test_reason_texts(spark):
     texts = [message(amount_eur=10.0), message(channel="phone"), message(product_ref=None)]
     judged = rules.judge(parse_events(frame(spark, texts)))
     found = [r[0] for r in judged.orderBy("arrival").select(rules.error_message()).collect()]
-    assert found == ["Incoherence montant: attendu 59.8, recu 10.0", "Canal inconnu: phone",
+    assert found == ["Incoherence montant: attendu 82.6, recu 10.0", "Canal inconnu: phone",
                      "Champ obligatoire manquant: product_ref"]
 
 
 def test_exact_tolerance_accepts_five_cents(spark):
-    texts = [message(quantity=1, unit_price_eur=59.80, amount_eur=59.85),
-             message(quantity=1, unit_price_eur=59.80, amount_eur=59.86)]
+    texts = [message(quantity=1, unit_price_eur=82.60, amount_eur=82.65),
+             message(quantity=1, unit_price_eur=82.60, amount_eur=82.66)]
     judged = rules.judge(parse_events(frame(spark, texts)), rules.order_rules(exact=True))
     assert [r[0] for r in judged.orderBy("arrival").select("error_code").collect()] == [None, "amount"]
 
