@@ -38,6 +38,7 @@ from ordermill.session import materialise
 
 CHUNK_ROWS = 1024
 CHUNK_SHINGLES = 2_000_000
+TASK_SHINGLES = 500_000  # about what a task compares; its rows are few bytes
 
 
 @dataclass(frozen=True)
@@ -295,7 +296,7 @@ def shared_counts(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def verify(members: DataFrame, s: Settings) -> DataFrame:
+def verify(members: DataFrame, s: Settings, tasks: int) -> DataFrame:
     """Links (a, b) of rows whose full sets reach the threshold, enough to connect each group of (cluster, i, j, id, packed)."""
     kind = dict(members.dtypes)["id"]
 
@@ -324,7 +325,7 @@ def verify(members: DataFrame, s: Settings) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], names=["a", "b"])
                 at = to
 
-    dealt = members.select("cluster", "i", "j", "id", "packed").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
+    dealt = members.select("cluster", "i", "j", "id", "packed").repartition(tasks, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
     return dealt.mapInArrow(run, f"a {kind}, b {kind}")
 
 
@@ -339,10 +340,11 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings(), doc_id: str = "do
     survivors = components(prune(candidates(known, s), s), "a", "b")
     sized = materialise(survivors.select(F.col("node").alias("id"), F.col("root").alias("cluster"))
                         .join(known.groupBy("id").agg(F.max("n").alias("n")), "id"), "clusters")
+    tasks = max(1, -(-(sized.agg(F.sum("n")).first()[0] or 0) // TASK_SHINGLES))
     parts = sized.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / CHUNK_ROWS, F.sum("n") / CHUNK_SHINGLES)).alias("parts"))
     texts = packed(docs, doc_id, text).join(sized.select("id", "cluster"), "id")
     members = chunked(texts.join(parts, "cluster"), "parts", "id")
-    found = components(verify(members, s), "a", "b")
+    found = components(verify(members, s, tasks), "a", "b")
     root = found.select(F.col("node").alias("id"), "root")
     component = classes.join(root, "id", "left").select("fp1", "fp2", "n", F.coalesce("root", "id").alias("component_id"))
     named = sketched.select("id", "n", "fp1", "fp2").join(component, ["fp1", "fp2", "n"], "left")
