@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm import decontaminate, kneser_ney, minhash, mixing, sharding
-from ordermill.llm.common import quoted, table
+from ordermill.llm.common import aside, table
 from ordermill.session import discard, materialise
 
 #: Near-duplicates share four fifths of their five-word shingles.
@@ -22,16 +22,18 @@ SHARDS = 16
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within their language's perplexity threshold."""
+    docs, back = aside(docs, ("doc_id", "text", "lang"))
     model = kneser_ney.fit(docs, table(spark, sf_dir, "labels"))
-    return kneser_ney.classify(docs, model).filter("kept").select([quoted(c) for c in docs.columns])
+    return back(kneser_ney.classify(docs, model).filter("kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group; of rows that share an id, one. Rows without an id can't be told apart and stay."""
+    docs, back = aside(docs, ("doc_id", "text"))
     out = minhash.near_duplicates(docs, NEAR).filter("NOT kept").select("doc_id").distinct()
     own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    left = docs.filter("doc_id IS NOT NULL").join(out, "doc_id", "left_anti").withColumn("_row", F.row_number().over(own))
-    return left.filter("_row = 1").drop("_row").select(docs.columns).union(docs.filter("doc_id IS NULL"))
+    left = docs.filter("doc_id IS NOT NULL").join(out, "doc_id", "left_anti").withColumn("row", F.row_number().over(own))
+    return back(left.filter("row = 1").select(docs.columns).union(docs.filter("doc_id IS NULL")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: rows repeat as their source's blocks do."""
-    return mixing.mix(docs, MIX).select([quoted(c) for c in docs.columns])
+    docs, back = aside(docs, ("doc_id", "text", "source"))
+    return back(mixing.mix(docs, MIX))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

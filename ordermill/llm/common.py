@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 import zstandard
@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordermill.llm.words import frugal
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,6 +28,16 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def aside(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The frame with all columns but ``used`` under names no operator adds, and the way back to the old columns."""
+    names = {c: c if c in used else f"__{k}" for k, c in enumerate(df.columns)}
+
+    def back(rows: DataFrame) -> DataFrame:
+        return rows.select([quoted(names[c]).alias(c) for c in df.columns])
+
+    return df.select([quoted(c).alias(names[c]) for c in df.columns]), back
+
+
 def bounded_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A few driver-side rows (parameters, boundaries) as a frame, with no Python on the executors."""
     parsed = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
@@ -47,4 +59,4 @@ def packed(docs: DataFrame, doc_id: str, text: str, *more: Column) -> DataFrame:
                 texts = pa.array([press.compress(t.encode("utf-8")) if t else b"" for t in part.column(1).to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), texts, *part.columns[2:]], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(frugal(run), schema)

@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import bounded_rows, quoted
@@ -95,21 +95,35 @@ def intervals(places: DataFrame, min_run: int) -> DataFrame:
 
 
 def later_copies(suffixes: DataFrame) -> DataFrame:
-    """Suffixes of an interval but its earliest."""
+    """Suffixes of an interval but its earliest, with that one's place as ``first``."""
     order = F.struct(F.isnull("id").alias("none"), "id", "version", "at")
     earliest = suffixes.groupBy("rank").agg(F.min(order).alias("first"))
-    return suffixes.join(earliest, "rank").filter(order != F.col("first")).select("id", "version", "at")
+    return suffixes.join(earliest, "rank").filter(order != F.col("first")).select("id", "version", "at", "first")
+
+
+def maximal_runs(copies: DataFrame, min_run: int) -> DataFrame:
+    """(id, version, at, n_lines, first_id, first_at): longest runs that repeat lines of one earlier place from end to end.
+
+    Intervals of neighbouring suffixes that lie equally far behind their first places are one run.
+    """
+    one = ["id", "version", "first_id", "first_version", "shift"]
+    placed = copies.select("id", "version", "at", F.col("first.id").alias("first_id"), F.col("first.version").alias("first_version"),
+                           (F.col("at") - F.col("first.at")).alias("shift"))
+    numbered = placed.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy(*one).orderBy("at")))
+    return numbered.groupBy(*one, "run").agg(F.min("at").alias("at"), (F.count("*") + min_run - 1).alias("n_lines")).select(
+        "id", "version", "at", "n_lines", "first_id", (F.col("at") - F.col("shift")).alias("first_at"))
 
 
 def without_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_removed, kept_text) of every document."""
+    """(doc_id, n_lines, n_removed, longest_run, kept_text) of every document; the run in lines, 0 without one."""
     places = materialise(sequences(docs, doc_id, text), "lines")
     suffixes = materialise(intervals(places, min_run), "intervals")
-    covered = later_copies(suffixes).select("id", "version", F.explode(F.sequence("at", F.col("at") + min_run - 1)).alias("at")).distinct()
+    runs = maximal_runs(later_copies(suffixes), min_run)
+    covered = runs.select("id", "version", "n_lines", F.explode(F.sequence("at", F.col("at") + F.col("n_lines").cast("int") - 1)).alias("at"))
     gone = (
-        covered.withColumnsRenamed({"id": "i", "version": "v", "at": "p"})
+        covered.groupBy(F.col("id").alias("i"), F.col("version").alias("v"), F.col("at").alias("p")).agg(F.max("n_lines").alias("run"))
         .join(places.select("id", "version", "at", "line"), F.col("id").eqNullSafe(F.col("i")) & (F.col("version") == F.col("v")) & (F.col("at") == F.col("p")))
-        .groupBy("i", "v").agg(F.collect_list("line").alias("gone"))
+        .groupBy("i", "v").agg(F.collect_list("line").alias("gone"), F.max("run").alias("longest"))
     )
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).cast("string").alias("text")).withColumn("version", version(F.col("text")))
     met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("version") == F.col("v")), "left")
@@ -118,4 +132,5 @@ def without_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN, doc_id: str =
     return met.withColumn("all", lines).select(
         "doc_id", F.size(F.filter("all", lambda x: x.rlike(WORDED))).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("longest", F.lit(0)).cast("long").alias("longest_run"),
         F.array_join(F.transform(left, lambda i: F.element_at("all", i + 1)), "\n").alias("kept_text"))

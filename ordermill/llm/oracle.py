@@ -84,10 +84,18 @@ windows AS (
   FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY nr)
 ),
 later AS (
-  SELECT doc_id, nr FROM (
-    SELECT doc_id, nr, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, nr) AS nth FROM windows WHERE c IS NOT NULL)
+  SELECT * FROM (
+    SELECT doc_id, nr, row_number() OVER w AS nth, first_value(doc_id) OVER w AS first_doc, nr - first_value(nr) OVER w AS shift
+    FROM windows WHERE c IS NOT NULL WINDOW w AS (PARTITION BY a, b, c ORDER BY doc_id, nr))
   WHERE nth > 1
 ),
+longest AS (
+  SELECT doc_id, max(n) AS longest_run FROM (
+    SELECT doc_id, count(*) + 2 AS n
+    FROM (SELECT *, nr - row_number() OVER (PARTITION BY doc_id, first_doc, shift ORDER BY nr) AS run FROM later)
+    GROUP BY doc_id, first_doc, shift, run)
+  GROUP BY doc_id
+),
 gone AS (
   SELECT DISTINCT w.doc_id, w.line FROM worded w
   JOIN (SELECT doc_id, unnest([nr, nr + 1, nr + 2]) AS nr FROM later) USING (doc_id, nr)
@@ -97,6 +105,7 @@ kept AS (
          coalesce(string_agg(e.said, chr(10) ORDER BY e.line) FILTER (g.line IS NULL), '') AS text
   FROM every e LEFT JOIN gone g USING (doc_id, line) GROUP BY e.doc_id
 )
-SELECT doc_id, count(nr)::BIGINT AS n_lines, any_value(n_removed)::BIGINT AS n_removed, sha256(any_value(kept.text)) AS kept_sha256
-FROM kept LEFT JOIN worded USING (doc_id) GROUP BY doc_id
+SELECT doc_id, count(nr)::BIGINT AS n_lines, any_value(n_removed)::BIGINT AS n_removed,
+       coalesce(any_value(longest_run), 0)::BIGINT AS longest_run, sha256(any_value(kept.text)) AS kept_sha256
+FROM kept LEFT JOIN worded USING (doc_id) LEFT JOIN longest USING (doc_id) GROUP BY doc_id
 """

@@ -88,4 +88,4 @@ def op8_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of three lines or more that occur earlier in the corpus."""
     kept = lines.without_repeated_runs(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_lines", "n_removed", "longest_run", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -19,9 +19,17 @@ def brute(rows, run):
     out = []
     for i, text, *_ in rows:
         w = worded(text)
-        gone = {w[k + j][0] for k in range(len(w) - run + 1) if first[tuple(x for _, x in w[k: k + run])] < (order(i, text), k) for j in range(run)}
+        at = {k: first[tuple(x for _, x in w[k: k + run])] for k in range(len(w) - run + 1)}
+        late = {k: f for k, f in at.items() if f < (order(i, text), k)}
+        gone = {w[k + j][0] for k in late for j in range(run)}
+        longest = 0
+        for k in late:  # as far as the next window repeats the place behind the first of this one
+            n = 0
+            while k + n in late and late[k + n] == (late[k][0], late[k][1] + n):
+                n += 1
+            longest = max(longest, n + run - 1)
         kept = "\n".join(x for k, x in enumerate((text or "").split("\n")) if k not in gone)
-        out.append((i, len(w), len(gone), kept))
+        out.append((i, len(w), len(gone), longest, kept))
     return sorted(out, key=str)
 
 
@@ -58,4 +66,4 @@ def test_ranks_are_dense_and_ordered(spark):
 
 def test_empty_table(spark):
     assert lines.without_repeated_runs(cases.frame(spark, [])).count() == 0
-    assert [tuple(r) for r in lines.without_repeated_runs(cases.frame(spark, [(1, None, "en", "a", 0)])).collect()] == [(1, 0, 0, "")]
+    assert [tuple(r) for r in lines.without_repeated_runs(cases.frame(spark, [(1, None, "en", "a", 0)])).collect()] == [(1, 0, 0, 0, "")]

@@ -76,6 +76,7 @@ def test_pipeline_survives_awkward_documents(spark):
         out = stage(spark, docs, FOLDER)
         docs = corpus_pipeline.materialise(out, "stage")
         assert 0 < docs.count() <= 2 * rows
+        assert {r.kept for r in docs.select("kept").collect()} == {r.block for r in docs.select("block").collect()} == {"theirs"}
     nothing = cases.frame(spark, [])
     for name, stage in corpus_pipeline.STAGES:
         nothing = stage(spark, nothing, FOLDER)
