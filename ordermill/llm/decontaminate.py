@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.common import quoted
 from ordermill.llm.words import batches as text_batches
-from ordermill.llm.words import mixed
+from ordermill.llm.words import frugal, mixed
 
 Q = 12
 WINDOW = 100
@@ -209,14 +209,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = Index(**sent.value)
             for batch in batches:
-                for lo, hi in text_batches(batch.column(1), 4 << 20):
+                for lo, hi in text_batches(batch.column(1), 1 << 20):
                     t, w, edits, end = search(batch.column(1).slice(lo, hi - lo).to_pylist(), index)
                     if len(t):
                         yield pa.RecordBatch.from_arrays([
                             batch.column(0).slice(lo, hi - lo).take(pa.array(t)), pa.array(index.items[w].tolist()), pa.array(w, pa.int32()),
                             pa.array(edits, pa.int32()), pa.array(end, pa.int64())], names=["doc_id", "item_id", "window", "edits", "end"])
 
-        found = found.union(rows.mapInArrow(run, schema))
+        found = found.union(rows.mapInArrow(frugal(run), schema))
     return found.groupBy("doc_id", "item_id").agg(
         F.countDistinct("window").alias("n_windows"), F.min("edits").alias("edits"), F.min("end").alias("first_end"), F.max("end").alias("last_end"))
 
@@ -231,11 +231,11 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = Index(**sent.value)
             for batch in batches:
-                for lo, hi in text_batches(batch.column(at), 4 << 20):
+                for lo, hi in text_batches(batch.column(at), 1 << 20):
                     part = batch.slice(lo, hi - lo)
                     keep = np.ones(part.num_rows, bool)
                     keep[search(part.column(at).to_pylist(), index)[0]] = False
                     yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(frugal(run), docs.schema)
     return docs

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from ordermill.llm.common import packed, quoted, without
 from ordermill.llm.words import batches as text_batches
+from ordermill.llm.words import frugal
 from ordermill.session import materialise, scratch_folder
 
 ORDER = 5
@@ -42,7 +43,7 @@ PRIOR_CHARS = 200  # evidence a document is held to have before its first charac
 QUANTILE = 0.99
 SLACK = 3.0  # the threshold lies so many times as far from the median as the quantile
 SHARD_ROWS = 4_000_000
-HELD_ROWS = 1_500_000  # sequences that a task holds while it counts
+HELD_ROWS = 600_000  # sequences that a task holds while it counts
 NO_LANGUAGE = "\0none"
 TRUST = "quality = 1 AND toxic = 0"
 
@@ -107,7 +108,7 @@ def count(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str
         while held:
             yield out(next(iter(held)))
 
-    counted = rows.mapInArrow(run, "lang string, gram long, n long")
+    counted = rows.mapInArrow(frugal(run), "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -215,7 +216,7 @@ def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str) -> Da
                             nll[own] += np.diff(np.concatenate(([0.0], np.cumsum(value)))[first])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nll), pa.array(chars)], names=[*columns, "_nll", "_chars"])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(frugal(run), schema)
 
 
 def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: float = QUANTILE, slack: float = SLACK, least: int = LEAST_HELD_OUT) -> DataFrame:

@@ -167,7 +167,7 @@ def estimate(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text", per_t
                 })
                 return
 
-    sampled = docs.select(quoted(text)).mapInArrow(run, "rule string, n long, rejected long, seconds double")
+    sampled = docs.select(quoted(text)).mapInArrow(W.frugal(run), "rule string, n long, rejected long, seconds double")
     sums = sampled.groupBy("rule").agg(F.sum("n").alias("n"), F.sum("rejected").alias("rejected"), F.sum("seconds").alias("seconds"))
     return {r.rule: (r.seconds / r.n, r.rejected / r.n) for r in sums.collect()}
 
@@ -211,7 +211,7 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in W.batches(batch.column(at), 8 << 20):
+            for lo, hi in W.batches(batch.column(at), 2 << 20):
                 part = batch.slice(lo, hi - lo)
                 whole = Features(part.column(at)) if measures else None
                 verdict = judge(part.column(at), order, whole)
@@ -220,4 +220,4 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
                     [*part.columns, *counts, pa.array(verdict < 0), pa.array(names[verdict], pa.string())],
                     names=[*columns, *added])
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(W.frugal(run), schema)

@@ -7,7 +7,10 @@ at a time, so memory follows the batch and not the partition.
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -134,6 +137,30 @@ def runs(w: Words, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarra
     return mixed(h[at]), at, first
 
 
+def give_back() -> None:
+    """Return freed memory to the system; allocators keep it otherwise, and workers live through many stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library: it has its own ways
+
+
+def frugal(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """A task function that gives memory back after every few batches and at its end."""
+    @wraps(run)
+    def wrapped(rows: Iterable) -> Iterator:
+        try:
+            for k, out in enumerate(run(rows)):
+                yield out
+                if k % 16 == 15:
+                    give_back()
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def batches(column: pa.Array, max_bytes: int):
     """(from, to) rows of a column in groups of about ``max_bytes``, each of whole texts and one at least."""
     _, offsets = text_buffers(column)
