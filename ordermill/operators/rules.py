@@ -65,7 +65,8 @@ def order_rules(exact: bool = False, max_lengths: tuple = MAX_LENGTHS) -> list[R
     """All rules in judging order; the first one that fails names the reject.
 
     Type faults are judged at the point where an untyped reader would stumble
-    over them: number faults after the patterns, storage faults last.
+    over them: number faults after the patterns, storage faults last. The order
+    and the messages are fixed values that other systems read.
     """
     rules = [_rule("bad_json", F.col("bad_json"), "JSON illisible")]
     rules += [
