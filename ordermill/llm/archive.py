@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import quoted
+from ordermill.llm.common import map_arrow, quoted
 from ordermill.session import materialise, scratch_folder
 
 FRAME_BYTES = 1 << 20
@@ -187,7 +187,7 @@ def write(rows: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, bundle_b
             bundle.close()
 
     ordered = rows.select("page_id", "url", "payload", "refers_to", "revisit")
-    return materialise(ordered.mapInArrow(run, INDEX), "warc-index")
+    return materialise(map_arrow(ordered, run, INDEX), "warc-index")
 
 
 def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -214,7 +214,7 @@ def read(index: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_pylist(found, pa.schema(kinds))
 
     wanted = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
-    return wanted.mapInArrow(run, schema)
+    return map_arrow(wanted, run, schema)
 
 
 def archive_folder(spark, label: str = "warc") -> str:

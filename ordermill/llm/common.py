@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 from ordermill.llm.words import frugal
 
+BATCH_BYTES = "4m"
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,6 +31,17 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def map_arrow(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` in batches of a few megabytes, so that memory does not follow the texts' length.
+
+    The session's batch size is lowered for good, as frames are run later; one that was set is left.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING) in (f"{_BATCH_DEFAULT}b", str(_BATCH_DEFAULT)):
+        conf.set(_BATCH_SETTING, BATCH_BYTES)
+    return df.mapInArrow(frugal(run), schema)
+
+
 def aside(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """The frame with all columns but ``used`` under names no operator adds, and the way back to the old columns."""
     names = {c: c if c in used else f"__{k}" for k, c in enumerate(df.columns)}
@@ -59,4 +73,4 @@ def packed(docs: DataFrame, doc_id: str, text: str, *more: Column) -> DataFrame:
                 texts = pa.array([press.compress(t.encode("utf-8")) if t else b"" for t in part.column(1).to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), texts, *part.columns[2:]], names=names)
 
-    return rows.mapInArrow(frugal(run), schema)
+    return map_arrow(rows, run, schema)

@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import quoted
+from ordermill.llm.common import map_arrow, quoted
 from ordermill.llm.words import batches as text_batches
-from ordermill.llm.words import frugal, mixed
+from ordermill.llm.words import mixed
 
 Q = 12
 WINDOW = 100
@@ -216,7 +216,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
                             batch.column(0).slice(lo, hi - lo).take(pa.array(t)), pa.array(index.items[w].tolist()), pa.array(w, pa.int32()),
                             pa.array(edits, pa.int32()), pa.array(end, pa.int64())], names=["doc_id", "item_id", "window", "edits", "end"])
 
-        found = found.union(rows.mapInArrow(frugal(run), schema))
+        found = found.union(map_arrow(rows, run, schema))
     return found.groupBy("doc_id", "item_id").agg(
         F.countDistinct("window").alias("n_windows"), F.min("edits").alias("edits"), F.min("end").alias("first_end"), F.max("end").alias("last_end"))
 
@@ -237,5 +237,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
                     keep[search(part.column(at).to_pylist(), index)[0]] = False
                     yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(frugal(run), docs.schema)
+        docs = map_arrow(docs, run, docs.schema)
     return docs

@@ -30,9 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordermill.llm.common import packed, quoted, without
+from ordermill.llm.common import map_arrow, packed, quoted, without
 from ordermill.llm.words import batches as text_batches
-from ordermill.llm.words import frugal
 from ordermill.session import materialise, scratch_folder
 
 ORDER = 5
@@ -108,7 +107,7 @@ def count(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str
         while held:
             yield out(next(iter(held)))
 
-    counted = rows.mapInArrow(frugal(run), "lang string, gram long, n long")
+    counted = map_arrow(rows, run, "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -216,7 +215,7 @@ def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str) -> Da
                             nll[own] += np.diff(np.concatenate(([0.0], np.cumsum(value)))[first])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(nll), pa.array(chars)], names=[*columns, "_nll", "_chars"])
 
-    return base.mapInArrow(frugal(run), schema)
+    return map_arrow(base, run, schema)
 
 
 def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: float = QUANTILE, slack: float = SLACK, least: int = LEAST_HELD_OUT) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import bounded_rows, quoted
+from ordermill.llm.common import bounded_rows, map_arrow, quoted
 from ordermill.session import materialise
 
 MIN_RUN = 3
@@ -67,7 +67,7 @@ def ranked(rows: DataFrame, a: str, b: str) -> DataFrame:
             done += n
 
     ordered = pairs.repartitionByRange(a, b).sortWithinPartitions(a, b)
-    stored = materialise(ordered.mapInArrow(run, f"{a} long, {b} long, within long, part int"), "ranks")
+    stored = materialise(map_arrow(ordered, run, f"{a} long, {b} long, within long, part int"), "ranks")
     before, offsets = 0, []
     for r in stored.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect():  # one row a partition
         offsets.append({"part": r.part, "before": before})

@@ -30,10 +30,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import packed, quoted
+from ordermill.llm.common import map_arrow, packed, quoted
 from ordermill.llm.components import components
 from ordermill.llm.words import batches as text_batches
-from ordermill.llm.words import frugal, mixed, runs, split
+from ordermill.llm.words import mixed, runs, split
 from ordermill.session import materialise
 
 CHUNK_ROWS = 1024
@@ -142,7 +142,7 @@ def sketch(docs: DataFrame, doc_id: str, text: str, s: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), *[c.take(spread) for c in columns]],
                                                  names=["id", "n", "fp1", "fp2", "bands", "sig"])
 
-    return rows.mapInArrow(frugal(run), f"id {kind}, n long, fp1 long, fp2 long, bands array<long>, sig binary")
+    return map_arrow(rows, run, f"id {kind}, n long, fp1 long, fp2 long, bands array<long>, sig binary")
 
 
 class Merged:
@@ -236,7 +236,7 @@ def prune(candidates: DataFrame, s: Settings) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], names=["a", "b"])
 
     dealt = candidates.select("key", "i", "j", "id", "sig").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(frugal(run), f"a {kind}, b {kind}")
+    return map_arrow(dealt, run, f"a {kind}, b {kind}")
 
 
 def chunked(rows: DataFrame, parts: str, spread: str) -> DataFrame:
@@ -326,7 +326,7 @@ def verify(members: DataFrame, s: Settings, tasks: int) -> DataFrame:
                 at = to
 
     dealt = members.select("cluster", "i", "j", "id", "packed").repartition(tasks, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    return dealt.mapInArrow(frugal(run), f"a {kind}, b {kind}")
+    return map_arrow(dealt, run, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, s: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:

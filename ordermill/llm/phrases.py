@@ -35,10 +35,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import packed, quoted
+from ordermill.llm.common import map_arrow, packed, quoted
 from ordermill.llm.minhash import whole_groups
 from ordermill.llm.words import batches as text_batches
-from ordermill.llm.words import BLANK, Words, frugal, mixed, runs, split
+from ordermill.llm.words import BLANK, Words, mixed, runs, split
 from ordermill.session import materialise
 
 SPAN = 20
@@ -77,7 +77,7 @@ def recurring(docs: DataFrame, text: str, span: int, anchor: int) -> DataFrame:
                 keys, n = np.unique(anchors(batch.column(0).slice(lo, hi - lo), span, anchor)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int32())], names=["anchor", "n"])
 
-    counted = docs.select(quoted(text)).mapInArrow(frugal(run), "anchor long, n int")
+    counted = map_arrow(docs.select(quoted(text)), run, "anchor long, n int")
     return counted.groupBy("anchor").agg(F.sum("n").alias("n")).filter("n > 1")
 
 
@@ -130,7 +130,7 @@ def stretches(docs: DataFrame, doc_id: str, text: str, known, hot, span: int, an
                     pa.array(key.view(np.int64)), ids.take(pa.array(d)), pa.array(k0, pa.int32()), pa.array(times, pa.int32()),
                     pa.array([x for part in out for x in part[4]], pa.binary())], names=["key", "id", "start", "n", "words"])
 
-    return rows.mapInArrow(frugal(run), f"key long, id {kind}, start int, n int, words binary")
+    return map_arrow(rows, run, f"key long, id {kind}, start int, n int, words binary")
 
 
 def _stretch_texts(w: Words, begin: np.ndarray, length: np.ndarray) -> list[bytes]:
@@ -223,7 +223,7 @@ def locate(sent: DataFrame, span: int) -> DataFrame:
             ids, starts, counts = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(ids, table.schema.field(1).type), pa.array(starts, pa.int32()), pa.array(counts, pa.int32())], names=["id", "start", "n"])
 
-    return sent.repartition("key").sortWithinPartitions("key").mapInArrow(frugal(run), f"id {kind}, start int, n int")
+    return map_arrow(sent.repartition("key").sortWithinPartitions("key"), run, f"id {kind}, start int, n int")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
@@ -255,4 +255,4 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n_words), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())],
                                                  names=["doc_id", "n_words", "n_removed", "kept_text"])
 
-    return met.mapInArrow(frugal(run), f"doc_id {kind}, n_words long, n_removed long, kept_text string")
+    return map_arrow(met, run, f"doc_id {kind}, n_words long, n_removed long, kept_text string")

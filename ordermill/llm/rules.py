@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ordermill.llm import words as W
-from ordermill.llm.common import quoted, without
+from ordermill.llm.common import map_arrow, quoted, without
 
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -167,7 +167,7 @@ def estimate(docs: DataFrame, rules: tuple[Rule, ...], text: str = "text", per_t
                 })
                 return
 
-    sampled = docs.select(quoted(text)).mapInArrow(W.frugal(run), "rule string, n long, rejected long, seconds double")
+    sampled = map_arrow(docs.select(quoted(text)), run, "rule string, n long, rejected long, seconds double")
     sums = sampled.groupBy("rule").agg(F.sum("n").alias("n"), F.sum("rejected").alias("rejected"), F.sum("seconds").alias("seconds"))
     return {r.rule: (r.seconds / r.n, r.rejected / r.n) for r in sums.collect()}
 
@@ -220,4 +220,4 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
                     [*part.columns, *counts, pa.array(verdict < 0), pa.array(names[verdict], pa.string())],
                     names=[*columns, *added])
 
-    return base.mapInArrow(W.frugal(run), schema)
+    return map_arrow(base, run, schema)
