@@ -367,9 +367,12 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     counts = materialise(privacy.erasure_counts(tables, found, scopes), "erasure-counts")
 
     now = F.current_timestamp()
-    processing = materialise(privacy.audit_requests(
-        requests, "erasure", "processing", now, last_request(house), F.lit(privacy.ERASURE_NOTE)), "audit")
-    append_audit(house, hide_address(processing, "customer_email") if full else processing)
+    waiting = waiting_erasures(house, requests)
+    new = materialise(privacy.audit_requests(
+        requests.withColumn("_digest", address_digest(F.col("customer_email"))).join(waiting, "_digest", "left_anti"),
+        "erasure", "processing", now, last_request(house), F.lit(privacy.ERASURE_NOTE)), "audit")
+    append_audit(house, hide_address(new, "customer_email") if full else new)
+    processing = materialise(new.unionByName(waiting.select(*new.columns)), "audit")
 
     kept = privacy.erase(tables, found, scopes)
     for name, rows in kept.items():
@@ -386,7 +389,7 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     result = materialise(hide_address(counts, "email_normalized") if full else counts, "erased")
     if full:
         hide_past_requests(house, found.addresses)
-    discard(requests, counts, processing, found.addresses, found.keys)
+    discard(requests, counts, processing, new, waiting, found.addresses, found.keys)
     refresh_views(house)
     return result
 
@@ -402,6 +405,23 @@ def hide_past_requests(house: Warehouse, addresses: DataFrame) -> None:
     house.prune("audit", "gdpr_requests")
 
 
+def address_digest(address: Column) -> Column:
+    """Digest of a normalised address; one that is a digest already stays."""
+    return F.when(address.rlike("^[0-9a-f]{64}$"), address).otherwise(F.sha2(privacy.normalise(address), 256))
+
+
+def waiting_erasures(house: Warehouse, requests: DataFrame) -> DataFrame:
+    """Erasures of these subjects that an earlier call began and did not complete, with their addresses.
+
+    A repeated call goes on with them, so a request has one number however often it is tried.
+    """
+    audit = house.read("audit", "gdpr_requests", schemas.GDPR_REQUESTS)
+    begun = privacy.current_requests(audit).filter("request_type = 'erasure' AND status = 'processing'")
+    asked = requests.groupBy(address_digest(F.col("customer_email")).alias("_digest")).agg(F.min("customer_email").alias("_asked"))
+    open_ones = begun.withColumn("_digest", address_digest(F.col("customer_email"))).join(asked, "_digest")
+    return materialise(open_ones.withColumn("customer_email", F.col("_asked")).drop("_asked"), "waiting")
+
+
 def hide_address(rows: DataFrame, column: str) -> DataFrame:
     return rows.withColumn(column, F.sha2(F.lower(F.trim(column)), 256))
 

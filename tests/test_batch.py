@@ -295,6 +295,8 @@ def test_erasure_beside_a_load_loses_nothing(house, monkeypatch):
     monkeypatch.undo()
     batch.erase_subjects(house, requests(house.spark, "ann@shop.com"))
     assert ids(ingest.landed_orders(house)) == ["B", "LATE"] and ids(batch.sales(house)) == ["B"]
+    audit = house.read("audit", "gdpr_requests").collect()
+    assert sorted((r["request_id"], r["status"]) for r in audit) == [(1, "completed"), (1, "processing")]
 
 
 def test_export_logs_the_access(house):
