@@ -13,6 +13,7 @@ from ordermill.llm.oracle import ORACLE
 from ordermill.llm.queries import REGISTRY
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
 TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -39,6 +40,7 @@ def test_query_equals_its_sql(spark, other, name):
     result = other.execute(ORACLE[name])
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
+    assert {d[0]: str(d[1]) for d in result.description} == {c: TYPES[t] for c, t in df.dtypes}
     assert found == Counter(tuple(r[names.index(c)] for c in columns) for r in result.fetchall())
 
 
