@@ -5,7 +5,8 @@ task, the counts summed over all tasks, and lower orders follow as continuation
 distributed tables. The corpus's own distinct sequences are then joined with these counts, order by order, which
 gives each its probability. The table is dealt into shards by hash; tasks read the shards from the
 shared folder and sum the log probabilities of each whole document. A third of the trusted documents is held
-out of the counts; its quantiles by language set the threshold.
+out of the counts; its quantile by language is the threshold. What is compared is how far a document's mean lies from
+its language's, in units of the spread that texts of its length have, so short and long texts meet one limit.
 
 Characters are code points up to U+0FFF, those beyond share codes, and white space counts as one
 space, so a sequence of five is one long. What is gathered is one row per distinct sequence and task.
@@ -38,9 +39,8 @@ ORDER = 5
 BITS = 12
 HOLD_OUT = 3  # one of so many trusted documents
 LEAST_HELD_OUT = 100
-PRIOR_CHARS = 200  # evidence a document is held to have before its first character, at its language's mean
+SPREAD_CHARS = 1000  # characters from which texts differ more by what they are than by their length
 QUANTILE = 0.99
-SLACK = 3.0  # the threshold lies so many times as far from the median as the quantile
 SHARD_ROWS = 4_000_000
 HELD_ROWS = 600_000  # sequences that a task holds while it counts
 NO_LANGUAGE = "\0none"
@@ -218,26 +218,25 @@ def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str) -> Da
     return map_arrow(base, run, schema)
 
 
-def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: float = QUANTILE, slack: float = SLACK, least: int = LEAST_HELD_OUT) -> DataFrame:
-    """(lang, mean, threshold) from the held-out trusted documents of each language.
+def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: float = QUANTILE, least: int = LEAST_HELD_OUT) -> DataFrame:
+    """(lang, mean, deviation) from the held-out trusted documents of each language: their mean and their quantile.
 
-    A language with fewer than ``least`` of them takes the quantiles over all languages, relative to its own mean.
+    A language with fewer than ``least`` of them takes the quantile over all languages, relative to its own mean.
     """
     own = trusted.select(quoted(doc_id).alias("id")).distinct().filter(_held_out(F.col("id")))
     rows = scored.filter("_chars > 0").join(own, quoted(doc_id) == F.col("id")).select(F.col("_lang").alias("lang"), "_nll", "_chars")
     rows = materialise(rows, "kn-held-out")
     mean = materialise(rows.groupBy("lang").agg((F.sum("_nll") / F.sum("_chars")).alias("mean")), "kn-means")
-    rated = rows.join(mean, "lang").withColumn("rate", shrunk(F.col("mean")) / F.col("mean"))
-    of = F.percentile_approx("rate", F.lit([0.5, quantile]), 10_000)
-    pooled = rated.agg(of).first()[0] or [1.0, 1.0]
+    rated = rows.join(mean, "lang").withColumn("deviation", (F.col("_nll") / F.col("_chars") / F.nullif(F.col("mean"), F.lit(0.0)) - 1) / spread())
+    of = F.percentile_approx("deviation", F.lit(quantile), 10_000)
+    pooled = rated.agg(of).first()[0] or 0.0
     q = rated.groupBy("lang").agg(F.first("mean").alias("mean"), of.alias("own"), F.count("*").alias("n"))
-    q = q.withColumn("q", F.when(F.col("n") >= least, F.col("own")).otherwise(F.lit(list(map(float, pooled)))))
-    return q.select("lang", "mean", (F.col("mean") * (F.col("q")[0] + slack * (F.col("q")[1] - F.col("q")[0]))).alias("threshold"))
+    return q.select("lang", "mean", F.when(F.col("n") >= least, F.col("own")).otherwise(F.lit(pooled)).alias("deviation"))
 
 
-def shrunk(mean: Column) -> Column:
-    """Nats per character, drawn to the language's mean by PRIOR_CHARS characters: few words prove little."""
-    return (F.col("_nll") + PRIOR_CHARS * mean) / (F.col("_chars") + PRIOR_CHARS)
+def spread() -> Column:
+    """How far means of texts of so many characters lie apart, up to a factor: few words vary more."""
+    return F.sqrt(1 / F.nullif(F.col("_chars"), F.lit(0)) + F.lit(1 / SPREAD_CHARS))
 
 
 @dataclass
@@ -261,12 +260,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
-    """``scored`` with ``perplexity``, ``threshold`` (nats per character) and ``kept`` in place of the sums."""
-    met = without(scored, ("perplexity", "threshold", "kept")).join(limits.withColumnRenamed("lang", "_of"), F.col("_lang") == F.col("_of"), "left")
+    """``scored`` with ``perplexity``, ``threshold`` (nats per character, of a text of its length) and ``kept`` in place of the sums."""
+    of = limits.select(F.col("lang").alias("_of"), F.col("mean").alias("_mean"), F.col("deviation").alias("_deviation"))
+    met = without(scored, ("perplexity", "threshold", "kept")).join(of, F.col("_lang") == F.col("_of"), "left")
+    rate, limit = F.col("_nll") / F.nullif(F.col("_chars"), F.lit(0)), F.col("_mean") * (1 + F.col("_deviation") * spread())
     return met.withColumns({
-        "perplexity": F.when(F.col("_chars") > 0, F.exp(F.col("_nll") / F.col("_chars"))),
-        "kept": F.coalesce(shrunk(F.col("mean")) <= F.col("threshold"), F.lit(True)) | (F.col("_chars") == 0),
-    }).drop("_lang", "_nll", "_chars", "_of", "mean")
+        "perplexity": F.exp(rate),
+        "threshold": limit,
+        "kept": F.coalesce(rate <= limit, F.lit(True)) | (F.col("_chars") == 0),
+    }).drop("_lang", "_nll", "_chars", "_of", "_mean", "_deviation")
 
 
 def classify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:

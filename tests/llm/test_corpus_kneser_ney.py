@@ -129,3 +129,30 @@ def test_held_out_accuracy(spark):
     judged = K.judged(model.scores, model.limits).join(labels.join(seen, "doc_id", "left_anti"), "doc_id")
     rate = {r.quality: (r.kept, r.n) for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).collect()}
     assert rate[1][0] > 0.97 and rate[0][0] < 0.45, rate
+
+
+def test_limit_is_the_quantile_of_held_out_texts(spark):
+    """One in a hundred held-out trusted texts lies beyond the limit, whatever their length, and a short bad one does too."""
+    rng = random.Random(8)
+    rows = [(k, " ".join(cases.words(rng, rng.choice([8, 40, 300]))), "en", "a", 0) for k in range(900)]
+    bad = (5000, "xq zvkj wqx jjzq vvkx qzw", "en", "a", 0)
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    model = K.fit(cases.frame(spark, [*rows, bad]), labels)
+    held = {r.id for r in labels.select(F.col("doc_id").alias("id")).filter(K._held_out(F.col("id"))).collect()}
+    out = {r.doc_id: r for r in K.judged(model.scores, model.limits).collect()}
+    gone = [k for k in held if not out[k].kept]
+    assert 0.005 <= len(gone) / len(held) <= 0.015
+    assert all(r.kept == (math.log(r.perplexity) <= r.threshold) for r in out.values())
+    assert not out[5000].kept
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_rates_by_language(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = K.fit(docs, labels)
+    judged = K.judged(model.scores, model.limits).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    held = judged.withColumn("kind", F.when(F.expr(K.TRUST), F.when(K._held_out(F.col("doc_id")), "clean")).otherwise(F.when(F.col("toxic") == 1, "toxic").otherwise("junk")))
+    rate = {(r.lang, r.kind): r.kept for r in held.filter("kind IS NOT NULL AND (quality = 0 OR toxic = 0 OR lang = 'en')").groupBy("lang", "kind").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
+    for lang in ("en", "fr", "de", "es"):
+        assert rate[lang, "clean"] > 0.97 and rate[lang, "junk"] < 0.15, rate
+    assert rate["en", "toxic"] < 0.6, rate
