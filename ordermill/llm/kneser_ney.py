@@ -12,7 +12,8 @@ Characters are code points up to U+0FFF, those beyond share codes, and white spa
 space, so a sequence of five is one long. What is gathered is one row per distinct sequence and task.
 
 Defined results: a null or empty text has no characters and is kept, with no perplexity; a null
-language is a language of its own; a language without held-out trusted text has no threshold and its documents are kept;
+language is a language of its own; languages without trusted text both in the counts and held out share a model and a
+threshold of all trusted text, and where nothing at all is held out every document is kept;
 repeated rows are scored each; empty tables give an empty result; repeated labels count as trusted when one of them is;
 a column named like an added one is replaced, others pass through.
 """
@@ -38,12 +39,13 @@ from ordermill.session import materialise, scratch_folder
 ORDER = 5
 BITS = 12
 HOLD_OUT = 3  # one of so many trusted documents
-LEAST_HELD_OUT = 100
+POOLED_WEIGHT = 100  # held-out documents that the quantile over all languages counts for in each
 SPREAD_CHARS = 1000  # characters from which texts differ more by what they are than by their length
 QUANTILE = 0.99
 SHARD_ROWS = 4_000_000
 HELD_ROWS = 600_000  # sequences that a task holds while it counts
 NO_LANGUAGE = "\0none"
+POOLED = "\0pooled"  # the model of all trusted text
 TRUST = "quality = 1 AND toxic = 0"
 
 
@@ -63,14 +65,23 @@ def sequences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return g[at], first
 
 
-def language(column: Column) -> Column:
-    return F.coalesce(column.cast("string"), F.lit(NO_LANGUAGE))
+def language(column: Column, known: list[str] | None = None) -> Column:
+    """The language whose model a row takes: its own or, with ``known``, the pooled one for all others."""
+    own = F.coalesce(column.cast("string"), F.lit(NO_LANGUAGE))
+    return own if known is None else F.when(own.isin([*known, POOLED]), own).otherwise(F.lit(POOLED))
 
 
 def _held_out(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(F.lit("held out"), doc_id), F.lit(HOLD_OUT)) == 0
 
 
+def with_models(docs: DataFrame, trusted: DataFrame, doc_id: str, lang: str) -> list[str]:
+    """The languages with trusted documents both in the counts and held out."""
+    marked = trusted.select(quoted(doc_id).alias("id")).distinct().withColumn("held", _held_out(F.col("id")))
+    rows = docs.select(quoted(doc_id).alias("id"), language(quoted(lang)).alias("lang")).join(marked, "id")
+    return [r.lang for r in rows.groupBy("lang").agg(F.countDistinct("held").alias("n")).filter("n = 2").orderBy("lang").collect()]
+
+
 def count(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, lang: str) -> DataFrame:
     """(lang, gram, n): every distinct sequence of the corpus, with its count in the trusted text that is not held out."""
     marked = trusted.select(quoted(doc_id).alias("id")).distinct().withColumn("in_training", ~_held_out(F.col("id")))
@@ -165,9 +176,9 @@ def store_shards(model: DataFrame, rows: int, shard_rows: int = SHARD_ROWS) -> t
     return f"{folder}/model", n
 
 
-def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str) -> DataFrame:
+def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str, known: list[str] | None = None) -> DataFrame:
     """``docs`` with ``_lang``, ``_nll`` (sum of negative log probabilities) and ``_chars``."""
-    base = without(docs, ("_lang", "_nll", "_chars")).withColumn("_lang", language(quoted(lang)))
+    base = without(docs, ("_lang", "_nll", "_chars")).withColumn("_lang", language(quoted(lang), known))
     columns = base.columns
     at, lang_at = columns.index(text), len(columns) - 1
     schema = T.StructType([*base.schema.fields, T.StructField("_nll", T.DoubleType()), T.StructField("_chars", T.LongType())])
@@ -218,10 +229,10 @@ def score(docs: DataFrame, folder: str, shards: int, text: str, lang: str) -> Da
     return map_arrow(base, run, schema)
 
 
-def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: float = QUANTILE, least: int = LEAST_HELD_OUT) -> DataFrame:
+def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: float = QUANTILE, weight: float = POOLED_WEIGHT) -> DataFrame:
     """(lang, mean, deviation) from the held-out trusted documents of each language: their mean and their quantile.
 
-    A language with fewer than ``least`` of them takes the quantile over all languages, relative to its own mean.
+    The quantile is drawn to that over all languages, as if ``weight`` documents had it.
     """
     own = trusted.select(quoted(doc_id).alias("id")).distinct().filter(_held_out(F.col("id")))
     rows = scored.filter("_chars > 0").join(own, quoted(doc_id) == F.col("id")).select(F.col("_lang").alias("lang"), "_nll", "_chars")
@@ -229,9 +240,10 @@ def thresholds(scored: DataFrame, trusted: DataFrame, doc_id: str, quantile: flo
     mean = materialise(rows.groupBy("lang").agg((F.sum("_nll") / F.sum("_chars")).alias("mean")), "kn-means")
     rated = rows.join(mean, "lang").withColumn("deviation", (F.col("_nll") / F.col("_chars") / F.nullif(F.col("mean"), F.lit(0.0)) - 1) / spread())
     of = F.percentile_approx("deviation", F.lit(quantile), 10_000)
-    pooled = rated.agg(of).first()[0] or 0.0
+    pooled = rated.filter(F.col("lang") != POOLED).agg(of).first()[0]
     q = rated.groupBy("lang").agg(F.first("mean").alias("mean"), of.alias("own"), F.count("*").alias("n"))
-    return q.select("lang", "mean", F.when(F.col("n") >= least, F.col("own")).otherwise(F.lit(pooled)).alias("deviation"))
+    drawn = F.col("own") if pooled is None else (F.col("n") * F.col("own") + F.lit(weight * pooled)) / (F.col("n") + F.lit(weight))
+    return q.select("lang", "mean", drawn.alias("deviation"))
 
 
 def spread() -> Column:
@@ -247,16 +259,23 @@ class Model:
     shards: int
     limits: DataFrame
     scores: DataFrame
+    known: list[str]
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", trust: str = TRUST) -> Model:
     """Train on the trusted documents, score all, and set the thresholds."""
     trusted = labels.filter(trust)
-    counts = materialise(count(docs, trusted, doc_id, text, lang), "kn-counts")
+    known = with_models(docs, trusted, doc_id, lang)
+    rows = docs.select(quoted(doc_id), quoted(text), language(quoted(lang), known).alias(lang)).withColumn("_again", F.lit(False))
+    if rows.filter(quoted(lang) == POOLED).limit(1).count():  # all trusted text again, for the pooled model and its threshold
+        ids = trusted.select(quoted(doc_id).alias("_id")).distinct()
+        again = rows.filter(quoted(lang) != POOLED).join(ids, quoted(doc_id) == F.col("_id"), "left_semi")
+        rows = rows.union(again.select(quoted(doc_id), quoted(text), F.lit(POOLED).alias(lang), F.lit(True).alias("_again")))
+    counts = materialise(count(rows, trusted, doc_id, text, lang), "kn-counts")
     folder, shards = store_shards(probabilities(counts), counts.count())
-    scored = score(docs.select(quoted(doc_id), quoted(text), quoted(lang)), folder, shards, text, lang)
-    scores = materialise(scored.select(quoted(doc_id), "_lang", "_nll", "_chars"), "kn-scores")
-    return Model(folder, shards, materialise(thresholds(scores, trusted, doc_id), "kn-thresholds"), scores)
+    scored = materialise(score(rows, folder, shards, text, lang).select(quoted(doc_id), "_lang", "_nll", "_chars", "_again"), "kn-scores")
+    limits = materialise(thresholds(scored, trusted, doc_id), "kn-thresholds")
+    return Model(folder, shards, limits, scored.filter("NOT _again").drop("_again"), known)
 
 
 def judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
@@ -273,4 +292,4 @@ def judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
 
 def classify(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs``, whole rows, with ``perplexity``, ``threshold`` and ``kept``; rows don't move."""
-    return judged(score(docs, model.folder, model.shards, text, lang), model.limits)
+    return judged(score(docs, model.folder, model.shards, text, lang, model.known), model.limits)

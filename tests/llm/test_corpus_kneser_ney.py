@@ -156,3 +156,30 @@ def test_rates_by_language(spark):
     for lang in ("en", "fr", "de", "es"):
         assert rate[lang, "clean"] > 0.97 and rate[lang, "junk"] < 0.15, rate
     assert rate["en", "toxic"] < 0.6, rate
+
+
+def test_quantiles_are_drawn_together_at_any_count(spark):
+    """One held-out document more moves a limit a little, at a hundred of them too."""
+    rng = random.Random(5)
+    ids = [r.id for r in spark.range(2000).filter(K._held_out(F.col("id"))).collect()]
+    scored = [(k, "en" if n % 2 else "fr", 1000.0 * rng.uniform(1, 1.2 if n % 2 else 3.0), 1000) for n, k in enumerate(ids)]
+    en, fr = ([r for r in scored if r[1] == x] for x in ("en", "fr"))
+    trusted = spark.createDataFrame([(k,) for k in ids], "doc_id long")
+    limit = {}
+    for n in (99, 100):
+        table = K.thresholds(spark.createDataFrame(en[:n] + fr, "doc_id long, _lang string, _nll double, _chars long"), trusted, "doc_id")
+        limit[n] = {r.lang: r.deviation for r in table.collect()}["en"]
+    assert limit[100] == pytest.approx(limit[99], rel=0.03)
+
+
+def test_languages_without_labels_are_judged(spark):
+    rng = random.Random(6)
+    rows = [(k, " ".join(cases.words(rng, 40)), "en", "a", 0) for k in range(200)]
+    others = [(900, " ".join(cases.words(rng, 40)), "it", "a", 0), (901, "qzx vkjq xxwq zzvk " * 20, "it", "a", 0),
+              (902, " ".join(cases.words(rng, 40)), None, "a", 0), (903, "qzx vkjq xxwq zzvk " * 20, None, "a", 0)]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    df = cases.frame(spark, rows + others)
+    model = K.fit(df, labels)
+    for out in (K.judged(model.scores, model.limits).collect(), K.classify(df, model).collect()):
+        assert len(out) == len(rows) + 4
+        assert {r.doc_id: r.kept for r in out if r.doc_id >= 900} == {900: True, 901: False, 902: True, 903: False}
