@@ -5,7 +5,8 @@ read as overlapping windows of characters. A document region that equals a windo
 to k edits shares at least L + 1 - q(k + 1) of its q-grams with it, on diagonals (document position
 less window position) that lie within k of each other. So shared q-grams are counted by window and
 by overlapping band of diagonals; bands that reach the bound are aligned within the band, and
-those of at most k edits are hits.
+those of at most k edits are hits. So are verbatim passages of PASSAGE characters of an item, at whatever
+place they begin: as many q-grams in a row on one diagonal of the item.
 
 The benchmark is the query set. It is dealt into blocks of bounded size; a block is sent to all tasks
 and every document is read against it whole, so neither the number of items nor their length is
@@ -33,6 +34,7 @@ from ordermill.llm.words import mixed
 Q = 12
 WINDOW = 100
 EDIT_SHARE = 0.06
+PASSAGE = 50  # verbatim characters of an item that are a match wherever they lie
 BLOCK_CHARS = 2_000_000
 FILTER_BITS = 22
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4)]
@@ -62,6 +64,8 @@ class Index:
     """The windows of a block of items, and where each of their q-grams occurs."""
 
     items: np.ndarray  # item of each window
+    owner: np.ndarray  # its number in the block
+    start: np.ndarray  # where the window begins in it
     points: np.ndarray  # windows x longest window, 0 beyond a window's end
     length: np.ndarray
     edits: np.ndarray  # edit budget of each window
@@ -75,13 +79,14 @@ class Index:
 
 def build(items: list[tuple[int, str | None]], window: int = WINDOW, edit_share: float = EDIT_SHARE) -> Index:
     """Windows step by half their length; the last one ends where the item ends."""
-    texts, owner = [], []
+    texts, owner, begins = [], [], []
     for k, (_, text) in enumerate(items):
         t = normal(text)
         if len(t) >= Q:
             starts = sorted({*range(0, max(len(t) - window, 0) + 1, window // 2), max(len(t) - window, 0)})
             texts += [t[s: s + window] for s in starts]
             owner += [k] * len(starts)
+            begins += starts
     length = np.array([len(t) for t in texts], np.int64)
     budget = np.minimum((length * edit_share).astype(np.int64), length // Q - 1).clip(0)
     points = np.zeros((len(texts), int(length.max(initial=0))), np.uint32)
@@ -99,7 +104,7 @@ def build(items: list[tuple[int, str | None]], window: int = WINDOW, edit_share:
     seen = np.zeros(1 << FILTER_BITS, bool)
     seen[(gram >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
     flat = [np.concatenate([np.zeros(0, np.int64), *x])[order] for x in (windows, at)]
-    return Index(np.array([items[k][0] for k in owner], dtype=object), points, length, budget, length + 1 - Q * (budget + 1),
+    return Index(np.array([items[k][0] for k in owner], dtype=object), np.array(owner, np.int64), np.array(begins, np.int64), points, length, budget, length + 1 - Q * (budget + 1),
                  gram, np.append(first, len(h)), flat[0], flat[1], seen)
 
 
@@ -129,12 +134,27 @@ def _aligned(index: Index, points: np.ndarray, window: np.ndarray, low: np.ndarr
     return best, end
 
 
+def verbatim(index: Index, text: np.ndarray, at: np.ndarray, posting: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, window, end) of every run of shared q-grams that spans PASSAGE characters of an item or more, whatever its windows."""
+    window = index.window[posting]
+    diagonal = at - index.start[window] - index.at[posting]
+    owner = index.owner[window]
+    order = np.lexsort((at, diagonal, owner, text))
+    key, place = np.stack((text[order], owner[order], diagonal[order])), at[order]
+    # Overlapping windows give a place twice; a step of two places or another key begins a new run.
+    head = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0) | (np.diff(place) > 1))))
+    last = np.append(head[1:], len(place)) - 1
+    long = place[last] - place[head] + Q >= PASSAGE
+    return text[order][head][long], window[order][head][long], place[last][long] + Q
+
+
 def search(texts: list[str | None], index: Index) -> tuple[np.ndarray, ...]:
-    """(text, window, edits, end in the normal text) of every hit; the best one of each band."""
+    """(text, window, edits, end in the normal text, whole) of every hit: the best one of each band, whole windows,
+    and verbatim passages with the first window they touch."""
     plain = [normal(t) for t in texts]
     points = _points(plain)
     offsets = np.concatenate(([0], np.cumsum([len(t) for t in plain], dtype=np.int64)))
-    none = tuple(np.zeros(0, np.int64) for _ in range(4))
+    none = tuple(np.zeros(0, np.int64) for _ in range(5))
     h = grams(points)
     at = np.flatnonzero(index.seen[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]) if len(index.gram) else np.zeros(0, np.int64)
     if not len(at):
@@ -152,6 +172,8 @@ def search(texts: list[str | None], index: Index) -> tuple[np.ndarray, ...]:
     window = index.window[posting]
     diagonal = np.repeat(at, times) - index.at[posting] + index.points.shape[1]
     text = np.repeat(text, times)
+    t, w, end = verbatim(index, text, np.repeat(at, times), posting)
+    out = [np.stack((t, w, np.zeros(len(t), np.int64), end - offsets[t], np.zeros(len(t), np.int64)))]
     budget = index.edits[window]
     size = 2 * (budget + 1)
     found = []
@@ -168,16 +190,13 @@ def search(texts: list[str | None], index: Index) -> tuple[np.ndarray, ...]:
         low = b * 2 * (index.edits[w] + 1) - shift * (index.edits[w] + 1) - index.points.shape[1]
         found.append(np.stack((t, w, low)))
     t, w, low = np.concatenate(found, axis=1)
-    if not len(t):
-        return none
-    out = []
     for lo in range(0, len(t), 4096):
         part = slice(lo, lo + 4096)
         k = index.edits[w[part]]
         width = int((4 * k + 3).max())
         edits, end = _aligned(index, points, w[part], low[part] - k, offsets[t[part]], offsets[t[part] + 1], width)
         hit = edits <= k
-        out.append(np.stack((t[part][hit], w[part][hit], edits[hit], end[hit] - offsets[t[part][hit]])))
+        out.append(np.stack((t[part][hit], w[part][hit], edits[hit], end[hit] - offsets[t[part][hit]], np.ones(hit.sum(), np.int64))))
     return tuple(np.concatenate(out, axis=1))
 
 
@@ -193,15 +212,15 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> I
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
             block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, item_id, n_windows, edits, first_end, last_end) of every document and item that share a window.
+    """(doc_id, item_id, n_windows, edits, first_end, last_end) of every document and item that share a window or a passage.
 
-    ``edits`` is the least of the windows found; ends are positions in the normalised text.
+    ``edits`` is the least of the windows found, and 0 where only a verbatim passage is, with no window; ends are positions in the normalised text.
     """
     context = docs.sparkSession.sparkContext
     kind = dict(docs.dtypes)[doc_id]
     item_kind = dict(benchmark.dtypes)[item_id]
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
-    schema = f"doc_id {kind}, item_id {item_kind}, window int, edits int, `end` long"
+    schema = f"doc_id {kind}, item_id {item_kind}, window int, edits int, `end` long, whole boolean"
     found = docs.sparkSession.createDataFrame([], schema)
     for items in blocks(benchmark, item_id, item_text, block_chars):
         sent = context.broadcast(vars(build(items)))
@@ -210,20 +229,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
             index = Index(**sent.value)
             for batch in batches:
                 for lo, hi in text_batches(batch.column(1), 1 << 20):
-                    t, w, edits, end = search(batch.column(1).slice(lo, hi - lo).to_pylist(), index)
+                    t, w, edits, end, whole = search(batch.column(1).slice(lo, hi - lo).to_pylist(), index)
                     if len(t):
                         yield pa.RecordBatch.from_arrays([
                             batch.column(0).slice(lo, hi - lo).take(pa.array(t)), pa.array(index.items[w].tolist()), pa.array(w, pa.int32()),
-                            pa.array(edits, pa.int32()), pa.array(end, pa.int64())], names=["doc_id", "item_id", "window", "edits", "end"])
+                            pa.array(edits, pa.int32()), pa.array(end, pa.int64()), pa.array(whole.astype(bool))],
+                            names=["doc_id", "item_id", "window", "edits", "end", "whole"])
 
         found = found.union(map_arrow(rows, run, schema))
     return found.groupBy("doc_id", "item_id").agg(
-        F.countDistinct("window").alias("n_windows"), F.min("edits").alias("edits"), F.min("end").alias("first_end"), F.max("end").alias("last_end"))
+        F.countDistinct(F.when(F.col("whole"), F.col("window"))).alias("n_windows"),
+        F.coalesce(F.min(F.when(F.col("whole"), F.col("edits"))), F.lit(0)).alias("edits"), F.min("end").alias("first_end"), F.max("end").alias("last_end"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
           block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` without those that share a window with a benchmark item; rows don't move."""
+    """``docs`` without those that share a window or a verbatim passage with a benchmark item; rows don't move."""
     context, at = docs.sparkSession.sparkContext, docs.columns.index(text)
     for items in blocks(benchmark, item_id, item_text, block_chars):
         sent = context.broadcast(vars(build(items)))

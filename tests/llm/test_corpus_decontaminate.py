@@ -108,3 +108,19 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], ITEMS)
     assert D.matches(none, bench).count() == 0 and D.matches(cases.frame(spark, docs), empty).count() == 0
     assert D.clean(cases.frame(spark, docs), empty).count() == len(docs) and D.clean(none, bench).count() == 0
+
+
+def test_verbatim_excerpts_at_every_offset(spark):
+    rng = random.Random(12)
+    item = D.normal(prose(rng, 60))
+    index = D.build([(7, item)])
+    for size in (50, 51, 64, 93, 120):
+        for k in range(len(item) - size + 1):
+            hits = D.search(["zz " * 9 + item[k: k + size] + " zz" * 9, "zz " * 20], index)
+            assert set(hits[0]) == {0}, (size, k)
+    short = [(k, "zz" * 9 + item[k: k + 49] + "zz" * 9, "en", "a", 0) for k in range(0, len(item) - 49, 7)]
+    part = (900, "zz " * 9 + item[30:105] + " zz" * 9, "en", "a", 0)
+    df, bench = cases.frame(spark, [*short, part]), spark.createDataFrame([(7, item, "t")], ITEMS)
+    out = D.matches(df, bench).collect()
+    assert [(r.doc_id, r.item_id, r.n_windows, r.edits) for r in out] == [(900, 7, 0, 0)]
+    assert {r.doc_id for r in D.clean(df, bench).collect()} == {r[0] for r in short}
