@@ -109,3 +109,80 @@ SELECT doc_id, count(nr)::BIGINT AS n_lines, any_value(n_removed)::BIGINT AS n_r
        coalesce(any_value(longest_run), 0)::BIGINT AS longest_run, sha256(any_value(kept.text)) AS kept_sha256
 FROM kept LEFT JOIN worded USING (doc_id) LEFT JOIN longest USING (doc_id) GROUP BY doc_id
 """
+
+ORACLE["op11_periodic_runs"] = r"""
+WITH said AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+drawn AS (
+  SELECT *, len(w) AS n, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda i: 0::BIGINT)),
+      lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT) AS h
+  FROM said
+),
+cut AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM drawn),
+cycled AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+    list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) END AS w
+  FROM cut
+),
+places AS (SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM cycled),
+five AS (
+  SELECT doc_id, n, i, [word, lead(word, 1) OVER own, lead(word, 2) OVER own, lead(word, 3) OVER own, lead(word, 4) OVER own] AS said
+  FROM places WINDOW own AS (PARTITION BY doc_id ORDER BY i)
+),
+again AS (
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM five a JOIN five b ON a.doc_id = b.doc_id AND a.said = b.said AND a.i < b.i
+  WHERE 4 * (b.i - a.i) <= a.n AND a.i + 5 <= a.n AND b.i + 5 <= b.n
+),
+stretches AS (
+  SELECT doc_id, q, min(i) AS s, max(i) + 5 + q - min(i) AS l
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM again) GROUP BY doc_id, q, island
+),
+runs AS (SELECT doc_id, s, l, min(q) AS q FROM stretches WHERE l >= greatest(6, 4 * q) GROUP BY doc_id, s, l),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY l::DOUBLE / q DESC, s, q) AS nth FROM runs) WHERE nth = 1
+),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS text FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start, l::BIGINT AS length, q::BIGINT AS period,
+       (1000 * l // q)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op12_ranked_search"] = r"""
+WITH said AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+terms AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY 1, 2),
+whole AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM said WHERE len(w) > 0),
+counted AS (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM said),
+tfs AS (SELECT doc_id, term, any_value(n) AS n, count(*) AS tf FROM counted SEMI JOIN terms USING (term) GROUP BY 1, 2),
+weighted AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, whole GROUP BY 1),
+shares AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))) AS share FROM tfs JOIN weighted USING (term), whole
+),
+scored AS (SELECT item_id, doc_id, sum(times * share)::BIGINT AS score FROM terms JOIN shares USING (term) GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+# What the contract asks of pages whose article is an <article> of headings and paragraphs, as all of these are.
+ORACLE["op13_main_text"] = r"""
+WITH cut AS (
+  SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's'), '</?(?:p|h[1-6])>|<br>') AS parts FROM pages
+),
+plain AS (
+  SELECT page_id, url, list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+    x, '<[^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts FROM cut
+),
+joined AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), ' ') AS text FROM plain)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined
+"""

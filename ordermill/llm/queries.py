@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm import archive, chat, decontaminate, kneser_ney, lines, minhash, mixing, phrases, rules, sharding
+from ordermill.llm import archive, chat, decontaminate, extraction, kneser_ney, lines, minhash, mixing, periods, phrases, ranking, rules, sharding
 from ordermill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,38 @@ def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of three lines or more that occur earlier in the corpus."""
     kept = lines.without_repeated_runs(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_removed", "longest_run", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def with_cycles(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the documents, by a checksum of the id, go on from some word by repeating what follows it."""
+    draw = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    worded = docs.select("doc_id", "text", draw.alias("h"), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("w"))
+    numbered = worded.selectExpr("*", "h div 10 AS g", "size(w) AS n").selectExpr("*", "int(g % greatest(n, 1)) AS a").selectExpr(
+        "*", "int(1 + (n - a) div (3 + g % 8)) AS p")
+    cycled = "slice(concat(slice(w, 1, a), flatten(array_repeat(slice(w, a + 1, p), int(ceil((n - a) / p))))), 1, n)"
+    return numbered.selectExpr("doc_id", f"CASE WHEN h % 10 = 0 AND n > 0 THEN array_join({cycled}, ' ') ELSE text END AS text")
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words, and its text with each of them cut to its first period."""
+    found = periods.collapsed(with_cycles(table(spark, sf_dir, "documents")))
+    # Runs are in order of start and period, so the first of equal exponents is the one wanted.
+    best = ("aggregate(runs, cast(null AS struct<start: long, length: long, period: long>), (best, r) -> "
+            "if(best IS NULL OR r.length * best.period > best.length * r.period, r, best))")
+    listed = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.selectExpr("doc_id", "kept_text", "cast(size(runs) AS long) AS n_runs", f"{best} AS best", f"{listed} AS listed").selectExpr(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", "1000 * best.length div best.period AS exponent_milli",
+        "sha2(listed, 256) AS runs_sha256", "sha2(kept_text, 256) AS collapsed_sha256")
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return extraction.main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")

@@ -28,7 +28,7 @@ def other():
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in REGISTRY) == list(range(1, 14))
     assert set(REGISTRY) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
