@@ -69,7 +69,7 @@ TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({UNREAD})\b{VALUES}>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*)({VALUES})(?:>|\Z)|<[!?/][^>]*+>", re.S | re.I)
 ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
-_MARKS = str.maketrans(dict.fromkeys(".,;:!?()\"'", " "))
+WORD = re.compile(r"\w+")
 
 SHORT = 70  # characters other than white space
 LINKED = 0.5  # share of a block's characters
@@ -244,9 +244,9 @@ def labelled(pages: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray
     flat = [b for page in cut for b in page]
     page = np.repeat(np.arange(len(pages)), [len(b) for b in cut])
     texts = [" ".join("".join(b.text).split()) for b in flat]
-    words = [t.lower().translate(_MARKS).split() for t in texts]
+    words = [WORD.findall(t.lower()) for t in texts]
     column = lambda values, kind: np.fromiter(values, kind, len(flat))
-    length = column((len("".join(t.split())) for t in texts), np.int64)
+    length = column((len(t) - t.count(" ") for t in texts), np.int64)
     other = column((b.other for b in flat), bool)
     level = np.where(other | (length == 0), 0, column((b.article for b in flat), np.int64))
     # The part that a page calls its article, if any: blocks elsewhere are not.
