@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Every field is read as text so that a wrong type can be told from a missing
 # value. The quantity is read as VARIANT: "2" and 2 are different there.
 MESSAGE_SCHEMA = """
     order_id string, customer_email string, channel string, store_code string,
     product_ref string, quantity variant, unit_price_eur string,
-    amount_eur string, order_timestamp string, _corrupt string
+    amount_eur string, order_timestamp string
 """
-PARSER_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 NUMBER_TYPE = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
 ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
+def _struct(fields: str) -> str:
+    """DDL of columns as that of one struct."""
+    return T.StructType.fromDDL(fields).simpleString()
+
+
 def parse_timestamp(text: Column) -> Column:
     """ISO timestamp with optional offset or ``Z``; NULL when unreadable."""
     return F.when(text.rlike(ISO_DATE), text.try_cast("timestamp"))
@@ -43,19 +48,26 @@ def parse_events(events: DataFrame) -> DataFrame:
     Columns ending in ``_text`` hold what the message said, the others the
     typed value or NULL when it does not convert.
     """
+    # Read as a list, a text that is cut off, goes on or holds several objects gives no list or one of
+    # another length, all in one parse; only a text that closes the list itself needs a second look.
     # Generated rows are computed once. A plain projection would be copied into
     # every later filter and expression, and with it the JSON parser.
-    message = events.select(
+    as_list = F.from_json(F.concat(F.lit("["), F.col("value"), F.lit("]")), f"array<{_struct(MESSAGE_SCHEMA)}>")
+    message = events.select("topic", "arrival", F.col("value").alias("payload"), F.explode(F.array(as_list)).alias("said"))
+    first = F.get("said", F.lit(0))
+    closes = F.col("payload").rlike(r"\}\s*\]") & ~one_value(F.col("payload"))
+    fields = message.select(
         "topic",
         "arrival",
-        F.col("value").alias("payload"),
-        F.inline(F.array(F.from_json("value", MESSAGE_SCHEMA, PARSER_OPTIONS))),
-    )
-    fields = message.select(
+        "payload",
+        (F.coalesce(F.size("said") != 1, F.lit(True)) | first.isNull() | closes).alias("bad_json"),
+        first.alias("m"),
+    ).select("topic", "arrival", "payload", "bad_json", "m.*")
+    fields = fields.select(
         "topic",
         "arrival",
         "payload",
-        (F.col("_corrupt").isNotNull() | ~one_value(F.col("payload"))).alias("bad_json"),
+        "bad_json",
         "order_id",
         "customer_email",
         "channel",
