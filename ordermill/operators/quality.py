@@ -189,3 +189,8 @@ def run_tests(tables: dict[str, DataFrame], tests: tuple[ColumnTest, ...] = DECL
     return reduce(DataFrame.unionByName, frames).withColumn(
         "status", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL")
     )
+
+
+def declared_tests() -> tuple[ColumnTest, ...]:
+    """The tests that ``run_tests`` runs unless told otherwise."""
+    return run_tests.__defaults__[0]

@@ -6,16 +6,18 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ordermill import schemas
-from ordermill.functions.dates import month_of_key
-from ordermill.operators import conform, dims, facts, monitor, privacy, quality
+from ordermill.functions.dates import month_of_key, within
+from ordermill.operators import conform, dims, facts, monitor, privacy, profiles, quality
 from ordermill.operators.facts import Star
 from ordermill.session import discard, materialise, prepare, together
+from ordermill.sources import ids
 from ordermill.sources.csvfiles import read_seed
 from ordermill.sources.tables import Warehouse
 from ordermill.streaming.ingest import BATCH, CADENCE, dead_letters, failed_events, ingest_batch, landed_orders
@@ -162,6 +164,7 @@ def publish_load(house: Warehouse, resolved: DataFrame, load_id: int) -> tuple[i
     # Ranges end inside a month when it is large, and small months share a task.
     ranged = rows.repartitionByRange(MONTH, "order_id")
     house.write_slice(ranged, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,), version=version)
+    ids.add(house, "dwh", fact_ids(house, version), rows.select("order_id", F.lit(load_id).alias(ids.LOAD)))
     finish_load(house, resolved, load_id, version)
     counted = resolved.agg(F.count("*").alias("all"), F.count(facts.missing_member()).alias("waiting")).first()
     discard(resolved)
@@ -188,14 +191,135 @@ def rebuild_facts(house: Warehouse) -> DataFrame:
     ranged = rows.repartitionByRange(LOAD, MONTH, "order_id")
     version = max(progress(house)[2], house.version("dwh", "fact_sales")) + 1
     house.commit(ranged, "dwh", "fact_sales", partition_by=(LOAD, MONTH), version=version)
+    fact_ids(house, version - 1)  # what a stopped refresh left goes
+    ids.add(house, "dwh", f"fact_ids/e{version}", rows.select("order_id", F.col(LOAD).alias(ids.LOAD)))
     finish_load(house, resolved, last, version)
     house.prune("dwh", "fact_sales")
     discard(resolved)
     return sales(house)
 
 
+# Tables with a profile per load: layer, load column and the time that windows ask for.
+PROFILED = {
+    "streaming_orders": ("raw", BATCH, "consumed_at"),
+    "failed_events": ("raw", BATCH, "failed_at"),
+    "fact_sales": ("dwh", LOAD, None),
+}
+TESTED_AS = {"stg_orders": "streaming_orders"}
+PARENTS = {"product_key": "dim_product", "customer_key": "dim_customer"}
+STORED_PROFILE = f"`table` string, version int, {profiles.PROFILE}"
+STORED_REPEATED = f"`table` string, version int, {profiles.REPEATED}"
+
+
+def fact_ids(house: Warehouse, version: int) -> str:
+    """Name of the index of order ids by fact load, for the fact snapshot in force; full refreshes begin a new one."""
+    fs, folder = house._folder(house.path("dwh", "fact_ids"))
+    begun = [int(s.getPath().getName()[1:]) for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    for stale in (e for e in begun if e > version):  # of a refresh that stopped
+        fs.delete(house._folder(f"{house.path('dwh', 'fact_ids')}/e{stale}")[1], True)
+    return f"fact_ids/e{max((e for e in begun if e <= version), default=0)}"
+
+
+def loads_of(house: Warehouse, table: str) -> set[int]:
+    """Numbers of the loads a table holds, from its folders; of the fact those in force."""
+    layer, column, _ = PROFILED[table]
+    if table != "fact_sales":
+        return {int(s.split("=")[1]) for s in house.slices(layer, table) if s.startswith(f"{column}=")}
+    last, _, version = progress(house)
+    return {n for s in house.slices(layer, table, version) if s.startswith(f"{column}=") and (n := int(s.split("=")[1])) <= last} if version >= 0 else set()
+
+
+@dataclass
+class Profiles:
+    """Profiles and repeated ids of all loads: what is stored, and what was worked out now."""
+
+    profiles: DataFrame
+    repeated: DataFrame
+    fresh: int  # how many loads were read
+
+    def of(self, table: str) -> DataFrame:
+        return self.profiles.filter(F.col("table") == table)
+
+
+def profiled(house: Warehouse, again: int | None = None, resolved: DataFrame | None = None) -> Profiles:
+    """Profiles of every load; only loads without one are read, and load ``again``, which may have been written anew.
+
+    With the facts of a resolved load that is not published yet, as load ``again``.
+    """
+    stored = house.read("monitoring", "load_profiles", STORED_PROFILE)
+    repeated = house.read("monitoring", "repeated_ids", STORED_REPEATED)
+    known: dict[tuple[str, int], set[int]] = {}
+    for r in stored.select("table", "version", ids.LOAD).collect():
+        known.setdefault((r.table, r.version), set()).add(r[ids.LOAD])
+    at_hand, versions, fresh, found = star(house), {}, [], []
+    for table, (layer, column, at) in PROFILED.items():
+        versions[table] = progress(house)[2] if table == "fact_sales" else house.version(layer, table)
+        missing = sorted(n for n in loads_of(house, table) if n == again or n not in known.get((table, versions[table]), ()))
+        rows = CUT_TABLES[table](house).filter(F.col(column).isin(missing))
+        index = None
+        if table == "fact_sales":
+            rows = rows.drop(MONTH)
+            index = fact_ids(house, versions[table])
+            if resolved is not None:
+                rows = rows.filter(F.col(column) != again).unionByName(facts.complete(resolved).withColumn(column, F.lit(again)))
+                missing = sorted({*missing, again})
+        elif table == "streaming_orders":
+            index = "landed_ids"
+        if not missing:
+            continue
+        twice = house.spark.createDataFrame([], f"{profiles.REPEATED}, before boolean")
+        if index is not None:
+            edge = rows.agg(F.min("order_id").alias("least"), F.max("order_id").alias("most")).first()
+            held = ids.near(house, layer, index, edge["least"], edge["most"])
+            twice = materialise(profiles.repeated_ids(rows, column, held), "repeated")
+            found.append(twice.select(F.lit(table).alias("table"), F.lit(versions[table]).alias("version"), ids.LOAD, "order_id"))
+        parents = {"product_key": at_hand.product, "customer_key": at_hand.customer} if table == "fact_sales" else {}
+        made = profiles.profile(rows, column, at, twice, parents)
+        fresh.append((table, missing, made.select(F.lit(table).alias("table"), F.lit(versions[table]).alias("version"), *made.columns)))
+
+    def in_force(rows: DataFrame) -> DataFrame:
+        """Stored rows of the snapshots in force, without loads that were read now."""
+        for table, version in versions.items():
+            rows = rows.filter((F.col("table") != table) | (F.col("version") == version))
+        for table, missing, _ in fresh:
+            rows = rows.filter((F.col("table") != table) | ~F.col(ids.LOAD).isin(missing))
+        return rows
+
+    now = [materialise(reduce(DataFrame.unionByName, [rows for _, _, rows in fresh]), "profiles")] if fresh else []
+    return Profiles(reduce(DataFrame.unionByName, [in_force(stored), *now]), reduce(DataFrame.unionByName, [in_force(repeated), *found]),
+                    sum(len(missing) for _, missing, _ in fresh))
+
+
+def keep_profiles(house: Warehouse, found: Profiles) -> Profiles:
+    """Store profiles, so that later runs add up what this one read."""
+    if not found.fresh:
+        return found
+    kept = house.commit(found.profiles.coalesce(1), "monitoring", "load_profiles")
+    house.prune("monitoring", "load_profiles", keep=2)
+    twice = found.repeated
+    if house.exists("monitoring", "repeated_ids") or not twice.isEmpty():
+        twice = house.commit(twice, "monitoring", "repeated_ids")
+        house.prune("monitoring", "repeated_ids", keep=2)
+    return Profiles(kept, twice, 0)
+
+
+def column_tests(house: Warehouse, found: Profiles, resolved: DataFrame | None = None) -> DataFrame:
+    """The declared column tests, from profiles; a test they do not answer reads its tables whole."""
+    declared = quality.declared_tests()
+    counted = profiles.failures(found.profiles, found.repeated)
+    rows, rest = [], []
+    for t in declared:
+        if not profiles.answered(t, PARENTS):
+            rest.append(t)
+            continue
+        n = counted.get((TESTED_AS.get(t.table, t.table), t.test, t.column), 0)
+        rows.append((t.test, t.table, t.column, n, "PASS" if n == 0 else "FAIL"))
+    out = house.spark.createDataFrame(rows, "test string, `table` string, `column` string, failures long, status string")
+    return out.unionByName(quality.run_tests(tested_tables(house, resolved), tuple(rest))) if rest else out
+
+
 def tested_tables(house: Warehouse, resolved: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Tables the column tests read, whole; with the facts of a resolved load that is not published yet."""
+    """Whole tables that column tests may read; with the facts of a resolved load that is not published yet."""
     fact, at_hand = sales(house).select(*schemas.FACT_COLUMNS), star(house)
     return {
         "stg_orders": facts.staged_orders(landed_orders(house)),
@@ -205,9 +329,16 @@ def tested_tables(house: Warehouse, resolved: DataFrame | None = None) -> dict[s
     }
 
 
-def checks(house: Warehouse, as_of: Column) -> DataFrame:
-    """The quality metrics over whole tables."""
-    return quality.run_checks(landed_orders(house), failed_events(house), sales(house), star(house).product, as_of)
+def checks(house: Warehouse, as_of: Column, found: Profiles | None = None) -> DataFrame:
+    """The quality metrics, from profiles; of a load that the time window cuts, its rows."""
+    found = keep_profiles(house, profiled(house)) if found is None else found
+    cut = found.profiles.filter(~within(F.col("first_at"), as_of) & within(F.col("last_at"), as_of)).select("table", ids.LOAD).collect()
+
+    def edge(table: str) -> DataFrame:
+        return CUT_TABLES[table](house).filter(F.col(BATCH).isin([r[ids.LOAD] for r in cut if r.table == table]))
+
+    return profiles.metrics(found.of("streaming_orders"), found.of("failed_events"), found.of("fact_sales"),
+                            edge("streaming_orders"), edge("failed_events"), as_of)
 
 
 def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column | None = None,
@@ -218,7 +349,8 @@ def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column
     The column tests see the load before anyone else does: when one fails, the
     run fails, nothing of the load is published and its orders stay pending.
     An alert of a metric marks the run and never fails it. Tests and metrics
-    read the whole tables. The run is logged in every case.
+    add up what is known of earlier loads and read the new one. The run is
+    logged in every case.
     """
     spark = prepare(house.spark)
     started = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -233,8 +365,9 @@ def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column
             days = dims.calendar_around(spark, F.to_date(today), dims.CALENDAR_EXTENSION_DAYS)
         extend_calendar(house, days)
         resolved = resolve_load(house, batch_id)
-        tested = quality.run_tests(tested_tables(house, resolved))
-        house.write_slice(tested, "staging", "column_tests", BATCH, batch_id)
+        found = profiled(house, batch_id, resolved)
+        tested = column_tests(house, found, resolved)
+        house.write_slice(tested.coalesce(1), "staging", "column_tests", BATCH, batch_id)
         broken = [r.asDict() for r in column_test_results(house).filter((F.col(BATCH) == batch_id) & (F.col("status") == "FAIL")).drop(BATCH).collect()]
         if broken:
             if resolved is not None:
@@ -246,7 +379,7 @@ def run_batch(house: Warehouse, events: DataFrame, batch_id: int, as_of: Column
             result.newly_processed, unresolved = publish_load(house, resolved, batch_id)
         result.counters["orders_unresolved"] = unresolved
 
-        metrics = checks(house, today)
+        metrics = checks(house, today, keep_profiles(house, found))
         house.write_slice(metrics.withColumn("measured_at", F.current_timestamp()), "staging", "quality_metrics",
                           BATCH, batch_id)
         measured = house.read("staging", "quality_metrics").filter(F.col(BATCH) == batch_id).collect()

@@ -12,6 +12,7 @@ slice again replaces it, so a repeated load adds nothing.
 from __future__ import annotations
 
 import hashlib
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -101,7 +102,7 @@ class Warehouse:
         session that names the table finds what others have added.
         """
         path = self.path(layer, table)
-        name = f"{table}_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+        name = f"{re.sub(r'\W', '_', table)}_{hashlib.md5(path.encode()).hexdigest()[:16]}"
         fs, folder = self._folder(path)
         fs.mkdirs(folder)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet "
@@ -109,9 +110,9 @@ class Warehouse:
         self.spark.catalog.refreshTable(name)
         return name
 
-    def slices(self, layer: str, table: str) -> set[str]:
-        """Names of the slices in the current snapshot."""
-        path = self.current(layer, table)
+    def slices(self, layer: str, table: str, version: int | None = None) -> set[str]:
+        """Names of the slices in a snapshot, the current one unless told."""
+        path = self.current(layer, table) if version is None else self._snapshot(layer, table, version)
         if path is None:
             return set()
         fs, folder = self._folder(path)

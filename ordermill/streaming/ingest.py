@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ordermill.functions.events import parse_events
 from ordermill.operators import landing, rules
 from ordermill.schemas import FAILED_EVENTS, STREAMING_ORDERS
+from ordermill.sources import ids
 from ordermill.sources.tables import Warehouse
 
 BATCH = "batch_id"
@@ -29,15 +30,12 @@ class Counters:
     events_duplicate: int
 
 
-ID_BUCKETS = 16
-
-
-def landed_ids(house: Warehouse, buckets: int = ID_BUCKETS) -> str:
+def landed_ids(house: Warehouse) -> str:
     """Name of the table of all order ids ever landed, in buckets by id, with the batch they came with.
 
     It holds no personal data and outlives an erasure: an erased order does not land again.
     """
-    return house.buckets("raw", "landed_ids", f"order_id STRING, {BATCH} INT", "order_id", buckets)
+    return ids.index(house, "raw", "landed_ids")
 
 
 def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse,
@@ -52,16 +50,16 @@ def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse,
     """
     judged = rules.judge(parse_events(events)).select(*KEPT_COLUMNS).persist()
     try:
+        valid = F.when(F.col("error_code").isNull(), F.col("order_id"))
         counts = judged.agg(
-            F.count("*").alias("read"), F.count("error_code").alias("failed")
+            F.count("*").alias("read"), F.count("error_code").alias("failed"), F.min(valid).alias("least"), F.max(valid).alias("most")
         ).first()
-        ids = landed_ids(house)
-        landed_before = house.spark.table(ids).filter(F.col(BATCH) != batch_id)
+        landed_before = ids.near(house, "raw", "landed_ids", counts["least"], counts["most"]).filter(F.col(ids.LOAD) != batch_id)
         accepted = counts["read"] - counts["failed"]
         new = landing.not_yet_landed(landing.land(judged), landed_before)
         house.write_slice(new, "raw", "streaming_orders", BATCH, batch_id)
         here = landed_orders(house).filter(F.col(BATCH) == batch_id)
-        here.select("order_id", F.lit(batch_id).alias(BATCH)).repartition(ID_BUCKETS, "order_id").write.insertInto(ids)
+        ids.add(house, "raw", "landed_ids", here.select("order_id", F.lit(batch_id).alias(ids.LOAD)))
         failed = landing.failed_events(judged)
         house.write_slice(failed, "raw", "failed_events", BATCH, batch_id)
         house.write_slice(landing.dead_letters(failed), "raw", "dead_letters", BATCH, batch_id)
