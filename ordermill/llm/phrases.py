@@ -18,8 +18,8 @@ own words, so it is no group of its own; a window that recurs everywhere is one
 A bit map of fixed size, built from the counts, tells tasks which anchors recur; other anchors that share
 a bit are sent too and confirm nothing.
 
-Defined results: null and empty texts have no words; rows that share an id are copies of one document,
-and their equal windows at equal places are one occurrence; rows without an id are returned whole and make
+Defined results: null and empty texts have no words; rows that share an id are versions of one document: equal windows
+at equal places of theirs are one occurrence, and words are removed from the version they lie in; rows without an id are returned whole and make
 nobody's words a repeat; an empty table gives an empty result; extra columns are left out.
 """
 
@@ -97,8 +97,8 @@ def _set(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def stretches(docs: DataFrame, doc_id: str, text: str, known, hot, span: int, anchor: int) -> DataFrame:
-    """(shard key, id, start, n, words): n windows from word ``start`` on, or without words, n words to remove from there on."""
-    rows = docs.select(quoted(doc_id).alias("id"), quoted(text).alias("text")).filter("id IS NOT NULL")
+    """(shard key, id, start, n, words, version): n windows from word ``start`` on, or without words, n words to remove from there on."""
+    rows = docs.select(quoted(doc_id).alias("id"), quoted(text).alias("text"), F.xxhash64(quoted(text)).alias("version")).filter("id IS NOT NULL")
     kind = dict(rows.dtypes)["id"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +107,7 @@ def stretches(docs: DataFrame, doc_id: str, text: str, known, hot, span: int, an
                 w, h, doc, own, n = anchors(batch.column(1).slice(lo, hi - lo), span, anchor)
                 keep = _set(known.value, h)
                 h, doc, own, n = h[keep], doc[keep], own[keep], n[keep]
-                ids = batch.column(0).slice(lo, hi - lo)
+                ids, versions = (batch.column(k).slice(lo, hi - lo) for k in (0, 2))
                 names = ids.to_pylist()
                 said = _stretch_texts(w, w.first[doc] + own, n + span - 1)
                 first, late = _firsts(said, [(names[d], k) for d, k in zip(doc.tolist(), own.tolist(), strict=True)])
@@ -128,9 +128,10 @@ def stretches(docs: DataFrame, doc_id: str, text: str, known, hot, span: int, an
                 key, d, k0, times = (np.concatenate(x) for x in list(zip(*out, strict=True))[:4])
                 yield pa.RecordBatch.from_arrays([
                     pa.array(key.view(np.int64)), ids.take(pa.array(d)), pa.array(k0, pa.int32()), pa.array(times, pa.int32()),
-                    pa.array([x for part in out for x in part[4]], pa.binary())], names=["key", "id", "start", "n", "words"])
+                    pa.array([x for part in out for x in part[4]], pa.binary()), versions.take(pa.array(d))],
+                    names=["key", "id", "start", "n", "words", "version"])
 
-    return map_arrow(rows, run, f"key long, id {kind}, start int, n int, words binary")
+    return map_arrow(rows, run, f"key long, id {kind}, start int, n int, words binary, version long")
 
 
 def _stretch_texts(w: Words, begin: np.ndarray, length: np.ndarray) -> list[bytes]:
@@ -163,15 +164,15 @@ def hash_words(said: bytes) -> int:
 
 
 def locate(sent: DataFrame, span: int) -> DataFrame:
-    """(id, start, n): words to remove, from all stretches of each shard."""
+    """(id, version, start, n): words to remove, from all stretches of each shard."""
     kind = dict(sent.dtypes)["id"]
 
     def compiled(rows: list[tuple]) -> Iterator[tuple]:
         numbers: dict[bytes, int] = {}
-        texts = [tuple([numbers.setdefault(x, len(numbers) + 1) for x in words.split()]) for _, _, _, _, words in rows]
+        texts = [tuple([numbers.setdefault(x, len(numbers) + 1) for x in words.split()]) for _, _, _, _, words, _ in rows]
         first: dict[tuple, tuple] = {}
         again: set[tuple] = set()
-        for (_, doc, start, n, _), text in zip(rows, texts, strict=True):
+        for (_, doc, start, n, _, _), text in zip(rows, texts, strict=True):
             for k in range(n):
                 window, at = text[k: k + span], (doc, start + k)
                 old = first.get(window)
@@ -187,7 +188,7 @@ def locate(sent: DataFrame, span: int) -> DataFrame:
         for window in again:
             automaton.add_word(window, first[window])
         automaton.make_automaton()
-        for (_, doc, start, _, _), text in zip(rows, texts, strict=True):
+        for (_, doc, start, _, _, version), text in zip(rows, texts, strict=True):
             begin = stop = -1
             for end, origin in automaton.iter(text):
                 at = end - span + 1
@@ -195,21 +196,21 @@ def locate(sent: DataFrame, span: int) -> DataFrame:
                     continue
                 if at > stop:
                     if stop >= 0:
-                        yield doc, start + begin, stop - begin
+                        yield doc, version, start + begin, stop - begin
                     begin = at
                 stop = end + 1
             if stop >= 0:
-                yield doc, start + begin, stop - begin
+                yield doc, version, start + begin, stop - begin
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, 1, 1 << 12):
             out, rows = [], []
             data = list(zip(*(c.to_pylist() for c in table.columns), strict=True))
-            out += [row[1:4] for row in data if row[4] is None]
+            out += [(row[1], row[5], row[2], row[3]) for row in data if row[4] is None]
             sent = [row for row in data if row[4] is not None]
             # Equal stretches of a shard differ in their place only: the first stands for them.
             first, late = _firsts([(row[0], row[4]) for row in sent], [row[1:3] for row in sent])
-            out += [(sent[k][1], sent[k][2], sent[k][3] + span - 1) for k in late]
+            out += [(sent[k][1], sent[k][5], sent[k][2], sent[k][3] + span - 1) for k in late]
             distinct = [sent[k] for k in first]
             shared = Counter(row[0] for row in distinct)
             for row in distinct:
@@ -220,10 +221,12 @@ def locate(sent: DataFrame, span: int) -> DataFrame:
                     rows = []
                 rows.append(row)
             out += compiled(rows)
-            ids, starts, counts = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, table.schema.field(1).type), pa.array(starts, pa.int32()), pa.array(counts, pa.int32())], names=["id", "start", "n"])
+            ids, versions, starts, counts = zip(*out, strict=True) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, table.schema.field(1).type), pa.array(versions, pa.int64()), pa.array(starts, pa.int32()), pa.array(counts, pa.int32())],
+                names=["id", "version", "start", "n"])
 
-    return map_arrow(sent.repartition("key").sortWithinPartitions("key"), run, f"id {kind}, start int, n int")
+    return map_arrow(sent.repartition("key").sortWithinPartitions("key"), run, f"id {kind}, version long, start int, n int")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
@@ -232,9 +235,9 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = materialise(recurring(docs, text, span, anchor), "anchors")
     known, common = context.broadcast(bit_map(found)), context.broadcast(bit_map(found.filter(F.col("n") > hot)))
     marks = locate(stretches(docs, doc_id, text, known, common, span, anchor), span)
-    per_document = marks.groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
+    per_document = marks.groupBy("id", "version").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
     kind = dict(docs.dtypes)[doc_id]
-    met = packed(docs, doc_id, text).join(per_document, "id", "left").select("id", "packed", F.col("marks.start").alias("starts"), F.col("marks.n").alias("counts"))
+    met = packed(docs, doc_id, text, F.xxhash64(quoted(text)).alias("version")).join(per_document, ["id", "version"], "left").select("id", "packed", F.col("marks.start").alias("starts"), F.col("marks.n").alias("counts"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()

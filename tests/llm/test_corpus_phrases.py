@@ -67,3 +67,11 @@ def test_a_full_bit_map_only_costs_time(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert phrases.without_repeats(cases.frame(spark, [])).count() == 0
+
+
+def test_texts_that_share_an_id_keep_their_own_words(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    other = " ".join(f"v{k}" for k in range(60))
+    rows = [(i, t, "en", "a", 0) for i, t in [(1, long), (2, long), (2, "only five words of text"), (2, None), (2, other), (3, "x " + other)]]
+    out = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in phrases.without_repeats(cases.frame(spark, rows)).collect()))
+    assert out == sorted([(1, 60, 0, long), (2, 60, 60, ""), (2, 5, 0, "only five words of text"), (2, 0, 0, ""), (2, 60, 0, other), (3, 61, 60, "x")])
