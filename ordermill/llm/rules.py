@@ -3,8 +3,7 @@
 Rules judge one document each, so their order changes the cost and never the verdict. A small
 sample of whole documents gives each rule's cost (seconds a document) and selectivity (share it
 rejects); rules run in the order of rejections per second, and a document that one rule rejects
-is not shown to the next. Batches are worked on as arrays, and survivors are packed again when
-fewer than half are left.
+is not shown to the next. Batches are worked on as arrays, and survivors are packed before the next rule.
 
 Defined results: a null text has no words and is judged as an empty one; repeated rows are judged
 alike; an empty table gives an empty result; columns named like an added one are replaced, others
@@ -56,6 +55,16 @@ class Features:
     def raw(self) -> tuple[np.ndarray, np.ndarray]:
         return W.text_buffers(self.texts)
 
+    def take(self, rows: np.ndarray) -> Features:
+        """The same for some of the texts; the counts worked out so far go with them."""
+        out = Features(self.texts.take(pa.array(rows)))
+        for name in ("n_words", "word_chars", "n_symbols", "n_upper", "n_letters", "n_repeat_words"):
+            if name in self.__dict__:
+                out.__dict__[name] = self.__dict__[name][rows]
+        if "_lines" in self.__dict__:
+            out.__dict__["_lines"] = tuple(x[rows] for x in self._lines)
+        return out
+
     def _per_text(self, flags: np.ndarray) -> np.ndarray:
         sums = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
         return np.diff(sums[self.raw[1]])
@@ -179,7 +188,10 @@ def ordered(rules: tuple[Rule, ...], figures: dict[str, tuple[float, float]]) ->
 
 
 def judge(texts: pa.Array, rules: tuple[Rule, ...], whole: Features | None = None) -> np.ndarray:
-    """Position of the rule that rejects each text, -1 for none; later rules see only what is left."""
+    """Position of the rule that rejects each text, -1 for none; later rules see only what is left.
+
+    ``whole`` may hold counts of all texts that are known already; rules work out the others for the texts that reach them.
+    """
     verdict = np.full(len(texts), -1)
     rows, f = np.arange(len(texts)), whole or Features(texts)
     left = np.ones(len(rows), bool)
@@ -189,8 +201,8 @@ def judge(texts: pa.Array, rules: tuple[Rule, ...], whole: Features | None = Non
         left &= ~hit
         if not left.any():
             break
-        if whole is None and 2 * left.sum() < len(left):
-            rows, f, left = rows[left], Features(f.texts.take(pa.array(np.flatnonzero(left)))), np.ones(int(left.sum()), bool)
+        if not left.all():
+            rows, f, left = rows[left], f.take(np.flatnonzero(left)), np.ones(int(left.sum()), bool)
     return verdict
 
 
@@ -198,7 +210,8 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
             per_task: int = SAMPLE_PER_TASK) -> DataFrame:
     """``docs`` with ``kept`` and ``rejected_by`` (a rule that rejects, null if kept).
 
-    ``measures`` adds the five counts of MEASURES for every document; rules then share them.
+    ``measures`` adds the five counts of MEASURES for every document; rules look these up, and what else a rule asks
+    is worked out for the documents that reach it.
     """
     order = ordered(rules, estimate(docs, rules, text, per_task))
     added = (MEASURES if measures else ()) + ("kept", "rejected_by")
@@ -213,9 +226,9 @@ def cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
         for batch in batches:
             for lo, hi in W.batches(batch.column(at), 2 << 20):
                 part = batch.slice(lo, hi - lo)
-                whole = Features(part.column(at)) if measures else None
-                verdict = judge(part.column(at), order, whole)
+                whole = Features(part.column(at))
                 counts = [pa.array(getattr(whole, m), pa.int64()) for m in added[:-2]]
+                verdict = judge(part.column(at), order, whole)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, *counts, pa.array(verdict < 0), pa.array(names[verdict], pa.string())],
                     names=[*columns, *added])

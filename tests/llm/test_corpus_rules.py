@@ -62,3 +62,17 @@ def test_empty_table(spark):
 def test_lines_at_text_edges():
     f = rules.Features(pa.array(["a\n", "a", "\na\na", "", None, "a\n\n\na\n"]))
     assert np.array_equal(f.n_lines, [1, 1, 2, 0, 0, 2]) and np.array_equal(f.n_dup_lines, [0, 0, 1, 0, 0, 1])
+
+
+def test_counts_known_already_do_not_end_the_cascade():
+    """With all texts counted, as the registered query asks, later rules still see survivors only."""
+    texts = pa.array([r[1] for r in cases.corpus(4)])
+    whole = rules.Features(texts)
+    for name in rules.MEASURES:
+        getattr(whole, name)
+    seen = []
+    spied = tuple(rules.Rule(r.name, lambda f, r=r: (seen.append((r.name, len(f.texts), "n_letters" in f.__dict__)), r.rejects(f))[1]) for r in rules.RULES)
+    verdict = rules.judge(texts, spied, whole)
+    assert (verdict == rules.judge(texts, rules.RULES)).all()
+    assert [n for _, n, _ in seen] == [len(texts) - int(((verdict >= 0) & (verdict < k)).sum()) for k in range(len(seen))]
+    assert seen[0][1] == len(texts) > seen[1][1] and not any(counted for *_, counted in seen)  # letters are counted for those that reach the last rule
