@@ -12,8 +12,9 @@ for in one slice of each source only, so a source that holds most rows is no gro
 Texts are not shuffled: rows meet their source's plan, a few numbers, and decide on their own.
 
 Defined results: a null source is a source of its own; a null or empty text has no tokens and rides
-along at its place in the permutation; repeated rows go together at the cut; an empty table, or one
-without tokens, gives an empty result; columns named like an added one are replaced.
+along at its place in the permutation; a source without any token has no weight and is taken once, as it costs
+nothing; a table without any has no budget and gives an empty result, unless every document is asked for; repeated rows go
+together at the cut; an empty table gives an empty result; columns named like an added one are replaced.
 """
 
 from __future__ import annotations
@@ -108,9 +109,12 @@ def plan(docs: DataFrame, target: Target, seed: int = 17, text: str = "text", do
     digest = materialise(docs.select(
         quoted(doc_id).alias("doc_id"), F.coalesce(quoted(source).cast("string"), F.lit(NO_SOURCE)).alias("source_key"),
         tokens_of(quoted(text)).alias("n_tokens")), "mix-tokens")
-    totals = materialise(digest.groupBy("source_key").agg(F.sum("n_tokens").alias("tokens")).filter("tokens > 0"), "mix-sources")
+    every = materialise(digest.groupBy("source_key").agg(F.sum("n_tokens").alias("tokens")), "mix-sources")
+    totals = every.filter("tokens > 0")
+    silent = every.filter("tokens = 0").select("source_key", "tokens", F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("budget"),
+                                               F.lit(1).cast("long").alias("blocks"), F.lit(None).cast("long").alias("cut"))
     if totals.isEmpty():
-        return totals.select("source_key", "tokens", *[F.lit(0).alias(c) for c in ("weight", "budget", "blocks", "cut")]), digest
+        return (silent if target.at_least_once else silent.limit(0)), digest
     a, z, budget = exponent(totals, target)
     whole = totals.agg(F.sum("tokens")).first()[0]
     weight = F.pow(F.col("tokens") / F.lit(float(whole)), F.lit(a)) / F.lit(z)
@@ -135,7 +139,8 @@ def plan(docs: DataFrame, target: Target, seed: int = 17, text: str = "text", do
         F.max(F.when(F.col("upto") <= F.col("rest"), F.col("draw"))).alias("within"), F.max("slice").alias("slice"))
     bottom = F.when(F.col("slice") > -(1 << (SLICE_BITS - 1)), F.shiftleft("slice", 64 - SLICE_BITS) - 1)
     cuts = last.select("source_key", F.coalesce("within", bottom).alias("cut"))
-    return materialise(sources.join(cuts, "source_key", "left").drop("rest"), "mix-plan"), digest
+    heard = sources.join(cuts, "source_key", "left").select(*silent.columns)
+    return materialise(heard.unionByName(silent), "mix-plan"), digest
 
 
 def realise(rows: DataFrame, sources: DataFrame, seed: int = 17, doc_id: str = "doc_id", source: str = "source") -> DataFrame:

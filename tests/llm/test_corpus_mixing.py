@@ -100,3 +100,11 @@ def test_awkward_rows(spark):
 @pytest.mark.parametrize("rows", [[], [(1, None, "en", "a", 0), (2, " ", "en", "b", 0)]])
 def test_nothing_to_mix(spark, rows):
     assert mixing.schedule(cases.frame(spark, rows)).count() == 0 and mixing.mix(cases.frame(spark, rows)).count() == 0
+
+
+def test_sources_without_tokens_are_taken_once(spark):
+    rows = [(1, "some words here", "en", "a", 0), (2, None, "en", "t", 0), (3, " ", "en", "t", 0), (4, "", "en", None, 0)]
+    for target in (mixing.Target(), mixing.Target(at_least_once=True)):
+        assert Counter(r.doc_id for r in mixing.mix(cases.frame(spark, rows), target).collect()) == Counter([1, 2, 3, 4])
+        assert {(r.doc_id, r.source, r.block, r.n_tokens) for r in mixing.schedule(cases.frame(spark, rows), target).collect()} == {(1, "a", 0, 3), (2, "t", 0, 0), (3, "t", 0, 0), (4, None, 0, 0)}
+    assert mixing.mix(cases.frame(spark, rows[1:]), mixing.Target(at_least_once=True)).count() == 3
