@@ -13,7 +13,7 @@ and every document is read against it whole, so neither the number of items nor
 limited. Documents are not shuffled.
 
 Defined results: null and empty texts and items match nothing, nor do items shorter than q
-characters; repeated items are items of their own; empty tables give an empty result; columns named
+characters; an item row given twice counts once, an id with two texts stands for both; empty tables give an empty result; columns named
 like an added one are replaced in ``clean``'s input only where they would clash, others pass through.
 """
 
@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ordermill.llm.common import map_arrow, quoted
 from ordermill.llm.words import batches as text_batches
@@ -36,6 +37,7 @@ WINDOW = 100
 EDIT_SHARE = 0.06
 PASSAGE = 50  # verbatim characters of an item that are a match wherever they lie
 BLOCK_CHARS = 2_000_000
+POSTINGS = 1 << 20  # places in the benchmark that shared q-grams are spread to at once
 FILTER_BITS = 22
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, n, 1 << 64)) for n in (1, 2, 4)]
 
@@ -134,8 +136,8 @@ def _aligned(index: Index, points: np.ndarray, window: np.ndarray, low: np.ndarr
     return best, end
 
 
-def verbatim(index: Index, text: np.ndarray, at: np.ndarray, posting: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(text, window, end) of every run of shared q-grams that spans PASSAGE characters of an item or more, whatever its windows."""
+def verbatim(index: Index, text: np.ndarray, at: np.ndarray, posting: np.ndarray) -> np.ndarray:
+    """(text, owner, diagonal, first, last, window) of every run of shared q-grams that spans PASSAGE characters of an item or more, whatever its windows."""
     window = index.window[posting]
     diagonal = at - index.start[window] - index.at[posting]
     owner = index.owner[window]
@@ -145,7 +147,62 @@ def verbatim(index: Index, text: np.ndarray, at: np.ndarray, posting: np.ndarray
     head = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0) | (np.diff(place) > 1))))
     last = np.append(head[1:], len(place)) - 1
     long = place[last] - place[head] + Q >= PASSAGE
-    return text[order][head][long], window[order][head][long], place[last][long] + Q
+    return np.stack((*key[:, head[long]], place[head[long]], place[last[long]], window[order][head[long]]))
+
+
+def joined(pieces: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, window, end) of runs from pieces of theirs that overlap."""
+    text, owner, diagonal, first, last, window = pieces[:, np.lexsort((pieces[3], pieces[2], pieces[1], pieces[0]))]
+    head = np.ones(len(text), bool)
+    same = (text[1:] == text[:-1]) & (owner[1:] == owner[:-1]) & (diagonal[1:] == diagonal[:-1])
+    head[1:] = ~(same & (first[1:] <= last[:-1] + 1))  # pieces of one run reach less far the earlier they begin
+    begin = np.flatnonzero(head)
+    return text[begin], window[begin], (np.maximum.reduceat(last, begin) if len(begin) else last) + Q
+
+
+def _postings(index: Index, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(times each hit is repeated, all postings of the hits)."""
+    times = index.first[slot + 1] - index.first[slot]
+    return times, np.repeat(index.first[slot] - np.cumsum(times) + times, times) + np.arange(times.sum())
+
+
+def shared(index: Index, text: np.ndarray, at: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """((text, window, low diagonal) of every band that meets its window's bound, pieces of verbatim runs).
+
+    Hits are spread to their postings in slices of POSTINGS; of a slice only sums by text, window and band are kept, and
+    verbatim runs. A slice looks PASSAGE characters back, so a run is whole in one of them or falls in pieces that overlap.
+    """
+    upto = np.cumsum(index.first[slot + 1] - index.first[slot])
+    runs, sums, lo = [], ([], []), 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + POSTINGS, "right")))
+        back = int(np.searchsorted(at, at[lo] - (PASSAGE - Q)))
+        times, posting = _postings(index, slot[back:hi])
+        runs.append(verbatim(index, np.repeat(text[back:hi], times), np.repeat(at[back:hi], times), posting))
+        times, posting = _postings(index, slot[lo:hi])
+        window, t = index.window[posting], np.repeat(text[lo:hi], times)
+        diagonal = np.repeat(at[lo:hi], times) - index.at[posting] + index.points.shape[1]
+        budget = index.edits[window]
+        for shift in (0, 1):  # two tilings, half a band apart: k + 1 neighbouring diagonals share a band in one of them
+            band = (diagonal + shift * (budget + 1)) // (2 * (budget + 1))
+            # A text's diagonals reach a window's length below its start, so texts may share a band: they are parted here.
+            sums[shift].append(_summed(np.stack((window, band, t)), np.ones(len(t), np.int64)))
+        lo = hi
+    found = []
+    for shift in (0, 1):
+        w, b, t, count = _summed(*(np.concatenate(x, axis=-1) for x in zip(*((s[:3], s[3]) for s in sums[shift]), strict=True)))
+        enough = count >= index.bound[w]
+        w, b, t = w[enough], b[enough], t[enough]
+        found.append(np.stack((t, w, (b * 2 - shift) * (index.edits[w] + 1) - index.points.shape[1])))
+    return np.concatenate(found, axis=1), np.concatenate(runs, axis=1)
+
+
+def _summed(key: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Distinct columns of a key of three rows, with the sums of their counts below."""
+    order = np.lexsort(key[::-1])
+    key = key[:, order]
+    head = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0))))
+    return np.vstack((key[:, head], np.add.reduceat(count[order], head)))
 
 
 def search(texts: list[str | None], index: Index) -> tuple[np.ndarray, ...]:
@@ -167,29 +224,10 @@ def search(texts: list[str | None], index: Index) -> tuple[np.ndarray, ...]:
     at, slot, text = at[whole], slot[whole], text[whole]
     if not len(at):
         return none
-    times = index.first[slot + 1] - index.first[slot]
-    posting = np.repeat(index.first[slot], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-    window = index.window[posting]
-    diagonal = np.repeat(at, times) - index.at[posting] + index.points.shape[1]
-    text = np.repeat(text, times)
-    t, w, end = verbatim(index, text, np.repeat(at, times), posting)
-    out = [np.stack((t, w, np.zeros(len(t), np.int64), end - offsets[t], np.zeros(len(t), np.int64)))]
-    budget = index.edits[window]
-    size = 2 * (budget + 1)
-    found = []
-    for shift in (0, 1):  # two tilings, half a band apart: k + 1 neighbouring diagonals share a band in one of them
-        band = (diagonal + shift * (budget + 1)) // size
-        # A text's diagonals reach a window's length below its start, so texts may share a band: they are parted here.
-        order = np.lexsort((text, band, window))
-        key = np.stack((window[order], band[order], text[order]))
-        head = np.flatnonzero(np.concatenate(([True], (key[:, 1:] != key[:, :-1]).any(axis=0))))
-        count = np.diff(np.append(head, key.shape[1]))
-        w, b, t = key[:, head]
-        enough = count >= index.bound[w]
-        w, b, t = w[enough], b[enough], t[enough]
-        low = b * 2 * (index.edits[w] + 1) - shift * (index.edits[w] + 1) - index.points.shape[1]
-        found.append(np.stack((t, w, low)))
-    t, w, low = np.concatenate(found, axis=1)
+    (t, w, low), pieces = shared(index, text, at, slot)
+    passage, window, end = joined(pieces)
+    nothing = np.zeros(len(passage), np.int64)
+    out = [np.stack((passage, window, nothing, end - offsets[passage], nothing))]
     for lo in range(0, len(t), 4096):
         part = slice(lo, lo + 4096)
         k = index.edits[w[part]]
@@ -202,9 +240,10 @@ def search(texts: list[str | None], index: Index) -> tuple[np.ndarray, ...]:
 
 def blocks(benchmark: DataFrame, item_id: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of about ``block_chars`` characters, one after another."""
-    rows = benchmark.select(quoted(item_id).alias("item_id"), quoted(text).alias("text"))
+    rows = benchmark.select(quoted(item_id).alias("item_id"), quoted(text).alias("text")).distinct()
     held = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-held // block_chars)
+    n = n if n < 2 else 2 * n  # dealt by hash, so they are cut smaller than they may be
     for k in range(n):
         part = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         yield [(r.item_id, r.text) for r in part.collect()]
@@ -218,7 +257,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     """
     context = docs.sparkSession.sparkContext
     kind = dict(docs.dtypes)[doc_id]
-    item_kind = dict(benchmark.dtypes)[item_id]
+    item_kind, item_type = dict(benchmark.dtypes)[item_id], to_arrow_type(benchmark.schema[item_id].dataType)
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     schema = f"doc_id {kind}, item_id {item_kind}, window int, edits int, `end` long, whole boolean"
     found = docs.sparkSession.createDataFrame([], schema)
@@ -232,7 +271,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
                     t, w, edits, end, whole = search(batch.column(1).slice(lo, hi - lo).to_pylist(), index)
                     if len(t):
                         yield pa.RecordBatch.from_arrays([
-                            batch.column(0).slice(lo, hi - lo).take(pa.array(t)), pa.array(index.items[w].tolist()), pa.array(w, pa.int32()),
+                            batch.column(0).slice(lo, hi - lo).take(pa.array(t)), pa.array(index.items[w].tolist(), item_type), pa.array(w, pa.int32()),
                             pa.array(edits, pa.int32()), pa.array(end, pa.int64()), pa.array(whole.astype(bool))],
                             names=["doc_id", "item_id", "window", "edits", "end", "whole"])
 

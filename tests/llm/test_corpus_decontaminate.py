@@ -124,3 +124,32 @@ def test_verbatim_excerpts_at_every_offset(spark):
     out = D.matches(df, bench).collect()
     assert [(r.doc_id, r.item_id, r.n_windows, r.edits) for r in out] == [(900, 7, 0, 0)]
     assert {r.doc_id for r in D.clean(df, bench).collect()} == {r[0] for r in short}
+
+
+def test_runs_of_one_character_stay_bounded(monkeypatch):
+    """A text of blanks to fill in against an item that holds some: slices give what one pass gives, in little memory."""
+    import tracemalloc
+
+    item = "fill in the name here: " + "_" * 200 + " and sign below the line, please"
+    index = D.build([(1, item)])
+    texts = ["x" * 50 + "_" * 3_000 + " and sign below the line, please do", item + " and more", "-_" * 500, "nothing in common at all"]
+    monkeypatch.setattr(D, "POSTINGS", 1 << 40)
+    whole = sorted(zip(*(x.tolist() for x in D.search(texts, index)), strict=True))
+    for size in (1, 50, 5_000):
+        monkeypatch.setattr(D, "POSTINGS", size if size > 1 else 700)
+        assert sorted(zip(*(x.tolist() for x in D.search(texts, index)), strict=True)) == whole
+    assert {t for t, *_ in whole} == {0, 1}
+    monkeypatch.undo()
+    tracemalloc.start()
+    D.search(["_" * 100_000], index)
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "long"])
+def test_ids_of_items_keep_their_type(spark, kind):
+    docs = cases.frame(spark, [(1, "abcdefghijklmnop qrstuvwxyz 0123456789 abc " * 3, "en", "a", 0)])
+    items = docs.selectExpr(f"cast(7 AS {kind}) AS item_id", "text").union(docs.selectExpr(f"cast(NULL AS {kind})", "text")).union(docs.selectExpr(f"cast(7 AS {kind})", "text"))
+    out = D.matches(docs, items)
+    assert dict(out.dtypes)["item_id"] == {"long": "bigint"}.get(kind, kind)
+    assert {None if r.item_id is None else str(r.item_id) for r in out.collect()} == {"7", None}
