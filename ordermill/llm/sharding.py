@@ -4,10 +4,13 @@ Each row gets a key that orders equal texts next to each other: a hash of the te
 id, and a running number that parts rows equal in both. Every round groups the rows below the
 candidate boundaries (prefixes of the key) and sums their bytes and rows exactly; only the few
 prefixes in which a splitter still lies are cut finer in the next round. With the splitters known,
-the rows move once, to pieces of bounded size; shards are runs of pieces.
+the rows move once, to pieces, each a task; shards are runs of pieces.
 
-Native DataFrame operations only. What reaches the driver is bounded by the number of pieces:
-up to ``FAN`` sums for the first round and for each splitter in later ones.
+Only boundaries of shards are refined to the tolerance. Those of pieces take the nearest edge at hand and are refined
+only in a prefix that holds several pieces, as that of a text with very many copies does.
+
+Native DataFrame operations only. There are PIECES pieces at most, so what reaches the driver is bounded whatever the size:
+``FAN`` sums for the first round, and up to ``FAN`` in later ones for each shard and each prefix of several pieces.
 
 Defined results: a null text counts one byte, as an empty one does; a null id hashes as such;
 repeated rows are placed each on its own; an empty table gives an empty result; a column named
@@ -17,7 +20,7 @@ like an added one is replaced. More shards than rows leave some shards empty.
 from __future__ import annotations
 
 import os.path
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +31,7 @@ from ordermill.session import materialise
 DIGITS = 3
 FAN = 16**DIGITS
 PIECE_BYTES = 16 << 20
+PIECES = FAN // 2  # beyond this many, pieces grow
 
 
 def _hex(value: Column) -> Column:
@@ -66,11 +70,12 @@ def _below(rows: DataFrame, open_ranges: list[tuple[str, int]]) -> list[tuple[st
     return sorted((r.bin, r.n, r.bytes, r.least, r.most) for r in counted.collect())
 
 
-def splitters(rows: DataFrame, parts: int, tolerance: float) -> tuple[list[tuple[str, int, int]], int, int]:
+def splitters(rows: DataFrame, parts: int, tolerance: float, every: int = 1) -> tuple[list[tuple[str, int, int]], int, int]:
     """Boundaries that part the bytes of ``rows`` evenly: (key, rows below, bytes below), with the total rows and bytes.
 
     A boundary is right when the bytes below it are within ``tolerance`` of a part from its target,
-    or when a single row spans the target; then the nearer edge of that row is taken.
+    or when a single row spans the target; then the nearer edge of that row is taken. Of the others than each ``every``-th one
+    it is enough that they lie within a part of it.
     """
     first = rows.groupBy(F.substring("_key", 1, DIGITS).alias("bin")).agg(
         F.count("*").alias("n"), F.sum("_size").alias("bytes"), F.min("_key").alias("least"), F.max("_key").alias("most"))
@@ -78,8 +83,9 @@ def splitters(rows: DataFrame, parts: int, tolerance: float) -> tuple[list[tuple
     total_rows, total = sum(b[1] for b in bins), sum(b[2] for b in bins)
     if not bins:
         return [], 0, 0
-    targets = {total * k // parts for k in range(1, parts)}
-    allowed = tolerance * total / max(parts, 1)
+    part = total / parts
+    # The exact ones win where two fall on one number of bytes.
+    targets = {total * k // parts: tolerance * part if k % every == 0 else part for k in sorted(range(1, parts), key=lambda k: k % every == 0)}
     level = [(bins, 0, 0, sorted(targets))]
     found: dict[int, tuple[str, int, int]] = {}
     while level:
@@ -94,7 +100,7 @@ def splitters(rows: DataFrame, parts: int, tolerance: float) -> tuple[list[tuple
             for t in wanted:
                 k = max(bisect_right(starts, t) - 1, 0)
                 low, high = starts[k], starts[k] + bins[k][2]
-                if min(t - low, high - t) <= allowed or bins[k][3] == bins[k][4]:
+                if min(t - low, high - t) <= targets[t] or bins[k][3] == bins[k][4]:
                     if t - low <= high - t:
                         found[t] = (bins[k][3], edges[k][1], low)
                     elif k + 1 < len(bins):
@@ -109,7 +115,8 @@ def splitters(rows: DataFrame, parts: int, tolerance: float) -> tuple[list[tuple
         if not narrower:
             break
         counted = _below(rows, [(p, len(p) + DIGITS) for p, *_ in narrower])
-        level = [([b for b in counted if b[0].startswith(p)], n, at, ts) for p, n, at, ts, _ in narrower]
+        names = [b[0] for b in counted]
+        level = [(counted[bisect_left(names, p): bisect_right(names, p + "g")], n, at, ts) for p, n, at, ts, _ in narrower]
     return [found[total * k // parts] for k in range(1, parts)], total_rows, total
 
 
@@ -122,8 +129,8 @@ def shard(docs: DataFrame, shards: int = 16, text: str = "text", doc_id: str = "
     """
     rows = materialise(keyed(docs, text, doc_id), "shard-keys")
     held = rows.agg(F.sum("_size")).first()[0] or 0
-    per_shard = max(1, -(-held // (shards * piece_bytes)))
-    cuts, _, _ = splitters(rows.select("_key", "_size"), shards * per_shard, tolerance)
+    per_shard = max(1, min(-(-held // (shards * piece_bytes)), PIECES // shards))
+    cuts, _, _ = splitters(rows.select("_key", "_size"), shards * per_shard, tolerance, per_shard)
     # Boundaries, and how far each piece's first row lies from the first row of its shard.
     pieces, first_of_shard = [{"piece": 0, "key": "", "from": 0}], 0
     for k, (key, below, _) in enumerate(cuts, 1):
@@ -144,7 +151,8 @@ def shard(docs: DataFrame, shards: int = 16, text: str = "text", doc_id: str = "
         .drop("_head", "head", "pieces")
     )
     in_piece = Window.partitionBy("_piece").orderBy("_key")
-    numbered = without(placed, ("shard", "slot")).withColumn("slot", F.row_number().over(in_piece) - 1 + F.col("_piece.from"))
+    spread = without(placed, ("shard", "slot")).repartition(len(pieces), "_piece")
+    numbered = spread.withColumn("slot", F.row_number().over(in_piece) - 1 + F.col("_piece.from"))
     return numbered.select(
         *[quoted(c) for c in rows.columns if c.lower() not in ("_key", "_size", "shard", "slot")],
         F.floor(F.col("_piece.piece") / per_shard).cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"))

@@ -60,3 +60,31 @@ def test_few_and_no_rows(spark):
 
 def test_checksum_of_the_query():
     assert zlib.crc32(b"") == 0
+
+
+def test_few_sums_reach_the_driver(spark, monkeypatch):
+    counted = []
+    original = sharding._below
+    monkeypatch.setattr(sharding, "_below", lambda *given: (counted.append(original(*given)), counted[-1])[1])
+    rows = spark.range(60_000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'a copy', repeat('x', cast(id % 40 AS int)) || id) AS text")
+    placed = sharding.shard(rows, 16, piece_bytes=2_000)
+    sums = placed.groupBy("shard").agg(F.sum(sharding.size_of(F.col("text"))).alias("b"), F.count("*").alias("n"), F.max("slot").alias("last")).collect()
+    assert max(r.b for r in sums) - min(r.b for r in sums) <= 100 and all(r.last == r.n - 1 for r in sums) and sum(r.n for r in sums) == 60_000
+    assert sum(map(len, counted)) < 20_000 and placed.select("shard", "slot").distinct().count() == 60_000
+
+
+def test_the_query(spark, tmp_path):
+    """Columns of the registered query against their definitions, and no Python in its plan."""
+    import zlib
+
+    from ordermill.llm.queries import REGISTRY
+
+    rows = cases.corpus(5)
+    cases.frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    out = REGISTRY["op2_histogram_sharding"](spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
+    data = lambda t: (t or "").encode()
+    assert sorted(((r.doc_id, r.size, r.text_crc32, r.law, r.grown_shard) for r in out.collect()), key=repr) == sorted(
+        ((r[0], len(data(r[1])) + 1, zlib.crc32(data(r[1])), "bytes", None) for r in rows), key=repr)
+    assert dict(out.dtypes) == {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}
