@@ -163,10 +163,12 @@ def publish_load(house: Warehouse, resolved: DataFrame, load_id: int) -> tuple[i
     rows = facts.complete(resolved).withColumn(MONTH, month_of_key(F.col("date_key")))
     # Ranges end inside a month when it is large, and small months share a task.
     ranged = rows.repartitionByRange(MONTH, "order_id")
-    house.write_slice(ranged, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,), version=version)
-    ids.add(house, "dwh", fact_ids(house, version), rows.select("order_id", F.lit(load_id).alias(ids.LOAD)))
+    *_, counted = together(
+        lambda: house.write_slice(ranged, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,), version=version),
+        lambda: ids.add(house, "dwh", fact_ids(house, version), rows.select("order_id", F.lit(load_id).alias(ids.LOAD))),
+        resolved.agg(F.count("*").alias("all"), F.count(facts.missing_member()).alias("waiting")).first,
+    )
     finish_load(house, resolved, load_id, version)
-    counted = resolved.agg(F.count("*").alias("all"), F.count(facts.missing_member()).alias("waiting")).first()
     discard(resolved)
     return counted["all"] - counted["waiting"], counted["waiting"]
 
@@ -251,43 +253,43 @@ def profiled(house: Warehouse, again: int | None = None, resolved: DataFrame | N
     known: dict[tuple[str, int], set[int]] = {}
     for r in stored.select("table", "version", ids.LOAD).collect():
         known.setdefault((r.table, r.version), set()).add(r[ids.LOAD])
-    at_hand, versions, fresh, found = star(house), {}, [], []
-    for table, (layer, column, at) in PROFILED.items():
-        versions[table] = progress(house)[2] if table == "fact_sales" else house.version(layer, table)
+    at_hand, versions = star(house), {
+        table: progress(house)[2] if table == "fact_sales" else house.version(layer, table) for table, (layer, _, _) in PROFILED.items()}
+
+    def read(table: str) -> tuple[str, list[int], DataFrame, DataFrame | None] | None:
+        """The loads of a table that have no profile, their profiles and their repeated ids."""
+        layer, column, at = PROFILED[table]
         missing = sorted(n for n in loads_of(house, table) if n == again or n not in known.get((table, versions[table]), ()))
         rows = CUT_TABLES[table](house).filter(F.col(column).isin(missing))
-        index = None
+        index = {"streaming_orders": lambda: "landed_ids", "fact_sales": lambda: fact_ids(house, versions[table])}.get(table)
         if table == "fact_sales":
             rows = rows.drop(MONTH)
-            index = fact_ids(house, versions[table])
             if resolved is not None:
                 rows = rows.filter(F.col(column) != again).unionByName(facts.complete(resolved).withColumn(column, F.lit(again)))
                 missing = sorted({*missing, again})
-        elif table == "streaming_orders":
-            index = "landed_ids"
         if not missing:
-            continue
+            return None
+        named = F.lit(table).alias("table"), F.lit(versions[table]).alias("version")
         twice = house.spark.createDataFrame([], f"{profiles.REPEATED}, before boolean")
         if index is not None:
             edge = rows.agg(F.min("order_id").alias("least"), F.max("order_id").alias("most")).first()
-            held = ids.near(house, layer, index, edge["least"], edge["most"])
-            twice = materialise(profiles.repeated_ids(rows, column, held), "repeated")
-            found.append(twice.select(F.lit(table).alias("table"), F.lit(versions[table]).alias("version"), ids.LOAD, "order_id"))
+            twice = materialise(profiles.repeated_ids(rows, column, ids.near(house, layer, index(), edge["least"], edge["most"])), "repeated")
         parents = {"product_key": at_hand.product, "customer_key": at_hand.customer} if table == "fact_sales" else {}
-        made = profiles.profile(rows, column, at, twice, parents)
-        fresh.append((table, missing, made.select(F.lit(table).alias("table"), F.lit(versions[table]).alias("version"), *made.columns)))
+        made = materialise(profiles.profile(rows, column, at, twice, parents), "profiles")
+        return table, missing, made.select(*named, *made.columns), twice.select(*named, ids.LOAD, "order_id")
+
+    read_now = [r for r in together(*[lambda t=t: read(t) for t in PROFILED]) if r is not None]
 
     def in_force(rows: DataFrame) -> DataFrame:
         """Stored rows of the snapshots in force, without loads that were read now."""
         for table, version in versions.items():
             rows = rows.filter((F.col("table") != table) | (F.col("version") == version))
-        for table, missing, _ in fresh:
+        for table, missing, _, _ in read_now:
             rows = rows.filter((F.col("table") != table) | ~F.col(ids.LOAD).isin(missing))
         return rows
 
-    now = [materialise(reduce(DataFrame.unionByName, [rows for _, _, rows in fresh]), "profiles")] if fresh else []
-    return Profiles(reduce(DataFrame.unionByName, [in_force(stored), *now]), reduce(DataFrame.unionByName, [in_force(repeated), *found]),
-                    sum(len(missing) for _, missing, _ in fresh))
+    return Profiles(reduce(DataFrame.unionByName, [in_force(stored), *[r[2] for r in read_now]]),
+                    reduce(DataFrame.unionByName, [in_force(repeated), *[r[3] for r in read_now]]), sum(len(r[1]) for r in read_now))
 
 
 def keep_profiles(house: Warehouse, found: Profiles) -> Profiles:

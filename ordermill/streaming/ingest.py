@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ordermill.functions.events import parse_events
 from ordermill.operators import landing, rules
 from ordermill.schemas import FAILED_EVENTS, STREAMING_ORDERS
+from ordermill.session import together
 from ordermill.sources import ids
 from ordermill.sources.tables import Warehouse
 
@@ -57,17 +58,21 @@ def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse,
         landed_before = ids.near(house, "raw", "landed_ids", counts["least"], counts["most"]).filter(F.col(ids.LOAD) != batch_id)
         accepted = counts["read"] - counts["failed"]
         new = landing.not_yet_landed(landing.land(judged), landed_before)
-        house.write_slice(new, "raw", "streaming_orders", BATCH, batch_id)
-        here = landed_orders(house).filter(F.col(BATCH) == batch_id)
-        ids.add(house, "raw", "landed_ids", here.select("order_id", F.lit(batch_id).alias(ids.LOAD)))
         failed = landing.failed_events(judged)
-        house.write_slice(failed, "raw", "failed_events", BATCH, batch_id)
-        house.write_slice(landing.dead_letters(failed), "raw", "dead_letters", BATCH, batch_id)
+        together(
+            lambda: house.write_slice(new, "raw", "streaming_orders", BATCH, batch_id),
+            lambda: house.write_slice(failed, "raw", "failed_events", BATCH, batch_id),
+            lambda: house.write_slice(landing.dead_letters(failed), "raw", "dead_letters", BATCH, batch_id),
+        )
+        here = landed_orders(house).filter(F.col(BATCH) == batch_id)
+        _, consumed = together(
+            lambda: ids.add(house, "raw", "landed_ids", here.select("order_id", F.lit(batch_id).alias(ids.LOAD))),
+            here.count,
+        )
         if dead_letter_sink is not None:
             dead_letter_sink(dead_letters(house).filter(F.col(BATCH) == batch_id).select("value"))
     finally:
         judged.unpersist()
-    consumed = landed_orders(house).filter(F.col(BATCH) == batch_id).count()
     return Counters(counts["read"], counts["failed"], consumed, accepted - consumed)
 
 
