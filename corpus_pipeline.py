@@ -28,12 +28,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group; of rows that share an id, one. Rows without an id can't be told apart and stay."""
+    """One document of each group. Texts that share an id, and texts without one, are judged each by its own text;
+    of rows equal in both one stays."""
     docs, back = aside(docs, ("doc_id", "text"))
-    out = minhash.near_duplicates(docs, NEAR).filter("NOT kept").select("doc_id").distinct()
-    own = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    left = docs.filter("doc_id IS NOT NULL").join(out, "doc_id", "left_anti").withColumn("row", F.row_number().over(own))
-    return back(left.filter("row = 1").select(docs.columns).union(docs.filter("doc_id IS NULL")))
+    # An id that stands for one text is its key; texts of another id, or of none, get a key of their own.
+    shared = docs.groupBy("doc_id").agg((F.count_distinct(F.xxhash64("text")) > 1).alias("shared"))
+    shared = materialise(shared.filter("shared AND doc_id IS NOT NULL"), "shared-ids")
+    own = F.xxhash64(F.lit("text"), "doc_id", "text")
+    keyed = docs.join(shared, "doc_id", "left").withColumn(
+        "key", F.when(F.col("doc_id").isNull() | F.col("shared"), own).otherwise(F.col("doc_id").cast("long"))).drop("shared")
+    judged = minhash.near_duplicates(keyed.select("key", "text"), NEAR, doc_id="key")
+    out = judged.filter("NOT kept").select(F.col("doc_id").alias("key")).distinct()
+    one = Window.partitionBy("key").orderBy(F.xxhash64("text"))
+    left = keyed.join(out, "key", "left_anti").withColumn("row", F.row_number().over(one)).filter("row = 1")
+    return back(left.select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
