@@ -275,7 +275,7 @@ def profiled(house: Warehouse, again: int | None = None, resolved: DataFrame | N
             edge = rows.agg(F.min("order_id").alias("least"), F.max("order_id").alias("most")).first()
             twice = materialise(profiles.repeated_ids(rows, column, ids.near(house, layer, index(), edge["least"], edge["most"])), "repeated")
         parents = {"product_key": at_hand.product, "customer_key": at_hand.customer} if table == "fact_sales" else {}
-        made = materialise(profiles.profile(rows, column, at, twice, parents), "profiles")
+        made = materialise(profiles.of_every_load(profiles.profile(rows, column, at, twice, parents), missing), "profiles")
         return table, missing, made.select(*named, *made.columns), twice.select(*named, ids.LOAD, "order_id")
 
     read_now = [r for r in together(*[lambda t=t: read(t) for t in PROFILED]) if r is not None]
