@@ -15,6 +15,7 @@ from ordermill.schemas import PIPELINE_RUNS
 GAUGE_BANDS = ((0, "green"), (500_000_000, "yellow"), (1_000_000_000, "red"))
 RATE_SECONDS = 300
 SCRAPE_SECONDS = 15
+SEGMENT_SECONDS = 86_400
 PIPELINE_ID = "order_pipeline"
 
 
@@ -118,19 +119,28 @@ def event_rate(events: DataFrame, ts: str, series: str, span: int = RATE_SECONDS
 
 
 def counter_rate(samples: DataFrame, ts: str, series: str, value: str, order: str, span: int = RATE_SECONDS,
-                 scrape: int = SCRAPE_SECONDS) -> DataFrame:
+                 scrape: int = SCRAPE_SECONDS, segment: int = SEGMENT_SECONDS) -> DataFrame:
     """Increase per second of a counter over the last ``span`` seconds, at every scrape; a drop is a restart from zero.
 
     The last reading of every scrape interval is the sample, taken at its end,
     so a series has at most ``span / scrape`` samples per window however many
     readings arrive. The rise between two samples counts in every window that
     holds both; only samples and rises are repeated, never the readings.
+
+    Series are cut into segments of time, each a group of its own, and the last
+    sample of a segment goes over its edge. A sample further back than a
+    segment, ``span`` at least, shares no window, so one edge is enough.
     """
+    if segment < span:
+        raise ValueError(f"a segment of {segment} seconds is shorter than the span")
     when = F.col(ts).cast("timestamp")
     scraped = samples.filter(F.col(value).isNotNull()).groupBy(series, _slot(when, scrape).alias("_slot")).agg(
-        F.max_by(value, F.struct(ts, order)).alias("_value"))
-    own = Window.partitionBy(series).orderBy("_slot")
-    stepped = scraped.withColumns({"_before": F.lag("_value").over(own), "_since": F.lag("_slot").over(own)})
+        F.max_by(value, F.struct(ts, order)).alias("_value")).withColumn("_segment", F.floor(F.col("_slot") / segment))
+    edges = scraped.groupBy(series, "_segment").agg(F.max("_slot").alias("_slot"), F.max_by("_value", "_slot").alias("_value"))
+    carried = edges.withColumns({"_segment": F.col("_segment") + 1, "_own": F.lit(False)})
+    own = Window.partitionBy(series, "_segment").orderBy("_slot")
+    stepped = scraped.withColumn("_own", F.lit(True)).unionByName(carried).withColumns(
+        {"_before": F.lag("_value").over(own), "_since": F.lag("_slot").over(own)}).filter("_own")
     rise = F.when(F.col("_value") >= F.col("_before"), F.col("_value") - F.col("_before")).otherwise(F.col("_value"))
     windows = stepped.withColumn(
         "window_end", F.explode(F.sequence(F.col("_slot") + scrape, F.col("_slot") + span, F.lit(scrape))))

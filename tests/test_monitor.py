@@ -1,5 +1,8 @@
 import datetime as dt
+import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from ordermill.operators import monitor
@@ -59,3 +62,19 @@ def test_run_record_and_dashboards(spark):
     assert [r["run_id"] for r in monitor.latest_runs(runs, 1).collect()] == [2]
     plan = monitor.latest_runs(runs)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_counter_series_are_cut_and_carried_over_the_edges(spark):
+    """Four or four hundred segments give what one gives, and no window holds a series."""
+    rng = random.Random(3)
+    rows = events(spark, *[("ab"[rng.random() < 0.2], rng.randint(0, 120_000), rng.randint(0, 50)) for _ in range(3000)])
+
+    def rates(segment):
+        return sorted(map(tuple, monitor.counter_rate(rows, "ts", "series", "value", "event_id", segment=segment).collect()))
+
+    whole = rates(1 << 40)
+    assert len(whole) > 5000 and rates(30_000) == rates(300) == whole
+    plan = monitor.counter_rate(rows, "ts", "series", "value", "event_id")._jdf.queryExecution().executedPlan().toString()
+    assert "series" in plan and re.search(r"Window \[.*\], \[series#\d+, _segment#\d+", plan)
+    with pytest.raises(ValueError):
+        rates(200)
