@@ -559,6 +559,10 @@ ORACLE["pipeline_log"] = sql("""
            sent - failed - CASE batch_id WHEN 0 THEN (SELECT count(*) FROM landed) ELSE 0 END AS events_duplicate,
            CASE WHEN so_far > 5 THEN 'ALERT' ELSE 'OK' END AS dq_status
     FROM cycle_failures""", CYCLES)
+ORACLE["backlog_resolved"] = sql("""
+        SELECT order_id, CASE WHEN product_ref IN (SELECT product_ref FROM erp WHERE product_ref IS NOT NULL)
+          AND CAST(order_timestamp AS DATE) <= (SELECT max(full_date) - 365 FROM days) THEN 0 ELSE 1 END AS load_id
+        FROM fact""")
 ORACLE["fact_rebuilt"] = ORACLE["fact_sales_full"]
 ORACLE["pipeline_run"] = ORACLE["fact_sales_full"]
 ORACLE["fact_sales_skewed"] = ORACLE["fact_sales_full"]
