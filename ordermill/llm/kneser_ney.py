@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from ordermill.llm.common import map_arrow, packed, quoted, without
 from ordermill.llm.words import batches as text_batches
-from ordermill.session import materialise, scratch_folder
+from ordermill.session import discard, materialise, scratch_folder
 
 ORDER = 5
 BITS = 12
@@ -253,7 +253,7 @@ def spread() -> Column:
 
 @dataclass
 class Model:
-    """Where the shards lie and how many, the thresholds by language, and every document's score."""
+    """Where the shards lie and how many, the thresholds by language, and the pass that scores every document."""
 
     folder: str
     shards: int
@@ -263,19 +263,26 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", trust: str = TRUST) -> Model:
-    """Train on the trusted documents, score all, and set the thresholds."""
+    """Train on the trusted documents and set the thresholds by those held out.
+
+    Only rows whose id may be held out are scored here, a third of all, without moving a text; ``scores`` is
+    the pass over all documents, run by whoever reads it.
+    """
     trusted = labels.filter(trust)
     known = with_models(docs, trusted, doc_id, lang)
-    rows = docs.select(quoted(doc_id), quoted(text), language(quoted(lang), known).alias(lang)).withColumn("_again", F.lit(False))
+    base = docs.select(quoted(doc_id), quoted(text), quoted(lang))
+    rows = base.withColumn(lang, language(quoted(lang), known))
     if rows.filter(quoted(lang) == POOLED).limit(1).count():  # all trusted text again, for the pooled model and its threshold
         ids = trusted.select(quoted(doc_id).alias("_id")).distinct()
         again = rows.filter(quoted(lang) != POOLED).join(ids, quoted(doc_id) == F.col("_id"), "left_semi")
-        rows = rows.union(again.select(quoted(doc_id), quoted(text), F.lit(POOLED).alias(lang), F.lit(True).alias("_again")))
+        rows = rows.union(again.withColumn(lang, F.lit(POOLED)))
     counts = materialise(count(rows, trusted, doc_id, text, lang), "kn-counts")
     folder, shards = store_shards(probabilities(counts), counts.count())
-    scored = materialise(score(rows, folder, shards, text, lang).select(quoted(doc_id), "_lang", "_nll", "_chars", "_again"), "kn-scores")
-    limits = materialise(thresholds(scored, trusted, doc_id), "kn-thresholds")
-    return Model(folder, shards, limits, scored.filter("NOT _again").drop("_again"), known)
+    held = score(rows.filter(_held_out(quoted(doc_id))), folder, shards, text, lang)
+    limits = materialise(thresholds(held, trusted, doc_id), "kn-thresholds")
+    discard(counts)
+    scores = score(base, folder, shards, text, lang, known).select(quoted(doc_id), "_lang", "_nll", "_chars")
+    return Model(folder, shards, limits, scores, known)
 
 
 def judged(scored: DataFrame, limits: DataFrame) -> DataFrame:
