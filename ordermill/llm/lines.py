@@ -1,22 +1,26 @@
 """Line dedup with a suffix array over line numbers, sorted by distributed prefix doubling.
 
-The corpus is a sequence of lines, each document ending it. Every place in it begins a suffix. Suffixes
-are ranked by their first line, then by their first two, and so on: a rank for the first h + d lines is the
-rank of the pair (rank at the place, rank d places on), found by one sort of the distinct pairs. Ranks go up to
-the shortest run that counts: in suffix order, neighbours whose common prefix reaches it have equal
-ranks there, so equal ranks are the intervals of that common prefix. In each interval the earliest suffix stays
-and the lines of the others are deleted; a longer repeated run is the union of its intervals, and
-is deleted from end to end.
-
-A pair that occurs once can't be in an interval and is dropped at once, so later rounds work on repeated
-runs only. Pairs are counted before they are sorted, and sorted over range partitions whose totals alone
-reach the driver; a line that makes up a third of the corpus is one pair in a sort, and its places are spread
-by adaptive execution where they meet it.
+The corpus is a sequence of lines, each document ending it. Every place in it begins a suffix. Suffixes are ranked
+by their first line, then by their first two, four, eight: the rank for the first 2h lines is the rank of the pair
+(rank at the place, rank h places on), found by one sort of the distinct pairs. A pair that occurs once is dropped,
+so later rounds work on what still repeats, and doubling ends when no two suffixes are equal that far.
+
+Equal ranks are intervals of the suffix array with a common prefix. Each place but the earliest of an interval repeats an
+earlier place that far; how far exactly is the common prefix of the deepest interval in which it is not the earliest.
+That is found from the rounds: the earliest places of the intervals of 2h lines that share their first h lines differ
+somewhere between. They are split by the rank of the lines that follow, half as many each time. In a part, all but the earliest place
+go on with the longer prefix, and the earliest ones of all parts with the shorter. So a set of n places costs at most 2n rows
+a round, whatever it holds, and every round is a join by place and a minimum by set. Lines of later copies from the shortest
+run on are deleted.
+
+Documents of equal text are one: all but the first repeat it from end to end, and only the first is ranked. Pairs are
+counted before they are sorted, and sorted over range partitions whose totals alone reach the driver; a line that
+makes up a third of the corpus is one pair in a sort, and its places are spread by adaptive execution where they meet it.
 
 Defined results: lines end at a line feed; lines without a word are left alone and are no part of a run;
 lines are equal when their characters are; earlier means a smaller id (null last), or ahead in the same
-document; rows equal in id and text are one document and treated alike; null and empty texts have no
-lines; an empty table gives an empty result; extra columns are left out.
+document; a run may overlap the place it repeats; rows equal in id and text are one document and treated alike; null and
+empty texts have no lines; an empty table gives an empty result; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -26,32 +30,45 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermill.llm.common import bounded_rows, map_arrow, quoted
-from ordermill.session import materialise
+from ordermill.session import discard, materialise
 
 MIN_RUN = 3
 WORDED = r"[^\x20\x09-\x0D]"
+PLACE = ["doc", "at"]
 
 
 def _all_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def sequences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, version, at, line, h1, h2): the worded lines of each document, ``at`` counting them and ``line`` all lines."""
+def version(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def place_of(doc_id: Column, version: Column) -> Column:
+    """Where a document stands in the corpus: by id, null last."""
+    return F.struct(F.isnull(doc_id).alias("none"), doc_id.alias("id"), version.alias("version"))
+
+
+def copies(rows: DataFrame) -> DataFrame:
+    """(doc, copy): every document of ``rows`` (id, text), and whether one of equal text comes before it."""
+    hashed = rows.select("id", version(F.col("text")).alias("v"), F.xxhash64(F.lit(1), F.coalesce("text", F.lit(""))).alias("w"))
+    own = hashed.select(place_of(F.col("id"), F.col("v")).alias("doc"), "v", "w").distinct()
+    lead = own.groupBy("v", "w").agg(F.min("doc").alias("lead"))
+    return own.join(lead, ["v", "w"]).select("doc", (F.col("doc") != F.col("lead")).alias("copy"))
+
+
+def sequences(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """(doc, at, line, h1, h2) of the documents in ``first``: their worded lines, ``at`` counting them and ``line`` all lines."""
     numbered = F.transform(_all_lines(F.col("text")), lambda x, i: F.struct(i.alias("line"), x.alias("said")))
     worded = F.filter(numbered, lambda x: x["said"].rlike(WORDED))
     hashed = F.transform(worded, lambda x: F.struct(x["line"].alias("line"), F.xxhash64(x["said"]).alias("h1"), F.xxhash64(F.lit(1), x["said"]).alias("h2")))
-    rows = docs.select(quoted(doc_id).alias("id"), quoted(text).cast("string").alias("text"))
-    once = rows.select("id", version(F.col("text")).alias("version"), hashed.alias("lines")).dropDuplicates(["id", "version"])
-    return once.select("id", "version", F.posexplode("lines").alias("at", "of")).select("id", "version", "at", "of.line", "of.h1", "of.h2")
-
-
-def version(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
+    once = rows.select(place_of(F.col("id"), version(F.col("text"))).alias("doc"), hashed.alias("lines")).dropDuplicates(["doc"])
+    return once.join(first, "doc", "left_semi").select("doc", F.posexplode("lines").alias("at", "of")).select("doc", "at", "of.line", "of.h1", "of.h2")
 
 
 def ranked(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -78,59 +95,93 @@ def ranked(rows: DataFrame, a: str, b: str) -> DataFrame:
     return stored.join(F.broadcast(starts), "part").select(a, b, (F.col("before") + F.col("within") + 1).alias("rank"))
 
 
-def intervals(places: DataFrame, min_run: int) -> DataFrame:
-    """(id, version, at, rank): suffixes whose first ``min_run`` lines occur twice or more; equal ranks, equal lines."""
-    key = ["id", "version", "at"]
-    state = places.join(ranked(places, "h1", "h2"), ["h1", "h2"]).select(*key, "rank")
-    length = 1
-    while length < min_run:
-        step = min(length, min_run - length)
-        state = materialise(state, "suffixes")
-        ahead = state.select(F.col("id").alias("i"), F.col("version").alias("v"), (F.col("at") - step).alias("p"), F.col("rank").alias("next"))
-        same = F.col("id").eqNullSafe(F.col("i")) & (F.col("version") == F.col("v")) & (F.col("at") == F.col("p"))
-        pairs = materialise(state.join(ahead, same).select(*key, F.col("rank").alias("first"), "next"), "pairs")
-        state = pairs.join(ranked(pairs, "first", "next"), ["first", "next"]).select(*key, "rank")
-        length += step
-    return state
+def doubled(places: DataFrame) -> list[DataFrame]:
+    """For 1, 2, 4, ... lines: (doc, at, rank) of the suffixes that are equal to another one that far, as long as there are some."""
+    rounds = []
+    state = materialise(places.join(ranked(places, "h1", "h2"), ["h1", "h2"]).select(*PLACE, "rank"), "suffixes")
+    while not state.isEmpty():
+        rounds.append(state)
+        step = 1 << len(rounds) - 1
+        ahead = state.select("doc", (F.col("at") - step).alias("at"), F.col("rank").alias("next"))
+        pairs = materialise(state.select(*PLACE, F.col("rank").alias("first")).join(ahead, PLACE), "pairs")
+        state = materialise(pairs.join(ranked(pairs, "first", "next"), ["first", "next"]).select(*PLACE, "rank"), "suffixes")
+        discard(pairs)
+    return rounds
+
+
+def _place() -> Column:
+    return F.struct(*PLACE)
+
+
+def _parted(members: DataFrame, key: list[str]) -> DataFrame:
+    """``members`` with ``earliest``, the first place of what has equal ``key``, without those alone in it."""
+    of = members.groupBy(*key).agg(F.min(_place()).alias("earliest"), F.count("*").alias("n"))
+    return members.join(of.filter("n > 1").drop("n"), key, "left")
 
 
-def later_copies(suffixes: DataFrame) -> DataFrame:
-    """Suffixes of an interval but its earliest, with that one's place as ``first``."""
-    order = F.struct(F.isnull("id").alias("none"), "id", "version", "at")
-    earliest = suffixes.groupBy("rank").agg(F.min(order).alias("first"))
-    return suffixes.join(earliest, "rank").filter(order != F.col("first")).select("id", "version", "at", "first")
+def _begun(own: DataFrame, deeper: DataFrame | None, length: int) -> DataFrame:
+    """(of, low, doc, at): a set for each interval of ``length`` lines, of the earliest places of the intervals of twice
+    as many lines in it and the places in none of these."""
+    if deeper is not None:
+        first = deeper.groupBy("rank").agg(F.min(_place()).alias("earliest")).select("earliest.*", F.lit(True).alias("leads"))
+        inner = deeper.select(*PLACE, F.lit(True).alias("inner"))
+        own = own.join(inner, PLACE, "left").join(first, PLACE, "left").filter("inner IS NULL OR leads")
+    met = _parted(own.select(*PLACE, "rank"), ["rank"]).filter("earliest IS NOT NULL")
+    return met.select(F.col("earliest").alias("of"), F.lit(length).alias("low"), *PLACE)
 
 
-def maximal_runs(copies: DataFrame, min_run: int) -> DataFrame:
-    """(id, version, at, n_lines, first_id, first_at): longest runs that repeat lines of one earlier place from end to end.
+def _split(sets: DataFrame, own: DataFrame, length: int) -> DataFrame:
+    """Each set in parts that are equal for ``length`` more lines, and the set of the first places of these parts."""
+    behind = own.select("doc", F.col("at").alias("p"), "rank")
+    met = sets.withColumn("p", F.col("at") + F.col("low")).join(behind, ["doc", "p"], "left").drop("p")
+    # A place without a rank is like no other; told by itself, it is a part of its own.
+    parts = materialise(_parted(met.filter("rank IS NOT NULL"), ["of", "low", "rank"]), "parts")
+    longer = parts.filter("earliest IS NOT NULL").select(F.col("earliest").alias("of"), (F.col("low") + length).alias("low"), *PLACE)
+    heads = parts.filter(F.col("earliest").isNull() | (_place() == F.col("earliest"))).select("of", "low", *PLACE)
+    return longer.unionByName(heads).unionByName(met.filter("rank IS NULL").select("of", "low", *PLACE))
 
-    Intervals of neighbouring suffixes that lie equally far behind their first places are one run.
+
+def repeated_lengths(rounds: list[DataFrame], min_run: int) -> DataFrame:
+    """(doc, at, length): how many lines from a place on repeat the lines from one earlier place on, where ``min_run`` or more do.
+
+    A set has places that are equal for the first ``low`` lines, ``of`` the earliest. In round k no two of a set
+    are equal for 2^k lines more; in the last one ``low`` is their common prefix.
     """
-    one = ["id", "version", "first_id", "first_version", "shift"]
-    placed = copies.select("id", "version", "at", F.col("first.id").alias("first_id"), F.col("first.version").alias("first_version"),
-                           (F.col("at") - F.col("first.at")).alias("shift"))
-    numbered = placed.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy(*one).orderBy("at")))
-    return numbered.groupBy(*one, "run").agg(F.min("at").alias("at"), (F.count("*") + min_run - 1).alias("n_lines")).select(
-        "id", "version", "at", "n_lines", "first_id", (F.col("at") - F.col("shift")).alias("first_at"))
+    sets = None
+    for k in reversed(range(len(rounds))):
+        length = 1 << k
+        begun = _begun(rounds[k], rounds[k + 1] if k + 1 < len(rounds) else None, length)
+        now = begun if sets is None else _split(sets, rounds[k], length).unionByName(begun)
+        # A place alone in its set has none to be compared with; sets that end below the shortest run tell nothing.
+        now = now.filter(F.col("low") + length > min_run)
+        compared = now.groupBy("of", "low").agg(F.count("*").alias("n")).filter("n > 1").select("of", "low")
+        sets = materialise(now.join(compared, ["of", "low"], "left_semi"), "sets")
+    later = sets.filter((F.col("low") >= min_run) & (_place() != F.col("of")))
+    return later.groupBy(*PLACE).agg(F.max("low").cast("long").alias("length"))
 
 
 def without_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_removed, longest_run, kept_text) of every document; the run in lines, 0 without one."""
-    places = materialise(sequences(docs, doc_id, text), "lines")
-    suffixes = materialise(intervals(places, min_run), "intervals")
-    runs = maximal_runs(later_copies(suffixes), min_run)
-    covered = runs.select("id", "version", "n_lines", F.explode(F.sequence("at", F.col("at") + F.col("n_lines").cast("int") - 1)).alias("at"))
-    gone = (
-        covered.groupBy(F.col("id").alias("i"), F.col("version").alias("v"), F.col("at").alias("p")).agg(F.max("n_lines").alias("run"))
-        .join(places.select("id", "version", "at", "line"), F.col("id").eqNullSafe(F.col("i")) & (F.col("version") == F.col("v")) & (F.col("at") == F.col("p")))
-        .groupBy("i", "v").agg(F.collect_list("line").alias("gone"), F.max("run").alias("longest"))
-    )
-    rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).cast("string").alias("text")).withColumn("version", version(F.col("text")))
-    met = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("version") == F.col("v")), "left")
-    lines, none = _all_lines(F.col("text")), F.array().cast("array<int>")
-    left = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.coalesce("gone", none))
-    return met.withColumn("all", lines).select(
-        "doc_id", F.size(F.filter("all", lambda x: x.rlike(WORDED))).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("longest", F.lit(0)).cast("long").alias("longest_run"),
-        F.array_join(F.transform(left, lambda i: F.element_at("all", i + 1)), "\n").alias("kept_text"))
+    """(doc_id, n_lines, n_removed, longest_run, kept_text) of every document.
+
+    ``longest_run`` is the longest stretch of its lines that one earlier place repeats from end to end, 0 below ``min_run``.
+    """
+    rows = docs.select(quoted(doc_id).alias("id"), quoted(text).cast("string").alias("text"))
+    known = materialise(copies(rows), "documents")
+    places = materialise(sequences(rows, known.filter("NOT copy").select("doc")), "lines")
+    rounds = doubled(places)
+    found = known.select("doc", F.array().cast("array<int>").alias("gone"), F.lit(0).cast("long").alias("longest")).filter(F.lit(False))
+    if rounds:
+        lengths = materialise(repeated_lengths(rounds, min_run), "lengths")
+        covered = lengths.select("doc", F.explode(F.sequence("at", F.col("at") + min_run - 1)).alias("at"), "length")
+        found = covered.join(places.select(*PLACE, "line"), PLACE).groupBy("doc").agg(F.collect_set("line").alias("gone"), F.max("length").alias("longest"))
+    verdicts = found.withColumn("copy", F.lit(False)).unionByName(known.filter("copy"), allowMissingColumns=True)
+    met = rows.withColumn("doc", place_of(F.col("id"), version(F.col("text")))).join(verdicts, "doc", "left")
+    worded = F.filter("all", lambda x: x.rlike(WORDED))
+    whole = F.coalesce("copy", F.lit(False)) & (F.col("n_lines") >= min_run)
+    left = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.coalesce("gone", F.array().cast("array<int>")))
+    kept = F.when(whole, F.filter("all", lambda x: ~x.rlike(WORDED))).otherwise(F.transform(left, lambda i: F.element_at("all", i + 1)))
+    return met.withColumn("all", _all_lines(F.col("text"))).withColumn("n_lines", F.size(worded).cast("long")).select(
+        F.col("id").alias("doc_id"), "n_lines",
+        F.when(whole, F.col("n_lines")).otherwise(F.coalesce(F.size("gone"), F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, F.col("n_lines")).otherwise(F.coalesce("longest", F.lit(0))).cast("long").alias("longest_run"),
+        F.array_join(kept, "\n").alias("kept_text"))

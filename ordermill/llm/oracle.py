@@ -83,16 +83,16 @@ windows AS (
   SELECT doc_id, nr, said AS a, lead(said, 1) OVER w AS b, lead(said, 2) OVER w AS c
   FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY nr)
 ),
-later AS (
-  SELECT * FROM (
-    SELECT doc_id, nr, row_number() OVER w AS nth, first_value(doc_id) OVER w AS first_doc, nr - first_value(nr) OVER w AS shift
-    FROM windows WHERE c IS NOT NULL WINDOW w AS (PARTITION BY a, b, c ORDER BY doc_id, nr))
-  WHERE nth > 1
+repeats AS (
+  SELECT p.doc_id, p.nr, q.doc_id AS first_doc, p.nr - q.nr AS shift
+  FROM windows p JOIN windows q ON p.a = q.a AND p.b = q.b AND p.c = q.c AND (q.doc_id, q.nr) < (p.doc_id, p.nr)
+  WHERE p.c IS NOT NULL
 ),
+later AS (SELECT DISTINCT doc_id, nr FROM repeats),
 longest AS (
   SELECT doc_id, max(n) AS longest_run FROM (
     SELECT doc_id, count(*) + 2 AS n
-    FROM (SELECT *, nr - row_number() OVER (PARTITION BY doc_id, first_doc, shift ORDER BY nr) AS run FROM later)
+    FROM (SELECT *, nr - row_number() OVER (PARTITION BY doc_id, first_doc, shift ORDER BY nr) AS run FROM repeats)
     GROUP BY doc_id, first_doc, shift, run)
   GROUP BY doc_id
 ),
