@@ -8,10 +8,10 @@ so later rounds work on what still repeats, and doubling ends when no two suffix
 Equal ranks are intervals of the suffix array with a common prefix. Each place but the earliest of an interval repeats an
 earlier place that far; how far exactly is the common prefix of the deepest interval in which it is not the earliest.
 That is found from the rounds: the earliest places of the intervals of 2h lines that share their first h lines differ
-somewhere between. They are split by the rank of the lines that follow, half as many each time. In a part, all but the earliest place
-go on with the longer prefix, and the earliest ones of all parts with the shorter. So a set of n places costs at most 2n rows
-a round, whatever it holds, and every round is a join by place and a minimum by set. Lines of later copies from the shortest
-run on are deleted.
+somewhere between. Such a set is split by the rank of the lines that follow, half as many each time: in a part, all but
+the earliest place go on with the longer prefix, and the earliest places of all parts with the shorter one. Each place
+is a row once, compared with the earliest of its set, so a round costs a row for each repeated place whatever sets hold,
+and is joins by place and a minimum by part. Lines of later copies from the shortest run on are deleted.
 
 Documents of equal text are one: all but the first repeat it from end to end, and only the first is ranked. Pairs are
 counted before they are sorted, and sorted over range partitions whose totals alone reach the driver; a line that
@@ -71,93 +71,90 @@ def sequences(rows: DataFrame, first: DataFrame) -> DataFrame:
     return once.join(first, "doc", "left_semi").select("doc", F.posexplode("lines").alias("at", "of")).select("doc", "at", "of.line", "of.h1", "of.h2")
 
 
-def ranked(rows: DataFrame, a: str, b: str) -> DataFrame:
-    """(a, b, rank) of the pairs that occur twice or more: how many of these are smaller, plus one."""
-    pairs = rows.groupBy(a, b).agg(F.count("*").alias("n")).filter("n > 1").select(a, b)
+def ranked(rows: DataFrame, a: str, b: str, *of: Column) -> DataFrame:
+    """(a, b, rank) of the pairs that occur twice or more, with aggregates ``of`` their rows: how many of these are smaller, plus one."""
+    pairs = rows.groupBy(a, b).agg(F.count("*").alias("n"), *of).filter("n > 1").drop("n")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, done = TaskContext.get().partitionId(), 0
         for batch in batches:
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(done, done + n)), pa.array(np.full(n, part, np.int32))],
-                                             names=[a, b, "within", "part"])
+                                             names=[*batch.schema.names, "within", "part"])
             done += n
 
     ordered = pairs.repartitionByRange(a, b).sortWithinPartitions(a, b)
-    stored = materialise(map_arrow(ordered, run, f"{a} long, {b} long, within long, part int"), "ranks")
+    stored = materialise(map_arrow(ordered, run, f"{kinds}, within long, part int"), "ranks")
     before, offsets = 0, []
     for r in stored.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect():  # one row a partition
         offsets.append({"part": r.part, "before": before})
         before += r.n
     if not offsets:
-        return stored.select(a, b, F.col("within").alias("rank"))
+        return stored.drop("part").withColumnRenamed("within", "rank")
     starts = bounded_rows(rows.sparkSession, offsets, "part: int, before: long")
-    return stored.join(F.broadcast(starts), "part").select(a, b, (F.col("before") + F.col("within") + 1).alias("rank"))
+    numbered = stored.join(F.broadcast(starts), "part").withColumn("rank", F.col("before") + F.col("within") + 1)
+    return numbered.drop("part", "before", "within")
+
+
+def _place() -> Column:
+    return F.struct(*PLACE)
 
 
 def doubled(places: DataFrame) -> list[DataFrame]:
-    """For 1, 2, 4, ... lines: (doc, at, rank) of the suffixes that are equal to another one that far, as long as there are some."""
+    """For 1, 2, 4, ... lines: (doc, at, rank, of) of the suffixes that are equal to another one that far, ``of`` the earliest
+    place of equal rank, as long as there are some."""
     rounds = []
-    state = materialise(places.join(ranked(places, "h1", "h2"), ["h1", "h2"]).select(*PLACE, "rank"), "suffixes")
+    earliest, kept = F.min(_place()).alias("of"), [*PLACE, "rank", "of"]
+    state = materialise(places.join(ranked(places, "h1", "h2", earliest), ["h1", "h2"]).select(*kept), "suffixes")
     while not state.isEmpty():
         rounds.append(state)
         step = 1 << len(rounds) - 1
         ahead = state.select("doc", (F.col("at") - step).alias("at"), F.col("rank").alias("next"))
         pairs = materialise(state.select(*PLACE, F.col("rank").alias("first")).join(ahead, PLACE), "pairs")
-        state = materialise(pairs.join(ranked(pairs, "first", "next"), ["first", "next"]).select(*PLACE, "rank"), "suffixes")
+        state = materialise(pairs.join(ranked(pairs, "first", "next", earliest), ["first", "next"]).select(*kept), "suffixes")
         discard(pairs)
     return rounds
 
 
-def _place() -> Column:
-    return F.struct(*PLACE)
-
-
-def _parted(members: DataFrame, key: list[str]) -> DataFrame:
-    """``members`` with ``earliest``, the first place of what has equal ``key``, without those alone in it."""
-    of = members.groupBy(*key).agg(F.min(_place()).alias("earliest"), F.count("*").alias("n"))
-    return members.join(of.filter("n > 1").drop("n"), key, "left")
-
-
 def _begun(own: DataFrame, deeper: DataFrame | None, length: int) -> DataFrame:
     """(of, low, doc, at): a set for each interval of ``length`` lines, of the earliest places of the intervals of twice
     as many lines in it and the places in none of these."""
+    later = own.filter(_place() != F.col("of"))
     if deeper is not None:
-        first = deeper.groupBy("rank").agg(F.min(_place()).alias("earliest")).select("earliest.*", F.lit(True).alias("leads"))
-        inner = deeper.select(*PLACE, F.lit(True).alias("inner"))
-        own = own.join(inner, PLACE, "left").join(first, PLACE, "left").filter("inner IS NULL OR leads")
-    met = _parted(own.select(*PLACE, "rank"), ["rank"]).filter("earliest IS NOT NULL")
-    return met.select(F.col("earliest").alias("of"), F.lit(length).alias("low"), *PLACE)
+        inner = deeper.select(*PLACE, F.col("of").alias("inner"))
+        later = later.join(inner, PLACE, "left").filter(F.col("inner").isNull() | (_place() == F.col("inner")))
+    return later.select("of", F.lit(length).alias("low"), *PLACE)
 
 
 def _split(sets: DataFrame, own: DataFrame, length: int) -> DataFrame:
     """Each set in parts that are equal for ``length`` more lines, and the set of the first places of these parts."""
+    firsts = sets.select("of", "low").distinct().select("of", "low", "of.doc", "of.at")
     behind = own.select("doc", F.col("at").alias("p"), "rank")
-    met = sets.withColumn("p", F.col("at") + F.col("low")).join(behind, ["doc", "p"], "left").drop("p")
-    # A place without a rank is like no other; told by itself, it is a part of its own.
-    parts = materialise(_parted(met.filter("rank IS NOT NULL"), ["of", "low", "rank"]), "parts")
-    longer = parts.filter("earliest IS NOT NULL").select(F.col("earliest").alias("of"), (F.col("low") + length).alias("low"), *PLACE)
-    heads = parts.filter(F.col("earliest").isNull() | (_place() == F.col("earliest"))).select("of", "low", *PLACE)
-    return longer.unionByName(heads).unionByName(met.filter("rank IS NULL").select("of", "low", *PLACE))
+    met = sets.unionByName(firsts).withColumn("p", F.col("at") + F.col("low")).join(behind, ["doc", "p"], "left").drop("p")
+    # A place without a rank is like no other and a part of its own.
+    met = met.withColumn("rank", F.coalesce("rank", F.lit(0)))
+    parts = met.filter("rank > 0").groupBy("of", "low", "rank").agg(F.min(_place()).alias("earliest"))
+    told = met.join(parts, ["of", "low", "rank"], "left").filter(_place() != F.col("of"))
+    longer = F.col("earliest").isNotNull() & (_place() != F.col("earliest"))
+    return told.select(F.when(longer, F.col("earliest")).otherwise(F.col("of")).alias("of"),
+                       F.when(longer, F.col("low") + length).otherwise(F.col("low")).alias("low"), *PLACE)
 
 
 def repeated_lengths(rounds: list[DataFrame], min_run: int) -> DataFrame:
     """(doc, at, length): how many lines from a place on repeat the lines from one earlier place on, where ``min_run`` or more do.
 
-    A set has places that are equal for the first ``low`` lines, ``of`` the earliest. In round k no two of a set
-    are equal for 2^k lines more; in the last one ``low`` is their common prefix.
+    A row says that a place is equal to ``of``, the earliest place of its set, for the first ``low`` lines. In round k no
+    two of a set are equal for 2^k lines more; after the last one ``low`` is their common prefix.
     """
     sets = None
     for k in reversed(range(len(rounds))):
         length = 1 << k
         begun = _begun(rounds[k], rounds[k + 1] if k + 1 < len(rounds) else None, length)
         now = begun if sets is None else _split(sets, rounds[k], length).unionByName(begun)
-        # A place alone in its set has none to be compared with; sets that end below the shortest run tell nothing.
-        now = now.filter(F.col("low") + length > min_run)
-        compared = now.groupBy("of", "low").agg(F.count("*").alias("n")).filter("n > 1").select("of", "low")
-        sets = materialise(now.join(compared, ["of", "low"], "left_semi"), "sets")
-    later = sets.filter((F.col("low") >= min_run) & (_place() != F.col("of")))
-    return later.groupBy(*PLACE).agg(F.max("low").cast("long").alias("length"))
+        # Sets that end below the shortest run tell nothing.
+        sets = materialise(now.filter(F.col("low") + length > min_run), "sets")
+    return sets.filter(F.col("low") >= min_run).select(*PLACE, F.col("low").cast("long").alias("length"))
 
 
 def without_repeated_runs(docs: DataFrame, min_run: int = MIN_RUN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
