@@ -121,6 +121,31 @@ def _addresses(scope: Scope) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(F.expr(scope.address), F.lit(ADDRESSES), F.lit(0)), normalise))
 
 
+def subject_digests(rows: DataFrame, scope: Scope, load: str) -> DataFrame:
+    """(load, digest) of everyone a table's rows belong to, as ``wanted_digests`` has them."""
+    if scope.address is None:
+        return rows.select(F.col(load).cast("int").alias("load"), key_digest(F.col("customer_key")).alias("digest"))
+    if scope.within:
+        named = rows.select(load, F.explode(_addresses(scope)).alias("_subject"))
+    else:
+        named = rows.select(load, normalise(F.expr(scope.address)).alias("_subject")).filter("_subject IS NOT NULL")
+    return named.select(F.col(load).cast("int").alias("load"), address_digest(F.col("_subject")).alias("digest"))
+
+
+def key_digest(key: Column) -> Column:
+    return F.xxhash64(F.lit("key"), key.cast("long"))
+
+
+def address_digest(address: Column) -> Column:
+    return F.xxhash64(F.lit("address"), address)
+
+
+def wanted_digests(found: Subjects) -> DataFrame:
+    """(digest) of the subjects, by address and by customer key."""
+    addresses = found.addresses.select(address_digest(F.col("_subject")).alias("digest"))
+    return addresses.unionByName(found.keys.select(key_digest(F.col("customer_key")).alias("digest"))).distinct()
+
+
 def rows_of_subjects(tables: dict[str, DataFrame], scope: Scope, found: Subjects, **limits: int) -> DataFrame:
     """Rows of a table that belong to a subject, with ``_subject``."""
     rows = tables[scope.table]

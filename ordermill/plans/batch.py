@@ -16,8 +16,9 @@ from ordermill import schemas
 from ordermill.functions.dates import month_of_key, within
 from ordermill.operators import conform, dims, facts, monitor, privacy, profiles, quality
 from ordermill.operators.facts import Star
+from ordermill.operators.lookup import split
 from ordermill.session import discard, materialise, prepare, together
-from ordermill.sources import ids
+from ordermill.sources import ids, subjects
 from ordermill.sources.csvfiles import read_seed
 from ordermill.sources.tables import Warehouse
 from ordermill.streaming.ingest import BATCH, CADENCE, dead_letters, failed_events, ingest_batch, landed_orders
@@ -163,11 +164,13 @@ def publish_load(house: Warehouse, resolved: DataFrame, load_id: int) -> tuple[i
     rows = facts.complete(resolved).withColumn(MONTH, month_of_key(F.col("date_key")))
     # Ranges end inside a month when it is large, and small months share a task.
     ranged = rows.repartitionByRange(MONTH, "order_id")
+    subjects.outdate(house, "fact_sales", [load_id])
     *_, counted = together(
         lambda: house.write_slice(ranged, "dwh", "fact_sales", LOAD, load_id, partition_by=(MONTH,), version=version),
         lambda: ids.add(house, "dwh", fact_ids(house, version), rows.select("order_id", F.lit(load_id).alias(ids.LOAD))),
         resolved.agg(F.count("*").alias("all"), F.count(facts.missing_member()).alias("waiting")).first,
     )
+    subjects.outdate(house, "fact_sales", [load_id])  # again: an erasure may have entered what was there before
     finish_load(house, resolved, load_id, version)
     discard(resolved)
     return counted["all"] - counted["waiting"], counted["waiting"]
@@ -484,22 +487,120 @@ def personal_tables(house: Warehouse) -> dict[str, DataFrame]:
     }
 
 
+def force(house: Warehouse, name: str) -> tuple[str, tuple[str, ...], int]:
+    """Layer of a table cut into loads, its folders and the snapshot in force."""
+    layer, cut = PERSONAL_TABLES[name]
+    return layer, cut, max(progress(house)[2] if name == "fact_sales" else house.version(layer, name), 0)
+
+
+def stored_loads(house: Warehouse, name: str) -> set[int]:
+    """Loads in the snapshot in force, also facts that no reader sees yet."""
+    layer, cut, version = force(house, name)
+    return {int(s.split("=")[1]) for s in house.slices(layer, name, version) if s.startswith(f"{cut[0]}=")}
+
+
+def rows_of_loads(house: Warehouse, name: str, loads: set[int]) -> DataFrame:
+    """Rows of some loads, read from their folders alone."""
+    layer, cut, version = force(house, name)
+    if name != "fact_sales":
+        rows = CUT_TABLES[name](house)
+    elif house.slices(layer, name, version):
+        rows = house.read_version(layer, name, version, FACT_STORAGE)
+    else:
+        rows = house.spark.createDataFrame([], FACT_STORAGE)
+    return rows.filter(F.col(cut[0]).isin(sorted(loads)))
+
+
+def concerned_loads(house: Warehouse, found: privacy.Subjects, scopes: tuple[privacy.Scope, ...],
+                    asked: dict[str, set[int]]) -> dict[str, set[int]]:
+    """Of the loads ``asked`` for, those that may hold rows of a subject, by the index of persons.
+
+    Loads without an entry are read and entered. Folders reach the driver, no digests.
+    """
+    held = {}
+    for scope in scopes:
+        name = scope.table
+        if not asked.get(name):
+            continue
+        _, cut, version = force(house, name)
+        held[subjects.label(name, version)] = name
+        subjects.outdate_others(house, name, version)
+        missing = asked[name] - subjects.entered(house, subjects.label(name, version))
+        if missing:
+            read = privacy.subject_digests(rows_of_loads(house, name, missing), scope, cut[0])
+            subjects.enter(house, read, sorted(missing), subjects.label(name, version))
+    met = split(subjects.entries(house, held), privacy.wanted_digests(found), "digest", True)
+    concerned: dict[str, set[int]] = {name: set() for name in asked}
+    for r in met.select("held", subjects.LOAD).distinct().collect():
+        concerned[held[r.held]].add(r[subjects.LOAD])
+    return {name: loads & asked[name] for name, loads in concerned.items()}
+
+
+def forget_loads(house: Warehouse, name: str, loads: list[int]) -> None:
+    """Drop what is stored about loads whose rows change: who is in them and their profiles."""
+    subjects.outdate(house, name, loads)
+    for table, schema in (("load_profiles", STORED_PROFILE), ("repeated_ids", STORED_REPEATED)):
+        if house.exists("monitoring", table):
+            stored = house.read("monitoring", table, schema)
+            house.commit(stored.filter((F.col("table") != name) | ~F.col(ids.LOAD).isin(loads)), "monitoring", table)
+            house.prune("monitoring", table, keep=2)
+
+
+def rewrite_loads(house: Warehouse, name: str, rows: DataFrame, loads: set[int]) -> None:
+    """Put ``rows`` in place of everything these loads hold; folders of other loads are not touched.
+
+    The rows are stored aside first, then the loads they replace. From there on ``finish_rewrite`` can be repeated.
+    """
+    house.drop("staging", f"erasing_{name}")
+    house.commit(rows, "staging", f"erasing_{name}")
+    _, _, version = force(house, name)
+    noted = house.spark.createDataFrame([(version, n) for n in sorted(loads)], "version int, load int")
+    house.commit(noted.coalesce(1), "staging", f"erasing_{name}_loads")
+    finish_rewrite(house, name)
+
+
+def finish_rewrite(house: Warehouse, name: str) -> None:
+    """Bring a rewrite of loads to its end, if one was begun; also that of a call that stopped."""
+    if not house.exists("staging", f"erasing_{name}_loads"):
+        return
+    layer, cut, version = force(house, name)
+    noted = house.read("staging", f"erasing_{name}_loads").collect()
+    loads = sorted(r.load for r in noted if r.version == version)
+    if loads:  # else a full refresh has replaced them
+        forget_loads(house, name, loads)
+        rows = house.read("staging", f"erasing_{name}")
+        left = {"/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if r[c] is None else r[c]}" for c in cut)
+                for r in rows.select(*cut).distinct().collect()}  # one row a folder
+        house.overwrite_slices(rows, layer, name, cut, version)
+        tops = [f"{cut[0]}={n}" for n in loads]
+        stored = tops if len(cut) == 1 else [f"{t}/{s}" for t in tops for s in house.slices(layer, name, version, t)]
+        house.drop_slices(layer, name, set(stored) - left, version)
+        forget_loads(house, name, loads)  # again: a cycle beside it may have stored what it read before
+    house.drop("staging", f"erasing_{name}_loads")
+    house.drop("staging", f"erasing_{name}")
+
+
 def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) -> DataFrame:
     """Erase all subjects of ``requests(customer_email)`` and return the counts per subject.
 
-    One pass per table serves all requests. The audit row ``processing`` is
-    written first and ``completed`` last; a run that stops between is repeated.
+    One pass per table serves all requests. Of tables cut into loads, only the folders of loads that hold a subject are
+    rewritten, and loads written meanwhile are looked through before the call ends; it runs beside loads but not beside a
+    refresh or another erasure. Orders that come in behind the last look are new ones; facts that a load had resolved before
+    and publishes behind it hold a customer key that leads nowhere. The audit row ``processing`` is written first and
+    ``completed`` last; a run that stops between is repeated, and goes on where the other stopped.
     Replaced snapshots and scratch copies are deleted, as they hold the erased
     rows. ``full`` covers every table with personal data and keeps only a
     digest of the address, in the audit and in the result.
     """
     prepare(house.spark)
     requests = materialise(requests.select("customer_email"), "requests")
-    slices = {name: house.slices(layer, name) for name, (layer, cut) in PERSONAL_TABLES.items() if cut}
-    tables = personal_tables(house)
     scopes = privacy.FULL_SCOPE if full else privacy.CORE_SCOPE
-    found = privacy.find_subjects(tables["dim_customer"], requests)
-    counts = materialise(privacy.erasure_counts(tables, found, scopes), "erasure-counts")
+    names = [s.table for s in scopes if house.exists(PERSONAL_TABLES[s.table][0], s.table)]
+    for name in CUT_TABLES:
+        finish_rewrite(house, name)
+    found = privacy.find_subjects(house.read("dwh", "dim_customer"), requests)
+    whole = {name: house.read(PERSONAL_TABLES[name][0], name) for name in names if name not in CUT_TABLES}
+    looked: dict[str, set[int]] = {name: set() for name in names if name in CUT_TABLES}
 
     now = F.current_timestamp()
     waiting = waiting_erasures(house, requests)
@@ -509,22 +610,36 @@ def erase_subjects(house: Warehouse, requests: DataFrame, full: bool = False) ->
     append_audit(house, hide_address(new, "customer_email") if full else new)
     processing = materialise(new.unionByName(waiting.select(*new.columns)), "audit")
 
-    kept = privacy.erase(tables, found, scopes)
-    for name, rows in kept.items():
-        layer, partition_by = PERSONAL_TABLES[name]
-        house.replace(rows, layer, name, partition_by, slices.get(name, set()))
-        if name == "fact_sales":
-            last, backlog_version, _ = progress(house)
-            move_progress(house, last, backlog_version, house.version(layer, name))
-    for name in kept:
-        house.prune(PERSONAL_TABLES[name][0], name)
-
+    passes = []
+    while True:
+        asked = {name: stored_loads(house, name) - looked[name] for name in looked}
+        if passes and not any(asked.values()):
+            break
+        concerned = concerned_loads(house, found, scopes, asked)
+        cut = {name: rows_of_loads(house, name, concerned[name]) for name in looked}
+        passes.append(materialise(privacy.erasure_counts({**cut, **({} if passes else whole)}, found, scopes), "erasure-counts"))
+        kept = privacy.erase({name: rows for name, rows in cut.items() if concerned[name]}, found, scopes)
+        for name, rows in kept.items():
+            rewrite_loads(house, name, rows, concerned[name])
+        looked = {name: looked[name] | asked[name] for name in looked}
+    for name, rows in privacy.erase(whole, found, scopes).items():
+        house.commit(rows, PERSONAL_TABLES[name][0], name)
+    for name in names:
+        layer = PERSONAL_TABLES[name][0]
+        if name in whole:
+            house.prune(layer, name)
+        else:
+            house.drop_versions(layer, name, but=force(house, name)[2])
+
+    counted = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), passes)
+    held = [F.sum(c).alias(c) for c in passes[0].columns if c != "email_normalized"]
+    counts = materialise(counted.groupBy("email_normalized").agg(*held), "erasure-counts")
     completed = privacy.complete_erasure(processing, counts, now)
     append_audit(house, hide_address(completed, "customer_email") if full else completed)
     result = materialise(hide_address(counts, "email_normalized") if full else counts, "erased")
     if full:
         hide_past_requests(house, found.addresses)
-    discard(requests, counts, processing, new, waiting, found.addresses, found.keys)
+    discard(requests, counts, processing, new, waiting, found.addresses, found.keys, *passes)
     refresh_views(house)
     return result
 

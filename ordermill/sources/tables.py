@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -110,25 +111,44 @@ class Warehouse:
         self.spark.catalog.refreshTable(name)
         return name
 
-    def slices(self, layer: str, table: str, version: int | None = None) -> set[str]:
-        """Names of the slices in a snapshot, the current one unless told."""
+    def overwrite_slices(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...], version: int | None = None) -> None:
+        """Write or replace the slices that ``df`` has rows of; others are not touched."""
+        path = self._snapshot(layer, table, max(self.version(layer, table), 0) if version is None else version)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+        fs, done = self._folder(f"{path}/_SUCCESS")
+        if not fs.exists(done):
+            fs.create(done).close()
+
+    def slices(self, layer: str, table: str, version: int | None = None, within: str = "") -> set[str]:
+        """Names of the slices in a snapshot, the current one unless told, or of those below the slice ``within``."""
         path = self.current(layer, table) if version is None else self._snapshot(layer, table, version)
-        if path is None:
+        if path is None or not self._exists(f"{path}/{within}".rstrip("/")):
             return set()
-        fs, folder = self._folder(path)
-        return {s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()}
+        fs, folder = self._folder(f"{path}/{within}".rstrip("/"))
+        names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+        return {n for n in names if "=" in n}
+
+    def drop_slices(self, layer: str, table: str, names: Iterable[str], version: int | None = None) -> None:
+        """Delete slices of a snapshot, the current one unless told; one that is not there is passed over."""
+        path = self.current(layer, table) if version is None else self._snapshot(layer, table, version)
+        for name in names:
+            fs, folder = self._folder(f"{path}/{name}")
+            fs.delete(folder, True)
 
-    def replace(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...], seen: set[str]) -> None:
-        """Commit a snapshot made from the slices ``seen``; refused when a load has written another one meanwhile."""
-        before = self.version(layer, table)
-        self.commit(df, layer, table, partition_by)
-        fs, folder = self._folder(self._snapshot(layer, table, before))
-        if seen and {s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()} != seen:
-            fs.delete(self._folder(self._snapshot(layer, table, before + 1))[1], True)
-            raise RuntimeError(f"a load was written to {layer}.{table} meanwhile; nothing is lost, repeat the call")
+    def drop(self, layer: str, table: str) -> None:
+        """Delete a table with all its snapshots."""
+        fs, folder = self._folder(self.path(layer, table))
+        fs.delete(folder, True)
 
     def prune(self, layer: str, table: str, keep: int = 1) -> None:
         """Delete all finished snapshots but the last ``keep``."""
         for version in self.versions(layer, table)[:-keep]:
             fs, folder = self._folder(self._snapshot(layer, table, version))
             fs.delete(folder, True)
+
+    def drop_versions(self, layer: str, table: str, but: int) -> None:
+        """Delete every snapshot of a table but one, also unfinished ones."""
+        for version in self._numbers(layer, table):
+            if version != but:
+                fs, folder = self._folder(self._snapshot(layer, table, version))
+                fs.delete(folder, True)

@@ -13,7 +13,7 @@ from ordermill.functions.events import parse_events
 from ordermill.operators import landing, rules
 from ordermill.schemas import FAILED_EVENTS, STREAMING_ORDERS
 from ordermill.session import together
-from ordermill.sources import ids
+from ordermill.sources import ids, subjects
 from ordermill.sources.tables import Warehouse
 
 BATCH = "batch_id"
@@ -59,11 +59,13 @@ def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse,
         accepted = counts["read"] - counts["failed"]
         new = landing.not_yet_landed(landing.land(judged), landed_before)
         failed = landing.failed_events(judged)
+        begin_slices(house, batch_id)
         together(
             lambda: house.write_slice(new, "raw", "streaming_orders", BATCH, batch_id),
             lambda: house.write_slice(failed, "raw", "failed_events", BATCH, batch_id),
             lambda: house.write_slice(landing.dead_letters(failed), "raw", "dead_letters", BATCH, batch_id),
         )
+        begin_slices(house, batch_id)  # again: an erasure may have entered what was there before
         here = landed_orders(house).filter(F.col(BATCH) == batch_id)
         _, consumed = together(
             lambda: ids.add(house, "raw", "landed_ids", here.select("order_id", F.lit(batch_id).alias(ids.LOAD))),
@@ -76,6 +78,12 @@ def ingest_batch(events: DataFrame, batch_id: int, house: Warehouse,
     return Counters(counts["read"], counts["failed"], consumed, accepted - consumed)
 
 
+def begin_slices(house: Warehouse, batch_id: int) -> None:
+    """What is known of the persons in a batch holds no more when it is written again."""
+    for table in ("streaming_orders", "failed_events", "dead_letters"):
+        subjects.outdate(house, table, [batch_id])
+
+
 def start_ingest(events: DataFrame, house: Warehouse, checkpoint: str, continuous: bool = False,
                  cadence: str = CADENCE, after_batch=None,
                  dead_letter_sink: Callable[[DataFrame], None] | None = None) -> StreamingQuery:

@@ -280,25 +280,103 @@ def test_erasure_full_scope_leaves_no_trace(house):
     assert not [f for f in pathlib.Path(house.root).rglob("*.parquet") if b"ann@shop.com" in f.read_bytes().lower()]
 
 
-def test_erasure_beside_a_load_loses_nothing(house, monkeypatch):
+def test_erasure_beside_a_load_covers_it_too(house, monkeypatch):
     run(house, [message(), message(order_id="B", customer_email="bob@shop.com")], 0)
-    erase = privacy.erase
+    erase, loads = privacy.erase, iter([1])
 
     def with_a_load(*given):
         kept = erase(*given)
-        ingest.ingest_batch(frame(house.spark, [message(order_id="LATE", customer_email="bob@shop.com")]), 1, house)
+        for n in loads:
+            late = [message(order_id="LATE", customer_email="bob@shop.com"), message(order_id="ANN2")]
+            ingest.ingest_batch(frame(house.spark, late), n, house)
         return kept
 
     monkeypatch.setattr(batch.privacy, "erase", with_a_load)
-    with pytest.raises(RuntimeError, match="meanwhile"):
-        batch.erase_subjects(house, requests(house.spark, "ann@shop.com"))
-    monkeypatch.undo()
-    batch.erase_subjects(house, requests(house.spark, "ann@shop.com"))
+    counts = batch.erase_subjects(house, requests(house.spark, "ann@shop.com")).first()
+    assert (counts["fact_sales"], counts["streaming_orders"], counts["dim_customer"]) == (1, 2, 1)
     assert ids(ingest.landed_orders(house)) == ["B", "LATE"] and ids(batch.sales(house)) == ["B"]
     audit = house.read("audit", "gdpr_requests").collect()
     assert sorted((r["request_id"], r["status"]) for r in audit) == [(1, "completed"), (1, "processing")]
 
 
+def stored_files(house):
+    """Data files of the tables cut into loads with the time they were written."""
+    root = pathlib.Path(house.root)
+    return {str(f.relative_to(root)): f.stat().st_mtime_ns for t in ("raw/streaming_orders", "raw/failed_events", "raw/dead_letters", "dwh/fact_sales")
+            for f in (root / t).rglob("*.parquet")}
+
+
+def three_loads(house):
+    """Ann is in load 1 alone, with an order, a reject and a message that can't be read."""
+    bob = lambda n: message(order_id=f"B{n}", customer_email="bob@shop.com")
+    for n in range(3):
+        mine = [message(), message(order_id="A2", channel="phone"), '{"customer_email": "Ann@shop.com", broken'] if n == 1 else []
+        run(house, [bob(n), message(order_id=f"R{n}", channel="phone", customer_email="bob@shop.com"), *mine], n)
+
+
+def test_erasure_rewrites_only_folders_of_the_subject(house, monkeypatch):
+    three_loads(house)
+    before, read = stored_files(house), []
+    digests = privacy.subject_digests
+    monkeypatch.setattr(batch.privacy, "subject_digests", lambda rows, scope, load: read.append(
+        (scope.table, sorted(r[0] for r in rows.select(load).distinct().collect()))) or digests(rows, scope, load))
+    counts = batch.erase_subjects(house, requests(house.spark, "ann@shop.com"), full=True).first()
+    assert (counts["fact_sales"], counts["streaming_orders"], counts["failed_events"], counts["dead_letters"]) == (1, 1, 2, 2)
+    assert everything_with(house, "ann@shop.com") == {}
+    after = stored_files(house)
+    others = lambda files: {f: t for f, t in files.items() if "_id=1/" not in f}
+    assert others(after) == others(before) and others(before)
+    assert not {f for f in before if "_id=1/" in f} & set(after)
+    assert ids(batch.sales(house)) == ids(ingest.landed_orders(house)) == ["B0", "B1", "B2"]
+    assert dict(read) == {t: [0, 1, 2] for t in ("fact_sales", "streaming_orders", "failed_events", "dead_letters")}
+
+    # The next one reads the rewritten load and the new one; loads known not to hold the subject stay as they are.
+    run(house, [message(order_id="C", customer_email="cleo@shop.com")], 3)
+    read.clear()
+    kept = stored_files(house)
+    batch.erase_subjects(house, requests(house.spark, "cleo@shop.com", "nobody@shop.com"))
+    assert dict(read) == {"fact_sales": [1] if 3 not in {r[0] for r in batch.sales(house).select("load_id").collect()} else [1, 3],
+                          "streaming_orders": [1, 3]}
+    assert {f: t for f, t in stored_files(house).items() if "_id=3/" not in f} == {f: t for f, t in kept.items() if "_id=3/" not in f}
+    assert ids(ingest.landed_orders(house)) == ["B0", "B1", "B2"]
+
+
+def test_checks_after_an_erasure_are_those_of_whole_tables(house):
+    three_loads(house)
+    batch.erase_subjects(house, requests(house.spark, "ann@shop.com"), full=True)
+    run(house, [message(order_id="B3", customer_email="bob@shop.com")], 3)
+    kept = {(r["table"], r["load"]): r["rows"] for r in house.read("monitoring", "load_profiles").collect()}
+    assert {n: kept["streaming_orders", n] for n in range(4)} == {n: 1 for n in range(4)}
+    assert {n: kept["failed_events", n] for n in range(3)} == {n: 1 for n in range(3)}
+    assert {n: kept["fact_sales", n] for n in range(4)} == {n: 1 for n in range(4)}
+
+
+def test_stopped_erasure_is_finished_by_the_next(house, monkeypatch):
+    three_loads(house)
+    overwrite = Warehouse.overwrite_slices
+
+    def stop(self, df, layer, table, *more):
+        overwrite(self, df, layer, table, *more)
+        if table == "streaming_orders":
+            raise RuntimeError("stopped")
+
+    monkeypatch.setattr(Warehouse, "overwrite_slices", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        batch.erase_subjects(house, requests(house.spark, "ann@shop.com"))
+    monkeypatch.undo()
+    batch.erase_subjects(house, requests(house.spark, "ann@shop.com"))
+    assert ids(batch.sales(house)) == ids(ingest.landed_orders(house)) == ["B0", "B1", "B2"]
+    assert not house.exists("staging", "erasing_streaming_orders") and not house.exists("staging", "erasing_streaming_orders_loads")
+
+
+def test_load_written_again_is_looked_through_again(house):
+    run(house, [message(order_id="B", customer_email="bob@shop.com")], 0)
+    batch.erase_subjects(house, requests(house.spark, "nobody@shop.com"))
+    ingest.ingest_batch(frame(house.spark, [message(order_id="B", customer_email="bob@shop.com"), message(order_id="A")]), 0, house)
+    batch.erase_subjects(house, requests(house.spark, "ann@shop.com"))
+    assert ids(ingest.landed_orders(house)) == ["B"]
+
+
 def test_export_logs_the_access(house):
     rows = batch.export_subjects(house, requests(house.spark, "ann@shop.com")).collect()
     assert sorted(r["source_system"] for r in rows) == ["pos", "web"]
