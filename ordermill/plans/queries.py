@@ -235,8 +235,10 @@ def stream_deduplicated(r: Retail) -> DataFrame:
     """Ids let through by the bounded-state variant in several batches; its bound is far shorter than the span of the data."""
     folder = scratch_folder(r.spark, "stream")
     messages = r.order_messages()
-    messages.repartition(6).write.parquet(f"{folder}/inbox")
-    stream = captured_orders(r.spark, f"{folder}/inbox", messages.schema, files_per_batch=2)
+    messages.write.parquet(f"{folder}/inbox")
+    # A third of the files a batch: their number follows the rows, so that no file or task grows with the table.
+    files = len(r.spark.read.schema(messages.schema).parquet(f"{folder}/inbox").inputFiles())
+    stream = captured_orders(r.spark, f"{folder}/inbox", messages.schema, files_per_batch=max(-(-files // 3), 1))
     orders = ingest.accepted_stream(stream, late="1 day")
     sink = orders.select("order_id").writeStream.format("parquet").option("path", f"{folder}/kept").option(
         "checkpointLocation", f"{folder}/offsets")
