@@ -70,8 +70,9 @@ def stored_landed(r: Retail, events: DataFrame | None = None) -> DataFrame:
 
 
 def judged_once(r: Retail) -> DataFrame:
-    """Judged messages as a table, for queries that read accepted and rejected ones."""
-    return materialise(judged(r).select(*ingest.KEPT_COLUMNS), "judged")
+    """Judged messages as a table, for queries that read accepted and rejected ones; with the text of rejects, as no reader needs others."""
+    text = F.when(F.col("error_code").isNotNull(), F.col("payload"))
+    return materialise(judged(r).select(*ingest.KEPT_COLUMNS).withColumn("payload", text), "judged")
 
 
 def golden(r: Retail) -> DataFrame:
@@ -652,7 +653,7 @@ def subject_facts(r: Retail) -> DataFrame:
 
 def monthly_counts(r: Retail) -> DataFrame:
     """Messages, rejects and landed orders per month of event time; a month stands for a run."""
-    events = materialise(judged(r), "judged")
+    events = judged_once(r)
 
     def month(df: DataFrame) -> DataFrame:
         return df.groupBy(F.trunc(F.to_date("order_timestamp"), "month").alias("month"))
