@@ -107,3 +107,11 @@ def test_planted_cycles(spark):
             said = [said[i] if i < a else said[a + (i - a) % p] for i in range(n)]
         expected.append((doc, said))
     assert found == sorted(expected, key=repr)
+
+
+def test_only_the_drawn_tenth_is_cut_into_words(spark):
+    from ordermill.llm.queries import with_cycles
+
+    plan = with_cycles(cases.frame(spark, []).repartition(1))._jdf.queryExecution().optimizedPlan().toString()
+    before = plan.split("regexp_extract_all(")[:-1]
+    assert before and all(p.endswith("= 0) THEN ") for p in before)
