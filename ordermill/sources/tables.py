@@ -17,6 +17,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ordermill.session import CODEC
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
@@ -84,14 +86,14 @@ class Warehouse:
         """Write the next snapshot and return it."""
         number = version if version is not None else self.version(layer, table) + 1
         path = self._snapshot(layer, table, number)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.option("compression", CODEC).mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def write_slice(self, df: DataFrame, layer: str, table: str, column: str, value: int,
                     partition_by: tuple[str, ...] = (), version: int | None = None) -> None:
         """Write or replace the slice ``column=value`` of a snapshot, the current one unless told."""
         path = self._snapshot(layer, table, max(self.version(layer, table), 0) if version is None else version)
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{column}={value}")
+        df.write.option("compression", CODEC).mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{column}={value}")
         fs, done = self._folder(f"{path}/_SUCCESS")
         if not fs.exists(done):
             fs.create(done).close()
@@ -106,7 +108,7 @@ class Warehouse:
         name = f"{re.sub(r'\W', '_', table)}_{hashlib.md5(path.encode()).hexdigest()[:16]}"
         fs, folder = self._folder(path)
         fs.mkdirs(folder)
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet "
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet OPTIONS (compression '{CODEC}') "
                        f"CLUSTERED BY ({column}) SORTED BY ({column}) INTO {count} BUCKETS LOCATION '{path}'")
         self.spark.catalog.refreshTable(name)
         return name
@@ -114,7 +116,7 @@ class Warehouse:
     def overwrite_slices(self, df: DataFrame, layer: str, table: str, partition_by: tuple[str, ...], version: int | None = None) -> None:
         """Write or replace the slices that ``df`` has rows of; others are not touched."""
         path = self._snapshot(layer, table, max(self.version(layer, table), 0) if version is None else version)
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+        df.write.option("compression", CODEC).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
         fs, done = self._folder(f"{path}/_SUCCESS")
         if not fs.exists(done):
             fs.create(done).close()
