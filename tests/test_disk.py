@@ -27,8 +27,16 @@ def test_shuffle_files_go_with_the_job_that_wrote_them(spark):
     session.prepare(spark)
     before = shuffle_files(spark)
     kept = session.materialise(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sums")
-    assert kept.count() == 7
     assert shuffle_files(spark) <= before
+    assert kept.count() == 7
+
+
+def test_a_frame_collected_again_may_find_its_shuffle_files(spark):
+    sums = session.prepare(spark).range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert len(sums.collect()) == 7
+    held = shuffle_files(spark)
+    session.together(*[lambda: session.materialise(spark.range(10).groupBy("id").count(), "sums")] * 3)
+    assert held and shuffle_files(spark) & held and spark.conf.get(session.CLEANUP_SETTING, "false") == "false"
 
 
 def test_stored_tables_and_copies_are_packed(spark, tmp_path):
